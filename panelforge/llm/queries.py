@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import bpe, contamination, quality, rules, secrets, urls
+from panelforge.llm import bpe, contamination, lines, quality, rules, secrets, urls
 from panelforge.llm.common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -27,6 +27,10 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _is(kind: str) -> Callable[[Column], Column]:
     return lambda s: s["kind"] == kind
 
@@ -55,7 +59,7 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_bpe, op5_secrets, op6_urls, op7_contamination, op9_rules)}
+    return {f.__name__: f for f in (op1_quality, op3_bpe, op4_lines, op5_secrets, op6_urls, op7_contamination, op9_rules)}
 
 
 _HOST = r"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

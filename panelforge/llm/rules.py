@@ -31,7 +31,7 @@ STEPS = 3
 #: Least number of documents for an estimate of its own; smaller groups share one by language, then one for all, and under LEAST none is rejected.
 GROUP, LEAST = 200, 30
 #: Greatest squared distance that is kept.  Normal data of 5 dimensions pass 36 once in a million; text statistics have longer tails.
-CUTOFF = 60.0
+CUTOFF = 90.0
 #: Statistic and the standard deviation that is added to its own: several have no spread at all in most documents.
 FEATURES = {"f_length": 0.05, "f_symbols": 0.35, "f_lines": 0.7, "f_repeats": 0.5, "f_capitals": 0.25}
 
