@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import bpe, contamination, lines, quality, rules, secrets, urls
-from panelforge.llm.common import table
+from panelforge.llm import bpe, contamination, langid, lines, quality, rules, secrets, urls
+from panelforge.llm.common import held_out, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -58,8 +58,14 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), langid.fit(docs), ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_bpe, op4_lines, op5_secrets, op6_urls, op7_contamination, op9_rules)}
+    return {f.__name__: f for f in (op1_quality, op3_bpe, op4_lines, op5_secrets, op6_urls, op7_contamination, op9_rules, op10_langid)}
 
 
 _HOST = r"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
