@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import bpe, contamination, langid, lines, quality, rules, secrets, urls
+from panelforge.llm import bpe, contamination, html, langid, lines, quality, rules, secrets, urls
 from panelforge.llm.common import held_out, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -54,6 +54,10 @@ def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"), html.train())
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_bpe, op4_lines, op5_secrets, op6_urls, op7_contamination, op9_rules, op10_langid)}
+    return {f.__name__: f for f in (op1_quality, op3_bpe, op4_lines, op5_secrets, op6_urls, op7_contamination, op8_html, op9_rules, op10_langid)}
 
 
 _HOST = r"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
