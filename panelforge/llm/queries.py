@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import bpe, contamination, html, langid, lines, quality, rules, secrets, urls
+from panelforge.llm import bpe, contamination, html, jaccard, langid, lines, quality, rules, secrets, urls
 from panelforge.llm.common import held_out, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -18,6 +18,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -69,7 +73,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_bpe, op4_lines, op5_secrets, op6_urls, op7_contamination, op8_html, op9_rules, op10_langid)}
+    return {f.__name__: f for f in (op1_quality, op2_jaccard, op3_bpe, op4_lines, op5_secrets, op6_urls, op7_contamination, op8_html, op9_rules, op10_langid)}
 
 
 _HOST = r"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
