@@ -244,20 +244,21 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", kee
     may be in ``keep``.
     """
     keep = ["doc_id"] if keep is None else keep
-    rows = df.select(*keep, df[text].alias("__text"))
+    columns = list(dict.fromkeys([*keep, text]))
+    rows, at_text = df.select(*columns), columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
-                ids = [c.encode(x.as_py()) for x in part.column(len(keep))]
+                ids = [c.encode(x.as_py()) for x in part.column(at_text)]
                 out = [*part.columns[: len(keep)], pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64()), pa.array(ids, pa.string())]
                 if decode:
                     out.append(pa.array([c.decode(x) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(out, [*keep, "n_tokens", "ids", *["decoded"] * decode])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
     return rows.mapInArrow(run, f"{fields}, n_tokens long, ids string" + ", decoded binary" * decode)
 
 

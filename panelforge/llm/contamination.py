@@ -101,26 +101,27 @@ def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str
     are ignored.
     """
     keep = ["doc_id"] if keep is None else keep
-    rows = df.select(*keep, df[text].alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    carried = f"{fields}, __text string, __hit binary, items array<string>"
+    columns = list(dict.fromkeys([*keep, text]))
+    rows, n, at_text = df.select(*columns), len(keep), columns.index(text)
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
+    carried = ", ".join([*kinds, "__hit binary", "__items array<string>"])
     blocks = _blocks(benchmark, item, item_text)
     first, following = next(blocks, []), next(blocks, None)
     while following is not None:
-        rows = written(rows.mapInArrow(_search(first, len(keep), False), carried), "contamination")
+        rows = written(rows.mapInArrow(_search(first, columns, n, at_text, False), carried), "contamination")
         first, following = following, next(blocks, None)
-    return rows.mapInArrow(_search(first, len(keep), True), f"{fields}, n_words long, n_hit long, items array<string>")
+    return rows.mapInArrow(_search(first, columns, n, at_text, True), ", ".join([*kinds[:n], "n_words long, n_hit long, items array<string>"]))
 
 
-def _search(items: list[tuple[str, list[bytes]]], n: int, last: bool):
+def _search(items: list[tuple[str, list[bytes]]], columns: list[str], n: int, at_text: int, last: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searchers = _searchers(items)
+        searchers, c = _searchers(items), len(columns)
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
-                before = zip(part.column(n + 1), part.column(n + 2), strict=True) if part.num_columns > n + 1 else None
+                before = zip(part.column(c), part.column(c + 1), strict=True) if part.num_columns > c else None
                 counts, hits, found = [], [], []
-                for x in part.column(n):
+                for x in part.column(at_text):
                     w = words(x.as_py())
                     hit, of = bytearray(len(w)), set()
                     if before:
@@ -131,11 +132,11 @@ def _search(items: list[tuple[str, list[bytes]]], n: int, last: bool):
                     counts.append(len(w))
                     hits.append(hit)
                     found.append(sorted(of))
-                keys, of = part.columns[:n], pa.array(found, pa.list_(pa.string()))
+                of = pa.array(found, pa.list_(pa.string()))
                 if last:
-                    out, names = [*keys, pa.array(counts, pa.int64()), pa.array([h.count(1) for h in hits], pa.int64()), of], ["n_words", "n_hit", "items"]
+                    out, names = [*part.columns[:n], pa.array(counts, pa.int64()), pa.array([h.count(1) for h in hits], pa.int64()), of], [*columns[:n], "n_words", "n_hit", "items"]
                 else:
-                    out, names = [*keys, part.column(n), pa.array(map(bytes, hits), pa.binary()), of], ["__text", "__hit", "items"]
-                yield pa.RecordBatch.from_arrays(out, [*part.schema.names[:n], *names])
+                    out, names = [*part.columns[:c], pa.array(map(bytes, hits), pa.binary()), of], [*columns, "__hit", "__items"]
+                yield pa.RecordBatch.from_arrays(out, names)
 
     return run

@@ -234,17 +234,18 @@ def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None)
 
     Texts that are null or have no letters, and all texts if the model knows
     no language, are ``und`` with score 0.  Rows are judged one by one,
-    repeated ones too; no other column is read.
+    repeated ones too; no other column is read.  ``keep`` may hold any column
+    but ``lang_pred`` and ``score``.
     """
     keep = ["doc_id"] if keep is None else keep
-    rows = documents.select(*keep, documents["text"].alias("__text"))
-    n = len(keep)
+    columns = list(dict.fromkeys([*keep, "text"]))
+    rows, n, at_text = documents.select(*columns), len(keep), columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
-                words = [words_of((x.as_py() or "").lower()) for x in part.column(n)]
+                words = [words_of((x.as_py() or "").lower()) for x in part.column(at_text)]
                 found, score = [UNKNOWN] * len(words), np.zeros(len(words))
                 some = [k for k, w in enumerate(words) if w] if model.languages else []
                 if some:
@@ -255,5 +256,5 @@ def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None)
                         found[k] = model.languages[y]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(found, pa.string()), pa.array(score, pa.float64())], [*part.schema.names[:n], "lang_pred", "score"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:n])
     return rows.mapInArrow(run, f"{fields}lang_pred string, score double")
