@@ -37,35 +37,46 @@ TRIES, MIN_FAMILIES, MIN_SPREAD = 3, 6, 0.5
 #: Share of equal positions after the leading ones that makes a line an instance of its leaf's template.
 SIMILAR = 0.7
 
-_SPACE = r"[\x20\x09-\x0D]+"
+_NAMES = [f"family{k}" for k in range(TRIES)]
 
 
-def _parsed(text: Column) -> Column:
-    """Per line its ``leaf``, its hash ``t`` and its ``tokens``' hashes, in order; ``t`` is null for short lines."""
+def _template(line: Column) -> Column:
+    """The line's tokens with one space between them, variable ones masked."""
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", "<*>")).otherwise(line)
+    return F.trim(F.regexp_replace(masked, r"[\x20\x09-\x0D]++", " "))
 
-    def line(x: Column) -> Column:
-        tokens = F.filter(F.split(F.regexp_replace(x, r"[^\x20\x09-\x0D]*\d[^\x20\x09-\x0D]*", "<*>"), _SPACE), lambda w: w != "")
-        return F.transform(F.array(tokens), _node)[0]
 
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), line)
+def _tokens(template: Column) -> Column:
+    return F.length(template) - F.length(F.replace(template, F.lit(" "))) + 1
 
 
-def _node(tokens: Column) -> Column:
-    enough = F.size(tokens) >= MIN_TOKENS
-    return F.struct(
-        F.when(enough, F.xxhash64(F.size(tokens), *[F.get(tokens, F.lit(k)) for k in range(DEPTH)])).alias("leaf"),
-        F.when(enough, F.xxhash64(F.array_join(tokens, " "))).alias("t"),
-        F.when(enough, F.transform(tokens, lambda w: F.hash(w))).alias("tokens"),
-    )
+def _leaf(template: Column) -> Column:
+    return F.xxhash64(_tokens(template), F.substring_index(template, " ", DEPTH))
 
 
-def _nodes(documents: DataFrame, keep: list[str], tokens: bool) -> DataFrame:
-    """A row for every distinct template of every document, with the document's ``families``, one for each way to hash."""
-    parsed = documents.select(*keep, F.filter(_parsed(documents["text"]), lambda x: x["t"].isNotNull()).alias("lines"))
-    if not tokens:
-        parsed = parsed.withColumn("lines", F.transform("lines", lambda x: F.struct(x["leaf"].alias("leaf"), x["t"].alias("t"))))
-    families = F.array(*[F.array_min(F.transform("lines", _hashed(k))) for k in range(TRIES)])
-    return parsed.select(*keep, families.alias("families"), F.explode(F.array_distinct("lines")).alias("x")).select(*keep, "families", "x.*")
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _hash(line: Column) -> Column:
+    """The hash of a line's template; null for a short line."""
+    return _let(_template(line), lambda x: F.when(_tokens(x) >= MIN_TOKENS, F.xxhash64(x)))
+
+
+def _nodes(documents: DataFrame) -> DataFrame:
+    """``doc_id``, ``leaf``, ``t`` and the document's families for every distinct template of every document."""
+
+    def node(line: Column) -> Column:
+        return _let(_template(line), lambda x: F.when(_tokens(x) >= MIN_TOKENS, F.struct(_leaf(x).alias("leaf"), F.xxhash64(x).alias("t"))))
+
+    def with_families(found: Column) -> Column:
+        families = [F.array_min(F.transform(found, _hashed(k))).alias(name) for k, name in enumerate(_NAMES)]
+        return F.struct(found.alias("lines"), *families)
+
+    found = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), node), lambda x: x.isNotNull()))
+    parsed = documents.select("doc_id", _let(found, with_families).alias("d"))
+    return parsed.select("doc_id", *[f"d.{x}" for x in _NAMES], F.explode("d.lines").alias("x")).select("doc_id", "x.leaf", "x.t", *_NAMES)
 
 
 def _hashed(k: int):
@@ -76,18 +87,21 @@ def _recurs(families: Column, docs: Column) -> Column:
     return (families >= MIN_FAMILIES) & (families >= MIN_SPREAD * docs)
 
 
-def recurring(documents: DataFrame) -> DataFrame:
+def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     """The hashes ``t`` of all lines whose template recurs across documents."""
-    spread = _nodes(documents, [], False).select("leaf", "t", F.posexplode("families").alias("k", "family")).groupBy("leaf", "t", "k", "family").agg(F.count("*").alias("n"))
-    tries = spread.groupBy("leaf", "t", "k").agg(F.count("*").alias("families"), F.sum("n").alias("docs"))
+    # a leaf that is in too few places holds no template that recurs; nearly all are
+    leaves = written(nodes.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_FAMILIES).select("leaf"), "line-leaves")
+    often = nodes.join(leaves, "leaf", "left_semi").select("leaf", "t", F.posexplode(F.array(*_NAMES)).alias("k", "family"))
+    tries = often.groupBy("leaf", "t", "k", "family").agg(F.count("*").alias("n")).groupBy("leaf", "t", "k").agg(F.count("*").alias("families"), F.sum("n").alias("docs"))
     seen = written(tries.groupBy("leaf", "t").agg(F.max("families").alias("families"), F.max("docs").alias("docs")), "line-templates")
-    # only a leaf that is in enough places can hold a template that is, and only one with several lines needs generalising
-    leaves = written(seen.groupBy("leaf").agg(F.sum("families").alias("f"), F.count("*").alias("n")).where((F.col("f") >= MIN_FAMILIES) & (F.col("n") > 1)).select("leaf"), "line-leaves")
-    shapes = _nodes(documents, [], True).select("leaf", "t", "tokens").join(leaves, "leaf", "left_semi").groupBy("leaf", "t").agg(F.min("tokens").alias("tokens"))
-    several = written(seen.join(shapes, ["leaf", "t"]), "line-shapes")
-    top = several.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
+    # only a leaf with several lines needs generalising
+    several = written(seen.groupBy("leaf").agg(F.sum("families").alias("f"), F.count("*").alias("n")).where((F.col("f") >= MIN_FAMILIES) & (F.col("n") > 1)).select("leaf"), "line-several")
+    every = documents.select(F.explode(F.split("text", "\n")).alias("line")).select(_template(F.col("line")).alias("x")).select("x", _leaf(F.col("x")).alias("leaf"))
+    shapes = every.join(several, "leaf", "left_semi").where(_tokens(F.col("x")) >= MIN_TOKENS).groupBy("leaf", F.xxhash64("x").alias("t")).agg(F.min("x").alias("x"))
+    shapes = written(seen.join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
+    top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
-    tree = several.join(top, "leaf").select("leaf", "t", "families", "docs", F.when(agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH), F.col("of")).otherwise(F.col("t")).alias("template"))
+    tree = shapes.join(top, "leaf").select("leaf", "t", "families", "docs", F.when(agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH), F.col("of")).otherwise(F.col("t")).alias("template"))
     merged = tree.groupBy("leaf", "template").agg(F.sum("families").alias("families"), F.sum("docs").alias("docs")).where(_recurs(F.col("families"), F.col("docs")))
     general = tree.select("leaf", "t", "template").join(merged.select("leaf", "template"), ["leaf", "template"], "left_semi").select("t")
     alone = seen.where(_recurs(F.col("families"), F.col("docs"))).select("t")
@@ -104,14 +118,14 @@ def dedup(documents: DataFrame) -> DataFrame:
     ``doc_id`` and ``text`` pass through, but for ones named ``n_lines`` or
     ``n_dropped``, which are replaced.
     """
-    found = _nodes(documents, ["doc_id"], False).select("doc_id", "t").join(recurring(documents), "t", "left_semi")
+    nodes = written(_nodes(documents), "line-nodes")
+    found = nodes.select("doc_id", "t").join(recurring(documents, nodes), "t", "left_semi")
     drops = found.groupBy("doc_id").agg(F.collect_set("t").alias("__drop")).withColumnRenamed("doc_id", "__id")
     rows = documents.join(drops, documents["doc_id"].eqNullSafe(F.col("__id")), "left").drop("__id")
-    lines, parsed = F.split("text", "\n"), _parsed(F.col("text"))
-    kept = F.transform(F.filter(F.arrays_zip(lines.alias("line"), parsed.alias("node")), lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), x["node"]["t"]), F.lit(False))), lambda x: x["line"])
-    rows = rows.withColumn("__kept", F.when(F.col("__drop").isNull(), lines).otherwise(kept)).withColumn("__all", F.size(lines))
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n"))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.col("__all"))
-    dropped = F.when(F.col("text").isNull(), 0).otherwise(F.col("__all") - F.size("__kept"))
+    kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), _hash(x)), F.lit(False)))
+    less = F.when(F.col("__drop").isNotNull(), _let(kept, lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(k).alias("n"))))
+    all_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
+    rows = rows.withColumn("__all", F.coalesce(all_lines, F.lit(0))).withColumn("__less", less)
     others = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in others], n.cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"))
+    text = F.coalesce(F.col("__less.text"), F.col("text")).alias("text")
+    return rows.select(*[text if c == "text" else F.col(c) for c in others], F.col("__all").cast("long").alias("n_lines"), F.coalesce(F.col("__all") - F.col("__less.n"), F.lit(0)).cast("long").alias("n_dropped"))
