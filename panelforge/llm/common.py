@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that a Python operator hands back to Spark at a time, so that long texts never pile up in one Arrow batch.
-OUT_ROWS = 512
+OUT_ROWS = 128
+#: Rows that Spark hands to a Python operator at a time.
+TEXT_ROWS = 1024
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -53,6 +55,19 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """The same table; its session hands Python ``TEXT_ROWS`` rows at a time if nothing else was set, as long texts make Spark's usual batch large."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(TEXT_ROWS))
+    return df
+
+
+def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A written table of short keys, to be broadcast if it has at most so many rows, and joined by a shuffle if more."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def held_out(key: Column) -> Column:
     """True for the rows that no classifier learns from; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import written
+from panelforge.llm.common import sized, written
 
 #: Leading tokens that the tree branches on.
 DEPTH = 3
@@ -91,13 +91,13 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     """The hashes ``t`` of all lines whose template recurs across documents."""
     # a leaf that is in too few places holds no template that recurs; nearly all are
     leaves = written(nodes.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_FAMILIES).select("leaf"), "line-leaves")
-    often = nodes.join(leaves, "leaf", "left_semi").select("leaf", "t", F.posexplode(F.array(*_NAMES)).alias("k", "family"))
+    often = nodes.join(sized(leaves), "leaf", "left_semi").select("leaf", "t", F.posexplode(F.array(*_NAMES)).alias("k", "family"))
     tries = often.groupBy("leaf", "t", "k", "family").agg(F.count("*").alias("n")).groupBy("leaf", "t", "k").agg(F.count("*").alias("families"), F.sum("n").alias("docs"))
     seen = written(tries.groupBy("leaf", "t").agg(F.max("families").alias("families"), F.max("docs").alias("docs")), "line-templates")
     # only a leaf with several lines needs generalising
     several = written(seen.groupBy("leaf").agg(F.sum("families").alias("f"), F.count("*").alias("n")).where((F.col("f") >= MIN_FAMILIES) & (F.col("n") > 1)).select("leaf"), "line-several")
     every = documents.select(F.explode(F.split("text", "\n")).alias("line")).select(_template(F.col("line")).alias("x")).select("x", _leaf(F.col("x")).alias("leaf"))
-    shapes = every.join(several, "leaf", "left_semi").where(_tokens(F.col("x")) >= MIN_TOKENS).groupBy("leaf", F.xxhash64("x").alias("t")).agg(F.min("x").alias("x"))
+    shapes = every.join(sized(several), "leaf", "left_semi").where(_tokens(F.col("x")) >= MIN_TOKENS).groupBy("leaf", F.xxhash64("x").alias("t")).agg(F.min("x").alias("x"))
     shapes = written(seen.join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
     top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
@@ -119,7 +119,7 @@ def dedup(documents: DataFrame) -> DataFrame:
     ``n_dropped``, which are replaced.
     """
     nodes = written(_nodes(documents), "line-nodes")
-    found = nodes.select("doc_id", "t").join(recurring(documents, nodes), "t", "left_semi")
+    found = nodes.select("doc_id", "t").join(sized(recurring(documents, nodes)), "t", "left_semi")
     drops = found.groupBy("doc_id").agg(F.collect_set("t").alias("__drop")).withColumnRenamed("doc_id", "__id")
     rows = documents.join(drops, documents["doc_id"].eqNullSafe(F.col("__id")), "left").drop("__id")
     kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), _hash(x)), F.lit(False)))
