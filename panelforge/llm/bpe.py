@@ -25,12 +25,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from panelforge.llm.common import OUT_ROWS
+from panelforge.llm.common import OUT_ROWS, text_batches
 
 #: Distinct pieces whose encodings a worker remembers (two generations of this size).
-CACHE_PIECES = 150_000
+CACHE_PIECES = 100_000
 #: Prefixes of up to so many bytes keep their last token from piece to piece, up to so many of them.
-PREFIX_BYTES, PREFIXES = 14, 500_000
+PREFIX_BYTES, PREFIXES = 12, 250_000
 
 _LOW = re.compile(r"[\x00-\u024f]*\Z").match
 
@@ -74,7 +74,7 @@ class Vocabulary:
         """Whether token ``a`` followed by token ``b`` is what the bytes of both encode to."""
         known = self._stable.get((a, b))
         if known is None:
-            if len(self._stable) > 1_000_000:
+            if len(self._stable) > 300_000:
                 self._stable.clear()
             known = self._stable[a, b] = self._border_holds(a, b)
         return known
@@ -245,7 +245,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", kee
     """
     keep = ["doc_id"] if keep is None else keep
     columns = list(dict.fromkeys([*keep, text]))
-    rows, at_text = df.select(*columns), columns.index(text)
+    rows, at_text = text_batches(df).select(*columns), columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary, pattern)

@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from panelforge.llm.common import OUT_ROWS, written
+from panelforge.llm.common import OUT_ROWS, text_batches, written
 
 WINDOW = 13
 #: Most words of test items whose windows are sent to the tasks at once.
@@ -102,7 +102,7 @@ def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str
     """
     keep = ["doc_id"] if keep is None else keep
     columns = list(dict.fromkeys([*keep, text]))
-    rows, n, at_text = df.select(*columns), len(keep), columns.index(text)
+    rows, n, at_text = text_batches(df).select(*columns), len(keep), columns.index(text)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
     carried = ", ".join([*kinds, "__hit binary", "__items array<string>"])
     blocks = _blocks(benchmark, item, item_text)

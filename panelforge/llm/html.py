@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from panelforge.llm.common import text_batches
+
 #: Pages that are labelled at a time in a task.
 PAGES = 128
 PATH_BUCKETS, WORD_BUCKETS, WIDTH, HIDDEN, NUMBERS = 2048, 512, 24, 16, 8
@@ -424,7 +426,7 @@ def extract(pages: DataFrame, net: Labeller, keep: list[str] | None = None, html
     ignored.
     """
     keep = ["page_id", "url"] if keep is None else keep
-    rows = pages.select(*keep, pages[html].alias("__html"))
+    rows = text_batches(pages).select(*keep, pages[html].alias("__html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

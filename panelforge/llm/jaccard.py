@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import lower_ascii, written
+from panelforge.llm.common import lower_ascii, text_batches, written
 from panelforge.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -50,7 +50,7 @@ BROADCAST_KEYS = 2_000_000
 #: Groups of up to so many members are opened pair by pair, larger ones in blocks of about so many tokens.
 SMALL_GROUP, BLOCK_TOKENS = 8, 400_000
 
-_SLICE = 256
+_SLICE = 64
 _U = np.uint64
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -172,7 +172,7 @@ def _prefixes(hot):
             for s in sets:
                 if not len(s) or (sign := _sign(s)[0]) in entered:
                     continue
-                if len(entered) < 1_000_000:
+                if len(entered) < 100_000:
                     entered.add(sign)
                 n = len(s) - _least_overlap(len(s)) + 1
                 if len(last):
@@ -315,7 +315,7 @@ def join(documents: DataFrame) -> DataFrame:
     the texts are in one component.  Other columns are ignored.
     """
     spark = documents.sparkSession
-    docs = documents.select("doc_id", "text")
+    docs = text_batches(documents).select("doc_id", "text")
     key = _type(documents)
     signed = written(docs.mapInArrow(_signed, f"doc_id {key}, n long, s1 long, s2 long, bands array<long>, tokens binary"), "jaccard-signed")
     reps = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("bands").alias("bands"))

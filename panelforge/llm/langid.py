@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import OUT_ROWS, held_out
+from panelforge.llm.common import OUT_ROWS, held_out, text_batches
 
 #: Most documents per language that the model is fitted to.
 SAMPLE = 200
 BUCKETS = 1 << 15
 BLOCK = 64
 #: Words whose scores a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 UNKNOWN = "und"
 
 words_of = re.compile(r"[^\W\d_]+").findall
@@ -45,7 +45,7 @@ class _Buckets(dict):
     """Word part -> its bucket."""
 
     def __missing__(self, part: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         found = self[part] = zlib.crc32(part.encode("utf-8", "replace")) % BUCKETS
         return found
@@ -239,7 +239,7 @@ def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None)
     """
     keep = ["doc_id"] if keep is None else keep
     columns = list(dict.fromkeys([*keep, "text"]))
-    rows, n, at_text = documents.select(*columns), len(keep), columns.index("text")
+    rows, n, at_text = text_batches(documents).select(*columns), len(keep), columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

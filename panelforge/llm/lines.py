@@ -43,15 +43,17 @@ _NAMES = [f"family{k}" for k in range(TRIES)]
 def _template(line: Column) -> Column:
     """The line's tokens with one space between them, variable ones masked."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", "<*>")).otherwise(line)
-    return F.trim(F.regexp_replace(masked, r"[\x20\x09-\x0D]++", " "))
+    # most lines have single spaces only, and are not rewritten
+    uneven = F.contains(masked, F.lit("  ")) | masked.startswith(" ") | masked.endswith(" ") | masked.rlike(r"[\x09-\x0D]")
+    return F.when(uneven, F.trim(F.regexp_replace(masked, r"[\x20\x09-\x0D]++", " "))).otherwise(masked)
 
 
 def _tokens(template: Column) -> Column:
     return F.length(template) - F.length(F.replace(template, F.lit(" "))) + 1
 
 
-def _leaf(template: Column) -> Column:
-    return F.xxhash64(_tokens(template), F.substring_index(template, " ", DEPTH))
+def _leaf(template: Column, n: Column) -> Column:
+    return F.xxhash64(n, F.substring_index(template, " ", DEPTH))
 
 
 def _let(value: Column, use) -> Column:
@@ -68,7 +70,7 @@ def _nodes(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``leaf``, ``t`` and the document's families for every distinct template of every document."""
 
     def node(line: Column) -> Column:
-        return _let(_template(line), lambda x: F.when(_tokens(x) >= MIN_TOKENS, F.struct(_leaf(x).alias("leaf"), F.xxhash64(x).alias("t"))))
+        return _let(_template(line), lambda x: _let(_tokens(x), lambda n: F.when(n >= MIN_TOKENS, F.struct(_leaf(x, n).alias("leaf"), F.xxhash64(x).alias("t")))))
 
     def with_families(found: Column) -> Column:
         families = [F.array_min(F.transform(found, _hashed(k))).alias(name) for k, name in enumerate(_NAMES)]
@@ -96,8 +98,8 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     seen = written(tries.groupBy("leaf", "t").agg(F.max("families").alias("families"), F.max("docs").alias("docs")), "line-templates")
     # only a leaf with several lines needs generalising
     several = written(seen.groupBy("leaf").agg(F.sum("families").alias("f"), F.count("*").alias("n")).where((F.col("f") >= MIN_FAMILIES) & (F.col("n") > 1)).select("leaf"), "line-several")
-    every = documents.select(F.explode(F.split("text", "\n")).alias("line")).select(_template(F.col("line")).alias("x")).select("x", _leaf(F.col("x")).alias("leaf"))
-    shapes = every.join(sized(several), "leaf", "left_semi").where(_tokens(F.col("x")) >= MIN_TOKENS).groupBy("leaf", F.xxhash64("x").alias("t")).agg(F.min("x").alias("x"))
+    every = documents.select(F.explode(F.split("text", "\n")).alias("line")).select(_template(F.col("line")).alias("x")).select("x", _tokens(F.col("x")).alias("n")).where(F.col("n") >= MIN_TOKENS).select("x", _leaf(F.col("x"), F.col("n")).alias("leaf"))
+    shapes = every.join(sized(several), "leaf", "left_semi").groupBy("leaf", F.xxhash64("x").alias("t")).agg(F.min("x").alias("x"))
     shapes = written(seen.join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
     top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import held_out, written
+from panelforge.llm.common import held_out, text_batches, written
 
 STATISTICS = ["size", "word_length", "symbols", "marks", "exclaims", "bars", "capitals", "digits", "stops", "variety", "line_variety", "phrase_variety"]
 #: Weight of the pooled covariance in each class covariance, and of its diagonal in that.
@@ -93,7 +93,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def vectors(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out`` and the vector ``x`` of every document."""
-    rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = text_batches(documents).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(_vectors, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, x array<double>")
 
 

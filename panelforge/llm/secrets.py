@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import OUT_ROWS, written
+from panelforge.llm.common import OUT_ROWS, text_batches, written
 
 #: (kind, pattern, flags, group whose length counts, its least length); A match that is too short is dropped.
 RULES = [
@@ -65,7 +65,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, text: str = "text
     """
     keep = ["doc_id"] if keep is None else keep
     whole = F.coalesce(versions[text], F.lit(""))
-    suspects = versions.select(F.sha2(whole, 256).alias("blob"), whole.alias("text")).where(F.col("text").rlike(PREFILTER))
+    suspects = text_batches(versions).select(F.sha2(whole, 256).alias("blob"), whole.alias("text")).where(F.col("text").rlike(PREFILTER))
     if ledger is not None:
         done = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob").distinct()
         suspects = suspects.join(done, "blob", "left_anti")

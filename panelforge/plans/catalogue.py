@@ -16,6 +16,7 @@ from panelforge.functions import expr as E
 from panelforge.operators import cdc, checks, dedup, keyed, summary, temporal
 from panelforge.plans import replay, reports, reverse
 from panelforge.schemas import COMPANY_FIELDS, ESTABLISHMENT_FIELDS, ESTABLISHMENT_KEY, FISCAL_FIELDS, PANEL_COLUMNS, PARTNER_FIELDS, PARTNER_ZERO, SPECS, TableSpec
+from panelforge.storage import materialise
 
 _ROOT = "lpad(CAST({} AS VARCHAR(12)), 8, '0')"
 _DAY = "CAST(year({0}) * 10000 + month({0}) * 100 + day({0}) AS INT)"
@@ -72,7 +73,9 @@ class Registry:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return _table(name)(self.spark, self.sf_dir) if name in TABLES else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        found = _table(name)(self.spark, self.sf_dir) if name in TABLES else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, found)
+        return found
 
 
 def _with(names: str, sql: str) -> str:
@@ -291,21 +294,21 @@ def _panel(t: Registry, states: str | None) -> DataFrame:
     m = _months(t)
 
     def events(table: str, *dumps: DataFrame) -> DataFrame:
-        spec, out, latest = SPECS[table], None, None
-        base = dumps[0]
+        spec, base, out = SPECS[table], dumps[0], None
         latest = base.where("false").select(*spec.keys, *spec.tracked, F.lit(False).alias("is_deleted"), F.lit("").alias("last_updated_month"))
-        for month, dump in zip(("2023-06", "2023-07"), dumps[1:], strict=True):
-            found = cdc.detect(dump, latest, base, spec, month)
-            latest = cdc.apply_events(latest, found, spec)
+        for month, dump in zip(("2023-06", "2023-07"), dumps[1:]):  # noqa: B905  a table without a July dump has no July events
+            found = materialise(cdc.detect(dump, latest, base, spec, month), "events")
             out = found if out is None else out.unionByName(found)
+            if len(dumps) > 2:
+                latest = cdc.apply_events(latest, found, spec)
         return out
 
     partners = summary.partner_summary(t.partner)
     ledger = {
         "estabelecimento": events("estabelecimento", m["e5"], m["e6"], m["e7"]),
-        "empresa": events("empresa", dedup.resolve_companies(m["c5"]), m["c6"], m["c6"]),
-        "simples": events("simples", t.fiscal, m["f6"], m["f6"]),
-        "socios": events("socios", partners, partners, partners),
+        "empresa": events("empresa", dedup.resolve_companies(m["c5"]), m["c6"]),
+        "simples": events("simples", t.fiscal, m["f6"]),
+        "socios": events("socios", partners, partners),
     }
     tables = {"empresa": m["c5"], "estabelecimento": m["e5"], "socios": t.partner, "simples": t.fiscal, "munic": t.city}
     return replay.reconstruct_panel(t.spark, tables, ledger, "2023-05", "2023-07", states)[0]
@@ -349,7 +352,7 @@ def _panel_ledger(t: Registry) -> DataFrame:
     a, b, c = _panel_months(t)
     spec = TableSpec("orders", ["ekey"], ["root", *_STATE])
     none = a.where("false").withColumn("is_deleted", F.lit(False))
-    return cdc.detect(b, none, a, spec, "2023-06").unionByName(cdc.detect(c, none, b, spec, "2023-07"))
+    return materialise(cdc.detect(b, none, a, spec, "2023-06").unionByName(cdc.detect(c, none, b, spec, "2023-07")), "events")
 
 
 @_query("d_panel", "SELECT ekey, root, status, amount, zone FROM d_panel WHERE reference_month = '2023-05'")
