@@ -66,18 +66,23 @@ def _hash(line: Column) -> Column:
     return _let(_template(line), lambda x: F.when(_tokens(x) >= MIN_TOKENS, F.xxhash64(x)))
 
 
-def _nodes(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``leaf``, ``t`` and the document's families for every distinct template of every document."""
+def _parsed(text: Column, shown: bool) -> Column:
+    """A text's distinct templates as structs of ``leaf``, ``t`` and, if they are to be shown, ``x``, the template itself."""
 
     def node(line: Column) -> Column:
-        return _let(_template(line), lambda x: _let(_tokens(x), lambda n: F.when(n >= MIN_TOKENS, F.struct(_leaf(x, n).alias("leaf"), F.xxhash64(x).alias("t")))))
+        return _let(_template(line), lambda x: _let(_tokens(x), lambda n: F.when(n >= MIN_TOKENS, F.struct(_leaf(x, n).alias("leaf"), F.xxhash64(x).alias("t"), *[x.alias("x")] * shown))))
+
+    return F.array_distinct(F.filter(F.transform(F.split(text, "\n"), node), lambda x: x.isNotNull()))
+
+
+def _nodes(documents: DataFrame) -> DataFrame:
+    """``doc_id``, ``leaf``, ``t`` and the document's families for every distinct template of every document."""
 
     def with_families(found: Column) -> Column:
         families = [F.array_min(F.transform(found, _hashed(k))).alias(name) for k, name in enumerate(_NAMES)]
         return F.struct(found.alias("lines"), *families)
 
-    found = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), node), lambda x: x.isNotNull()))
-    parsed = documents.select("doc_id", _let(found, with_families).alias("d"))
+    parsed = documents.select("doc_id", _let(_parsed(F.col("text"), False), with_families).alias("d"))
     return parsed.select("doc_id", *[f"d.{x}" for x in _NAMES], F.explode("d.lines").alias("x")).select("doc_id", "x.leaf", "x.t", *_NAMES)
 
 
@@ -93,14 +98,16 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     """The hashes ``t`` of all lines whose template recurs across documents."""
     # a leaf that is in too few places holds no template that recurs; nearly all are
     leaves = written(nodes.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_FAMILIES).select("leaf"), "line-leaves")
-    often = nodes.join(sized(leaves), "leaf", "left_semi").select("leaf", "t", F.posexplode(F.array(*_NAMES)).alias("k", "family"))
-    tries = often.groupBy("leaf", "t", "k", "family").agg(F.count("*").alias("n")).groupBy("leaf", "t", "k").agg(F.count("*").alias("families"), F.sum("n").alias("docs"))
-    seen = written(tries.groupBy("leaf", "t").agg(F.max("families").alias("families"), F.max("docs").alias("docs")), "line-templates")
-    # only a leaf with several lines needs generalising
+    often = nodes.join(sized(leaves), "leaf", "left_semi").select("leaf", "t", "doc_id", F.posexplode(F.array(*_NAMES)).alias("k", "family"))
+    least = F.min("doc_id").alias("doc_id")
+    tries = often.groupBy("leaf", "t", "k", "family").agg(F.count("*").alias("n"), least).groupBy("leaf", "t", "k").agg(F.count("*").alias("families"), F.sum("n").alias("docs"), least)
+    seen = written(tries.groupBy("leaf", "t").agg(F.max("families").alias("families"), F.max("docs").alias("docs"), least), "line-templates")
+    # only a leaf with several lines needs generalising, and one document that holds it shows the text of a line
     several = written(seen.groupBy("leaf").agg(F.sum("families").alias("f"), F.count("*").alias("n")).where((F.col("f") >= MIN_FAMILIES) & (F.col("n") > 1)).select("leaf"), "line-several")
-    every = documents.select(F.explode(F.split("text", "\n")).alias("line")).select(_template(F.col("line")).alias("x")).select("x", _tokens(F.col("x")).alias("n")).where(F.col("n") >= MIN_TOKENS).select("x", _leaf(F.col("x"), F.col("n")).alias("leaf"))
-    shapes = every.join(sized(several), "leaf", "left_semi").groupBy("leaf", F.xxhash64("x").alias("t")).agg(F.min("x").alias("x"))
-    shapes = written(seen.join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
+    holders = written(seen.join(sized(several), "leaf", "left_semi").select(F.col("doc_id").alias("__holder")).distinct(), "line-holders")
+    shown = documents.join(sized(holders), documents["doc_id"].eqNullSafe(F.col("__holder")), "left_semi")
+    shapes = shown.select(F.explode(_parsed(F.col("text"), True)).alias("x")).select("x.*").join(sized(several), "leaf", "left_semi").groupBy("leaf", "t").agg(F.min("x").alias("x"))
+    shapes = written(seen.drop("doc_id").join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
     top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
     tree = shapes.join(top, "leaf").select("leaf", "t", "families", "docs", F.when(agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH), F.col("of")).otherwise(F.col("t")).alias("template"))
