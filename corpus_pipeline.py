@@ -7,7 +7,7 @@ returns a DataFrame, and all but the last return the columns of ``docs``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import bpe, contamination, jaccard, langid, lines
@@ -17,15 +17,23 @@ from panelforge.llm.common import table, written
 LEAST_SCORE = 0.5
 
 
+def _aside(docs: DataFrame, *made: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns that are named like an operator's results under other names, and what brings back its own columns."""
+    names = {c: f"__docs_{c}" if c.lower() in made else c for c in docs.columns}
+    return docs.withColumnsRenamed(names), [F.col(f"`{other}`").alias(c) for c, other in names.items()]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any language (null, empty, without letters) or of none in particular."""
-    found = langid.identify(docs, langid.fit(docs), docs.columns)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    rows, own = _aside(docs, "lang_pred", "score")
+    found = langid.identify(rows, langid.fit(docs), rows.columns)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*own)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes the lines that recur across documents out of the texts; ``n_chars`` follows."""
-    out = lines.dedup(docs).select(*docs.columns)
+    rows, own = _aside(docs, "n_lines", "n_dropped")
+    out = lines.dedup(rows).select(*own)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
@@ -38,8 +46,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of whose words a twentieth or more stand in passages of the benchmark."""
-    found = contamination.find(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return found.where(~((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))).select(*docs.columns)
+    rows, own = _aside(docs, "n_words", "n_hit", "items")
+    found = contamination.find(rows, table(spark, sf_dir, "benchmark"), keep=rows.columns)
+    return found.where(~((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))).select(*own)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
