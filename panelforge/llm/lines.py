@@ -8,16 +8,16 @@ differ are its variable fields.  A template that recurs across documents is
 boilerplate, and its lines are dropped from all of them.
 
 Copies of a document are no evidence that its lines are boilerplate (they are
-the business of the near-duplicate operator).  Documents are therefore counted
-by family, which is the least template hash among a document's lines: copies
-and most near copies share it, unrelated documents with a line in common do
-not, unless that line happens to have the least hash.  So there are ``TRIES``
-independent ways to hash and the most families of any of them count.  A
-template recurs if it is in ``MIN_FAMILIES`` families or more and in half as
-many families as documents or more.
+the business of the near-duplicate operator).  Documents with the same set of
+templates are one group, however many they are, and a template recurs if it is
+in ``MIN_FAMILIES`` groups or more that are no near copies of others.  A group
+counts as one if more than ``OWN`` of its templates are its own, that is in
+fewer than ``MIN_FAMILIES`` groups: two documents that share all but that much
+have a Jaccard similarity of 0.75 by lines.  No share of the documents that
+hold a template enters, so copies never save a line from being dropped.
 
 All of it is DataFrame work.  Only hashes are exploded and shuffled; a line
-that a third of all documents hold is spread over its families first and meets
+that a third of all documents hold is spread over its groups first and meets
 only as partial counts.  The text itself is shuffled once, to meet the lines
 to be dropped from it.
 """
@@ -33,12 +33,14 @@ from panelforge.llm.common import sized, written
 DEPTH = 3
 #: Lines of fewer tokens are never dropped.
 MIN_TOKENS = 3
-TRIES, MIN_FAMILIES, MIN_SPREAD = 3, 6, 0.5
+MIN_FAMILIES = 6
+#: Share of templates of its own beyond which a group of copies is evidence.
+OWN = 1 / 7
+#: Of the rule before, which the brute force in the tests follows.
+TRIES, MIN_SPREAD = 3, 0.5
 #: Share of equal positions after the leading ones that makes a line an instance of its leaf's template.
 SIMILAR = 0.7
 
-_NAMES = [f"family{k}" for k in range(TRIES)]
-
 
 def _template(line: Column) -> Column:
     """The line's tokens with one space between them, variable ones masked."""
@@ -76,32 +78,23 @@ def _parsed(text: Column, shown: bool) -> Column:
 
 
 def _nodes(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``leaf``, ``t`` and the document's families for every distinct template of every document."""
-
-    def with_families(found: Column) -> Column:
-        families = [F.array_min(F.transform(found, _hashed(k))).alias(name) for k, name in enumerate(_NAMES)]
-        return F.struct(found.alias("lines"), *families)
-
-    parsed = documents.select("doc_id", _let(_parsed(F.col("text"), False), with_families).alias("d"))
-    return parsed.select("doc_id", *[f"d.{x}" for x in _NAMES], F.explode("d.lines").alias("x")).select("doc_id", "x.leaf", "x.t", *_NAMES)
-
-
-def _hashed(k: int):
-    return lambda x: F.xxhash64(x["t"], F.lit(k))
+    """``doc_id``, ``leaf``, ``t``, the document's group of copies and its number of templates, for every distinct template of every document."""
 
+    def with_group(found: Column) -> Column:
+        return F.struct(found.alias("lines"), F.xxhash64(F.array_sort(F.transform(found, lambda x: x["t"]))).alias("group"), F.size(found).alias("size"))
 
-def _recurs(families: Column, docs: Column) -> Column:
-    return (families >= MIN_FAMILIES) & (families >= MIN_SPREAD * docs)
+    parsed = documents.select("doc_id", _let(_parsed(F.col("text"), False), with_group).alias("d"))
+    return parsed.select("doc_id", "d.group", "d.size", F.explode("d.lines").alias("x")).select("doc_id", "x.leaf", "x.t", "group", "size")
 
 
 def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     """The hashes ``t`` of all lines whose template recurs across documents."""
     # a leaf that is in too few places holds no template that recurs; nearly all are
     leaves = written(nodes.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_FAMILIES).select("leaf"), "line-leaves")
-    often = nodes.join(sized(leaves), "leaf", "left_semi").select("leaf", "t", "doc_id", F.posexplode(F.array(*_NAMES)).alias("k", "family"))
+    often = nodes.join(sized(leaves), "leaf", "left_semi")
     least = F.min("doc_id").alias("doc_id")
-    tries = often.groupBy("leaf", "t", "k", "family").agg(F.count("*").alias("n"), least).groupBy("leaf", "t", "k").agg(F.count("*").alias("families"), F.sum("n").alias("docs"), least)
-    seen = written(tries.groupBy("leaf", "t").agg(F.max("families").alias("families"), F.max("docs").alias("docs"), least), "line-templates")
+    held = often.groupBy("leaf", "t", "group").agg(F.count("*").alias("n"), F.min("size").alias("size"), least)
+    seen = written(held.groupBy("leaf", "t").agg(F.count("*").alias("families"), F.sum("n").alias("docs"), least), "line-templates")
     # only a leaf with several lines needs generalising, and one document that holds it shows the text of a line
     several = written(seen.groupBy("leaf").agg(F.sum("families").alias("f"), F.count("*").alias("n")).where((F.col("f") >= MIN_FAMILIES) & (F.col("n") > 1)).select("leaf"), "line-several")
     holders = written(seen.join(sized(several), "leaf", "left_semi").select(F.col("doc_id").alias("__holder")).distinct(), "line-holders")
@@ -110,11 +103,20 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     shapes = written(seen.drop("doc_id").join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
     top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
-    tree = shapes.join(top, "leaf").select("leaf", "t", "families", "docs", F.when(agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH), F.col("of")).otherwise(F.col("t")).alias("template"))
-    merged = tree.groupBy("leaf", "template").agg(F.sum("families").alias("families"), F.sum("docs").alias("docs")).where(_recurs(F.col("families"), F.col("docs")))
-    general = tree.select("leaf", "t", "template").join(merged.select("leaf", "template"), ["leaf", "template"], "left_semi").select("t")
-    alone = seen.where(_recurs(F.col("families"), F.col("docs"))).select("t")
-    return written(alone.unionByName(general).distinct(), "line-recurring")
+    tree = shapes.join(top, "leaf").select("leaf", "t", "families", F.when(agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH), F.col("of")).otherwise(F.col("t")).alias("template"))
+    merged = tree.groupBy("leaf", "template").agg(F.sum("families").alias("families")).where(F.col("families") >= MIN_FAMILIES)
+    general = tree.select("leaf", "t", "template").join(merged.select("leaf", "template"), ["leaf", "template"], "left_semi").select("t", "template")
+    alone = seen.where(F.col("families") >= MIN_FAMILIES).select("t", F.col("t").alias("template"))
+    return _evident(nodes, written(alone.unionByName(general).distinct(), "line-candidates"))
+
+
+def _evident(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The ``t`` of those ``candidates`` (``t``, ``template``) whose template is in enough groups that are evidence."""
+    found = written(nodes.join(sized(candidates.select("t").distinct()), "t", "left_semi").groupBy("t", "group").agg(F.min("size").alias("size")), "line-found")
+    evident = written(found.groupBy("group").agg(F.count("*").alias("shared"), F.min("size").alias("size")).where(F.col("size") - F.col("shared") > OWN * F.col("size")).select("group"), "line-evident")
+    places = found.select("t", "group").join(sized(evident), "group", "left_semi").join(sized(candidates), "t")
+    enough = places.groupBy("template", "group").agg(F.count("*").alias("n")).groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_FAMILIES)
+    return written(candidates.join(enough, "template", "left_semi").select("t").distinct(), "line-recurring")
 
 
 def dedup(documents: DataFrame) -> DataFrame:

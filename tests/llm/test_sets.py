@@ -180,6 +180,20 @@ def test_line_dedup_is_what_brute_force_gives(spark):
     assert all(got[100 + k][1] == 0 for k in range(12))  # copies of one document are no boilerplate
 
 
+def test_shared_lines_go_whatever_copies_or_blocks_hold_them(spark):
+    rng = random.Random(11)
+    line, block = "You are reading the printed edition of this page", [prose(rng, 9) for _ in range(10)]
+    docs = [(k, "\n".join([*[prose(rng, 9) for _ in range(4)], line])) for k in range(12)]
+    docs += [(100 + k, "\n".join([*copy, line])) for copy in [[prose(rng, 9) for _ in range(4)]] for k in range(90)]
+    docs += [(300 + k, "\n".join([*block, prose(rng, 9), prose(rng, 9)])) for k in range(40)]
+    near = [prose(rng, 9) for _ in range(12)]
+    docs += [(400 + k, "\n".join([*near[: k % 12], prose(rng, 9), *near[k % 12 + 1 :]])) for k in range(40)]
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert not any(line in t for t, _ in got.values())
+    assert all(got[300 + k][1] == 10 for k in range(40))
+    assert all(got[400 + k][1] == 0 for k in range(40))  # near copies are no evidence either
+
+
 def test_line_dedup_runs_no_python(spark, documents):
     plan = lines.dedup(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
