@@ -28,12 +28,12 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Share of a group that an estimate rests on, and the factor that makes its covariance that of a normal sample (5 dimensions).
 CORE, CONSISTENCY = 0.75, 1.41
 STEPS = 3
-#: Least number of documents for an estimate of its own; smaller groups share one by language, then one for all, and under LEAST none is rejected.
+#: Least number of documents for an estimate of its own; smaller groups are judged by that of their whole language, then of all documents, and under LEAST none is rejected.
 GROUP, LEAST = 200, 30
-#: Greatest squared distance that is kept.  Normal data of 5 dimensions pass 36 once in a million; text statistics have longer tails.
-CUTOFF = 90.0
-#: Statistic and the standard deviation that is added to its own: several have no spread at all in most documents.
-FEATURES = {"f_length": 0.05, "f_symbols": 0.35, "f_lines": 0.7, "f_repeats": 0.5, "f_capitals": 0.25}
+#: Greatest squared distance that is kept: normal data of 5 dimensions pass it once in a million (chi-square).
+CUTOFF = 36.0
+#: Statistic and the standard deviation that is added to its own: several have no spread at all in most documents.  Each is small enough for its statistic to pass ``CUTOFF`` alone.
+FEATURES = {"f_length": 0.05, "f_symbols": 0.35, "f_lines": 0.6, "f_repeats": 0.5, "f_capitals": 0.25}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _NAMES = list(FEATURES)
@@ -156,12 +156,13 @@ def judge(documents: DataFrame) -> DataFrame:
             _percent("n_dup_lines", "n_lines").alias("f_lines"), _percent("n_repeat_words", "n_words").alias("f_repeats"), _percent("n_capitals", "word_chars").alias("f_capitals"),
         ), "rules-counts",
     )
-    sizes = rows.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
-    own = F.col("n") >= GROUP
-    sizes = sizes.withColumn("rest", F.sum(F.when(own, 0).otherwise(F.col("n"))).over(Window.partitionBy("lang")))
-    key = F.when(own, F.to_json(F.array("lang", "source"))).when(F.col("rest") >= GROUP, F.to_json(F.array("lang"))).otherwise("[]")
+    sizes = rows.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n")).withColumn("of_lang", F.sum("n").over(Window.partitionBy("lang")))
+    own, by_lang, by_all = F.to_json(F.array("lang", "source")), F.to_json(F.array("lang")), F.lit("[]")
+    key = F.when(F.col("n") >= GROUP, own).when(F.col("of_lang") >= GROUP, by_lang).otherwise(by_all)
     keys = written(sizes.select("lang", "source", key.alias("key")), "rules-keys")
-    passed = rows.where(~F.col("base_failed")).join(keys, ["lang", "source"])
+    # a shared estimate rests on all documents of the language, or of the table, not on the small groups alone
+    used = written(keys.select("key").distinct(), "rules-used")
+    passed = rows.where(~F.col("base_failed")).withColumn("key", F.explode(F.array(own, by_lang, by_all))).join(F.broadcast(used), "key", "left_semi")
     enough = passed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST).select("key")
     known = estimates(passed.select("key", *_NAMES)).join(enough, "key")
     out = _distance(rows.join(keys, ["lang", "source"], "left").join(known, "key", "left"))

@@ -90,6 +90,22 @@ def test_rules_reject_odd_ones_and_keep_the_rest(spark):
     assert "Python" not in out._jdf.queryExecution().toString()
 
 
+def test_each_statistic_rejects_and_small_groups_use_the_whole_language(spark):
+    rng = random.Random(4)
+    lined = lambda: [prose(rng, 12) for _ in range(12)]
+    rows = [(k, "\n".join(lined()), "en", "s", 0) for k in range(400)]
+    head = "the of on"
+    twice = lambda: "\n".join([w for w in lined()[:11]] + [head] * 10)
+    phrase = lambda: "\n".join(f"{prose(rng, 7)} a b c d e" for _ in range(12))
+    rows += [(1000 + k, twice(), "en", "s", 0) for k in range(5)] + [(1100 + k, phrase(), "en", "s", 0) for k in range(5)]
+    # a source of its own with few rows, most of them odd
+    rows += [(2000 + k, " ".join(f"{w}***" for w in prose(rng, 120).split()), "en", "few", 0) for k in range(40)] + [(2100 + k, "\n".join(lined()), "en", "few", 0) for k in range(20)]
+    out = {r["doc_id"]: r for r in rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert not any(r["base_failed"] for r in out.values())
+    assert sum(out[k]["kept"] for k in range(400)) >= 395 and sum(out[2100 + k]["kept"] for k in range(20)) >= 19
+    assert not any(r["kept"] for k, r in out.items() if 1000 <= k < 2100)
+
+
 def test_estimates_against_numpy(spark):
     """One group: the last step's centre and distances follow from the core that the step before chose."""
     rng = np.random.default_rng(2)
