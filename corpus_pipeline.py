@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from panelforge.llm import bpe, contamination, jaccard, langid, lines
 from panelforge.llm.common import table, written
 
-#: A text whose words are on average less likely than this to be of its language is rejected.
-LEAST_SCORE = 0.5
+#: A text whose words are on average less likely than this to be of the language that each is labelled with is rejected.
+LEAST_SURE = 0.5
 
 
 def _aside(docs: DataFrame, *made: str) -> tuple[DataFrame, list[Column]]:
@@ -24,10 +24,10 @@ def _aside(docs: DataFrame, *made: str) -> tuple[DataFrame, list[Column]]:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any language (null, empty, without letters) or of none in particular."""
-    rows, own = _aside(docs, "lang_pred", "score")
-    found = langid.identify(rows, langid.fit(docs), rows.columns)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*own)
+    """Drops documents without any language (null, empty, without letters) or with words of none in particular; a text in several languages stays."""
+    rows, own = _aside(docs, "lang_pred", "score", "sure")
+    found = langid.identify(rows, langid.fit(docs), rows.columns, sure=True)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("sure") >= LEAST_SURE)).select(*own)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,9 +145,10 @@ class Chain:
         return self._scores[np.fromiter(map(row.__getitem__, words), np.int64, len(words))]
 
     def label(self, texts: list[list[str]]) -> np.ndarray:
-        """Mean probability of each language in each text (of one word or more)."""
+        """Mean probability of each language in each text (of one word or more), and last the mean of each word's greatest probability."""
         lengths = np.array([len(t) for t in texts])
         each = marginals(self._emit([w for t in texts for w in t]), lengths, np.exp(self.tie))
+        each = np.concatenate([each, each.max(1, keepdims=True)], axis=1)
         return np.add.reduceat(each, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
 
     @classmethod
@@ -229,16 +230,20 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Chain:
     return Chain.fit([(r["lang"], words_of(r["text"].lower())) for r in texts.orderBy("doc_id", "lang").collect()])
 
 
-def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None) -> DataFrame:
+def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None, sure: bool = False) -> DataFrame:
     """``keep`` columns with ``lang_pred`` and ``score`` (the language's mean probability) for every document.
 
+    ``sure`` adds a column of that name: how probable the words' own best
+    languages are on average.  It is high for a text in several languages too.
+
     Texts that are null or have no letters, and all texts if the model knows
     no language, are ``und`` with score 0.  Rows are judged one by one,
     repeated ones too; no other column is read.  ``keep`` may hold any column
-    but ``lang_pred`` and ``score``.
+    but ``lang_pred``, ``score`` and ``sure``.
     """
     keep = ["doc_id"] if keep is None else keep
     columns = list(dict.fromkeys([*keep, "text"]))
+    names = ["lang_pred", "score", *["sure"] * sure]
     rows, n, at_text = text_batches(documents).select(*columns), len(keep), columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,15 +251,16 @@ def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None)
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
                 words = [words_of((x.as_py() or "").lower()) for x in part.column(at_text)]
-                found, score = [UNKNOWN] * len(words), np.zeros(len(words))
+                found, score, clear = [UNKNOWN] * len(words), np.zeros(len(words)), np.zeros(len(words))
                 some = [k for k, w in enumerate(words) if w] if model.languages else []
                 if some:
                     mean = model.label([words[k] for k in some])
-                    best = mean.argmax(1)
+                    clear[some] = np.clip(mean[:, -1], 0, 1)
+                    best = mean[:, :-1].argmax(1)
                     score[some] = np.clip(mean[np.arange(len(some)), best], 0, 1)
                     for k, y in zip(some, best, strict=True):
                         found[k] = model.languages[y]
-                yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(found, pa.string()), pa.array(score, pa.float64())], [*part.schema.names[:n], "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(found, pa.string()), pa.array(score, pa.float64()), *[pa.array(clear, pa.float64())] * sure], [*part.schema.names[:n], *names])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:n])
-    return rows.mapInArrow(run, f"{fields}lang_pred string, score double")
+    return rows.mapInArrow(run, f"{fields}lang_pred string, score double" + ", sure double" * sure)

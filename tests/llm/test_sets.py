@@ -231,6 +231,16 @@ def test_pipeline_stages_against_brute_force(spark, sf, documents):
     assert last.count() == fourth.count() and last.where(~F.col("round_trip")).isEmpty()
 
 
+def test_pipeline_keeps_texts_in_three_languages(spark, sf):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plain = docs.where("length(text) > 900 AND text NOT LIKE '%!!%' AND text NOT LIKE '%|%' AND text NOT LIKE '%$%'").orderBy("doc_id").collect()
+    part = {r["lang"]: " ".join(r["text"].split()[:80]) for r in plain}
+    assert len(part) >= 3
+    mixed = [(10**6, " ".join(part[x] for x in sorted(part)[:3]), "en", "s", 0), (10**6 + 1, "123 456", "en", "s", 0)]
+    out = corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(mixed, docs.schema)), sf)
+    assert [r["doc_id"] for r in out.where("doc_id >= 1000000").collect()] == [10**6]
+
+
 def test_pipeline_runs_as_a_whole_and_on_odd_rows(spark, sf, odd):
     ids = [r["doc_id"] for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()]
     assert len(ids) == len(set(ids)) > 100
