@@ -4,7 +4,9 @@ Every line is parsed to a fixed depth: first by its number of tokens, then by
 its leading tokens, tokens with a digit in them being variable fields.  Within
 such a leaf the line seen in most places is the template; lines that agree
 with it in enough positions are instances of it, and the positions where they
-differ are its variable fields.  A template that recurs across documents is
+differ are its variable fields.  A leaf may hold further templates: of the
+other lines, tokens that few places have in their position are variable, and
+lines that are equal without them are instances of one.  A template that recurs across documents is
 boilerplate, and its lines are dropped from all of them.
 
 Copies of a document are no evidence that its lines are boilerplate (they are
@@ -31,8 +33,9 @@ from panelforge.llm.common import sized, written
 
 #: Leading tokens that the tree branches on.
 DEPTH = 3
-#: Lines of fewer tokens are never dropped.
+#: Lines of fewer tokens are never dropped; in scripts without spaces every character counts as one.
 MIN_TOKENS = 3
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 MIN_FAMILIES = 6
 #: Share of templates of its own beyond which a group of copies is evidence.
 OWN = 1 / 7
@@ -54,6 +57,11 @@ def _tokens(template: Column) -> Column:
     return F.length(template) - F.length(F.replace(template, F.lit(" "))) + 1
 
 
+def _enough(template: Column, n: Column) -> Column:
+    """Whether a line with ``n`` tokens is long enough to be dropped."""
+    return (n >= MIN_TOKENS) | (F.regexp_count(template, F.lit(_UNSPACED)) >= MIN_TOKENS)
+
+
 def _leaf(template: Column, n: Column) -> Column:
     return F.xxhash64(n, F.substring_index(template, " ", DEPTH))
 
@@ -65,14 +73,14 @@ def _let(value: Column, use) -> Column:
 
 def _hash(line: Column) -> Column:
     """The hash of a line's template; null for a short line."""
-    return _let(_template(line), lambda x: F.when(_tokens(x) >= MIN_TOKENS, F.xxhash64(x)))
+    return _let(_template(line), lambda x: F.when(_enough(x, _tokens(x)), F.xxhash64(x)))
 
 
 def _parsed(text: Column, shown: bool) -> Column:
     """A text's distinct templates as structs of ``leaf``, ``t`` and, if they are to be shown, ``x``, the template itself."""
 
     def node(line: Column) -> Column:
-        return _let(_template(line), lambda x: _let(_tokens(x), lambda n: F.when(n >= MIN_TOKENS, F.struct(_leaf(x, n).alias("leaf"), F.xxhash64(x).alias("t"), *[x.alias("x")] * shown))))
+        return _let(_template(line), lambda x: _let(_tokens(x), lambda n: F.when(_enough(x, n), F.struct(_leaf(x, n).alias("leaf"), F.xxhash64(x).alias("t"), *[x.alias("x")] * shown))))
 
     return F.array_distinct(F.filter(F.transform(F.split(text, "\n"), node), lambda x: x.isNotNull()))
 
@@ -103,13 +111,24 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     shapes = written(seen.drop("doc_id").join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
     top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
-    tree = shapes.join(top, "leaf").select("leaf", "t", "families", F.when(agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH), F.col("of")).otherwise(F.col("t")).alias("template"))
+    first = agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH)
+    tree = written(shapes.join(top, "leaf").select("leaf", "t", "families", "tokens", F.when(first, F.col("of")).alias("template")), "line-tree")
+    further = _further(tree.where(F.col("template").isNull()))
+    tree = tree.join(further, ["leaf", "t"], "left").select("leaf", "t", "families", F.coalesce("template", "other", "t").alias("template"))
     merged = tree.groupBy("leaf", "template").agg(F.sum("families").alias("families")).where(F.col("families") >= MIN_FAMILIES)
     general = tree.select("leaf", "t", "template").join(merged.select("leaf", "template"), ["leaf", "template"], "left_semi").select("t", "template")
     alone = seen.where(F.col("families") >= MIN_FAMILIES).select("t", F.col("t").alias("template"))
     return _evident(nodes, written(alone.unionByName(general).distinct(), "line-candidates"))
 
 
+def _further(lines: DataFrame) -> DataFrame:
+    """``other``, a template by the tokens that are frequent in their positions, for lines ``t`` of a ``leaf`` that have enough of these."""
+    cells = lines.select("leaf", "t", "families", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= DEPTH)
+    fixed = cells.groupBy("leaf", "at", "token").agg(F.sum("families").alias("seen")).where(F.col("seen") >= MIN_FAMILIES).drop("seen")
+    masks = cells.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "t", "n").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("mask"))
+    return masks.where(F.size("mask") >= SIMILAR * (F.col("n") - DEPTH)).select("leaf", "t", F.xxhash64("leaf", F.to_json("mask")).alias("other"))
+
+
 def _evident(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
     """The ``t`` of those ``candidates`` (``t``, ``template``) whose template is in enough groups that are evidence."""
     found = written(nodes.join(sized(candidates.select("t").distinct()), "t", "left_semi").groupBy("t", "group").agg(F.min("size").alias("size")), "line-found")

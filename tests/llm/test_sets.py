@@ -194,6 +194,20 @@ def test_shared_lines_go_whatever_copies_or_blocks_hold_them(spark):
     assert all(got[400 + k][1] == 0 for k in range(40))  # near copies are no evidence either
 
 
+def test_several_templates_of_a_leaf_and_lines_without_spaces(spark):
+    rng = random.Random(12)
+    name = lambda: "".join(rng.choice("bcdfgklmnp") for _ in range(7))
+    made = [
+        lambda: f"Posted in the section {name()} of our very large online archive",
+        lambda: f"Posted in the morning by {name()} who also wrote many others",
+        lambda: "Posted in the " + " ".join(name() for _ in range(8)),
+        lambda: "版権所有禁止転載",
+    ]
+    docs = [(k, "\n".join([prose(rng, 9), prose(rng, 9), made[k % 4](), "中"])) for k in range(80)]
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {k: int(k % 4 != 2) for k, _ in docs}
+
+
 def test_line_dedup_runs_no_python(spark, documents):
     plan = lines.dedup(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
