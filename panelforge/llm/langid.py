@@ -38,7 +38,8 @@ BLOCK = 64
 CACHE_WORDS = 200_000
 UNKNOWN = "und"
 
-words_of = re.compile(r"[^\W\d_]+").findall
+#: Runs of letters; a longer run, as in scripts without spaces, is cut into pieces that are words of the chain.
+words_of = re.compile(r"[^\W\d_]{1,40}").findall
 
 
 class _Buckets(dict):
@@ -56,7 +57,7 @@ _bucket = _Buckets().__getitem__
 
 def features(word: str, lexicon: frozenset[str]) -> list[int]:
     """Hashed prefixes, suffixes and n-grams of a lower-case word, and the word itself if it is in the lexicon."""
-    w = f"^{word[:40]}$"
+    w = f"^{word}$"
     parts = [w[k : k + n] for n in (2, 3) for k in range(len(w) - n + 1)]
     parts += [f"<{w[1 : 1 + n]}" for n in (1, 2, 3)] + [f">{w[-1 - n : -1]}" for n in (1, 2, 3)]
     if word in lexicon:

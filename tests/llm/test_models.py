@@ -159,6 +159,13 @@ def test_code_switched_words_get_their_own_language(spark, many):
     assert names[:55].count("en") > 50 and names[65:115].count("de") > 45 and names[125:].count("en") > 50
 
 
+def test_all_letters_of_a_long_run_count(spark):
+    assert langid.words_of("a" * 95 + " bc") == ["a" * 40, "a" * 40, "a" * 15, "bc"]
+    model = langid.Chain.fit([("x", ["aba", "abab"] * 30), ("y", ["cdc", "dcdc"] * 30)])
+    frame = spark.createDataFrame([(1, "ab" * 20 + "cd" * 200)], "doc_id long, text string")
+    assert langid.identify(frame, model).first()["lang_pred"] == "y"
+
+
 def test_language_odd_cases(spark, odd):
     model = langid.fit(odd)
     rows = langid.identify(odd, model).collect()
