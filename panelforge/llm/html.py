@@ -32,7 +32,8 @@ from panelforge.llm.common import text_batches
 PAGES = 128
 PATH_BUCKETS, WORD_BUCKETS, WIDTH, HIDDEN, NUMBERS = 2048, 512, 24, 16, 8
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+#: In a tag only a quote after = opens a string.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+\"[^\"]*+(?:\"|\Z)|=\s*+'[^']*+(?:'|\Z)|[^>])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")

@@ -183,6 +183,13 @@ def test_blocks():
     assert html.blocks(None) == html.blocks("") == html.blocks("<p> &nbsp; </p>") == [] and html.blocks("just text")[0][2] == "just text"
 
 
+def test_stray_quotes_open_no_string():
+    texts = lambda page: [b[2] for b in html.blocks(page)]
+    assert texts('<p title="5" tall">Hello.</p><p>Second.</p>') == ["Hello.", "Second."]
+    assert texts("<a href=/x title=Bob's>link</a><p>Main text.</p>") == ["link", "Main text."]
+    assert texts("<p title = 'a > b' class=\"c>d\">Text.</p><p \">End.</p>") == ["Text.", "End."]
+
+
 def test_gradients_are_differences():
     rng, net = np.random.default_rng(0), html.Labeller()
     pages = [html.make_page(rng) for _ in range(2)]
