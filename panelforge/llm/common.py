@@ -9,11 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that a Python operator hands back to Spark at a time, so that long texts never pile up in one Arrow batch.
+#: Rows that a Python operator hands back to Spark at a time; those it gets come in batches that Spark bounds by their bytes.
 OUT_ROWS = 128
-#: Rows that Spark hands to a Python operator at a time.
-TEXT_ROWS = 1024
-
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -22,28 +19,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or in a local test a fresh temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors see: ``spark.checkpoint.dir``; where it is unset and the master is local, a fresh temporary one.
+
+    A cluster without that setting is refused, as its executors share no local folder.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    made = tempfile.mkdtemp(prefix="panelforge-")
-    spark.sparkContext.setCheckpointDir(made)
-    return spark.sparkContext.getCheckpointDir() or made
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelforge-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table into the shared folder and read it back: lineage ends here and a lost executor costs no rework.
-
-    The table is removed when the driver process ends.
-    """
-    spark = df.sparkSession
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which is removed when the driver process ends."""
     path = f"{shared_dir(spark)}/panelforge/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+class Scratch:
+    """Intermediate tables of one job: lineage ends at each, so a lost executor costs no rework.
+
+    ``clear`` removes what the job is done with; what its result reads stays
+    until the driver process ends.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.path = spark, fresh_path(spark, name)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as the table ``name`` and read it back."""
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def clear(self, *names: str) -> None:
+        for name in names:
+            _remove(self.spark, f"{self.path}/{name}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A single intermediate table that a result goes on to read."""
+    return Scratch(df.sparkSession, name).write(df, "table")
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -55,19 +73,16 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def text_batches(df: DataFrame) -> DataFrame:
-    """The same table; its session hands Python ``TEXT_ROWS`` rows at a time if nothing else was set, as long texts make Spark's usual batch large."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(name) == "10000":
-        conf.set(name, str(TEXT_ROWS))
-    return df
-
-
 def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     """A written table of short keys, to be broadcast if it has at most so many rows, and joined by a shuffle if more."""
     return F.broadcast(df) if df.count() <= most else df
 
 
+def without(keep: list[str], *results: str) -> list[str]:
+    """``keep`` without the columns that are named like results, which take their place."""
+    return [c for c in keep if c.lower() not in results]
+
+
 def held_out(key: Column) -> Column:
     """True for the rows that no classifier learns from; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
