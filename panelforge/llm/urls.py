@@ -11,7 +11,9 @@ longest decides.
 A partition needs no other partition: a url's verdict depends on rules only,
 so a host with a third of all urls is spread over as many tasks as it has
 input splits.  Rules travel to the tasks in blocks of at most ``RULE_BLOCK``;
-more rules make further sweeps, each of which improves on what was found.
+more rules make further sweeps, each of which improves on what was found.  The
+rank of the best rule so far (its length, then its host's) is carried along,
+so the block size has no part in a verdict.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.llm.common import without
+
 #: Most rules that are sent to the tasks at once.
 RULE_BLOCK = 200_000
 
@@ -56,6 +60,7 @@ class Sweep:
         self.rules, self.next, self.stack = rules, 0, []
 
     def match(self, key: str, path: str) -> tuple[str, str, int] | None:
+        """The rule that decides, its verdict and its rank: by length, then by length of the host; only one rule that fits has it."""
         while self.stack and not key.startswith(self.stack[-1][0]):
             self.stack.pop()
         while self.next < len(self.rules) and self.rules[self.next][0] <= key:
@@ -66,10 +71,10 @@ class Sweep:
         best = None
         for _, host, prefix, verdict in self.stack:
             if path.startswith(prefix):
-                rank = (len(host) + len(prefix), len(host))
-                if best is None or rank > best[0]:
-                    best = (rank, host + prefix, verdict)
-        return best and (best[1], best[2], best[0][0])
+                rank = (len(host) + len(prefix) << 32) + len(host)
+                if best is None or rank > best[2]:
+                    best = (host + prefix, verdict, rank)
+        return best
 
 
 def judge(df: DataFrame, rules: Iterable[tuple[str, str, str]], url: str = "url", keep: list[str] | None = None, default: str = "allow") -> DataFrame:
@@ -81,11 +86,13 @@ def judge(df: DataFrame, rules: Iterable[tuple[str, str, str]], url: str = "url"
     long ones that with the longer host; of equal ones the first).  Without a
     rule, ``rule`` is null and ``verdict`` is ``default``.  A null url and one
     without ``://`` have an empty host and path and fit no rule.  Rows are
-    kept as they are, repeated ones too; other columns of ``df`` are ignored.
+    kept as they are, repeated ones too, of any length; other columns of ``df``
+    are ignored.  A column of ``keep`` that is named like a result gives way
+    to it.
     """
-    keep = ["page_id"] if keep is None else keep
+    keep = without(["page_id"] if keep is None else keep, "host", "path", "rule", "verdict")
     own = df.select(*keep, host_of(df[url]).alias("host"), path_of(df[url]).alias("path"))
-    own = own.select(*keep, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"), F.lit(-1).alias("__long"), host_key(F.col("host")).alias("__key"))
+    own = own.select(*keep, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"), F.lit(-1).cast("long").alias("__rank"), host_key(F.col("host")).alias("__key"))
     unique = {}
     for host, path, verdict in rules:
         unique.setdefault((host, path), verdict)
@@ -93,19 +100,19 @@ def judge(df: DataFrame, rules: Iterable[tuple[str, str, str]], url: str = "url"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
     while block := list(islice(every, RULE_BLOCK)):
         own = own.sortWithinPartitions("__key").mapInArrow(_sweeper(block, len(keep)), fields)
-    return own.drop("__long", "__key")
+    return own.drop("__rank", "__key")
 
 
 def _sweeper(block: list[tuple[str, str, str, str]], n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sweep = Sweep(block)
         for batch in batches:
-            path, rule, verdict, long, key = (batch.column(n + k).to_pylist() for k in (1, 2, 3, 4, 5))
+            path, rule, verdict, rank, key = (batch.column(n + k).to_pylist() for k in (1, 2, 3, 4, 5))
             for k in range(len(key)):
                 found = sweep.match(key[k], path[k])
-                if found and found[2] > long[k]:
-                    rule[k], verdict[k], long[k] = found
-            out = [*batch.columns[: n + 2], pa.array(rule, pa.string()), pa.array(verdict, pa.string()), pa.array(long, pa.int32()), batch.column(n + 5)]
+                if found and found[2] > rank[k]:
+                    rule[k], verdict[k], rank[k] = found
+            out = [*batch.columns[: n + 2], pa.array(rule, pa.string()), pa.array(verdict, pa.string()), pa.array(rank, pa.int64()), batch.column(n + 5)]
             yield pa.RecordBatch.from_arrays(out, batch.schema.names)
 
     return run
