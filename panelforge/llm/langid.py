@@ -18,6 +18,7 @@ chained, and the result is the same as word by word.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,18 +29,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import OUT_ROWS, held_out, text_batches
+from panelforge.llm.common import OUT_ROWS, held_out, sized, without, written
 
-#: Most documents per language that the model is fitted to.
-SAMPLE = 200
+#: Most documents per language that the model is fitted to, and most of all languages together.
+SAMPLE, SAMPLE_ALL = 200, 20_000
 BUCKETS = 1 << 15
 BLOCK = 64
 #: Words whose scores a worker remembers.
 CACHE_WORDS = 200_000
 UNKNOWN = "und"
 
-#: Runs of letters; a longer run, as in scripts without spaces, is cut into pieces that are words of the chain.
-words_of = re.compile(r"[^\W\d_]{1,40}").findall
+#: Numerals that count as word characters in Python without being letters or digits, such as Roman or circled ones.
+_numerals = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]").sub
+_runs = re.compile(r"[^\W\d_]{1,40}").findall
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters (``\\p{L}``); a longer run, as in scripts without spaces, is cut into pieces that are words of the chain."""
+    return _runs(text if text.isascii() else _numerals(" ", text))
 
 
 class _Buckets(dict):
@@ -221,13 +228,13 @@ def _expected(emit: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return node.transpose(1, 0, 2), pair
 
 
-def fit(documents: DataFrame, sample: int = SAMPLE) -> Chain:
-    """Fit to at most ``sample`` documents per language, chosen by a hash of their key, none of them held out."""
+def fit(documents: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_ALL) -> Chain:
+    """Fit to at most ``sample`` documents per language and ``most`` in all, chosen by a hash of their key, none of them held out."""
     rows = documents.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = rows.withColumn("k", first).where(F.col("k") <= sample).select("doc_id", "lang")
+    chosen = rows.withColumn("k", first).where(F.col("k") <= sample).orderBy("k", "h", "lang").limit(most).select("doc_id", "lang")
     # one row a key, though the table may repeat it
-    texts = documents.select("doc_id", "lang", "text").join(F.broadcast(chosen.distinct()), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    texts = documents.select("doc_id", "lang", "text").join(sized(written(chosen.distinct(), "langid-sample")), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     return Chain.fit([(r["lang"], words_of(r["text"].lower())) for r in texts.orderBy("doc_id", "lang").collect()])
 
 
@@ -239,13 +246,13 @@ def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None,
 
     Texts that are null or have no letters, and all texts if the model knows
     no language, are ``und`` with score 0.  Rows are judged one by one,
-    repeated ones too; no other column is read.  ``keep`` may hold any column
-    but ``lang_pred``, ``score`` and ``sure``.
+    repeated ones too; no other column is read.  A column of ``keep`` that is
+    named like a result gives way to it.
     """
-    keep = ["doc_id"] if keep is None else keep
-    columns = list(dict.fromkeys([*keep, "text"]))
     names = ["lang_pred", "score", *["sure"] * sure]
-    rows, n, at_text = text_batches(documents).select(*columns), len(keep), columns.index("text")
+    keep = without(["doc_id"] if keep is None else keep, *names)
+    columns = list(dict.fromkeys([*keep, "text"]))
+    rows, n, at_text = documents.select(*columns), len(keep), columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
