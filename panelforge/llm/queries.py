@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import bpe, contamination, html, jaccard, langid, lines, quality, rules, secrets, urls
-from panelforge.llm.common import held_out, table
+from panelforge.llm.common import fresh_path, held_out, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -40,7 +40,7 @@ def _is(kind: str) -> Callable[[Column], Column]:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    found = secrets.Ledger(spark, fresh_path(spark, "secret-ledger")).scan(table(spark, sf_dir, "documents"))
     n = [F.size(F.filter("spans", _is(kind))).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
     return found.select("doc_id", *n, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))

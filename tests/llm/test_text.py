@@ -107,12 +107,80 @@ def test_secrets_are_scanned_once_per_blob(spark):
     found, ledger = secrets.scan(first)
     spans = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in found.collect()}
     assert spans == {1: [("assign", 3, 27)], 2: [("assign", 3, 27)], 3: [("access", 0, 18), ("hex", 19, 36)], 4: [], 5: [], 6: [], 7: [("pem", 0, 31)]}
-    assert ledger.count() == 4
+    assert ledger.count() == 6  # every blob is entered, also those without findings
     calls = first.where("doc_id < 4").unionByName(spark.createDataFrame([(8, "secret=zzzzzzzzzzzzzz")], first.schema))
     again, after = secrets.scan(calls, ledger)
-    assert after.count() == 5 and {r["doc_id"]: len(r["spans"]) for r in again.collect()} == {1: 1, 2: 1, 3: 2, 8: 1}
+    assert after.count() == 7 and {r["doc_id"]: len(r["spans"]) for r in again.collect()} == {1: 1, 2: 1, 3: 2, 8: 1}
     other = ledger.withColumn("rule_version", F.lit("0"))
-    assert secrets.scan(first, other)[1].count() == 8
+    assert secrets.scan(first, other)[1].count() == 12
+    # what is in the ledger is not scanned again, nor even matched
+    assert secrets.unseen(calls, ledger).count() == 1 and secrets.unseen(first, ledger).count() == 0 and secrets.unseen(first, other).count() == 6
+
+
+def test_ledger_table_grows_by_what_is_new(spark, documents, tmp_path):
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    half = documents.where("doc_id % 2 = 0")
+    few = {r["doc_id"]: r["spans"] for r in ledger.scan(half).collect()}
+    n = ledger.read().count()
+    assert n == half.select("text").distinct().count()
+    every = {r["doc_id"]: r["spans"] for r in ledger.scan(documents).collect()}
+    assert few.items() <= every.items() and ledger.read().count() == documents.select("text").distinct().count() > n
+    assert every == {r["doc_id"]: r["spans"] for r in secrets.scan(documents)[0].collect()}
+    assert secrets.unseen(documents, ledger.read()).count() == 0
+
+
+def brute_spans(text):
+    """The base spans, read off the contract character by character."""
+    low = "".join(c.lower() if c.isascii() else c for c in text)
+    found, n = [], len(text)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    value = set(letters + "0123456789+/_.=-")
+
+    def run(at, of):
+        while at < n and text[at] in of:
+            at += 1
+        return at
+
+    def assign(at):
+        for word in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            if low.startswith(word, at):
+                k = at + len(word)
+                for quote in ([1, 0] if k < n and text[k] in "\"'" else [0]):
+                    j = run(k + quote, " ")
+                    if j < n and text[j] in ":=":
+                        j = run(j + 1, " ")
+                        for open_ in ([1, 0] if j < n and text[j] in "\"'" else [0]):
+                            if (stop := run(j + open_, value)) > j + open_:
+                                return stop, stop - j - open_
+        return None
+
+    def access(at):
+        stop = run(at + 4, set(letters[:26] + "0123456789")) if text.startswith("AKIA", at) else at
+        return (stop, stop - at) if stop > at + 4 else None
+
+    def hexes(at):
+        stop = run(at, set("0123456789abcdef"))
+        return (stop, stop - at) if stop > at else None
+
+    for rank, (kind, match, least) in enumerate((("assign", assign, 12), ("access", access, 18), ("hex", hexes, 16))):
+        at = 0
+        while at < n:
+            m = match(at)
+            if m and m[1] >= least:
+                found.append((at, rank, kind, m[0]))
+            at = m[0] if m else at + 1
+    return [(kind, start, stop) for start, _, kind, stop in sorted(found)]
+
+
+def test_base_spans_are_what_brute_force_gives(spark, documents):
+    rng = random.Random(6)
+    parts = ["password", "PassWd", "secret", "toKen", "api_key", "APIKEY", "\"", "'", " ", ":", "=", "AKIA", "0123456789abcdef", "deadbeef" * 2, "Qq+/_.=-", "ABCDEFGHIJKLMNOP", "é🙂", "\n", "\u017fecret", "to\u212aen"]
+    made = [(10**6 + k, "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))) for k in range(1500)]
+    frame = documents.select("doc_id", "text").unionByName(spark.createDataFrame(made, "doc_id long, text string"))
+    rows = secrets.scan(frame, keep=["doc_id", "text"])[0].collect()
+    assert len(rows) == frame.count() and sum(len(r["spans"]) for r in rows) > 500
+    for r in rows:
+        assert [tuple(x) for x in r["spans"] if x["kind"] != "pem"] == brute_spans(r["text"]), r["text"]
 
 
 def test_secret_prefilter_passes_all_that_the_rules_find(documents):
@@ -122,8 +190,10 @@ def test_secret_prefilter_passes_all_that_the_rules_find(documents):
 
 def test_secrets_odd_cases(spark, odd):
     found, ledger = secrets.scan(odd)
-    assert found.count() == odd.count() and ledger.count() == 0
+    assert found.count() == odd.count() and ledger.where("size(spans) > 0").count() == 0 and ledger.count() == odd.select(F.coalesce("text", F.lit(""))).distinct().count()
     assert secrets.scan(odd.where("false"))[0].count() == 0
+    clash = odd.withColumns({"spans": F.lit(1), "blob": F.lit(2)})
+    assert secrets.scan(clash, keep=["doc_id", "spans", "blob"])[0].columns == ["doc_id", "blob", "spans"]
 
 
 def test_urls(spark):
@@ -156,6 +226,16 @@ def test_urls_against_brute_force_in_several_sweeps(spark, monkeypatch):
     frame = spark.createDataFrame(pages, "page_id long, url string").repartition(3)
     expected = {k: brute(u) for k, u in pages}
     assert {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(frame, rules).collect()} == expected
-    monkeypatch.setattr(urls, "RULE_BLOCK", 7)
-    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(frame, rules).collect()}
-    assert {k: v[1] if v[0] is None else len(v[0]) for k, v in got.items()} == {k: v[1] if v[0] is None else len(v[0]) for k, v in expected.items()}
+    for block in (9, 59):
+        monkeypatch.setattr(urls, "RULE_BLOCK", block)
+        assert {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(frame, rules).collect()} == expected
+
+
+def test_url_verdicts_do_not_depend_on_the_block_size(spark, monkeypatch):
+    rules = [("a.org", "/xx", "block"), ("b.a.org", "/", "allow")]
+    frame = spark.createDataFrame([(1, "http://b.a.org/xx", "mine"), (2, "http://" + "c." * 20_000 + "a.org/" + "x" * 100_000, "mine")], "page_id long, url string, verdict string")
+    for block in (1, 10):
+        monkeypatch.setattr(urls, "RULE_BLOCK", block)
+        for rows in (rules, rules[::-1]):
+            got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(frame, rows, keep=["page_id", "verdict"]).collect()}
+            assert got == {1: ("b.a.org/", "allow"), 2: ("a.org/xx", "block")}
