@@ -2,45 +2,89 @@
 
 Every whole text is counted with built-in functions in one narrow stage.  The
 documents that pass the fixed limits get a vector of transformed statistics,
-and each (language, source) group gets a minimum-covariance-determinant
-estimate of these: a start from medians and median absolute deviations, then
-concentration steps, each of which takes mean and covariance over the share
-``CORE`` of the group that is nearest under the last estimate.  A document is
-rejected if its squared Mahalanobis distance is above ``CUTOFF``.
+and each (language, source) group, each language and the whole table get a
+minimum-covariance-determinant estimate of these:
+
+1.  *Starts.*  Medians and median absolute deviations give the centre and the
+    scales; the correlations are none, those of the hyperbolic tangents of the
+    standardised statistics, or those of their spatial signs.
+2.  *Concentration steps.*  Each takes mean and covariance over the share
+    ``CORE`` of the group that is nearest under the last estimate, until the
+    determinant stops falling.  The covariance is regularised by a fixed
+    diagonal, under which the steps still can't raise the determinant.
+3.  Of the starts the one with the least determinant is the estimate.
+4.  *Shrinkage.*  Centre and covariance of a group of ``n`` documents are
+    ``n / (n + TRUST)`` its own and for the rest its language's, which are
+    shrunk towards the whole table's alike; to the latter's covariance
+    ``WIDE**2 * (FEW / (FEW + n))**2`` is added in all directions.  So a few
+    documents are judged mildly and by their language, and no size of a group
+    changes the rule.
+
+A document is rejected if its squared Mahalanobis distance is above
+``CUTOFF``, a quantile of the chi-square distribution.
 
 All of it is DataFrame work.  A group is never gathered: means and covariances
 are partial sums, and quantiles come from counts of narrow bins, so a source
 with a third of all rows adds a few hundred rows to a shuffle like any other.
 The table of counts is written once (a few numbers a document), as is each
-step's table of estimates (a row a group), which Spark joins by broadcast only
-while its size on disk allows.
+step's table of estimates (a row a group and start), which is broadcast if it
+was counted to be small.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from math import erfc, exp, gamma, sqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import written
+from panelforge.llm.common import Scratch, written
 
 #: The fixed limits.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Share of a group that an estimate rests on, and the factor that makes its covariance that of a normal sample (5 dimensions).
-CORE, CONSISTENCY = 0.75, 1.41
-STEPS = 3
-#: Least number of documents for an estimate of its own; smaller groups are judged by that of their whole language, then of all documents, and under LEAST none is rejected.
-GROUP, LEAST = 200, 30
-#: Greatest squared distance that is kept: normal data of 5 dimensions pass it once in a million (chi-square).
-CUTOFF = 36.0
-#: Statistic and the standard deviation that is added to its own: several have no spread at all in most documents.  Each is small enough for its statistic to pass ``CUTOFF`` alone.
+#: Statistic and the standard deviation that regularises it: several have no spread at all in most documents.  Each is small enough for its statistic to pass ``CUTOFF`` alone.
 FEATURES = {"f_length": 0.05, "f_symbols": 0.35, "f_lines": 0.6, "f_repeats": 0.5, "f_capitals": 0.25}
-
-_SPACE = r"[\x20\x09-\x0D]+"
 _NAMES = list(FEATURES)
 _P = len(_NAMES)
 _CELLS = [(i, j) for i in range(_P) for j in range(i + 1)]
 
 
+def above(x: float, dimensions: int) -> float:
+    """The share of a chi-square distribution that is above ``x``."""
+    share = erfc(sqrt(x / 2)) if dimensions % 2 else exp(-x / 2)
+    for k in range(2 - dimensions % 2, dimensions, 2):
+        share += (x / 2) ** (k / 2) * exp(-x / 2) / gamma(k / 2 + 1)
+    return share
+
+
+def quantile(tail: float, dimensions: int) -> float:
+    """What the share ``tail`` of a chi-square distribution is above, by bisection."""
+    low, high = 0.0, 1000.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if above(middle, dimensions) > tail else (low, middle)
+    return (low + high) / 2
+
+
+#: Share of a group that an estimate rests on, and the factor that makes its covariance that of a normal sample.
+CORE = 0.5
+CONSISTENCY = CORE / (1 - above(quantile(1 - CORE, _P), _P + 2))
+#: Share of a normal sample that is rejected, and the greatest squared distance that is kept.
+TAIL = 1e-6
+CUTOFF = quantile(TAIL, _P)
+#: How much of an estimate is a group's own, and how wide that of a small table is.
+TRUST, FEW, WIDE = 200, 20, 2.0
+#: A step that lowers the logarithm of the determinant by less is the last.
+FALL = 1e-6
+#: Share of a start's correlations that is used, which keeps its matrix invertible.
+DAMP = 0.95
+#: Widths of the bins of statistics and of log(1 + squared distance), and most groups whose estimates are broadcast.
+BIN, BIN_DISTANCE = 1 / 64, 1 / 256
+GROUPS = 20_000
+
+_SPACE = r"[\x20\x09-\x0D]+"
+
 def _repeats(words: Column) -> Column:
     """How many of the words stand in a 3-word window that is found twice or more."""
 
@@ -92,23 +136,49 @@ def _wide(rows: DataFrame, value: str, prefix: str) -> DataFrame:
     return rows.groupBy("key").agg(*[F.max(F.when(F.col("f") == i, F.col(value))).alias(f"{prefix}{i}") for i in range(_P)])
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians as centre; a diagonal factor from the median absolute deviations."""
-    middle = written(_wide(_quantile(_long(rows, [F.col(c) for c in _NAMES]), ["key", "f"], F.col("v"), 0.5, 1 / 64), "edge", "m"), "rules-median")
+def _joined(rows: DataFrame, table: DataFrame, on: list[str], small: bool) -> DataFrame:
+    return rows.join(F.broadcast(table) if small else table, on)
+
+
+_CENTRE = [f"m{i}" for i in range(_P)]
+_COVARIANCE = [f"c{i}_{j}" for i, j in _CELLS]
+
+
+def _starts(rows: DataFrame, small: bool, scratch: Scratch) -> DataFrame:
+    """``key``, ``start``, centre and covariance of each start."""
+    middle = scratch.write(_wide(_quantile(_long(rows, [F.col(c) for c in _NAMES]), ["key", "f"], F.col("v"), 0.5, BIN), "edge", "m"), "median")
     away = [F.abs(F.col(c) - F.col(f"m{i}")) for i, c in enumerate(_NAMES)]
-    spread = _wide(_quantile(_long(rows.join(middle, "key"), away), ["key", "f"], F.col("v"), 0.5, 1 / 64), "edge", "s")
-    cells = [(F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), 2) + FEATURES[_NAMES[i]] ** 2) if i == j else F.lit(0.0)).alias(f"l{i}_{j}") for i, j in _CELLS]
-    return middle.join(spread, "key").select("key", *[f"m{i}" for i in range(_P)], *cells)
+    spread = _wide(_quantile(_long(_joined(rows, middle, ["key"], small), away), ["key", "f"], F.col("v"), 0.5, BIN), "edge", "d")
+    scale = [F.sqrt(F.pow(1.4826 * F.col(f"d{i}"), 2) + FEATURES[c] ** 2).alias(f"s{i}") for i, c in enumerate(_NAMES)]
+    base = scratch.write(middle.join(spread, "key").select("key", *_CENTRE, *scale), "scale")
+    z = [(F.col(c) - F.col(f"m{i}")) / F.col(f"s{i}") for i, c in enumerate(_NAMES)]
+    z = _joined(rows, base, ["key"], small).select("key", *[x.alias(f"z{i}") for i, x in enumerate(z)])
+    norm = F.greatest(F.sqrt(reduce(Column.__add__, [F.pow(f"z{i}", 2) for i in range(_P)])), F.lit(1e-9))
+    alike = z.select("key", *[F.tanh(f"z{i}").alias(f"t{i}") for i in range(_P)], *[(F.col(f"z{i}") / norm).alias(f"u{i}") for i in range(_P)]).groupBy("key")
+    alike = alike.agg(*[F.covar_pop(f"t{i}", f"t{j}").alias(f"t{i}_{j}") for i, j in _CELLS], *[F.avg(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"u{i}_{j}") for i, j in _CELLS])
+
+    def covariance(kind: str | None, i: int, j: int) -> Column:
+        if i == j:
+            shared = F.lit(1.0)
+        elif kind is None:
+            shared = F.lit(0.0)
+        else:
+            both = F.sqrt(F.col(f"{kind}{i}_{i}") * F.col(f"{kind}{j}_{j}"))
+            shared = F.when(both > 0, DAMP * F.col(f"{kind}{i}_{j}") / both).otherwise(0.0)
+        return (shared * F.col(f"s{i}") * F.col(f"s{j}")).alias(f"c{i}_{j}")
+
+    every = [F.struct(F.lit(k).alias("start"), *[covariance(kind, i, j) for i, j in _CELLS]) for k, kind in enumerate((None, "t", "u"))]
+    return base.join(alike, "key").select("key", *_CENTRE, F.explode(F.array(*every)).alias("e")).select("key", "e.start", *_CENTRE, *[f"e.{c}" for c in _COVARIANCE])
 
 
 def _factor(rows: DataFrame) -> DataFrame:
-    """The Cholesky factor ``l`` of the covariance in ``c``, a column a cell."""
+    """Adds the Cholesky factor ``l`` of the covariance ``c``, a column a cell, and ``log_det``."""
     for i, j in _CELLS:
         left = F.col(f"c{i}_{j}")
         for k in range(j):
             left = left - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
         rows = rows.withColumn(f"l{i}_{j}", F.sqrt(left) if i == j else left / F.col(f"l{j}_{j}"))
-    return rows.select("key", *[f"m{i}" for i in range(_P)], *[f"l{i}_{j}" for i, j in _CELLS])
+    return rows.withColumn("log_det", 2 * reduce(Column.__add__, [F.log(f"l{i}_{i}") for i in range(_P)]))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -122,20 +192,56 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("distance", total).drop(*[f"z{i}" for i in range(_P)])
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Centre ``m`` and factor ``l`` of every ``key`` in ``rows``, which has the columns of ``FEATURES``."""
-    now = written(_start(rows), "rules-estimate")
-    for _ in range(STEPS):
-        near = _distance(rows.join(now, "key")).select("key", *_NAMES, F.log1p("distance").alias("d"))
-        edge = written(_quantile(near, ["key"], F.col("d"), CORE, 1 / 256), "rules-edge")
-        core = near.join(edge, "key").where("d <= edge")
-        sums = core.groupBy("key").agg(
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(_NAMES)],
-            *[F.covar_pop(_NAMES[i], _NAMES[j]).alias(f"v{i}_{j}") for i, j in _CELLS],
-        )
-        cells = [(CONSISTENCY * F.col(f"v{i}_{j}") + (FEATURES[_NAMES[i]] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i, j in _CELLS]
-        now = written(_factor(sums.select("key", *[f"m{i}" for i in range(_P)], *cells)), "rules-estimate")
-    return now
+def _concentrated(rows: DataFrame, now: DataFrame, small: bool) -> DataFrame:
+    """One step: ``key``, ``start``, centre, covariance, factor and ``log_det`` of the core that is nearest under ``now``."""
+    near = _distance(_joined(rows, now, ["key"], small)).select("key", "start", *_NAMES, F.log1p("distance").alias("d"))
+    core = _joined(near, _quantile(near, ["key", "start"], F.col("d"), CORE, BIN_DISTANCE), ["key", "start"], small).where("d <= edge")
+    sums = core.groupBy("key", "start").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(_NAMES)], *[F.covar_pop(_NAMES[i], _NAMES[j]).alias(f"v{i}_{j}") for i, j in _CELLS])
+    cells = [(CONSISTENCY * F.col(f"v{i}_{j}") + (FEATURES[_NAMES[i]] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i, j in _CELLS]
+    return _factor(sums.select("key", "start", *_CENTRE, *cells))
+
+
+def estimates(rows: DataFrame, small: bool = True) -> DataFrame:
+    """Centre ``m`` and covariance ``c`` of every ``key`` in ``rows``, which has the columns of ``FEATURES``.
+
+    ``small`` says that the keys are few enough to be broadcast.  The loop
+    ends: each step lowers the logarithm of a determinant by ``FALL`` or
+    more, and the regularising diagonal bounds it from below.
+    """
+    scratch, step = Scratch(rows.sparkSession, "rules-mcd"), 0
+    now = scratch.write(_factor(_starts(rows, small, scratch)).withColumn("log_det", F.lit(float("inf"))), "step0")
+    settled = []
+    while not now.isEmpty():
+        step += 1
+        new = scratch.write(_concentrated(rows, now, small), f"step{step}")
+        both = now.select("key", "start", F.col("log_det").alias("before")).join(new, ["key", "start"])
+        fell = F.col("before") - F.col("log_det") >= FALL
+        # a start that fell goes on from its new estimate; the others keep the one before
+        settled.append(now.join(both.where(~fell).select("key", "start"), ["key", "start"], "left_semi"))
+        now = scratch.write(both.where(fell).drop("before"), f"fell{step}")
+    columns = ["key", *_CENTRE, *_COVARIANCE]
+    every = reduce(DataFrame.unionByName, [x.select("start", "log_det", *columns) for x in settled]) if settled else now
+    best = every.groupBy("key").agg(F.min_by(F.struct(*columns[1:]), F.struct("log_det", "start")).alias("b")).select("key", "b.*")
+    out = written(best, "rules-estimates")
+    scratch.clear("")
+    return out
+
+
+def _shrunk(groups: DataFrame, known: DataFrame) -> DataFrame:
+    """``lang``, ``source`` and the estimate by which a group is judged; ``groups`` has the keys and sizes of its three levels."""
+    every = groups
+    for level in ("own", "of_lang", "of_all"):
+        every = every.join(known.select(F.col("key").alias(level), F.struct(*_CENTRE, *_COVARIANCE).alias(f"e_{level}")), level)
+
+    def value(c: str) -> Column:
+        wide = WIDE**2 * F.pow(FEW / (FEW + F.col("n_all")), 2) if c in [f"c{i}_{i}" for i in range(_P)] else F.lit(0.0)
+        out = F.col(f"e_of_all.{c}") + wide
+        for level, n in (("of_lang", "n_lang"), ("own", "n")):
+            w = F.col(n) / (F.col(n) + TRUST)
+            out = w * F.col(f"e_{level}.{c}") + (1 - w) * out
+        return out.alias(c)
+
+    return _factor(every.select("lang", "source", *[value(c) for c in [*_CENTRE, *_COVARIANCE]])).drop("log_det", *_COVARIANCE)
 
 
 def judge(documents: DataFrame) -> DataFrame:
@@ -156,15 +262,15 @@ def judge(documents: DataFrame) -> DataFrame:
             _percent("n_dup_lines", "n_lines").alias("f_lines"), _percent("n_repeat_words", "n_words").alias("f_repeats"), _percent("n_capitals", "word_chars").alias("f_capitals"),
         ), "rules-counts",
     )
-    sizes = rows.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n")).withColumn("of_lang", F.sum("n").over(Window.partitionBy("lang")))
-    own, by_lang, by_all = F.to_json(F.array("lang", "source")), F.to_json(F.array("lang")), F.lit("[]")
-    key = F.when(F.col("n") >= GROUP, own).when(F.col("of_lang") >= GROUP, by_lang).otherwise(by_all)
-    keys = written(sizes.select("lang", "source", key.alias("key")), "rules-keys")
-    # a shared estimate rests on all documents of the language, or of the table, not on the small groups alone
-    used = written(keys.select("key").distinct(), "rules-used")
-    passed = rows.where(~F.col("base_failed")).withColumn("key", F.explode(F.array(own, by_lang, by_all))).join(F.broadcast(used), "key", "left_semi")
-    enough = passed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST).select("key")
-    known = estimates(passed.select("key", *_NAMES)).join(enough, "key")
-    out = _distance(rows.join(keys, ["lang", "source"], "left").join(known, "key", "left"))
+    passed = rows.where(~F.col("base_failed"))
+    levels = {"own": F.to_json(F.array("lang", "source")), "of_lang": F.to_json(F.array("lang")), "of_all": F.lit("[]")}
+    groups = passed.groupBy("lang", "source").agg(F.count("*").alias("n")).select("*", *[x.alias(name) for name, x in levels.items()])
+    groups = groups.withColumn("n_lang", F.sum("n").over(Window.partitionBy("lang")))
+    total = groups.groupBy("of_all").agg(F.sum("n").alias("n_all"))
+    groups = written(groups.join(total, "of_all"), "rules-groups")
+    small = groups.count() <= GROUPS
+    known = estimates(passed.select(F.explode(F.array(*levels.values())).alias("key"), *_NAMES), small)
+    final = written(_shrunk(groups, known), "rules-final")
+    out = _distance(rows.join(F.broadcast(final) if small else final, ["lang", "source"], "left"))
     distance = F.when(~F.col("base_failed"), F.col("distance"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(distance <= CUTOFF, F.lit(True))).alias("kept"), distance.alias("distance"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (distance <= CUTOFF)).alias("kept"), distance.alias("distance"))

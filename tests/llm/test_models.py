@@ -106,20 +106,90 @@ def test_each_statistic_rejects_and_small_groups_use_the_whole_language(spark):
     assert not any(r["kept"] for k, r in out.items() if 1000 <= k < 2100)
 
 
-def test_estimates_against_numpy(spark):
-    """One group: the last step's centre and distances follow from the core that the step before chose."""
-    rng = np.random.default_rng(2)
-    x = rng.normal(0, 1, (500, 5)) @ rng.normal(0, 1, (5, 5))
-    x[:60] += 30
-    frame = spark.createDataFrame([("k", *map(float, r)) for r in x], "key string, " + ", ".join(f"{n} double" for n in rules.FEATURES))
-    row = rules.estimates(frame).first()
-    centre = np.array([row[f"m{i}"] for i in range(5)])
-    factor = np.array([[row[f"l{i}_{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
-    d = (np.linalg.solve(factor, (x - centre).T) ** 2).sum(0)
-    core = x[np.argsort(d)[:375]]
-    assert np.allclose(core.mean(0), centre, atol=0.15) and d[:60].min() > 50 * np.median(d)
-    floor = np.diag([v**2 for v in rules.FEATURES.values()])
-    assert np.allclose(factor @ factor.T, rules.CONSISTENCY * np.cov(core.T, bias=True) + floor, rtol=0.25, atol=0.3)
+def edge(v, share, width):
+    bins = np.sort(np.floor(v / width))
+    return (bins[int(np.ceil(share * len(v))) - 1] + 1) * width
+
+
+def brute_estimate(x):
+    """Centre and covariance of least determinant over the three starts, step by step as the module's text says."""
+    floor = np.array(list(rules.FEATURES.values()))
+    m = np.array([edge(v, 0.5, rules.BIN) for v in x.T])
+    s = np.sqrt((1.4826 * np.array([edge(np.abs(v - c), 0.5, rules.BIN) for v, c in zip(x.T, m, strict=True)])) ** 2 + floor**2)
+    z = (x - m) / s
+    t = np.tanh(z) - np.tanh(z).mean(0)
+    u = z / np.maximum(np.sqrt((z**2).sum(1, keepdims=True)), 1e-9)
+    best = None
+    for both in (np.eye(5), t.T @ t / len(x), u.T @ u / len(x)):
+        size = np.sqrt(np.outer(np.diag(both), np.diag(both)))
+        shared = np.where(size > 0, rules.DAMP * both / np.where(size > 0, size, 1), 0)
+        np.fill_diagonal(shared, 1)
+        now = (np.inf, m, shared * np.outer(s, s))
+        while True:
+            away = x - now[1]
+            d = np.log1p(np.einsum("ni,ij,nj->n", away, np.linalg.inv(now[2]), away))
+            core = x[d <= edge(d, rules.CORE, rules.BIN_DISTANCE)]
+            c = rules.CONSISTENCY * np.cov(core.T, bias=True) + np.diag(floor**2)
+            new = (np.linalg.slogdet(c)[1], core.mean(0), c)
+            if now[0] - new[0] < rules.FALL:
+                break
+            now = new
+        best = now if best is None or now[0] < best[0] else best
+    return best[1:]
+
+
+def brute_kept(docs):
+    rows, x = [], []
+    for k, text, lang, source in docs:
+        n, chars, symbols, dup, rep = brute_counts(text)
+        ls = [y for y in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", y)]
+        if n >= 50 and 100 * rep <= 50 * n:
+            share = lambda a, b: np.log1p(100 * a / max(b, 1))
+            x.append([np.log(chars / max(n, 1) + 0.01), share(symbols, n), share(dup, len(ls)), share(rep, n), share(sum(c.isupper() for c in text), chars)])
+            rows.append((k, lang or "", source or ""))
+    x, out = np.array(x), {k: False for k, *_ in docs}
+
+    def of(lang=None, source=None):
+        at = np.array([(lang is None or r[1] == lang) and (source is None or r[2] == source) for r in rows])
+        return at.sum(), *brute_estimate(x[at])
+
+    for lang, source in {r[1:] for r in rows}:
+        n, m, c = of()
+        c = c + rules.WIDE**2 * (rules.FEW / (rules.FEW + n)) ** 2 * np.eye(5)
+        for size, m1, c1 in (of(lang), of(lang, source)):
+            w = size / (size + rules.TRUST)
+            m, c = w * m1 + (1 - w) * m, w * c1 + (1 - w) * c
+        for r, v in zip(rows, x, strict=True):
+            if r[1:] == (lang, source):
+                out[r[0]] = bool((v - m) @ np.linalg.inv(c) @ (v - m) <= rules.CUTOFF)
+    return out
+
+
+def test_kept_is_what_numpy_gives_on_three_groups(spark):
+    rng = random.Random(21)
+    lined = lambda: [prose(rng, rng.randint(8, 16)) for _ in range(10)]
+    docs = []
+    for k in range(700):
+        ls = lined()
+        if k % 9 == 0:
+            ls += ls[: rng.randint(1, 9)]
+        if k % 7 == 0:
+            ls = [" ".join(w + rng.choice(["", "*", "$|"]) for w in x.split()) for x in ls]
+        if k % 11 == 0:
+            ls = [x.title() if rng.random() < 0.6 else x.upper() for x in ls]
+        lang, source = [("en", "a"), ("en", "b"), ("de", None)][0 if k < 500 else 1 if k < 560 else 2]
+        docs.append((k, "\n".join(ls), lang, source))
+    docs += [(900, None, "en", "a"), (901, "short", None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r["doc_id"]: r["kept"] for r in rules.judge(frame).collect()}
+    assert got == brute_kept(docs) and 20 < sum(not x for x in got.values()) < 400
+
+
+def test_cutoff_is_a_chi_square_quantile():
+    x = np.square(np.random.default_rng(0).normal(size=(400_000, 5))).sum(1)
+    assert all(abs((x > q).mean() - rules.above(q, 5)) < 0.003 for q in (1, 3, 6, 10)) and abs(rules.above(rules.CUTOFF, 5) - rules.TAIL) < 1e-9
+    inside = x[x <= rules.quantile(1 - rules.CORE, 5)]
+    assert abs(rules.CONSISTENCY * inside.mean() - 5) < 0.05
 
 
 def test_rules_on_no_rows(spark, odd):
@@ -161,6 +231,7 @@ def test_code_switched_words_get_their_own_language(spark, many):
 
 def test_all_letters_of_a_long_run_count(spark):
     assert langid.words_of("a" * 95 + " bc") == ["a" * 40, "a" * 40, "a" * 15, "bc"]
+    assert langid.words_of("² ½ ① Ⅷ ੩ 7_") == [] and langid.words_of("aⅧb 一二 x²") == ["a", "b", "一二", "x"]
     model = langid.Chain.fit([("x", ["aba", "abab"] * 30), ("y", ["cdc", "dcdc"] * 30)])
     frame = spark.createDataFrame([(1, "ab" * 20 + "cd" * 200)], "doc_id long, text string")
     assert langid.identify(frame, model).first()["lang_pred"] == "y"
@@ -171,6 +242,8 @@ def test_language_odd_cases(spark, odd):
     rows = langid.identify(odd, model).collect()
     assert len(rows) == odd.count() and [r["lang_pred"] for r in rows].count("und") == 5
     assert all(r["score"] == 0 for r in rows if r["lang_pred"] == "und")
+    numerals = odd.limit(1).select(F.lit("² ½ ① Ⅷ").alias("text"), "doc_id", F.lit(3).alias("score"))
+    assert [tuple(r) for r in langid.identify(numerals, model, ["doc_id", "score"]).collect()] == [(0, "und", 0.0)]
     none = langid.fit(odd.where("false"))
     assert none.languages == [] and {r["lang_pred"] for r in langid.identify(odd, none).collect()} == {"und"}
     assert langid.identify(odd.where("false"), model).count() == 0
