@@ -12,20 +12,28 @@ document's component under these links.
     thousand near copies of one text become one group after a thousand
     comparisons, not half a million.
 3.  *Token-group matrix.*  A row (token, group) says that the group's token
-    union has the token.  Of each set only the prefix that any partner must
-    share a token with is entered: with n tokens the first
-    n - ceil(0.75 n) + 1 in one order for all, tokens that a sample shows in
-    many sets last.  Tokens in one group only fall away at once.
-4.  *Bound.*  Two groups that share tokens are counted by pair, and from the
-    range of their set sizes follows how many prefix tokens two members that
-    link must share at least.  Only pairs of groups that reach the bound are
-    opened.
-5.  *Opening.*  Members of opened pairs whose sizes allow a link are compared
-    exactly, and the links join groups to components.
+    union has the token, with the sizes of the members that have it.  Of each
+    set only the prefix that any partner must share a token with is entered,
+    in one order of tokens for all: those that a sample shows in many sets
+    come last.  With every entry goes the greatest size of a partner whose
+    first common token it can be (the common tokens are from here on only).
+    Of two sets that link, the smaller one's first common token stands where
+    this limit is no less than its own size; so the matrix is joined with
+    those entries only, and on (token, size class).  A passage in nearly all
+    of a million documents reaches these entries only in documents that
+    consist of it to six sevenths and so link with one another.
+4.  *Bound.*  Pairs of groups that share an entry, within the limits, are
+    candidates.  Two documents must also be close by the parity bitmaps of
+    their sets, whose distance is never more than the sets'.
+5.  *Opening.*  Two documents are compared exactly.  A larger group is stored
+    as its token union, in blocks, and queried by the members of the other:
+    a query that shares too few tokens with the union is passed over, and
+    only then the members are counted.
 
 No link between different texts is lost: two linked documents either are in
-one group, or share enough prefix tokens for their groups to be opened.  The
-order of tokens, the sample and the leaders only decide how much work it is.
+one group, or their groups share an entry within the limits.  The order of
+tokens, the sample, the leaders, the bitmaps and the spreading of frequent
+tokens over several keys only decide how much work it is.
 """
 
 from __future__ import annotations
@@ -35,20 +43,24 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import lower_ascii, written
+from panelforge.llm.common import Scratch, lower_ascii, sized
 from panelforge.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 8, 2
 #: One set in so many shows its tokens; those seen so often in the sample come last in the order, up to so many of them.
-SAMPLE, SEEN, HOT_TOKENS = 8, 4, 2_000_000
+SAMPLE, SEEN, HOT_TOKENS = 16, 3, 2_000_000
+#: Entries of a frequent token that stay under one key, as far as the sample tells; more are spread over several.
+SPREAD = 20_000
 #: Most document keys that are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_KEYS = 2_000_000
-#: Groups of up to so many members are opened pair by pair, larger ones in blocks of about so many tokens.
-SMALL_GROUP, BLOCK_TOKENS = 8, 400_000
+#: Groups of several members are opened in blocks of about so many tokens.
+BLOCK_TOKENS = 400_000
+#: 64-bit words of a set's parity bitmap.
+WORDS = 8
 
 _SLICE = 64
 _U = np.uint64
@@ -59,6 +71,8 @@ _BACK = pow(_BASE, -1, 2**64)
 _STEP = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * _U(2) + _U(1)
 _FLIP = _rng.integers(1, 2**63, (BANDS * ROWS, 1), dtype=np.uint64)
 _TURN = _rng.integers(1, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) * _U(2) + _U(1)
+_A, _B = (_rng.integers(1, 2**63, 2, dtype=np.uint64) * _U(2) + _U(1)).tolist()
+_A, _B = _U(_A), _U(_B)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -140,6 +154,11 @@ def _sign(s: np.ndarray) -> tuple[int, int]:
         return int(x.sum().view(np.int64)), int(np.bitwise_xor.reduce(_mix(x), initial=_U(len(s))).view(np.int64))
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of tokens by a few of their bits: sets that differ in d tokens have bitmaps that differ in d bits at most."""
+    return np.packbits(np.bincount((s >> _U(20)) & _U(64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1).view(np.int64)
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, sets in _slices(batches):
         signs = [_sign(s) for s in sets]
@@ -152,8 +171,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 bands.append([])
             tokens.append(s.tobytes() if sign % SAMPLE == 0 else None)
-        out = [part.column(0), pa.array(map(len, sets), pa.int64()), pa.array([x for x, _ in signs], pa.int64()), pa.array([y for _, y in signs], pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(tokens, pa.binary())]
-        yield pa.RecordBatch.from_arrays(out, ["doc_id", "n", "s1", "s2", "bands", "tokens"])
+        bits = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([bitmap(s) for s in sets])), WORDS).cast(pa.list_(pa.int64()))
+        out = [part.column(0), pa.array(map(len, sets), pa.int64()), pa.array([x for x, _ in signs], pa.int64()), pa.array([y for _, y in signs], pa.int64()), pa.array(bands, pa.list_(pa.int64())), bits, pa.array(tokens, pa.binary())]
+        yield pa.RecordBatch.from_arrays(out, ["doc_id", "n", "s1", "s2", "bands", "bits", "tokens"])
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,27 +182,62 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_py(), np.int64))], ["token"])
 
 
-def _prefixes(hot):
-    """(token, s1) for the prefix tokens of each set; within a task equal sets are entered once."""
+def entries(s: np.ndarray, sign: int, hot: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The matrix entries of one set: keys, limits (the greatest size of a partner), and whether the entry asks or only answers.
+
+    ``hot`` are the frequent tokens, sorted, and ``keys`` the numbers of keys
+    each is spread over: an entry asks under one of them and answers under
+    all.  An entry answers if its limit is the set's own size or more, then
+    in all size classes up to the limit's.
+    """
+    n = len(s)
+    count = n - _least_overlap(n) + 1
+    times = None
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
+        late = hot[at] == s
+        first = np.argsort(late, kind="stable")[:count]
+        s, times = s[first], np.where(late[first], keys[at[first]], 1)
+    s = s[:count]
+    limit = (100 + PERCENT) * (n - np.arange(count)) // PERCENT - n
+    size = n.bit_length()
+    with np.errstate(over="ignore"):
+        token, asks = s + _U(size) * _A, np.ones(count, bool)
+        further = limit >= 1 << size
+        parts = [(token, limit, asks), ((s + _U(size + 1) * _A)[further], limit[further], ~asks[further])]
+        if times is not None and (times > 1).any():
+            spread = []
+            for (t, u, q), k in zip(parts, (times, times[further]), strict=True):
+                own = _U(sign % 2**64) % k.astype(np.uint64)
+                spread.append((t + own * _B, u, q))
+                answers = np.flatnonzero((k > 1) & (u >= n))
+                for other in answers:
+                    x = np.setdiff1d(np.arange(k[other], dtype=np.uint64), own[other : other + 1])
+                    spread.append((t[other] + x * _B, np.repeat(u[other], len(x)), np.zeros(len(x), bool)))
+            parts = spread
+        return tuple(np.concatenate(x) for x in zip(*[(_mix(t), u, q) for t, u, q in parts], strict=True))
+
+
+def _prefixes(hot, keys):
+    """(key, s1, n, limit, asks) for the prefix tokens of each set; within a task equal sets are entered once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, entered = hot.value, set()
+        last, spread, entered = hot.value, keys.value, set()
         for _, sets in _slices(batches):
-            tokens, signs, count = [], [], []
+            made, signs, sizes = [], [], []
             for s in sets:
                 if not len(s) or (sign := _sign(s)[0]) in entered:
                     continue
                 if len(entered) < 100_000:
                     entered.add(sign)
-                n = len(s) - _least_overlap(len(s)) + 1
-                if len(last):
-                    late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                    s = s[np.argsort(late, kind="stable")[:n]]
-                tokens.append(s[:n])
+                made.append(entries(s, sign, last, spread))
                 signs.append(sign)
-                count.append(n)
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(signs, np.int64), count))], ["token", "s1"])
+                sizes.append(len(s))
+            if made:
+                key, limit, asks = (np.concatenate(x) for x in zip(*made, strict=True))
+                count = [len(x) for x, _, _ in made]
+                columns = [pa.array(key.view(np.int64)), pa.array(np.repeat(np.array(signs, np.int64), count)), pa.array(np.repeat(np.array(sizes, np.int32), count)), pa.array(limit.astype(np.int32)), pa.array(asks)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "s1", "n", "most", "asks"])
 
     return run
 
@@ -199,110 +254,129 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def _type(documents: DataFrame) -> str:
+    return documents.schema["doc_id"].dataType.simpleString()
+
+
 def _sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
-    """``doc_id`` and ``tokens`` of the documents whose keys are needed."""
-    needed = written(needed, "jaccard-needed")
+    """``doc_id`` and ``tokens`` of the documents whose keys are needed; ``needed`` is a written table of distinct keys."""
     texts = documents.join(F.broadcast(needed) if needed.count() <= BROADCAST_KEYS else needed, "doc_id", "left_semi")
-    sets = texts.mapInArrow(_packed, f"doc_id {_type(documents)}, tokens binary").groupBy("doc_id").agg(F.min("tokens").alias("tokens"))
-    return written(sets, "jaccard-sets")
+    return texts.mapInArrow(_packed, f"doc_id {_type(documents)}, tokens binary").groupBy("doc_id").agg(F.min("tokens").alias("tokens"))
 
 
-def _links(documents: DataFrame, pairs: DataFrame) -> DataFrame:
+def _links(documents: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Those of the pairs (a, b) of document keys whose sets are similar."""
-    pairs = written(pairs, "jaccard-pairs")
-    sets = _sets(documents, pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("of_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("of_b")), "b")
+    both = pairs = scratch.write(pairs, name)
+    for c in ("a", "b"):
+        needed = scratch.write(pairs.select(F.col(c).alias("doc_id")).distinct(), f"{name}-{c}")
+        both = both.join(_sets(documents, needed).select(F.col("doc_id").alias(c), F.col("tokens").alias(f"of_{c}")), c)
     return both.select("a", "b", "of_a", "of_b").mapInArrow(_compared, f"a {_type(documents)}, b {_type(documents)}")
 
 
-def _type(documents: DataFrame) -> str:
-    return documents.schema["doc_id"].dataType.simpleString()
-
-
 def _sizes_allow(small: Column, large: Column) -> Column:
     return 100 * small >= PERCENT * large
 
 
-def _leaders(reps: DataFrame) -> DataFrame:
+def _leaders(reps: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of each representative with the leaders of its buckets."""
-    rows = written(reps.select("doc_id", "n", F.explode("bands").alias("band")), "jaccard-bands")
-    size = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    met = rows.join(size, "band")
+    rows = scratch.write(reps.select("doc_id", "n", F.explode("bands").alias("band")), "bands")
+    size = scratch.write(rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    met = scratch.write(rows.join(sized(size), "band"), "met")
     company = met.groupBy("doc_id").agg(F.sum("size").alias("company"))
-    met = written(met.join(company, "doc_id").select("band", "doc_id", "n", "company"), "jaccard-met")
-    leader = met.groupBy("band").agg(F.max_by(F.struct("doc_id", "n"), F.struct("company", -F.col("doc_id"))).alias("top")).select("band", F.col("top.doc_id").alias("b"), F.col("top.n").alias("m"))
-    pairs = met.join(leader, "band").where(F.col("doc_id") != F.col("b")).where(_sizes_allow(F.least("n", "m"), F.greatest("n", "m")))
+    met = scratch.write(met.join(company, "doc_id").select("band", "doc_id", "n", "company"), "company")
+    leader = met.groupBy("band").agg(F.min_by(F.struct("doc_id", "n"), F.struct(-F.col("company"), "doc_id")).alias("top")).select("band", F.col("top.doc_id").alias("b"), F.col("top.n").alias("m"))
+    pairs = met.join(sized(scratch.write(leader, "leaders")), "band").where(F.col("doc_id") != F.col("b")).where(_sizes_allow(F.least("n", "m"), F.greatest("n", "m")))
     return pairs.select(F.col("doc_id").alias("a"), "b").distinct()
 
 
-def _qualified(prefixes: DataFrame, members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (g1, g2) of groups that share enough prefix tokens for members of theirs to link."""
-    # tokens of one set only, which nearly all are, go before anything is joined
-    rows = prefixes.repartition("token").dropDuplicates(["token", "s1"])
-    rows = rows.withColumn("k", F.expr("count(*) over (partition by token)")).where("k > 1").select("token", "s1")
-    matrix = rows.join(members.select("s1", "g"), "s1").select("token", "g").distinct().join(groups.select("g", "lo", "hi"), "g")
-    matrix = written(matrix, "jaccard-matrix")
-    x, y = (matrix.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("g", "lo", "hi")]) for i in (1, 2))
-    fits = (100 * F.col("hi1") >= PERCENT * F.col("lo2")) & (100 * F.col("hi2") >= PERCENT * F.col("lo1"))
-    shared = x.join(y, "token").where((F.col("g1") < F.col("g2")) & fits).groupBy("g1", "g2", "lo1", "lo2", "hi1", "hi2").agg(F.count("*").alias("c"))
-    t = PERCENT / 100
-    bound = t * (F.least("lo1", "lo2") - t * F.greatest("hi1", "hi2")) / (1 + t)
-    # the bound is a real number; a hair below it keeps rounding harmless
-    return shared.where(F.col("c") >= bound - 1e-6).select("g1", "g2")
-
-
-def _members(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """All pairs of members (a, b) of pairs of small groups, as far as their sizes allow a link."""
-    p, q = (members.select(F.col("g").alias(f"g{i}"), F.col("doc_id").alias(c), F.col("n").alias(f"n{i}")) for i, c in ((1, "a"), (2, "b")))
-    return pairs.join(p, "g1").join(q, "g2").where(_sizes_allow(F.least("n1", "n2"), F.greatest("n1", "n2"))).select("a", "b")
-
-
-def _searched(key: tuple, group: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-    """One link of each query to a block of a group, if it has any; a query that the block's token union can't serve is passed over."""
-    sets = [np.frombuffer(t, np.uint64) for t in group["tokens"]]
-    size = np.array([len(s) for s in sets])
-    every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+def candidates(prefixes: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (g1, g2) of groups that share an entry of the matrix within its limits."""
+    # keys that hold one set only, or none that answers, go before anything is joined; nearly all do
+    rows = prefixes.repartition("key").groupBy("key", "s1").agg(F.max("n").alias("n"), F.max("most").alias("most"), F.max("asks").alias("asks"))
+    of_key = Window.partitionBy("key")
+    rows = rows.withColumns({"k": F.count("*").over(of_key), "answered": F.max(F.col("most") >= F.col("n")).over(of_key)}).where("k > 1 AND answered").select("key", "s1", "n", "most", "asks")
+    asks, answers = F.col("asks"), F.col("most") >= F.col("n")
+    matrix = rows.join(members.select("s1", "g"), "s1").groupBy("key", "g").agg(
+        F.min(F.when(asks, F.col("n"))).alias("least_asked"), F.max(F.when(asks, F.col("n"))).alias("most_asked"), F.max(F.when(asks, F.col("most"))).alias("asked_limit"),
+        F.min(F.when(answers, F.col("n"))).alias("least"), F.max(F.when(answers, F.col("most"))).alias("limit"),
+    )
+    matrix = scratch.write(matrix, "matrix")
+    x = matrix.where("least_asked IS NOT NULL").select("key", F.col("g").alias("g1"), "least_asked", "most_asked", "asked_limit")
+    y = matrix.where("least IS NOT NULL").select("key", F.col("g").alias("g2"), "least", "limit")
+    # the one that asks is no smaller: least size that answers <= size that asks <= limit that answers, and the answer's size within the limit that asks
+    within = (F.col("least") <= F.col("most_asked")) & (F.col("least_asked") <= F.col("limit")) & (F.col("least") <= F.col("asked_limit"))
+    return x.join(y, "key").where((F.col("g1") != F.col("g2")) & within).select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
+
+
+def _close(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) of single documents whose sizes and bitmaps allow a link."""
+    for c in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")), c)
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    # sets that link differ in n_a + n_b - 2 * overlap tokens at most
+    bound = (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))
+    return pairs.where(_sizes_allow(F.least("n_a", "n_b"), F.greatest("n_a", "n_b")) & bound).select("a", "b")
+
+
+def _union(block: pd.DataFrame) -> pd.DataFrame:
+    """The token union of a block of a group: its members' tokens in order, and which member each is of."""
+    sets = [np.frombuffer(t, np.uint64) for t in block["tokens"]]
+    every = np.concatenate(sets)
     order = np.argsort(every, kind="stable")
-    union, member = every[order], np.repeat(np.arange(len(sets)), size)[order]
+    member = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])[order]
+    return pd.DataFrame({"g": block["g"].iloc[:1], "x": block["x"].iloc[:1], "ids": [list(block["doc_id"])], "union": [every[order].tobytes()], "member": [member.tobytes()]})
+
+
+def _searched(key: tuple, blocks: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    """One link of each query to a block of a group, if it has any; a query that shares too little with the block's token union is passed over."""
     found = []
-    for q, tokens in zip(queries["doc_id"], queries["tokens"], strict=True):
-        s = np.frombuffer(tokens, np.uint64)
-        low, high = np.searchsorted(union, s), np.searchsorted(union, s, side="right")
-        if not len(sets) or (high > low).sum() < _least_overlap(len(s)):
-            continue
-        count = high - low
-        hits = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-        both = np.bincount(member[hits], minlength=len(sets))
-        linked = np.flatnonzero(100 * both >= PERCENT * (len(s) + size - both))
-        if len(linked):
-            found.append((q, group["doc_id"].iloc[linked[0]]))
+    for ids, union, member in zip(blocks["ids"], blocks["union"], blocks["member"], strict=True):
+        union, member = np.frombuffer(union, np.uint64), np.frombuffer(member, np.int32)
+        size = np.bincount(member, minlength=len(ids))
+        for q, tokens in zip(queries["doc_id"], queries["tokens"], strict=True):
+            s = np.frombuffer(tokens, np.uint64)
+            low, high = np.searchsorted(union, s), np.searchsorted(union, s, side="right")
+            least = max(_least_overlap(len(s)), -(-PERCENT * (len(s) + int(size.min())) // (100 + PERCENT)))
+            if (high > low).sum() < least:
+                continue
+            count = high - low
+            hits = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            both = np.bincount(member[hits], minlength=len(ids))
+            linked = np.flatnonzero(100 * both >= PERCENT * (len(s) + size - both))
+            if len(linked):
+                found.append((q, ids[linked[0]]))
     return pd.DataFrame(found, columns=["a", "b"])
 
 
-def _opened(documents: DataFrame, pairs: DataFrame, members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Links (a, b) between groups of which one is large.
+def _opened(documents: DataFrame, pairs: DataFrame, members: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between groups of which one has several members.
 
-    The larger one is the group, cut into blocks of so many tokens; the
-    members of the others that qualify are its queries, cut likewise.  A task
-    holds one block of each, and gives one link a query at most, as a group's
-    members are in one component already.
+    The larger one is the group, stored as token unions of blocks of so many
+    tokens; the members of the others that qualify are its queries, cut
+    likewise.  A task holds one block of each, and gives one link a query at
+    most, as a group's members are in one component already.
     """
     g, q = F.when(F.col("k1") >= F.col("k2"), F.col("g1")), F.when(F.col("k1") >= F.col("k2"), F.col("g2"))
     pairs = pairs.select(F.coalesce(g, "g2").alias("g"), F.coalesce(q, "g1").alias("q"))
-    asked = pairs.join(members.select(F.col("g").alias("q"), "doc_id", "n"), "q").select("g", "doc_id", "n")
+    asked = pairs.join(members.select(F.col("g").alias("q"), "doc_id", "n"), "q").join(sizes.select("g", "lo", "hi"), "g")
+    asked = scratch.write(asked.where(_sizes_allow(F.col("lo"), F.col("n")) & _sizes_allow(F.col("n"), F.col("hi"))).select("g", "doc_id", "n"), "queries")
     cuts = asked.groupBy("g").agg(F.sum("n").alias("asked")).join(sizes.select("g", "tokens"), "g")
-    cuts = written(cuts.select("g", *[F.ceil(F.col(c) / BLOCK_TOKENS).cast("int").alias(f"cut_{c}") for c in ("asked", "tokens")]), "jaccard-cuts")
+    cuts = scratch.write(cuts.select("g", *[F.ceil(F.col(c) / BLOCK_TOKENS).cast("int").alias(f"cut_{c}") for c in ("asked", "tokens")]), "cuts")
 
     def place(cut: str) -> Column:
         return F.pmod(F.xxhash64("doc_id"), F.col(cut)).cast("int")
 
-    asked = asked.join(cuts, "g").select("g", "doc_id", place("cut_asked").alias("y"), F.explode(F.sequence(F.lit(0), F.col("cut_tokens") - 1)).alias("x"))
-    held = members.select("g", "doc_id").join(cuts, "g").select("g", "doc_id", place("cut_tokens").alias("x"), F.explode(F.sequence(F.lit(0), F.col("cut_asked") - 1)).alias("y"))
-    asked, held = written(asked, "jaccard-asked"), written(held, "jaccard-held")
-    sets = _sets(documents, asked.select("doc_id").unionByName(held.select("doc_id")).distinct())
-    left, right = (x.join(sets, "doc_id").select(*[F.col(c).alias(c) for c in ("g", "x", "y", "doc_id", "tokens")]).groupBy("g", "x", "y") for x in (held, asked))
+    def every(cut: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(cut) - 1))
+
     kind = _type(documents)
-    return left.cogroup(right).applyInPandas(_searched, f"a {kind}, b {kind}")
+    held = scratch.write(members.select("g", "doc_id").join(cuts, "g").select("g", "doc_id", place("cut_tokens").alias("x")), "held")
+    sets = _sets(documents, scratch.write(held.select("doc_id").distinct(), "held-keys"))
+    unions = held.join(sets, "doc_id").groupBy("g", "x").applyInPandas(_union, f"g {kind}, x int, ids array<{kind}>, union binary, member binary")
+    unions = scratch.write(unions, "unions").join(cuts, "g").select("g", "x", every("cut_asked").alias("y"), "ids", "union", "member")
+    sets = _sets(documents, scratch.write(asked.select("doc_id").distinct(), "query-keys"))
+    asked = asked.join(cuts, "g").select("g", "doc_id", place("cut_asked").alias("y"), every("cut_tokens").alias("x")).join(sets, "doc_id")
+    return unions.groupBy("g", "x", "y").cogroup(asked.select("g", "x", "y", "doc_id", "tokens").groupBy("g", "x", "y")).applyInPandas(_searched, f"a {kind}, b {kind}")
 
 
 def join(documents: DataFrame) -> DataFrame:
@@ -310,38 +384,46 @@ def join(documents: DataFrame) -> DataFrame:
 
     A null or empty text, or one without words, has no shingles and is linked
     with nothing.  A null ``doc_id`` gets a null component.  Repeated rows
-    stay repeated.  ``doc_id`` is meant to be a key: if rows with one key have
-    different texts, one of these stands for the key when it is compared, and
-    the texts are in one component.  Other columns are ignored.
+    stay repeated.  ``doc_id`` may be of any type that has an order and is
+    meant to be a key: if rows with one key have different texts, one of these
+    stands for the key when it is compared, and the texts are in one
+    component.  Other columns are ignored.
     """
-    spark = documents.sparkSession
+    spark, scratch = documents.sparkSession, Scratch(documents.sparkSession, "jaccard")
     docs = documents.select("doc_id", "text")
     key = _type(documents)
-    signed = written(docs.mapInArrow(_signed, f"doc_id {key}, n long, s1 long, s2 long, bands array<long>, tokens binary"), "jaccard-signed")
-    reps = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("bands").alias("bands"))
-    reps = written(reps, "jaccard-reps")
+    signed = scratch.write(docs.mapInArrow(_signed, f"doc_id {key}, n long, s1 long, s2 long, bands array<long>, bits array<long>, tokens binary"), "signed")
+    reps = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("bands").alias("bands"), F.min("bits").alias("bits"))
+    reps = scratch.write(reps, "reps")
 
     seen = signed.where("tokens IS NOT NULL AND n > 0").groupBy("s1", "s2").agg(F.min("tokens").alias("tokens")).select("tokens")
     often = seen.mapInArrow(_unpacked, "token long").groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") >= SEEN)
-    hot = often.orderBy(F.desc("k"), "token").limit(HOT_TOKENS).select("token").toPandas()["token"].to_numpy(np.int64)
-    hot = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-
-    near = written(components(_links(docs, _leaders(reps))), "jaccard-groups")
+    often = often.orderBy(F.desc("k"), "token").limit(HOT_TOKENS).toPandas()
+    tokens = often["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    hot = spark.sparkContext.broadcast(tokens[order])
+    keys = spark.sparkContext.broadcast((1 + often["k"].to_numpy(np.int64) * SAMPLE // SPREAD)[order])
+
+    near = scratch.write(components(_links(docs, _leaders(reps, scratch), scratch, "near")), "groups")
+    scratch.clear("bands", "buckets", "met", "company", "leaders", "near", "near-a", "near-b")
     members = reps.join(near, reps["doc_id"] == near["node"], "left").select("doc_id", "s1", "n", F.coalesce("component", "doc_id").alias("g"))
-    members = written(members, "jaccard-members")
-    prefixes = docs.mapInArrow(_prefixes(hot), "token long, s1 long")
-    groups = written(members.groupBy("g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.sum("n").alias("tokens"), F.count("*").alias("k")), "jaccard-sizes")
-    pairs = _qualified(prefixes, members, groups)
+    members = scratch.write(members, "members")
+    groups = scratch.write(members.groupBy("g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.sum("n").alias("tokens"), F.count("*").alias("k")), "sizes")
+    pairs = candidates(docs.mapInArrow(_prefixes(hot, keys), "key long, s1 long, n int, most int, asks boolean"), members, scratch)
     for i in (1, 2):
         pairs = pairs.join(groups.select(F.col("g").alias(f"g{i}"), F.col("k").alias(f"k{i}")), f"g{i}")
-    pairs = written(pairs, "jaccard-qualified")
-    large = F.greatest("k1", "k2") > SMALL_GROUP
-    found = _links(docs, _members(pairs.where(~large), members)).unionByName(_opened(docs, pairs.where(large), members, groups))
+    pairs = scratch.write(pairs, "candidates")
+    scratch.clear("matrix")
+    alone = (F.col("k1") == 1) & (F.col("k2") == 1)
+    single = _close(pairs.where(alone).select(F.col("g1").alias("a"), F.col("g2").alias("b")), reps)
+    found = _links(docs, single, scratch, "single").unionByName(_opened(docs, pairs.where(~alone), members, groups, scratch))
     of = members.select("doc_id", "g")
     far = found.join(of.withColumnsRenamed({"doc_id": "a", "g": "x"}), "a").join(of.withColumnsRenamed({"doc_id": "b", "g": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    joined = written(components(far), "jaccard-joined")
+    joined = scratch.write(components(far), "joined")
     final = members.join(joined, members["g"] == joined["node"], "left").select("doc_id", F.coalesce("component", "g").alias("component_id"))
     # only classes that say more than "alone" are joined back to the documents
     classes = reps.join(final, "doc_id").where((F.col("copies") > 1) | (F.col("component_id") != F.col("doc_id"))).select("s1", "s2", "n", "component_id")
-    out = signed.join(classes, ["s1", "s2", "n"], "left")
+    classes = scratch.write(classes, "classes")
+    scratch.clear("reps", "groups", "members", "sizes", "candidates", "single", "single-a", "single-b", "queries", "cuts", "held", "held-keys", "unions", "query-keys", "joined")
+    out = signed.join(sized(classes), ["s1", "s2", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

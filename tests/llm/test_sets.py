@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from panelforge.llm import contamination, jaccard, langid, lines
+from panelforge.llm import common, contamination, jaccard, langid, lines
 from panelforge.llm.components import components
 from tests.llm.conftest import prose
 
@@ -55,9 +55,9 @@ def near_copies(seed, families=14, copies=9):
 
 
 def test_jaccard_is_what_brute_force_gives(spark, monkeypatch):
-    for seed, small in ((1, 8), (2, 0)):  # with 0 all groups are opened in blocks
-        monkeypatch.setattr(jaccard, "SMALL_GROUP", small)
-        monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 500)
+    for seed, spread in ((1, 20_000), (2, 5)):  # with 5 frequent tokens are spread over several keys
+        monkeypatch.setattr(jaccard, "SPREAD", spread)
         rows = near_copies(seed)
         frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(frame).collect()} == brute_components(rows)
@@ -70,6 +70,53 @@ def test_jaccard_by_shuffle_only(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(rows)
 
 
+def test_jaccard_with_keys_that_are_text(spark):
+    rows = near_copies(5, 6)
+    expected = brute_components([(f"k{k:05d}", t) for k, t in rows])
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc_id", F.format_string("k%05d", "doc_id")))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == expected
+
+
+def test_linked_sets_always_share_an_entry():
+    rng = np.random.default_rng(4)
+    hot = np.sort(rng.integers(0, 2**63, 400, dtype=np.uint64))
+    keys = rng.integers(1, 6, len(hot))
+    linked = 0
+    for _ in range(3000):
+        shared = np.concatenate([rng.integers(0, 2**63, rng.integers(1, 80), dtype=np.uint64), rng.choice(hot, rng.integers(0, 40), replace=False)])
+        own = [rng.integers(0, 2**63, rng.integers(0, 1 + len(shared) // 3), dtype=np.uint64) for _ in range(2)]
+        a, b = (np.unique(np.concatenate([shared, x])) for x in own)
+        if not jaccard.similar(a, b):
+            continue
+        linked += 1
+        assert np.bitwise_count((jaccard.bitmap(a) ^ jaccard.bitmap(b)).view(np.uint64)).sum() <= len(np.setxor1d(a, b))
+        a, b = (a, b) if len(a) >= len(b) else (b, a)
+        (ka, ua, qa), (kb, ub, _) = (jaccard.entries(x, int(x[0]), hot, keys) for x in (a, b))
+        asked = {k: u for k, u, q in zip(ka, ua, qa, strict=True) if q}
+        assert any(k in asked and len(a) <= u and len(b) <= asked[k] for k, u in zip(kb, ub, strict=True) if u >= len(b))
+    assert linked > 500
+
+
+def test_a_passage_under_three_quarters_makes_no_pairs(spark, tmp_path):
+    """Documents of 84 shared and 20 own shingles: the matrix gives no pair, however many there are."""
+    rng = random.Random(31)
+    passage = [f"w{rng.randrange(10**6)}" for _ in range(88)]
+    rows = [(k, " ".join([*passage, *[f"x{rng.randrange(10**9)}" for _ in range(20)]])) for k in range(1200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r["component_id"] == r["doc_id"] for r in jaccard.join(frame).collect())
+    hot = np.sort(jaccard.shingle_sets([" ".join(passage)])[0])
+    members = frame.mapInArrow(jaccard._signed, "doc_id long, n long, s1 long, s2 long, bands array<long>, bits array<long>, tokens binary").select("doc_id", "s1", "n", F.col("doc_id").alias("g"))
+    several = lambda x: spark.sparkContext.broadcast(x)
+    made = frame.mapInArrow(jaccard._prefixes(several(hot), several(np.ones(len(hot), np.int64))), "key long, s1 long, n int, most int, asks boolean")
+    assert jaccard.candidates(made, members, common.Scratch(spark, "test")).count() == 0
+
+
+def test_jaccard_on_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    expected = brute_components([tuple(r) for r in docs.collect()])
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(docs).collect()} == expected
+
+
 def test_jaccard_threshold_is_exact():
     a = np.arange(8, dtype=np.uint64)
     assert jaccard.similar(a, a[:6]) and not jaccard.similar(a, a[:5]) and not jaccard.similar(a[:0], a[:0])
