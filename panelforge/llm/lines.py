@@ -6,8 +6,8 @@ such a leaf the line seen in most places is the template; lines that agree
 with it in enough positions are instances of it, and the positions where they
 differ are its variable fields.  A leaf may hold further templates: of the
 other lines, tokens that few places have in their position are variable, and
-lines that are equal without them are instances of one.  A template that recurs across documents is
-boilerplate, and its lines are dropped from all of them.
+lines that are equal without them are instances of one.  A template that recurs
+across documents is boilerplate, and its lines are dropped from all of them.
 
 Copies of a document are no evidence that its lines are boilerplate (they are
 the business of the near-duplicate operator).  Documents with the same set of
@@ -39,10 +39,10 @@ _UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhme
 MIN_FAMILIES = 6
 #: Share of templates of its own beyond which a group of copies is evidence.
 OWN = 1 / 7
-#: Of the rule before, which the brute force in the tests follows.
-TRIES, MIN_SPREAD = 3, 0.5
 #: Share of equal positions after the leading ones that makes a line an instance of its leaf's template.
 SIMILAR = 0.7
+#: Most documents whose lines to be dropped are broadcast; more meet their texts by a shuffle.
+BROADCAST_DROPS = 50_000
 
 
 def _template(line: Column) -> Column:
@@ -109,14 +109,17 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     shown = documents.join(sized(holders), documents["doc_id"].eqNullSafe(F.col("__holder")), "left_semi")
     shapes = shown.select(F.explode(_parsed(F.col("text"), True)).alias("x")).select("x.*").join(sized(several), "leaf", "left_semi").groupBy("leaf", "t").agg(F.min("x").alias("x"))
     shapes = written(seen.drop("doc_id").join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
+    # a leaf with very many lines is one row here, so its lines stay where they are
     top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
+    top = sized(written(top, "line-tops"))
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
     first = agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH)
     tree = written(shapes.join(top, "leaf").select("leaf", "t", "families", "tokens", F.when(first, F.col("of")).alias("template")), "line-tree")
     further = _further(tree.where(F.col("template").isNull()))
     tree = tree.join(further, ["leaf", "t"], "left").select("leaf", "t", "families", F.coalesce("template", "other", "t").alias("template"))
-    merged = tree.groupBy("leaf", "template").agg(F.sum("families").alias("families")).where(F.col("families") >= MIN_FAMILIES)
-    general = tree.select("leaf", "t", "template").join(merged.select("leaf", "template"), ["leaf", "template"], "left_semi").select("t", "template")
+    tree = written(tree, "line-trees")
+    merged = written(tree.groupBy("leaf", "template").agg(F.sum("families").alias("families")).where(F.col("families") >= MIN_FAMILIES).select("leaf", "template"), "line-merged")
+    general = tree.select("leaf", "t", "template").join(sized(merged), ["leaf", "template"], "left_semi").select("t", "template")
     alone = seen.where(F.col("families") >= MIN_FAMILIES).select("t", F.col("t").alias("template"))
     return _evident(nodes, written(alone.unionByName(general).distinct(), "line-candidates"))
 
@@ -124,8 +127,8 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
 def _further(lines: DataFrame) -> DataFrame:
     """``other``, a template by the tokens that are frequent in their positions, for lines ``t`` of a ``leaf`` that have enough of these."""
     cells = lines.select("leaf", "t", "families", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= DEPTH)
-    fixed = cells.groupBy("leaf", "at", "token").agg(F.sum("families").alias("seen")).where(F.col("seen") >= MIN_FAMILIES).drop("seen")
-    masks = cells.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "t", "n").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("mask"))
+    fixed = written(cells.groupBy("leaf", "at", "token").agg(F.sum("families").alias("seen")).where(F.col("seen") >= MIN_FAMILIES).drop("seen"), "line-fixed")
+    masks = cells.join(sized(fixed), ["leaf", "at", "token"]).groupBy("leaf", "t", "n").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("mask"))
     return masks.where(F.size("mask") >= SIMILAR * (F.col("n") - DEPTH)).select("leaf", "t", F.xxhash64("leaf", F.to_json("mask")).alias("other"))
 
 
@@ -146,16 +149,17 @@ def dedup(documents: DataFrame) -> DataFrame:
     all of whose lines go becomes empty; no row is ever dropped.  Rows with a
     null or a repeated ``doc_id`` are treated like others.  Columns other than
     ``doc_id`` and ``text`` pass through, but for ones named ``n_lines`` or
-    ``n_dropped``, which are replaced.
+    ``n_dropped`` in any case, which are replaced.
     """
     nodes = written(_nodes(documents), "line-nodes")
     found = nodes.select("doc_id", "t").join(sized(recurring(documents, nodes)), "t", "left_semi")
     drops = found.groupBy("doc_id").agg(F.collect_set("t").alias("__drop")).withColumnRenamed("doc_id", "__id")
+    drops = sized(written(drops, "line-drops"), BROADCAST_DROPS)
     rows = documents.join(drops, documents["doc_id"].eqNullSafe(F.col("__id")), "left").drop("__id")
     kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), _hash(x)), F.lit(False)))
     less = F.when(F.col("__drop").isNotNull(), _let(kept, lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(k).alias("n"))))
     all_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
     rows = rows.withColumn("__all", F.coalesce(all_lines, F.lit(0))).withColumn("__less", less)
-    others = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
+    others = [c for c in documents.columns if c.lower() not in ("n_lines", "n_dropped")]
     text = F.coalesce(F.col("__less.text"), F.col("text")).alias("text")
     return rows.select(*[text if c == "text" else F.col(c) for c in others], F.col("__all").cast("long").alias("n_lines"), F.coalesce(F.col("__all") - F.col("__less.n"), F.lit(0)).cast("long").alias("n_dropped"))

@@ -151,46 +151,54 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def signed(n):
-    return n - 2**64 if n >= 2**63 else n
-
-
 def brute_lines(docs):
-    """Text and number of dropped lines per document."""
+    """Text and number of dropped lines per document, by the rule that the module's text states."""
 
     def template(line):
         return " ".join(re.sub(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>", line).split())
 
     def t_of(x):
-        return signed(xxhash.xxh64(x.encode(), seed=42).intdigest()) if len(x.split()) >= lines.MIN_TOKENS else None
+        t = xxhash.xxh64(x.encode(), seed=42).intdigest()
+        return t - 2**64 if t >= 2**63 else t
 
+    enough = lambda x: len(x.split()) >= lines.MIN_TOKENS
     leaf = lambda x: (len(x.split()), *x.split()[: lines.DEPTH])
     parsed = {k: [template(x) for x in text.split("\n")] for k, text in docs}
-    seen = defaultdict(set)
-    for k, ts in parsed.items():
-        own = {x for x in ts if t_of(x) is not None}
-        for x in own:
-            families = [min(_with_seed(t_of(y), n) for y in own) for n in range(lines.TRIES)]
-            seen[x].add((k, *families))
-    families = {x: max(len({s[1 + n] for s in v}) for n in range(lines.TRIES)) for x, v in seen.items()}
-    count = {x: len(v) for x, v in seen.items()}
-    recurs = lambda f, n: f >= lines.MIN_FAMILIES and f >= lines.MIN_SPREAD * n
-    drop = {x for x in seen if recurs(families[x], count[x])}
-    by_leaf, docs_of = defaultdict(list), Counter()
-    for x in seen:
+    own = {k: frozenset(x for x in ts if enough(x)) for k, ts in parsed.items()}
+    groups = Counter(own.values())
+    families, held, by_leaf = Counter(), Counter(), defaultdict(list)
+    for group, copies in groups.items():
+        for x in group:
+            families[x] += 1
+            held[x] += copies
+    for x in families:
         by_leaf[leaf(x)].append(x)
-        docs_of[leaf(x)] += count[x]
+    name = {x: {x} for x in families if families[x] >= lines.MIN_FAMILIES}  # candidate -> the templates it is an instance of
     for key, xs in by_leaf.items():
-        if docs_of[key] < lines.MIN_FAMILIES or len(xs) < 2 or sum(families[x] for x in xs) < lines.MIN_FAMILIES:
+        if len(xs) < 2 or sum(families[x] for x in xs) < lines.MIN_FAMILIES:
             continue
-        top = max(xs, key=lambda x: (families[x], count[x], t_of(x)))
+        rest = key[0] - lines.DEPTH
+        top = max(xs, key=lambda x: (families[x], held[x], t_of(x)))
+        first = {x for x in xs if sum(a == b for a, b in zip(x.split(" "), top.split(" "), strict=True)) - lines.DEPTH >= lines.SIMILAR * rest}
+        cells = Counter()
+        for x in set(xs) - first:
+            for cell in list(enumerate(x.split(" ")))[lines.DEPTH :]:
+                cells[cell] += families[x]
         merged = defaultdict(list)
         for x in xs:
-            agree = sum(a == b for a, b in zip(x.split(" "), top.split(" "), strict=True)) - lines.DEPTH
-            merged[top if agree >= lines.SIMILAR * (key[0] - lines.DEPTH) else x].append(x)
-        for members in merged.values():
-            if recurs(sum(families[x] for x in members), sum(count[x] for x in members)):
-                drop |= set(members)
+            mask = tuple(c for c in list(enumerate(x.split(" ")))[lines.DEPTH :] if cells[c] >= lines.MIN_FAMILIES)
+            merged[top if x in first else (key, mask) if mask and len(mask) >= lines.SIMILAR * rest else x].append(x)
+        for of, members in merged.items():
+            if sum(families[x] for x in members) >= lines.MIN_FAMILIES:
+                for x in members:
+                    name.setdefault(x, set()).add(of)
+    evident = [g for g in groups if len(g) - sum(x in name for x in g) > lines.OWN * len(g)]
+    places = defaultdict(set)
+    for k, group in enumerate(evident):
+        for x in group & name.keys():
+            for of in name[x]:
+                places[of].add(k)
+    drop = {x for x, of in name.items() if any(len(places[y]) >= lines.MIN_FAMILIES for y in of)}
     out = {}
     for k, text in docs:
         kept = [x for x, y in zip(text.split("\n"), parsed[k], strict=True) if y not in drop]
@@ -198,11 +206,6 @@ def brute_lines(docs):
     return out
 
 
-def _with_seed(t, k):
-    first = xxhash.xxh64(t.to_bytes(8, "little", signed=True), seed=42).intdigest()
-    return signed(xxhash.xxh64(k.to_bytes(4, "little"), seed=first).intdigest())
-
-
 def line_docs(seed):
     rng, out = random.Random(seed), []
     for k in range(60):
@@ -218,11 +221,13 @@ def line_docs(seed):
     return out + [(100 + k, copy) for k in range(12)] + [(200, ""), (201, "one\ntwo")]
 
 
-def test_line_dedup_is_what_brute_force_gives(spark):
+def test_line_dedup_is_what_brute_force_gives(spark, monkeypatch):
     docs = line_docs(6)
     got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
     expected = brute_lines(docs)
     assert got == expected
+    monkeypatch.setattr(lines, "BROADCAST_DROPS", -1)  # by shuffle
+    assert got == {r["doc_id"]: (r["text"], r["n_dropped"]) for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
     assert all("Page" not in t and "Subscribe" not in t and "rights" not in t for t, _ in got.values())
     assert all(got[100 + k][1] == 0 for k in range(12))  # copies of one document are no boilerplate
 
@@ -266,6 +271,8 @@ def test_line_dedup_odd_cases(spark, odd):
     by_text = {r["text"]: (r["n_lines"], r["n_dropped"]) for r in rows.collect()}
     assert by_text[None] == (0, 0) and by_text[""] == (1, 0) and by_text[" \n\t "] == (2, 0)
     assert lines.dedup(odd.where("false")).count() == 0
+    clash = odd.drop("n_lines").withColumns({"N_Lines": F.lit("x"), "N_DROPPED": F.lit("y")})
+    assert [c for c in lines.dedup(clash).columns if c.lower() in ("n_lines", "n_dropped")] == ["n_lines", "n_dropped"]
 
 
 def test_pipeline_stages_against_brute_force(spark, sf, documents):
