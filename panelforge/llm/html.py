@@ -8,27 +8,36 @@ block as main text or not from the whole page.  The main text is the text of
 the blocks labelled so, in page order.
 
 The labeller is trained on the driver with pages that :func:`make_page` builds
-from a seed, so their labels are known.  They vary in layout and names and are
-filled with invented words; nothing of the pages to be read is learned from.
-Reading pages is one narrow stage, with memory bounded by a batch of pages.
+from a seed, so their labels are known.  They vary in layout, in names (a quarter
+of which say nothing) and in language, from whole portals to a bare text
+without any tag; nothing of the pages to be read is learned from.  The weights
+are kept in the shared folder under a hash of this module, so one session
+trains and later ones read (:func:`model`).  Reading pages is one narrow stage,
+with memory bounded by a batch of pages, and takes time in proportion to a
+page's length, however deep its tags are nested.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
+import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from panelforge.llm.common import shared_dir, without
 
 #: Pages that are labelled at a time in a task.
 PAGES = 128
-PATH_BUCKETS, WORD_BUCKETS, WIDTH, HIDDEN, NUMBERS = 2048, 512, 24, 16, 8
+PATH_BUCKETS, WORD_BUCKETS, WIDTH, HIDDEN, NUMBERS = 4096, 1 << 14, 24, 16, 9
 
 #: In a tag only a quote after = opens a string.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+\"[^\"]*+(?:\"|\Z)|=\s*+'[^']*+(?:'|\Z)|[^>])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
@@ -42,39 +51,89 @@ _RAW = frozenset("script style".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
-class Block:
-    __slots__ = ("path", "text", "linked", "leaf")
+class _Hashed(dict):
+    def __init__(self, buckets: int) -> None:
+        super().__init__()
+        self.buckets = buckets
+
+    def __missing__(self, part: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        found = self[part] = zlib.crc32(part.encode("utf-8", "replace")) % self.buckets
+        return found
 
-    def __init__(self, path: list[str], leaf: str) -> None:
-        self.path, self.leaf, self.text, self.linked = path, leaf, [], 0
 
+_path_bucket, _word_bucket = _Hashed(PATH_BUCKETS).__getitem__, _Hashed(WORD_BUCKETS).__getitem__
 
-def blocks(page: str | None) -> list[tuple[list[str], str, str, float]]:
-    """(path parts, leaf tag, text, share of linked characters) of every block with text, in page order."""
+
+#: Elements that an implied end tag may be looked for through, as inline ones are.
+_OPEN = frozenset("p td th dd dt".split())
+
+
+class _Stack:
+    """The open elements, with what a block needs of them kept per element, so that nothing is gone through again."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        #: distinct path buckets of all open block elements, whether a link is open, and the place of the innermost element that shuts others off
+        self.state: list[tuple[tuple[int, ...], bool, int, str]] = [((), False, -1, "")]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str, names: list[str]) -> None:
+        path, linked, wall, leaf = self.state[-1]
+        at = len(self.tags)
+        if tag not in _INLINE:
+            new = [b for b in dict.fromkeys(map(_path_bucket, [f"<{tag}", *names])) if b not in path]
+            path, leaf = (*path, *new) if new else path, tag
+            wall = wall if tag in _OPEN else at
+        self.state.append((path, linked or tag == "a", wall, leaf))
+        self.tags.append(tag)
+        self.places.setdefault(tag, []).append(at)
+
+    def cut(self, at: int) -> None:
+        """End the element at a place and all that are open in it."""
+        while len(self.tags) > at:
+            self.places[self.tags.pop()].pop()
+            self.state.pop()
+
+    def close(self, tag: str) -> None:
+        if self.places.get(tag):
+            self.cut(self.places[tag][-1])
+
+    def imply(self, ends: set[str]) -> None:
+        """End the innermost of the named elements, if nothing shuts it off."""
+        at = max((self.places[e][-1] for e in ends if self.places.get(e)), default=-1)
+        if at >= 0 and at >= self.state[-1][2]:
+            self.cut(at)
+
+
+def blocks(page: str | None) -> list[tuple[tuple[int, ...], str, str, float]]:
+    """(buckets of the path's parts, leaf tag, text, share of linked characters) of every block with text, in page order."""
     page = page or ""
-    stack: list[tuple[str, list[str]]] = []
-    out: list[tuple[list[str], str, str, float]] = []
-    now: Block | None = None
+    stack = _Stack()
+    out: list[tuple[tuple[int, ...], str, str, float]] = []
+    path, leaf, parts, linked = (), "", [], 0
 
     def add(raw: str) -> None:
-        nonlocal now
-        if now is None:
+        nonlocal path, leaf, linked
+        top = stack.state[-1]
+        if not parts:
             if not raw.strip():
                 return
-            inner = [(t, n) for t, n in stack if t not in _INLINE]
-            now = Block([p for t, n in inner for p in (f"<{t}", *n)], inner[-1][0] if inner else "")
-        now.text.append(raw)
-        if any(t == "a" for t, _ in stack):
-            now.linked += len(raw)
+            path, leaf = top[0], top[3]
+        parts.append(raw)
+        if top[1]:
+            linked += len(raw)
 
     def end() -> None:
-        nonlocal now
-        if now is not None:
-            raw = "".join(now.text)
+        nonlocal linked
+        if parts:
+            raw = "".join(parts)
             text = " ".join(html.unescape(raw).split())
             if text:
-                out.append((now.path, now.leaf, text, now.linked / max(len(raw), 1)))
-            now = None
+                out.append((path, leaf, text, linked / max(len(raw), 1)))
+            parts.clear()
+            linked = 0
 
     at, size = 0, len(page)
     while at < size:
@@ -97,42 +156,18 @@ def blocks(page: str | None) -> list[tuple[list[str], str, str, float]]:
         if tag not in _INLINE:
             end()
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            stack.close(tag)
             continue
         if tag in _VOID:
             continue
         if tag not in _INLINE:
-            ends = _CLOSES.get(tag, {"p"})
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    del stack[k:]
-                    break
-                if stack[k][0] not in _INLINE and stack[k][0] not in ("p", "td", "th", "dd", "dt"):
-                    break
+            stack.imply(_CLOSES.get(tag, {"p"}))
         names = [x for n in _NAMES.finditer(m[3]) for x in _PART.findall(_CAMEL.sub(" ", n[1] or n[2] or n[3] or "").lower())] if m[3] else []
-        stack.append((tag, [f".{x}" for x in names if not x.isdigit()]))
+        stack.push(tag, [f".{x}" for x in names if not x.isdigit()])
     end()
     return out
 
 
-class _Hashed(dict):
-    def __init__(self, buckets: int) -> None:
-        super().__init__()
-        self.buckets = buckets
-
-    def __missing__(self, part: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        found = self[part] = zlib.crc32(part.encode("utf-8", "replace")) % self.buckets
-        return found
-
-
-_path_bucket, _word_bucket = _Hashed(PATH_BUCKETS), _Hashed(WORD_BUCKETS)
-
-
 @dataclass
 class Inputs:
     """The blocks of several pages, one after another: ids with the blocks they belong to, numbers, and blocks per page."""
@@ -145,18 +180,23 @@ class Inputs:
     lengths: np.ndarray
 
     @classmethod
-    def of(cls, pages: list[list[tuple[list[str], str, str, float]]]) -> Inputs:
+    def of(cls, pages: list[list[tuple[tuple[int, ...], str, str, float]]]) -> Inputs:
         path, path_n, word, word_n, numbers = [], [], [], [], []
         for page in pages:
+            # the share of a page's text that stands in blocks of one path
+            mass = Counter()
+            for parts, leaf, text, _ in page:
+                mass[parts, leaf] += len(text)
+            total = mass.total()
             for k, (parts, leaf, text, linked) in enumerate(page):
-                ids = [_path_bucket[p] for p in dict.fromkeys([*parts, f"leaf {leaf}"])]
+                ids = [*parts, _path_bucket(f"leaf {leaf}")]
                 n = len(words := text.lower().split())
                 words = dict.fromkeys(words)
                 path += ids
                 path_n.append(len(ids))
-                word += map(_word_bucket.__getitem__, words)
+                word += map(_word_bucket, words)
                 word_n.append(len(words))
-                numbers.append((np.log1p(n) / 3, linked, float(text[-1] in ".!?\"”"), float("©" in text or "copyright" in text.lower()), min(1, 10 / n), k / len(page), float(k == 0), min(3, sum(map(text.count, ",.;")) / n * 4)))
+                numbers.append((np.log1p(n) / 3, linked, float(text[-1] in ".!?\"”"), float("©" in text or "copyright" in text.lower()), min(1, 10 / n), k / len(page), float(k == 0), min(3, sum(map(text.count, ",.;")) / n * 4), mass[parts, leaf] / total))
         n = len(numbers)
         return cls(
             np.array(path, np.int64), np.repeat(np.arange(n), path_n).astype(np.int64), np.array(word, np.int64), np.repeat(np.arange(n), word_n).astype(np.int64),
@@ -183,7 +223,7 @@ class Labeller:
         for d in "fb":
             w |= {f"{d}x": (WIDTH, 4 * HIDDEN), f"{d}h": (HIDDEN, 4 * HIDDEN), f"{d}b": (4 * HIDDEN,)}
         w |= {"out": (2 * HIDDEN + WIDTH, 1), "out_b": (1,)}
-        self.w = {k: np.zeros(s) if len(s) == 1 else rng.normal(0, 0.05 if k == "word" else 0.3, s) for k, s in w.items()}
+        self.w = {k: np.zeros(s) if len(s) == 1 else rng.normal(0, 0.05 if k in ("path", "word") else 0.3, s) for k, s in w.items()}
         for d in "fb":
             self.w[f"{d}b"][HIDDEN : 2 * HIDDEN] = 1  # remember at first
 
@@ -272,140 +312,232 @@ def _cell(gates: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, tup
     return new, o * np.tanh(new), (a, f, o, u)
 
 
-# Pages to train on.  Names that are common on the web for each part of a page.
-_MAIN = ["article", "main", "div.content", "div.post", "div.entry-content", "section.article-body", "div#main", "div.story", "div.text", "article.post", "div.post-body", "section", "div", "td.content", "div#content", "main.page", ""]
+# Pages to train on: names that are common on the web for each part of a page, and words that are common in it.
+_MAIN = ["article", "main", "main.page", "div.content", "div.post", "div.entry-content", "section.article-body", "div#main", "div.story", "div.text", "article.post", "div.post-body", "section", "div", "td.content", "div#content", "article.single"]
 _AROUND = {
-    "menu": ["nav", "nav.menu", "div.menu", "ul.navbar", "div#nav", "div.navigation", "div.breadcrumb", "div.topnav", "nav#main-nav", "div[menubar]"],
+    "menu": ["nav", "nav.menu", "div.menu", "ul.navbar", "div#nav", "div.navigation", "div.breadcrumb", "div.topnav", "nav#main-nav", "div[menubar]", "ol.breadcrumbs", "td.menu"],
     "header": ["header", "div.header", "div#header", "header.site-header", "div.masthead", "div.top-bar", "div#logo"],
     "footer": ["footer", "div.footer", "div#footer", "footer.site-footer", "div.copyright", "div.bottom", "div#colophon"],
-    "side": ["aside", "div.sidebar", "aside.widget", "div#sidebar", "div.related", "section.related-posts", "div.recommended", "div.tags", "div.share", "div.social", "ul.archive", "div.toc", "aside.author-bio", "div.pagination"],
+    "side": ["aside", "div.sidebar", "aside.widget", "div#sidebar", "div.related", "section.related-posts", "div.recommended", "div.tags", "div.share", "div.social", "ul.archive", "div.toc", "aside.author-bio", "div.pagination", "td.sidebar"],
     "notice": ["div.cookie", "div.notice", "div#cookie-banner", "div.alert", "div.consent", "div.gdpr", "div.popup", "div.modal", "noscript", "div.disclaimer", "section.newsletter", "div.subscribe", "div.paywall", "div.banner"],
     "ad": ["div.ad", "div.ads", "div.advert", "div.advertisement", "ins.adsbygoogle", "div#ad", "aside.sponsored", "div.promo", "div.ad-slot", "section.sponsor", "div.sponsored-content"],
     "form": ["form", "form.search", "form#login", "div.form", "form.subscribe", "fieldset"],
     "comments": ["div.comments", "section#comments", "div#disqus", "ol.comment-list", "div.comment", "section.reader-comments", "div.replies", "div.discussion", "section.comments", "div.responses"],
 }
-_PARTS = ["a", "e", "i", "o", "u", "an", "en", "st", "th", "re", "la", "mi", "to", "ka", "ber", "ou", "é", "ción", "sch", "er", "in", "pro"]
-
-
-def _words(rng: np.random.Generator, low: int, high: int, end: str = ".") -> str:
-    n = int(rng.integers(low, high))
-    made = ["".join(rng.choice(_PARTS, int(rng.integers(1, 4)))) for _ in range(n)]
-    if rng.random() < 0.03:
-        made = made[:1] * n
-    for k in range(len(made)):
-        if rng.random() < 0.1:
-            made[k] += rng.choice([",", ".", ";", "!", "***", "&amp;&amp;"])
-    return made[0].capitalize() + "".join(f" {w}" for w in made[1:]) + (end if rng.random() < 0.8 else "")
-
-
-def _wrap(kind: str, inner: str, rng: np.random.Generator) -> str:
-    if not kind:
-        return inner
-    m = re.fullmatch(r"(\w+)(?:([.#\[])([^\]]+)\]?)?", kind)
-    name = {".": "class", "#": "id", "[": "role"}.get(m[2] or "")
-    extra = f' {name}="{m[3]}{rng.choice(["", "", "", "-1", " box", " wide", " clearfix"]) if name == "class" else ""}"' if name else ""
-    return f"<{m[1]}{extra}>{inner}</{m[1]}>" + rng.choice(["", "\n", " "])
-
-
-def _around(part: str, rng: np.random.Generator) -> str:
-    """The markup of one part of a page that is no main text."""
-    link = lambda: f'<a href="/x">{_words(rng, 1, 5, "")}</a>'
-    if part in ("menu", "header", "side", "footer") and rng.random() < 0.7:
-        n = int(rng.integers(1, 8))
-        inner = rng.choice(["<ul>{}</ul>", "{}", "<h3>Related</h3><ul>{}</ul>" if part == "side" else "<ul>{}</ul>"]).format("".join(f"<li>{link()}</li>" for _ in range(n)))
-        if part == "footer":
-            inner = rng.choice(["&copy; ", "Copyright ", "<p>© "]) + _words(rng, 2, 9) + (inner if rng.random() < 0.4 else "")
-        if part == "header" and rng.random() < 0.5:
-            inner = f"<h1>{_words(rng, 1, 4, '')}</h1>" + inner
-    elif part == "form":
-        inner = f"<label>{_words(rng, 1, 4, ':')}</label><input name='q'><select><option>{_words(rng, 1, 3, '')}<option>{_words(rng, 1, 3, '')}</select><button>{_words(rng, 1, 3, '')}</button>" + (f"<p>{_words(rng, 3, 20)}</p>" if rng.random() < 0.4 else "")
-    elif part == "comments":
-        one = rng.choice(["<div class='comment'><b>{}</b><p>{}</p></div>", "<p>{1}</p>", "<li>{0}: {1}</li>", "<article class='comment'><h4>{}</h4><p>{}</p></article>"])
-        inner = (f"<h3>{_words(rng, 1, 3, '')}</h3>" if rng.random() < 0.5 else "") + "".join(one.format(_words(rng, 1, 3, ""), _words(rng, 3, 50)) for _ in range(int(rng.integers(1, 6))))
-    else:
-        inner = rng.choice(["{}", "<p>{}</p>", "<div>{}</div>", "<span>{}</span>"]).format(_words(rng, 2, 30))
-        if part == "notice" and rng.random() < 0.4:
-            inner += f"<button>{_words(rng, 1, 3, '')}</button>"
-    return _wrap(rng.choice(_AROUND[part]), inner, rng)
+_SAID = {
+    "menu": "home about contact news products services blog shop help login register search archive categories gallery forum start startseite kontakt anmelden suche accueil connexion recherche boutique inicio contacto buscar tienda skip content menu",
+    "header": "welcome official site online daily magazine logo slogan login search willkommen bienvenue bienvenido",
+    "footer": "copyright rights reserved terms privacy policy imprint sitemap powered impressum datenschutz mentions légales droits réservés derechos reservados aviso legal ©",
+    "side": "related popular latest recommended share tags trending more read also posts categories author follow tweet facebook teilen ähnliche articles similaires relacionados previous next page",
+    "notice": "cookies cookie accept consent privacy settings agree browser javascript enable subscribe newsletter continue akzeptieren accepter aceptar utilisons verwenden usamos we use this site your",
+    "ad": "advertisement sponsored anzeige publicité publicidad buy now sale offer discount free shipping order today deal save best price click here",
+    "form": "email password name username subscribe submit send message required phone remember forgot your address passwort nom correo",
+    "comments": "says reply comment comments wrote ago posted report thanks great agree lol kommentare antworten commentaires répondre comentarios responder user likes",
+}
+_SAID = {part: said.split() for part, said in _SAID.items()}
+_PLAIN = [
+    x.split()
+    for x in (
+        "the of and to in a is that it was for on as with by at from which this be not are or an had but were have there been their one all would they",
+        "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei",
+        "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec son cette ou elle",
+        "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este sí porque",
+    )
+]
+_FIRST, _NEXT, _LAST = "b c d f g h k l m n p r s t v br ch gr st tr".split(), "a e i o u ai ou é ä ó".split(), ["", "", "n", "r", "s", "t", "l", "nd", "ng"]
+
+
+class _Writer:
+    """Texts in one invented language, with a real one's little words."""
+
+    def __init__(self, rng: random.Random) -> None:
+        self.rng, self.plain = rng, rng.choice(_PLAIN)
+        self.noise, self.named = (0.7 if self.chance(0.06) else 0.03), self.chance(0.7)
+
+    def one(self, options: list):
+        return self.rng.choice(options)
+
+    def chance(self, share: float) -> bool:
+        return self.rng.random() < share
+
+    def word(self) -> str:
+        if self.chance(0.4):
+            return self.one(self.plain)
+        return "".join(self.one(_FIRST) + self.one(_NEXT) + self.one(_LAST) for _ in range(self.rng.randrange(1, 4)))
+
+    def text(self, low: int, high: int, part: str | None = None, end: str = ".") -> str:
+        """Words, of which those of a part of a page say what it is as often as not."""
+        said, noise = (_SAID[part] if part and self.chance(0.65) else None), self.chance(self.noise)
+        made = []
+        for _ in range(self.rng.randrange(low, high)):
+            w = self.one(said) if said and self.chance(0.6) else self.word()
+            if noise and self.chance(0.7):
+                w += self.one(["!!", "#", "~~", "$", "|", "%", "&amp;"])
+            made.append(w + (self.one([",", ".", ";", ":", "?"]) if self.chance(0.1) else ""))
+        return made[0].capitalize() + "".join(f" {w}" for w in made[1:]) + (end if self.chance(0.8) else "")
+
+    def wrap(self, kind: str, inner: str) -> str:
+        if not kind:
+            return inner
+        m = re.fullmatch(r"(\w+)(?:([.#\[])([^\]]+)\]?)?", kind)
+        tag, name = m[1], {".": "class", "#": "id", "[": "role"}.get(m[2] or "")
+        value = (m[3] or "") + (self.one(["", "", "", "-1", " box", " wide", " clearfix"]) if name == "class" else "")
+        if not self.named and self.chance(0.8):  # a name that says nothing, or none
+            tag, name, value = ("div" if tag in ("article", "main", "nav", "aside", "footer", "header") else tag), "class" if self.chance(0.7) else "", f"{self.word()}-{self.word()}"
+        return f"<{tag}" + (f' {name}="{value}"' if name else "") + f">{inner}</{tag}>" + self.one(["", "\n", " "])
+
+    def around(self, part: str) -> str:
+        """The markup of one part of a page that is no main text."""
+        link = lambda: f'<a href="/x">{self.text(1, 5, part, "")}</a>'
+        if part in ("menu", "header", "side", "footer") and self.chance(0.7):
+            n = self.rng.randrange(1, 9)
+            inner = self.one(["<ul>{}</ul>", "{}", "<ul>{}</ul>"]).format("".join(f"<li>{link()}</li>" for _ in range(n)) if self.chance(0.7) else self.one([" | ", " ", " &middot; "]).join(link() for _ in range(n)))
+            if part == "side" and self.chance(0.5):
+                inner = f"<h3>{self.text(1, 4, part, '')}</h3>{inner}"
+            if part == "footer":
+                inner = self.one(["&copy; ", "Copyright ", "<p>© ", ""]) + self.text(2, 12, part) + (inner if self.chance(0.4) else "")
+            if part == "header" and self.chance(0.5):
+                inner = f"<h1>{self.text(1, 4, part, '')}</h1>" + inner
+        elif part == "form":
+            inner = f"<label>{self.text(1, 4, part, ':')}</label><input name='q'><select><option>{self.text(1, 3, None, '')}<option>{self.text(1, 3, None, '')}</select><button>{self.text(1, 3, part, '')}</button>" + (f"<p>{self.text(3, 20, part)}</p>" if self.chance(0.4) else "")
+        elif part == "comments":
+            return self.comments()
+        else:
+            inner = self.one(["{}", "<p>{}</p>", "<div>{}</div>", "<span>{}</span>"]).format(self.text(2, 30, part))
+            if part == "notice" and self.chance(0.4):
+                inner += f"<button>{self.text(1, 3, part, '')}</button>"
+        return self.wrap(self.one(_AROUND[part]), inner)
+
+    def comments(self) -> str:
+        shape, mute = self.rng.randrange(5), self.wrap(self.one(_AROUND["comments"]), "\0").strip().split("\0")
+        inner = f"<h{shape % 3 + 2}>{self.text(1, 4, 'comments', '')}</h{shape % 3 + 2}>" if self.chance(0.6) else ""
+        for _ in range(self.rng.randrange(1, 7)):
+            who = f"{self.word().capitalize()} {self.word().capitalize()}" + self.one(["", " says:", " wrote:", ", 3 days ago", " 12:45", ":"])
+            what = self.text(3, 45, "comments" if self.chance(0.3) else None)
+            inner += [
+                f"<div class='comment'><b>{who}</b><p>{what}</p></div>", f"<div><span>{who}</span><div>{what}</div></div>", f"<li>{who} {what}</li>",
+                f"<article class='comment'><h4>{who}</h4><p>{what}</p><a href='#'>{self.one(_SAID['comments'])}</a></article>", f"<p><i>{who}</i><p>{what}</p>",
+            ][shape]
+        return mute[0] + inner + mute[1]
 
 
 #: Characters that mark main text while an invented page is built.
 _ON = "\ue000"
 
 
-def make_page(rng: np.random.Generator) -> tuple[list[tuple[list[str], str, str, float]], list[int]]:
+def make_page(rng: random.Random) -> tuple[list[tuple[tuple[int, ...], str, str, float]], list[int]]:
     """Blocks of an invented page and 1 for each that is main text."""
+    w = _Writer(rng)
+
+    def main(low: int, high: int, end: str = ".") -> str:
+        return _ON + w.text(low, high, None, end)
 
-    def main(text: str) -> str:
-        return f"{_ON}{text}"
-
-    body = []
-    for part in ("notice", "header", "menu", "ad", "form", "side"):
-        if rng.random() < (0.75 if part == "menu" else 0.35):
-            body.append(_around(part, rng))
-    rng.shuffle(body)
-    inner = []
-    title = f"<h1>{main(_words(rng, 1, 12, ''))}</h1>"
-    if rng.random() < 0.8:
-        inner.append(f"<header>{title}</header>" if rng.random() < 0.15 else title)
-    inside = rng.random() < 0.4
-    for _ in range(int(rng.integers(1, 14))):
-        text, kind = main(_words(rng, 1, 12) if rng.random() < 0.2 else _words(rng, 5, 60)), rng.random()
+    def paragraph() -> str:
+        kind, text = rng.random(), main(1, 12) if w.chance(0.15) else main(5, 70)
         if kind < 0.6:
-            inner.append(f"<p>{text}</p>")
-        elif kind < 0.72:
-            inner.append(f"<p><b>{text}<br>")
-        elif kind < 0.76:
-            inner.append(f"<h2>{text}</h2>")
-        elif kind < 0.8:
-            inner.append("<ul>" + "".join(f"<li>{main(_words(rng, 1, 15))}</li>" for _ in range(int(rng.integers(1, 5)))) + "</ul>")
-        elif kind < 0.84:
-            inner.append(f"<blockquote>{text}</blockquote>")
-        elif kind < 0.88:
-            inner.append(f'<p>{text} <a href="/y">{_words(rng, 1, 4, "")}</a> {_words(rng, 1, 9)}</p>')
-        elif kind < 0.91:
-            inner.append(f"<table><tr><td>{text}<td>{main(_words(rng, 1, 5))}</tr></table>")
-        elif kind < 0.95:
-            inner.append(f"<pre>{text}</pre>" if kind < 0.93 else f"<figure><figcaption>{text}</figcaption></figure>")
-        else:
-            inner.append(f"<div>{text}</div>")
-        if inside and rng.random() < 0.15:
-            inner.append(_around(rng.choice(["ad", "side", "notice", "form", "side"]), rng))
-    if rng.random() < 0.15:
-        inner.append(_around("comments", rng))
-    body.append(_wrap(rng.choice(_MAIN), "".join(inner), rng))
-    for part, share in (("comments", 0.3), ("side", 0.35), ("ad", 0.25), ("form", 0.15), ("notice", 0.2), ("footer", 0.75)):
-        if rng.random() < share:
-            body.append(_around(part, rng))
-    if rng.random() < 0.25:
-        body = [_wrap(rng.choice(["div.wrapper", "div#page", "div", "div.container"]), "".join(body), rng)]
-    head = f"<head><title>{_words(rng, 1, 9, '')}</title><style>p{{}}</style></head>" if rng.random() < 0.8 else ""
-    found = blocks(f"<html>{head}<body>{''.join(body)}</body></html>")
+            return f"<p>{text}" + w.one(["</p>", "</p>", "\n"])
+        if kind < 0.7:
+            return f"<div>{text}</div>"
+        if kind < 0.76:
+            return f"<h{rng.randrange(2, 5)}>{main(1, 9, '')}</h2>"
+        if kind < 0.8:
+            return "<ul>" + "".join(f"<li>{main(1, 15)}" + w.one(["", "</li>"]) for _ in range(rng.randrange(1, 6))) + "</ul>"
+        if kind < 0.84:
+            return f"<blockquote>{text}</blockquote>"
+        if kind < 0.88:
+            return f'<p>{text} <a href="/y">{w.text(1, 4, None, "")}</a> {w.text(1, 9)}</p>'
+        if kind < 0.92:
+            return "<table>" + "".join(f"<tr><td>{main(1, 5, '')}<td>{main(1, 9, '')}</tr>" for _ in range(rng.randrange(1, 4))) + "</table>"
+        if kind < 0.95:
+            return w.one([f"<pre>{text}</pre>", f"<figure><figcaption>{text}</figcaption></figure>", f"<dl><dt>{main(1, 4, '')}<dd>{text}</dl>"])
+        return f"{text}<br>{main(4, 40)}<br><br>"
+
+    some, inner = rng.random(), []
+    if some < 0.05:  # a bare text
+        page = "\n".join(main(3, 60) for _ in range(rng.randrange(1, 6)))
+    elif some < 0.13:  # paragraphs and nothing else
+        page = "".join(paragraph() for _ in range(rng.randrange(1, 7)))
+        page = w.wrap(w.one(_MAIN), page) if w.chance(0.5) else page
+    else:
+        body = [w.around(part) for part in ("notice", "header", "menu", "ad", "form", "side") if w.chance(0.75 if part == "menu" else 0.35)]
+        rng.shuffle(body)
+        if w.chance(0.8):
+            title = f"<h1>{main(1, 14, '')}</h1>"
+            inner.append(f"<header>{title}</header>" if w.chance(0.1) else title)
+        inside = w.chance(0.35)
+        for _ in range(rng.randrange(1, 14)):
+            inner.append(paragraph())
+            if inside and w.chance(0.15):
+                inner.append(w.around(w.one(["ad", "side", "notice", "form"])))
+        if w.chance(0.15) and w.named:
+            inner.append(w.comments())
+        before = w.chance(0.06)  # comments that come before the article
+        if before:
+            body.append(w.comments())
+        body.append(w.wrap(w.one(_MAIN), "".join(inner)) if w.chance(0.9) else "".join(inner))
+        for part, share in (("comments", 0 if before else 0.3), ("side", 0.35), ("ad", 0.25), ("form", 0.15), ("notice", 0.2), ("footer", 0.75)):
+            if w.chance(share):
+                body.append(w.around(part))
+        if w.chance(0.3):
+            body = [w.wrap(w.one(["div.wrapper", "div#page", "div", "div.container", "table", "center"]), "".join(body))]
+        head = f"<head><title>{w.text(1, 9, None, '')}</title></head>" if w.chance(0.8) else ""
+        page = f"<html>{head}<body>{''.join(body)}</body></html>"
+    found = blocks(page)
     return [(a, b, t.replace(_ON, "").strip() or ".", d) for a, b, t, d in found], [int(_ON in t) for _, _, t, _ in found]
 
 
+#: Invented pages that the labeller is trained on, and how often it sees each.
+TRAINING_PAGES, PASSES = 3000, 6
+
+
 @lru_cache(maxsize=2)
-def train(pages: int = 1500, passes: int = 7, seed: int = 11) -> Labeller:
+def train(pages: int = TRAINING_PAGES, passes: int = PASSES, seed: int = 11) -> Labeller:
     """Fit a labeller to invented pages with Adam; the same seed gives the same weights."""
-    rng = np.random.default_rng(seed)
-    made = [make_page(rng) for _ in range(pages)]
-    net, size, t = Labeller(), 32, 0
+    source = random.Random(seed)
+    made = [p for p in (make_page(source) for _ in range(pages)) if p[0]]
+    size, t = 32, 0
+    parts = [made[at : at + size] for at in range(0, len(made), size)]
+    parts = [(Inputs.of([p for p, _ in part]), np.array([y for _, gold in part for y in gold], float)) for part in parts]
+    net, rng = Labeller(), np.random.default_rng(seed)
     m, s = ({k: np.zeros_like(a) for k, a in net.w.items()} for _ in range(2))
     for one in range(passes):
-        order = rng.permutation(pages)
-        for at in range(0, pages, size):
-            part = [made[i] for i in order[at : at + size]]
-            _, g = net.gradients(Inputs.of([p for p, _ in part]), np.array([y for _, gold in part for y in gold], float))
+        for i in rng.permutation(len(parts)):
+            _, g = net.gradients(*parts[i])
             t += 1
             rate = 0.01 * (1 - 0.9 * one / passes)
+            x = parts[i][0]
             for k, a in net.w.items():
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                s[k] = 0.99 * s[k] + 0.01 * g[k] ** 2
-                a -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.99**t)) + 1e-8)
+                # of the hashed vectors only those that the batch has are moved
+                at = np.unique(x.path) if k == "path" else np.unique(x.word) if k == "word" else slice(None)
+                m[k][at] = 0.9 * m[k][at] + 0.1 * g[k][at]
+                s[k][at] = 0.99 * s[k][at] + 0.01 * g[k][at] ** 2
+                a[at] -= rate * (m[k][at] / (1 - 0.9**t)) / (np.sqrt(s[k][at] / (1 - 0.99**t)) + 1e-8)
     net.w = {k: a.astype(np.float32) for k, a in net.w.items()}
     return net
 
 
+_WEIGHTS = "name string, shape array<int>, numbers binary"
+
+
+def model(spark: SparkSession) -> Labeller:
+    """The trained labeller from the shared folder; trained and stored there if it lacks one of this module's present text."""
+    with open(__file__, "rb") as f:
+        path = f"{shared_dir(spark)}/panelforge-models/html-{hashlib.sha256(f.read()).hexdigest()}"
+    try:
+        rows = spark.read.schema(_WEIGHTS).parquet(path).collect()  # a dozen rows of bounded size
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        rows = []
+    net = Labeller()
+    if {r["name"] for r in rows} >= net.w.keys():
+        net.w = {r["name"]: np.frombuffer(r["numbers"], np.float32).reshape(r["shape"]) for r in rows}
+        return net
+    net = train()
+    spark.createDataFrame([(k, list(a.shape), bytearray(a.tobytes())) for k, a in net.w.items()], _WEIGHTS).coalesce(1).write.mode("overwrite").parquet(path)
+    return net
+
+
 def main_texts(net: Labeller, pages: list[str | None]) -> list[str]:
     """The main text of each page: its main blocks joined by one space."""
     found = [blocks(p) for p in pages]
@@ -421,10 +553,11 @@ def extract(pages: DataFrame, net: Labeller, keep: list[str] | None = None, html
     """``keep`` columns with ``text`` (empty if there is none) and ``n_chars`` (its code points, long) for every page.
 
     Null and empty pages have an empty text; one without any tag is a single
-    block.  Rows are read one by one, repeated ones too; other columns are
-    ignored.
+    block.  Pages of any length and depth are read whole.  Rows are read one
+    by one, repeated ones too; other columns are ignored, and one of ``keep``
+    that is named like a result gives way to it.
     """
-    keep = ["page_id", "url"] if keep is None else keep
+    keep = without(["page_id", "url"] if keep is None else keep, "text", "n_chars")
     rows = pages.select(*keep, pages[html].alias("__html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

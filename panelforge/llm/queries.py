@@ -59,7 +59,7 @@ def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.extract(table(spark, sf_dir, "pages"), html.train())
+    return html.extract(table(spark, sf_dir, "pages"), html.model(spark))
 
 
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,12 +3,14 @@
 import html as entities
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from panelforge.llm import html, langid, quality, queries, rules
+from tests.llm import pages
 from tests.llm.conftest import prose
 
 SF = "/root/testdata/sf0.01"
@@ -264,9 +266,9 @@ def test_stray_quotes_open_no_string():
 
 
 def test_gradients_are_differences():
-    rng, net = np.random.default_rng(0), html.Labeller()
-    pages = [html.make_page(rng) for _ in range(2)]
-    x, y = html.Inputs.of([p for p, _ in pages]), np.array([v for _, g in pages for v in g], float)
+    rng, net = random.Random(0), html.Labeller()
+    made = [html.make_page(rng) for _ in range(2)]
+    x, y = html.Inputs.of([p for p, _ in made]), np.array([v for _, g in made for v in g], float)
     _, g = net.gradients(x, y)
     for name, slope in g.items():
         at = np.unravel_index(np.abs(slope).argmax(), slope.shape)
@@ -279,29 +281,51 @@ def test_gradients_are_differences():
 
 
 def test_pages_of_the_driver_and_other_layouts(spark, sf):
-    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    table = spark.read.parquet(f"{SF}/pages.parquet")
 
     def article(page):
         inner = re.sub(r"</?(p|h1|br)>", " ", re.search(r"<article>(.*?)</article>", page, re.S)[1])
         return " ".join(entities.unescape(re.sub(r"<[^>]*>", "", inner)).split())
 
     got = {r["page_id"]: r for r in queries.op8_html(spark, SF).collect()}
-    right = [got[r["page_id"]]["text"] == article(r["html"]) for r in pages.collect()]
+    right = [got[r["page_id"]]["text"] == article(r["html"]) for r in table.collect()]
     assert sum(right) / len(right) > 0.98 and all(r["n_chars"] == len(r["text"]) for r in got.values())
-    rng, net = np.random.default_rng(99), html.train()
-    made = [html.make_page(rng) for _ in range(200)]
+    rng, net = random.Random(99), html.model(spark)
+    made = [x for x in (html.make_page(rng) for _ in range(200)) if x[0]]
     p = net.probabilities(html.Inputs.of([b for b, _ in made])) >= 0.5
-    assert (p == np.array([v for _, g in made for v in g], bool)).mean() > 0.99
+    assert (p == np.array([v for _, g in made for v in g], bool)).mean() > 0.98
     text = "Long words of a story that goes on for a while, and then ends."
     page = f'<body><header><a href=/>Home</a></header><div class="cookie-notice">We use cookies</div><main><h1>Title of it</h1><p>{text}</p><p>{text}</p></main><section class="comments"><p>nice</p></section><footer>© us</footer></body>'
     assert html.main_texts(net, [page]) == [f"Title of it {text} {text}"]
 
 
+def test_pages_written_by_hand(spark):
+    net = html.model(spark)
+    found = pages.by_part(lambda x: html.main_texts(net, x))
+    print(found)
+    right, n = (sum(v[k] for part, v in found.items() if part != "main") for k in (0, 1))
+    assert found["main"][0] >= 0.95 * found["main"][1] and right >= 0.9 * n
+
+
+def test_deep_pages_take_linear_time():
+    for page, n in (("<div>x" * 100_000, 100_000), ("<b>" * 50_000 + "<h1>x</h1>" * 50_000, 50_000), ("<div>" * 50_000 + "</p></foo>" * 100_000, 0), ("<p><i>" * 30_000 + "<li>y" * 30_000, 30_000)):
+        start = time.process_time()
+        assert len(html.blocks(page)) == n and time.process_time() - start < 4
+
+
+def test_weights_are_trained_once(spark, monkeypatch):
+    net = html.model(spark)
+    monkeypatch.setattr(html, "train", None)
+    again = html.model(spark)
+    assert all((again.w[k] == a).all() for k, a in net.w.items())
+
+
 def test_html_odd_cases(spark, odd):
     frame = odd.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"), "text", "n_chars")
-    rows = html.extract(frame, html.train()).collect()
+    rows = html.extract(frame, html.model(spark)).collect()
+    assert html.extract(frame, html.model(spark), ["page_id", "text", "n_chars"]).columns == ["page_id", "text", "n_chars"]
     assert len(rows) == odd.count() and sum(r["n_chars"] == 0 for r in rows) >= 4
-    assert html.extract(frame.where("false"), html.train()).count() == 0
+    assert html.extract(frame.where("false"), html.model(spark)).count() == 0
 
 
 def test_all_operators_are_registered():
