@@ -33,6 +33,8 @@ RULES = [
 ]
 #: The native prefilter.
 PREFILTER = "|".join(holds for *_, holds in RULES)
+#: Most blob hashes that are broadcast.
+BROADCAST_BLOBS = 100_000
 #: To be raised with every change of the rules.
 RULE_VERSION = "1"
 
@@ -67,10 +69,13 @@ def unseen(versions: DataFrame, ledger: DataFrame | None, text: str = "text") ->
     whole = _whole(versions, text)
     blobs = versions.select(F.sha2(whole, 256).alias("blob"), whole.alias("text"))
     if ledger is not None:
-        # hashes alone tell what is new, so no text of a known version is moved
         done = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob")
-        new = written(blobs.select("blob").distinct().join(done, "blob", "left_anti"), "secret-new")
-        blobs = blobs.join(sized(new), "blob", "left_semi")
+        if done.count() <= BROADCAST_BLOBS:
+            blobs = blobs.join(F.broadcast(done), "blob", "left_anti")
+        else:
+            # hashes alone tell what is new; no text of a known version is moved if that is little
+            new = written(blobs.select("blob").distinct().join(done, "blob", "left_anti"), "secret-new")
+            blobs = blobs.join(sized(new, BROADCAST_BLOBS), "blob", "left_semi")
     suspects = blobs.select("blob", F.when(F.col("text").rlike(PREFILTER), F.col("text")).alias("text"))
     return suspects.groupBy("blob").agg(F.min("text").alias("text")).mapInArrow(_scan, LEDGER)
 

@@ -117,7 +117,7 @@ def test_secrets_are_scanned_once_per_blob(spark):
     assert secrets.unseen(calls, ledger).count() == 1 and secrets.unseen(first, ledger).count() == 0 and secrets.unseen(first, other).count() == 6
 
 
-def test_ledger_table_grows_by_what_is_new(spark, documents, tmp_path):
+def test_ledger_table_grows_by_what_is_new(spark, documents, tmp_path, monkeypatch):
     ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
     half = documents.where("doc_id % 2 = 0")
     few = {r["doc_id"]: r["spans"] for r in ledger.scan(half).collect()}
@@ -127,6 +127,11 @@ def test_ledger_table_grows_by_what_is_new(spark, documents, tmp_path):
     assert few.items() <= every.items() and ledger.read().count() == documents.select("text").distinct().count() > n
     assert every == {r["doc_id"]: r["spans"] for r in secrets.scan(documents)[0].collect()}
     assert secrets.unseen(documents, ledger.read()).count() == 0
+    for most in (n - 1, -1):  # the new hashes are broadcast; nothing is
+        monkeypatch.setattr(secrets, "BROADCAST_BLOBS", most)
+        ledger = secrets.Ledger(spark, str(tmp_path / f"ledger{most}"))
+        ledger.scan(half)
+        assert every == {r["doc_id"]: r["spans"] for r in ledger.scan(documents).collect()} and secrets.unseen(half, ledger.read()).count() == 0
 
 
 def brute_spans(text):
