@@ -7,6 +7,7 @@ the choice does not depend on partitioning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,10 +46,19 @@ def quarantine(rows: DataFrame, month: str, source: str = "staging", keys: list[
     Null against a value is no conflict.  ``source`` is ``staging`` or ``retained``.
     """
     keys = keys or ["cnpj_basico"]
-    counts = rows.groupBy(*keys).agg(*[F.count_distinct(f).alias(f"n_{f}") for f in fields])
+    # least and greatest value tell which keys are in conflict, in one partial aggregation; only the rows of those few are counted
+    held = rows.groupBy(*keys).agg(*[_spread(f) for f in fields]).where(_in_conflict(fields)).select(*keys)
+    counts = rows.join(held, keys, "left_semi").groupBy(*keys).agg(*[F.count_distinct(f).alias(f"n_{f}") for f in fields])
     parts = [F.when(F.col(f"n_{f}") > 1, F.concat(F.lit(f"{f} ("), F.col(f"n_{f}").cast("string"), F.lit(") "))).otherwise("") for f in fields]
-    conflict = F.greatest(*[F.col(f"n_{f}") for f in fields], F.lit(0)) > 1
-    return counts.where(conflict).select(*keys, F.concat(F.lit(f"Conflict in {source} company fields: "), *parts).alias("motivo"), F.lit(month).alias("reference_month"))
+    return counts.select(*keys, F.concat(F.lit(f"Conflict in {source} company fields: "), *parts).alias("motivo"), F.lit(month).alias("reference_month"))
+
+
+def _spread(f: str) -> Column:
+    return F.struct(F.min(f).alias("least"), F.max(f).alias("most")).alias(f"__{f}")
+
+
+def _in_conflict(fields: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.coalesce(F.col(f"__{f}.least") != F.col(f"__{f}.most"), F.lit(False)) for f in fields], F.lit(False))
 
 
 def merge_duplicates(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -59,7 +69,6 @@ def merge_duplicates(rows: DataFrame, keys: list[str], columns: list[str]) -> Da
 def resolve_companies(rows: DataFrame, keys: list[str] | None = None, fields: list[str] = COMPANY_FIELDS, names: list[str] | None = None) -> DataFrame:
     """One row per company: merged, and with null fields where its rows are in conflict; its name is merged in any case."""
     keys, names = keys or ["cnpj_basico"], ["razao_social"] if names is None else names
-    # conflict and merge come from the same grouping: one shuffle
-    merged = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in [*names, *fields]], *[F.count_distinct(f).alias(f"n_{f}") for f in fields])
-    clean = F.greatest(*[F.col(f"n_{f}") for f in fields], F.lit(0)) <= 1
-    return merged.select(*keys, *names, *[F.when(clean, F.col(f)).alias(f) for f in fields])
+    # conflict and merge come from the same grouping: one shuffle, and no row is expanded
+    merged = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names], *[_spread(f) for f in fields])
+    return merged.select(*keys, *names, *[F.when(~_in_conflict(fields), F.col(f"__{f}.most")).alias(f) for f in fields])

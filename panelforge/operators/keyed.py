@@ -16,8 +16,11 @@ def upsert(rows: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def insert_ignore(rows: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows, and of the new ones those whose key is not there yet."""
-    return rows.unionByName(new.dropDuplicates(keys).join(rows.select(*keys), keys, "left_anti").select(*rows.columns))
+    """Rows, and of the new ones those whose key is not there yet; of several new ones with a key the first by all other columns."""
+    missing = new.select(*rows.columns).join(rows.select(*keys), keys, "left_anti")
+    others = [c for c in rows.columns if c not in keys]
+    first = missing.groupBy(*keys).agg(F.min(F.struct(*[x for c in others for x in (F.col(c).isNull().alias(f"{c}__null"), F.col(c))])).alias("__first")) if others else missing.distinct()
+    return rows.unionByName(first.select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c) for c in rows.columns]))
 
 
 def delete_keys(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:

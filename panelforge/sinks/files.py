@@ -38,6 +38,32 @@ def write_csv(rows: DataFrame, path: str, headers: list[str] | None = None, orde
     (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, header=True)
 
 
+def append_row(spark: SparkSession, path: str, schema: str, row: tuple) -> None:
+    """Add one row to a small table; it is there as a whole or not at all."""
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, or no rows if nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def mark_complete(spark: SparkSession, landing: str, month: str, n_rows: int) -> None:
+    """Say that all files of a month are in ``landing/data``, and how many rows they have."""
+    spark.createDataFrame([(month, n_rows)], "reference_month string, n_rows long").coalesce(1).write.mode("append").json(f"{landing}/complete")
+
+
+def land_month(rows: DataFrame, landing: str, month: str) -> None:
+    """Write a month's rows to ``landing/data`` and mark it complete."""
+    rows.withColumn("reference_month", F.lit(month)).write.mode("append").parquet(f"{landing}/data")
+    mark_complete(rows.sparkSession, landing, month, rows.count())
+
+
 class KeyedTable:
     """A table that is rewritten as a whole: each version is a folder of its own, and counts once it is in the manifest.
 
@@ -48,12 +74,7 @@ class KeyedTable:
         self.spark, self.root = spark, root
 
     def version(self) -> int:
-        try:
-            return self.spark.read.schema("version int").parquet(f"{self.root}/manifest").agg(F.max("version")).first()[0] or 0
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return 0
-            raise
+        return read_or_empty(self.spark, f"{self.root}/manifest", "version int").agg(F.max("version")).first()[0] or 0
 
     def read(self, default: DataFrame | None = None) -> DataFrame:
         n = self.version()
@@ -66,7 +87,7 @@ class KeyedTable:
     def write(self, rows: DataFrame) -> int:
         n = self.version() + 1
         rows.write.mode("overwrite").parquet(f"{self.root}/version={n}")
-        self.spark.createDataFrame([(n,)], "version int").coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        append_row(self.spark, f"{self.root}/manifest", "version int", (n,))
         return n
 
     def change(self, how: Callable[[DataFrame], DataFrame], default: DataFrame | None = None) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -9,16 +10,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset, as in local tests, a temporary folder that is set here."""
+    """``spark.checkpoint.dir`` of the session; where it is unset and the master is local, a temporary folder that is set here.
+
+    A cluster without that setting is refused, as its executors share no local folder.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelforge-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which is removed when the driver process ends."""
+    path = f"{shared_dir(spark)}/panelforge-core/{name}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it and the session are still there."""
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # noqa: BLE001  at the end of the process nothing is left to be told
+        pass
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that its lineage ends here."""
-    path = f"{shared_dir(df.sparkSession)}/panelforge-core/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` to the shared folder and read it back, so that its lineage ends here; it is removed when the driver process ends."""
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

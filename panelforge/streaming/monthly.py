@@ -1,12 +1,14 @@
-"""Monthly change detection as a stream of dump files.
+"""Monthly change detection: one table, all tables of the registry, and the stream that drives them.
 
-Each micro-batch is what landed since the last one, month by month.  The
-stream's checkpoint remembers the files, the run table the months: a month
-that ended well is not run again.
+A month's ledger and overlay are written into a folder of the attempt's own,
+and count once one row of the run table names that folder.  The state a month
+is compared with is always that of the last month before it that ended well,
+so a run that breaks off anywhere leaves nothing behind that a re-run sees.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -16,10 +18,16 @@ from pyspark.sql import types as T
 
 from panelforge.operators.cdc import apply_events, count_events, detect
 from panelforge.operators.checks import require_rows
-from panelforge.schemas import TableSpec
-from panelforge.sinks.files import KeyedTable
+from panelforge.operators.dedup import dedup_establishments, dedup_fiscal, quarantine, resolve_companies
+from panelforge.operators.keyed import upsert
+from panelforge.operators.summary import partner_summary
+from panelforge.schemas import SPECS, TableSpec
+from panelforge.sinks.files import KeyedTable, append_row, read_or_empty, write_side_outputs
 
-RUNS = "month string, tabela string, status string, inserts long, updates long, deletes long, finished timestamp"
+RUNS = "month string, tabela string, status string, inserts long, updates long, deletes long, folder string, finished timestamp"
+MARKER = "reference_month string, n_rows long"
+#: What makes a table's dump of a month one row per key.
+DEDUP = {"empresa": resolve_companies, "estabelecimento": dedup_establishments, "socios": partner_summary, "simples": dedup_fiscal}
 
 
 def empty_overlay(spark: SparkSession, schema: T.StructType, spec: TableSpec) -> DataFrame:
@@ -27,48 +35,124 @@ def empty_overlay(spark: SparkSession, schema: T.StructType, spec: TableSpec) ->
     return spark.createDataFrame([], columns)
 
 
+class Runs:
+    """The run table: a row is added for every attempt, and the last one of a month counts."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame:
+        rows = read_or_empty(self.spark, self.path, RUNS)
+        return rows.groupBy("month", "tabela").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("month", "tabela")]), "finished").alias("r")).select("month", "tabela", "r.*")
+
+    def note(self, month: str, table: str, status: str, counts: tuple[int, int, int] = (0, 0, 0), folder: str | None = None) -> None:
+        append_row(self.spark, self.path, RUNS, (month, table, status, *counts, folder, datetime.now()))
+
+    def folders(self) -> dict[str, str | None]:
+        """Folder of each month that ended well, oldest first."""
+        return {r["month"]: r["folder"] for r in self.read().where("status = 'SUCCESS'").orderBy("month").collect()}  # months, not data
+
+
 class MonthlyChanges:
-    """Runs change detection of one table month by month: ledger, overlay and run table under ``root``."""
+    """Runs change detection of one table month by month; everything is kept under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, baseline: DataFrame, dedup: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
         self.spark, self.root, self.spec, self.baseline, self.dedup = spark, root, spec, baseline, dedup
-        self.overlay, self.runs = KeyedTable(spark, f"{root}/overlay"), KeyedTable(spark, f"{root}/runs")
-
-    def _note(self, month: str, status: str, counts: tuple[int, int, int] = (0, 0, 0)) -> None:
-        row = self.spark.createDataFrame([(month, self.spec.name, status, *counts, datetime.now())], RUNS)
-        self.runs.change(lambda rows: rows.where(F.col("month") != month).unionByName(row), self.spark.createDataFrame([], RUNS))
+        self.runs = Runs(spark, f"{root}/runs")
 
     def done(self, month: str) -> bool:
-        rows = self.runs.read(self.spark.createDataFrame([], RUNS))
-        return not rows.where((F.col("month") == month) & (F.col("status") == "SUCCESS")).isEmpty()
+        return month in self.runs.folders()
+
+    def overlay(self, before: str | None = None) -> DataFrame:
+        """The overlay after the last month that ended well, or the last one before a month."""
+        found = [folder for month, folder in self.runs.folders().items() if before is None or month < before]
+        return self.spark.read.parquet(f"{found[-1]}/overlay") if found else empty_overlay(self.spark, self.baseline.schema, self.spec)
+
+    def ledger(self) -> DataFrame:
+        """Events of all months that ended well."""
+        folders = self.runs.folders().values()
+        if not folders:
+            raise LookupError(f"{self.root} has no month")
+        return self.spark.read.parquet(*[f"{x}/ledger" for x in folders])
 
     def run(self, staging: DataFrame, month: str) -> bool:
-        """Detect and apply one month; False if it was done before.  A failure is noted and raised, and leaves the overlay as it was."""
-        if self.done(month):
+        """Detect and apply one month; False if it was done before.
+
+        A failure is noted and raised.  Months go forward: one that is older
+        than a month that ended well is refused.
+        """
+        folders = self.runs.folders()
+        if month in folders:
             return False
         try:
+            if folders and max(folders) > month:
+                raise ValueError(f"{month} of {self.spec.name} is older than {max(folders)}, which ended well")
             rows = self.dedup(require_rows(staging, f"{self.spec.name} of {month}"))
-            latest = self.overlay.read(empty_overlay(self.spark, self.baseline.schema, self.spec))
-            path = f"{self.root}/ledger/mes_referencia={month}"
-            detect(rows, latest, self.baseline, self.spec, month).drop("mes_referencia").write.mode("overwrite").parquet(path)
-            events = self.spark.read.parquet(path).withColumn("mes_referencia", F.lit(month))
-            self.overlay.write(apply_events(latest, events, self.spec))
+            folder, latest = f"{self.root}/attempts/{month}-{uuid.uuid4().hex}", self.overlay(month)
+            detect(rows, latest, self.baseline, self.spec, month).write.parquet(f"{folder}/ledger")
+            events = self.spark.read.parquet(f"{folder}/ledger")
+            apply_events(latest, events, self.spec).write.parquet(f"{folder}/overlay")
             counted = count_events(events).first()
-            self._note(month, "SUCCESS", (counted["inserts"], counted["updates"], counted["deletes"]) if counted else (0, 0, 0))
+            self.runs.note(month, self.spec.name, "SUCCESS", (counted["inserts"], counted["updates"], counted["deletes"]) if counted else (0, 0, 0), folder)
         except Exception:
-            self._note(month, "FAILED")
+            self.runs.note(month, self.spec.name, "FAILED")
             raise
         return True
 
-    def ledger(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/ledger")
+    def follow(self, landing: str) -> None:
+        """Process all months whose marker has landed (see ``sinks.files.mark_complete``), oldest first, and stop.
+
+        The stream is one of markers, and its checkpoint remembers them.  A
+        month is read as a whole from ``landing/data`` when its marker comes;
+        if the rows are not as many as the marker says, the month fails and is
+        tried again by the next call.  Without its marker a month waits.
+        """
+
+        def batch(markers: DataFrame, _: int) -> None:
+            for row in markers.distinct().orderBy("reference_month").collect():  # months, not data
+                month, expected = row["reference_month"], row["n_rows"]
+                rows = self.spark.read.parquet(f"{landing}/data").where(F.col("reference_month") == month).drop("reference_month")
+                if not self.done(month) and (found := rows.count()) != expected:
+                    self.runs.note(month, self.spec.name, "FAILED")
+                    raise ValueError(f"{month} of {self.spec.name} has {found} rows, not {expected}")
+                self.run(rows, month)
+
+        stream = self.spark.readStream.schema(MARKER).json(f"{landing}/complete")
+        stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
-    def follow(self, landing: str, schema: T.StructType, month: str = "reference_month") -> None:
-        """Process all months that have landed as parquet under ``landing``, oldest first, and stop."""
 
-        def batch(rows: DataFrame, _: int) -> None:
-            for row in rows.select(month).distinct().orderBy(month).collect():  # months, not data
-                self.run(rows.where(F.col(month) == row[0]).drop(month), row[0])
+class RegistryMonths:
+    """A month of the whole registry: side outputs, quarantine and the change detection of the four tables, in their order, under one status row."""
 
-        stream = self.spark.readStream.schema(schema).parquet(landing)
-        stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    def __init__(self, spark: SparkSession, root: str, baseline: dict[str, DataFrame]) -> None:
+        """``baseline`` has the dumps of the first month."""
+        self.spark, self.root = spark, root
+        self.tables = {t: MonthlyChanges(spark, f"{root}/{t}", SPECS[t], DEDUP[t](baseline[t]), DEDUP[t]) for t in SPECS}
+        self.runs, self.held = Runs(spark, f"{root}/runs"), KeyedTable(spark, f"{root}/quarantine")
+
+    def run(self, dumps: dict[str, DataFrame], month: str) -> bool:
+        """False if the month was done before.  After a failure a re-run goes on with the tables that were not done."""
+        if month in self.runs.folders():
+            return False
+        try:
+            for table in self.tables:
+                require_rows(dumps[table], f"{table} of {month}")
+            write_side_outputs(dumps, month, f"{self.root}/ignored")
+            found = quarantine(dumps["empresa"], month, "staging")
+            self.held.change(lambda rows: upsert(rows.where(F.col("reference_month") != month), found, ["cnpj_basico"]), found.where("false"))
+            for table, job in self.tables.items():
+                job.run(dumps[table], month)
+            of_month = self.counts(month).first()
+            self.runs.note(month, "*", "SUCCESS", (of_month["inserts"], of_month["updates"], of_month["deletes"]))
+        except Exception:
+            self.runs.note(month, "*", "FAILED")
+            raise
+        return True
+
+    def counts(self, month: str) -> DataFrame:
+        """One row: the month's events over all tables."""
+        rows = None
+        for job in self.tables.values():
+            own = job.runs.read().where(F.col("month") == month)
+            rows = own if rows is None else rows.unionByName(own)
+        return rows.groupBy("month").agg(*[F.sum(c).alias(c) for c in ("inserts", "updates", "deletes")])

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from panelforge.operators import cdc, dedup
 from panelforge.operators.summary import partner_summary
 from panelforge.schemas import EMPRESA, ESTABELECIMENTO, ESTABLISHMENT_KEY, SIMPLES, SOCIOS, SPECS, TableSpec
+from panelforge.sinks.files import land_month, mark_complete
+from panelforge.streaming import monthly
 from panelforge.streaming.monthly import MonthlyChanges, empty_overlay
 
 BASE = [("12345678", "Empresa Teste A", 1015, 2, 5000.0, 1, "ENTE A"), ("87654321", "Empresa Teste B", 2062, 3, 10000.0, 3, None)]
@@ -103,19 +105,63 @@ def test_overlay_over_baseline_is_the_last_dump(spark, a, b, c):
     assert sorted(map(tuple, state.collect()), key=repr) == sorted(map(tuple, frames[2].collect()), key=repr)
 
 
+def statuses(job):
+    return sorted((r["month"], r["status"], r["inserts"], r["updates"], r["deletes"]) for r in job.runs.read().collect())
+
+
 def test_stream_runs_each_month_once_and_notes_failures(spark, tmp_path):
-    spec, base = SPECS["empresa"], spark.createDataFrame(BASE, EMPRESA)
+    spec, base, landing = SPECS["empresa"], spark.createDataFrame(BASE, EMPRESA), f"{tmp_path}/landing"
     for month, rows in (("2023-06", JUNE), ("2023-07", JULY)):
-        spark.createDataFrame(rows, EMPRESA).withColumn("reference_month", F.lit(month)).write.parquet(f"{tmp_path}/landing", mode="append")
+        land_month(spark.createDataFrame(rows, EMPRESA), landing, month)
     job = MonthlyChanges(spark, f"{tmp_path}/job", spec, base, dedup.resolve_companies)
-    schema = base.withColumn("reference_month", F.lit("")).schema
-    job.follow(f"{tmp_path}/landing", schema)
-    job.follow(f"{tmp_path}/landing", schema)
-    assert sorted((r["month"], r["status"], r["inserts"], r["updates"], r["deletes"]) for r in job.runs.read().collect()) == [("2023-06", "SUCCESS", 3, 1, 0), ("2023-07", "SUCCESS", 0, 3, 1)]
-    assert job.overlay.version() == 2 and job.ledger().count() == 8
+    job.follow(landing)
+    job.follow(landing)
+    assert statuses(job) == [("2023-06", "SUCCESS", 3, 1, 0), ("2023-07", "SUCCESS", 0, 3, 1)]
+    assert list(job.runs.folders()) == ["2023-06", "2023-07"] and job.ledger().count() == 8
     with pytest.raises(ValueError, match="no rows"):
         job.run(base.where("false"), "2023-08")
-    assert job.overlay.version() == 2 and not job.done("2023-08")
+    assert list(job.runs.folders()) == ["2023-06", "2023-07"] and not job.done("2023-08")
+    with pytest.raises(ValueError, match="older"):
+        job.run(base, "2023-04")
+
+
+def test_partial_landings_wait_or_fail(spark, tmp_path):
+    spec, base, landing = SPECS["empresa"], spark.createDataFrame(BASE, EMPRESA), f"{tmp_path}/landing"
+    june = spark.createDataFrame(JUNE, EMPRESA).withColumn("reference_month", F.lit("2023-06"))
+    june.where("cnpj_basico < '5'").write.parquet(f"{landing}/data")
+    job = MonthlyChanges(spark, f"{tmp_path}/job", spec, base, dedup.resolve_companies)
+    mark_complete(spark, landing, "2023-06", len(JUNE))
+    with pytest.raises(Exception, match="2 rows, not 7"):  # the marker is there, some files are not
+        job.follow(landing)
+    assert statuses(job) == [("2023-06", "FAILED", 0, 0, 0)]
+    june.where("cnpj_basico > '5'").write.mode("append").parquet(f"{landing}/data")
+    job.follow(landing)
+    assert statuses(job) == [("2023-06", "SUCCESS", 3, 1, 0)]
+    spark.createDataFrame(JULY, EMPRESA).withColumn("reference_month", F.lit("2023-07")).write.mode("append").parquet(f"{landing}/data")
+    job.follow(landing)  # no marker: July waits
+    assert not job.done("2023-07")
+
+
+@pytest.mark.parametrize("broken", ["ledger", "overlay", "count", "note"])
+def test_a_rerun_after_a_crash_is_an_undisturbed_run(spark, tmp_path, monkeypatch, broken):
+    base = spark.createDataFrame(BASE, EMPRESA)
+    jobs = [MonthlyChanges(spark, f"{tmp_path}/{k}", SPECS["empresa"], base, dedup.resolve_companies) for k in "ab"]
+    june, july = spark.createDataFrame(JUNE, EMPRESA), spark.createDataFrame(JULY, EMPRESA)
+
+    def crash(*_, **__):
+        raise RuntimeError("lost")
+
+    for job in jobs:
+        job.run(june, "2023-06")
+    with monkeypatch.context() as m:
+        # each of these comes after one more write of the month is done
+        m.setattr(*{"ledger": (monthly, "detect", crash), "overlay": (monthly, "apply_events", crash), "count": (monthly, "count_events", crash), "note": (monthly.Runs, "note", crash)}[broken])
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs[0].run(july, "2023-07")
+    for job in jobs:
+        assert job.run(july, "2023-07")
+    a, b = (([sorted(map(repr, x.collect())) for x in (job.ledger(), job.overlay())], statuses(job)) for job in jobs)
+    assert a == b and b[1][1] == ("2023-07", "SUCCESS", 0, 3, 1)
 
 
 def test_older_rules_miss_a_return_to_the_baseline(spark):
