@@ -1,4 +1,10 @@
-"""Command line: ``python -m panelforge.cli panel BASE LEDGER OUT START END [--states SP,RJ]`` and ``months START END``."""
+"""Command line, ``python -m panelforge.cli``:
+
+``panel BASE LEDGER OUT START END [--states SP,RJ]`` replays a ledger into a panel,
+``month BASE LANDING ROOT MONTH`` detects a month's changes in all tables,
+``export ROWS OUT [--order a,b] [--limit N]`` writes a table as CSV,
+``months START END`` lists the months of a range.
+"""
 
 from __future__ import annotations
 
@@ -9,28 +15,45 @@ from pyspark.sql import SparkSession
 from panelforge.functions.expr import month_range
 from panelforge.plans.replay import reconstruct_panel
 from panelforge.schemas import SPECS
-from panelforge.sinks.files import write_panel
+from panelforge.sinks.files import write_csv, write_panel
+from panelforge.sources.files import read_registry
+from panelforge.streaming.monthly import RegistryMonths
 
 
-def main(argv: list[str] | None = None) -> None:
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="panelforge")
     commands = parser.add_subparsers(dest="command", required=True)
     panel = commands.add_parser("panel", help="replay a ledger over baseline tables (parquet, one folder a table) into a panel")
-    for name in ("base", "ledger", "out", "start", "end"):
-        panel.add_argument(name)
     panel.add_argument("--states", default=None, help="comma-separated federal units of the output")
+    month = commands.add_parser("month", help="detect a month's changes in the dump files of a landing folder, zipped or not, against baseline tables")
+    export = commands.add_parser("export", help="write a parquet table as CSV with a header")
+    export.add_argument("--order", default=None, help="comma-separated columns to sort by")
+    export.add_argument("--limit", type=int, default=None, help="most rows, the first of the order")
     months = commands.add_parser("months", help="list the months of a range")
-    months.add_argument("start")
-    months.add_argument("end")
-    args = parser.parse_args(argv)
+    for command, names in ((panel, "base ledger out start end"), (month, "base landing root month"), (export, "rows out"), (months, "start end")):
+        for name in names.split():
+            command.add_argument(name)
+    return parser.parse_args(argv)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = _arguments(argv)
     if args.command == "months":
         print("\n".join(month_range(args.start, args.end)))
         return
     spark = SparkSession.builder.appName("panelforge").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    tables = {t: spark.read.parquet(f"{args.base}/{t}") for t in ("empresa", "estabelecimento", "socios", "simples", "munic")}
-    ledger = {t: spark.read.parquet(f"{args.ledger}/{t}") for t in SPECS}
-    rows, _ = reconstruct_panel(spark, tables, ledger, args.start, args.end, args.states)
-    write_panel(rows, args.out)
+    if args.command == "panel":
+        tables = {t: spark.read.parquet(f"{args.base}/{t}") for t in ("empresa", "estabelecimento", "socios", "simples", "munic")}
+        ledger = {t: spark.read.parquet(f"{args.ledger}/{t}") for t in SPECS}
+        rows, _ = reconstruct_panel(spark, tables, ledger, args.start, args.end, args.states)
+        write_panel(rows, args.out)
+    elif args.command == "month":
+        job = RegistryMonths(spark, args.root, {t: spark.read.parquet(f"{args.base}/{t}") for t in SPECS})
+        done = job.run(read_registry(spark, args.landing), args.month)
+        n = job.counts(args.month).first()
+        print(f"{args.month}: {n['inserts']} inserted, {n['updates']} updated, {n['deletes']} deleted" + ("" if done else " (done before)"))
+    else:
+        write_csv(spark.read.parquet(args.rows), args.out, order=args.order.split(",") if args.order else None, limit=args.limit)
 
 
 if __name__ == "__main__":

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.expr import sector_label
 
+# The columns of the list, in its order.
 BUSINESS_COLUMNS = [
     "e.cnpj_basico", "e.cnpj_ordem", "e.cnpj_dv", "s.opcao_pelo_simples", "s.data_opcao_simples", "s.opcao_mei", "s.data_opcao_mei", "s.data_exclusao_mei",
     "e.identificador_matriz_filial", "e.nome_fantasia", "e.situacao_cadastral", "e.data_situacao_cadastral", "e.motivo_situacao_cadastral", "e.data_inicio_atividade", "e.cnae_fiscal_principal",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.expr import month_end_int, safe_parse_date
+from panelforge.operators.keyed import keep_keys
+from panelforge.operators.summary import partner_age_summary
 from panelforge.storage import materialise
 
 
@@ -43,6 +45,20 @@ def save_month(state: DataFrame, month: str, opened: str = "data_inicio_atividad
     return rows.withColumns({"reference_month": F.lit(month), "opening_date": safe_parse_date(F.col(opened))})
 
 
+def save_registry(establishments: DataFrame, companies: DataFrame, fiscal: DataFrame, partners: DataFrame, events: DataFrame, month: str, uf: str, root: str = "cnpj_basico") -> dict[str, DataFrame]:
+    """The five relations of a month, of one federal unit: establishments, the companies, fiscal rows and partners of their roots, and the partners' summaries.
+
+    A partner who entered after the month's end does not count.  ``events``
+    are the month's partner events per company; companies without have zeros.
+    """
+    saved = save_month(establishments, month, uf=uf)
+    roots = saved.select(root).distinct()
+    own = {name: keep_keys(rows, roots, [root]).withColumn("reference_month", F.lit(month)) for name, rows in (("companies", companies), ("fiscal", fiscal), ("partners", partners))}
+    entered = F.col("data_entrada_sociedade")
+    own["partners"] = own["partners"].where(entered.isNull() | (entered <= month_end_int(F.lit(month))))
+    return {"establishments": saved, **own, "summaries": partner_age_summary(own["partners"], events)}
+
+
 def expand_static(rows: DataFrame, changed: DataFrame, keys: list[str], months: list[str], opened: str = "data_inicio_atividade") -> DataFrame:
     """Rows of keys that never changed, once for each month by whose end they were opened.
 

@@ -6,36 +6,37 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-_KINDS = {"s": T.StringType(), "i": T.IntegerType(), "d": T.DoubleType()}
+def layout(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-def layout(spec: str) -> T.StructType:
-    """``"a:s b:i"`` as a schema; s string, i integer, d double."""
-    return T.StructType([T.StructField(n, _KINDS[k]) for n, k in (x.split(":") for x in spec.split())])
-
+_S, _I, _D = T.StringType(), T.IntegerType(), T.DoubleType()
 
 # Column names, order and types of the published dump layout, which has no headers.
-EMPRESA = layout("cnpj_basico:s razao_social:s natureza_juridica:i qualificacao_responsavel:i capital_social:d porte_empresa:i ente_federativo_responsavel:s")
+EMPRESA = layout(
+    cnpj_basico=_S, razao_social=_S, natureza_juridica=_I, qualificacao_responsavel=_I, capital_social=_D, porte_empresa=_I, ente_federativo_responsavel=_S,
+)
 ESTABELECIMENTO = layout(
-    "cnpj_basico:s cnpj_ordem:s cnpj_dv:s identificador_matriz_filial:i nome_fantasia:s situacao_cadastral:i data_situacao_cadastral:i"
-    " motivo_situacao_cadastral:i nome_cidade_exterior:s pais:s data_inicio_atividade:i cnae_fiscal_principal:i cnae_fiscal_secundaria:s"
-    " tipo_logradouro:s logradouro:s numero:s complemento:s bairro:s cep:s uf:s municipio:i ddd_1:s telefone_1:s ddd_2:s telefone_2:s"
-    " ddd_fax:s fax:s correio_eletronico:s situacao_especial:s data_situacao_especial:i"
-)
+    cnpj_basico=_S, cnpj_ordem=_S, cnpj_dv=_S, identificador_matriz_filial=_I, nome_fantasia=_S, situacao_cadastral=_I, data_situacao_cadastral=_I,
+    motivo_situacao_cadastral=_I, nome_cidade_exterior=_S, pais=_S, data_inicio_atividade=_I, cnae_fiscal_principal=_I, cnae_fiscal_secundaria=_S,
+    tipo_logradouro=_S, logradouro=_S, numero=_S, complemento=_S, bairro=_S, cep=_S, uf=_S, municipio=_I, ddd_1=_S, telefone_1=_S, ddd_2=_S, telefone_2=_S,
+    ddd_fax=_S, fax=_S, correio_eletronico=_S, situacao_especial=_S, data_situacao_especial=_I,
+)
 SOCIOS = layout(
-    "cnpj_basico:s identificador_socio:i nome_socio_razao_social:s cpf_cnpj_socio:s qualificacao_socio:i data_entrada_sociedade:i pais:i"
-    " representante_legal:s nome_do_representante:s qualificacao_representante_legal:i faixa_etaria:i"
-)
-SIMPLES = layout("cnpj_basico:s opcao_pelo_simples:s data_opcao_simples:i data_exclusao_simples:i opcao_mei:s data_opcao_mei:i data_exclusao_mei:i")
-CNAE = layout("codigo:s descricao:s")
-CODED = layout("codigo:i descricao:s")
-GEOLOC = layout("cnpj_basico:s tipo_logradouro:s logradouro:s numero:s uf:s cidade:s bairro:s cep:s latitude:d longitude:d")
-MUNIC = layout("codigo:i descricao:s cd_mun:i")
-
-#: Substring of a dump file's name -> family, first match wins.
+    cnpj_basico=_S, identificador_socio=_I, nome_socio_razao_social=_S, cpf_cnpj_socio=_S, qualificacao_socio=_I, data_entrada_sociedade=_I, pais=_I,
+    representante_legal=_S, nome_do_representante=_S, qualificacao_representante_legal=_I, faixa_etaria=_I,
+)
+SIMPLES = layout(cnpj_basico=_S, opcao_pelo_simples=_S, data_opcao_simples=_I, data_exclusao_simples=_I, opcao_mei=_S, data_opcao_mei=_I, data_exclusao_mei=_I)
+CNAE = layout(codigo=_S, descricao=_S)
+CODED = layout(codigo=_I, descricao=_S)
+GEOLOC = layout(cnpj_basico=_S, tipo_logradouro=_S, logradouro=_S, numero=_S, uf=_S, cidade=_S, bairro=_S, cep=_S, latitude=_D, longitude=_D)
+MUNIC = layout(codigo=_I, descricao=_S, cd_mun=_I)
+
+#: Substring of a dump file's name -> family, first match wins.
 ROUTES = {"EMPRE": "empresa", "ESTABELE": "estabelecimento", "SOCIO": "socios", "SIMPLES": "simples", "CNAE": "cnae", "MOTI": "moti", "MUNIC": "munic", "NATJU": "natju", "PAIS": "pais", "QUALS": "quals"}
 FAMILIES = {"empresa": EMPRESA, "estabelecimento": ESTABELECIMENTO, "socios": SOCIOS, "simples": SIMPLES, "cnae": CNAE, "moti": CODED, "munic": CODED, "natju": CODED, "pais": CODED, "quals": CODED}
 
+# The columns of the key, of the tracked fields and of the panel, in the panel's order.
 ESTABLISHMENT_KEY = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
 ESTABLISHMENT_FIELDS = [
     "identificador_matriz_filial", "situacao_cadastral", "data_situacao_cadastral", "motivo_situacao_cadastral", "pais", "data_inicio_atividade",
@@ -48,10 +49,10 @@ PARTNER_FIELDS = [*PARTNER_COUNTS, "min_faixa_etaria", "max_faixa_etaria", "data
 #: The partner fields that are 0, not null, for a company without partners.
 PARTNER_ZERO = [*PARTNER_COUNTS, "qtde_administradores"]
 PANEL_COLUMNS = [*ESTABLISHMENT_KEY, *ESTABLISHMENT_FIELDS, *COMPANY_FIELDS, *FISCAL_FIELDS, *PARTNER_FIELDS, "cd_mun"]
-#: Qualification codes of administrators.
+#: Qualification codes of administrators.
 ADMINISTRATORS = [5, 10, 16, 49]
 
-#: Columns that change detection ignores; they only go to the side outputs of each month.
+#: Columns that change detection ignores; they only go to the side outputs of each month.
 SIDE_OUTPUTS = {
     "empresa": ["cnpj_basico", "razao_social"],
     "estabelecimento": [*ESTABLISHMENT_KEY, "nome_fantasia", "ddd_1", "ddd_2", "ddd_fax", "telefone_1", "telefone_2", "fax", "correio_eletronico"],

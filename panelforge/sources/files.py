@@ -7,11 +7,13 @@ so there is no paging, and each row is read once.
 from __future__ import annotations
 
 import io
+import posixpath
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +38,11 @@ def _typed(rows: DataFrame, schema: T.StructType, decimals: tuple[str, ...]) ->
     return rows.select(*[(decimal_comma(missing_to_null(F.col(f.name))) if f.name in decimals else missing_to_null(F.col(f.name)).cast(f.dataType)).alias(f.name) for f in schema])
 
 
+def _whole_rows(spark: SparkSession) -> DataFrameReader:
+    """A reader that parses every field of a row: one that skips fields does not see that a row has a wrong number of them."""
+    return spark.read.option("columnPruning", False)
+
+
 def read_dump(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ";", encoding: str = "ISO-8859-1", multiline: bool = False, decimals: tuple[str, ...] = ("capital_social",)) -> DataFrame:
     """A headerless dump with columns by position.
 
@@ -44,44 +51,94 @@ def read_dump(spark: SparkSession, path: str | list[str], schema: T.StructType,
     ``multiline`` allows line breaks in quotes and makes files unsplittable.
     """
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_BAD, T.StringType())])
-    rows = spark.read.csv(path, schema=raw, sep=sep, header=False, encoding=encoding, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
+    rows = _whole_rows(spark).csv(path, schema=raw, sep=sep, header=False, encoding=encoding, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
+    # always true, but Spark refuses to count rows by the record column alone
+    some = F.length(F.coalesce(F.col(schema[0].name), F.lit(""))) >= 0
     fits = F.col(_BAD).isNull() | (_fields(F.col(_BAD), sep) <= len(schema))
-    return _typed(rows.where(fits), schema, decimals)
+    return _typed(rows.where(some & fits), schema, decimals)
+
+
+def _opened(path: str) -> zipfile.ZipFile:
+    """A zip file on any file system, read where it lies and piece by piece."""
+    where, inner = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if path.startswith("file:") else fs.FileSystem.from_uri(path)
+    return zipfile.ZipFile(where.open_input_file(inner))
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            with _opened(path) as z:
+                names = [x for x in z.namelist() if not x.endswith("/")]
+            yield pa.RecordBatch.from_arrays([pa.array([path] * len(names), pa.string()), pa.array(names, pa.string())], ["path", "entry"])
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as z:
-                for name in z.namelist():
-                    with z.open(name) as f:  # a wrong checksum raises when the end is read
+        for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            with _opened(path) as z, z.open(name) as f:  # a wrong checksum raises when the end is read
+                part = []
+                for line in io.TextIOWrapper(f, "iso-8859-1", newline="\n"):
+                    part.append(line.rstrip("\r\n"))
+                    if len(part) == 20_000:
+                        yield pa.RecordBatch.from_arrays([pa.array([f"{path}/{name}"] * len(part)), pa.array(part, pa.string())], ["file", "line"])
                         part = []
-                        for line in io.TextIOWrapper(f, "iso-8859-1", newline="\n"):
-                            part.append(line.rstrip("\r\n"))
-                            if len(part) == 20_000:
-                                yield pa.RecordBatch.from_arrays([pa.array([f"{path}/{name}"] * len(part)), pa.array(part, pa.string())], ["file", "line"])
-                                part = []
-                        if part:
-                            yield pa.RecordBatch.from_arrays([pa.array([f"{path}/{name}"] * len(part)), pa.array(part, pa.string())], ["file", "line"])
-
-
-def read_zipped(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", decimals: tuple[str, ...] = ("capital_social",)) -> DataFrame:
-    """Dumps inside zip files, a task each; a damaged archive fails the job.  Records are one line each."""
-    lines = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_lines, "file string, line string").where(F.col("line") != "")
+                if part:
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{path}/{name}"] * len(part)), pa.array(part, pa.string())], ["file", "line"])
+
+
+def files_in(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path`` of every file at or anywhere under the given ones; nothing is read but the listing."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+
+
+def zip_entries(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path`` and ``entry`` of what is in zip files; only their directories are read."""
+    zips = files_in(spark, path).where(F.lower("path").endswith(".zip"))
+    return zips.repartition("path").mapInArrow(_entries, "path string, entry string")
+
+
+def read_zipped(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ";", decimals: tuple[str, ...] = ("capital_social",), family: str | None = None) -> DataFrame:
+    """Dumps inside zip files, a task for each entry; a damaged archive fails the job.  Records are one line each.
+
+    Entries are read as streams, so their size is of no matter.  With
+    ``family`` only entries of that family are read, by their own names or, if
+    none in the archive has a name that tells, by the archive's.
+    """
+    entries = zip_entries(spark, path)
+    if family is not None:
+        entries = _routed(entries).where(F.col("family") == family)
+    lines = entries.repartition("path", "entry").mapInArrow(_lines, "file string, line string").where(F.col("line") != "")
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_BAD, T.StringType())])
     options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     rows = lines.where(_fields(F.col("line"), sep) <= len(schema)).select(F.from_csv("line", raw.simpleString()[7:-1].replace(":", " "), options).alias("r")).select("r.*")
     return _typed(rows, schema, decimals)
 
 
+def _family(name: Column) -> Column:
+    """The family of a file by its name, as :func:`route` finds it."""
+    return F.coalesce(*[F.when(F.contains(F.upper(name), F.lit(part)), family) for part, family in ROUTES.items()])
+
+
+def _routed(entries: DataFrame) -> DataFrame:
+    own, of_zip = (_family(F.element_at(F.split(c, "/"), -1)) for c in ("entry", "path"))
+    told = F.max(F.col("own").isNotNull()).over(Window.partitionBy("path"))
+    return entries.withColumn("own", own).withColumn("family", F.coalesce("own", F.when(~told, of_zip))).drop("own")
+
+
 def read_registry(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """All families of a landing folder, a glob each; families without files are left out."""
-    names = [r["path"].rsplit("/", 1)[1] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory).select("path").distinct().collect()]
-    found: dict[str, list[str]] = {}
-    for name in sorted(names):
-        if not name.lower().endswith(".zip") and (family := route(name)):
-            found.setdefault(family, []).append(f"{directory}/{name}")
-    return {family: read_dump(spark, paths, FAMILIES[family]) for family, paths in found.items()}
+    """All families of a landing folder, plain files and zips, in nested folders too; families without files are left out."""
+    paths = sorted(r["path"] for r in files_in(spark, directory).collect())  # names of files
+    plain: dict[str, list[str]] = {}
+    for path in paths:
+        if not path.lower().endswith(".zip") and (family := route(posixpath.basename(path))):
+            plain.setdefault(family, []).append(path)
+    found = {family: read_dump(spark, of, FAMILIES[family]) for family, of in plain.items()}
+    zips = [path for path in paths if path.lower().endswith(".zip")]
+    if zips:
+        for family in sorted(r[0] for r in _routed(zip_entries(spark, zips)).select("family").distinct().collect() if r[0]):
+            rows = read_zipped(spark, zips, FAMILIES[family], family=family)
+            found[family] = found[family].unionByName(rows) if family in found else rows
+    return found
 
 
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -97,14 +154,38 @@ def read_places(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Roots and postcodes are filled up to eight digits; ``nan`` and empty text
     become null, tabs become spaces, undecodable bytes go.
     """
-    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in GEOLOC] + [T.StructField(_BAD, T.StringType())])
-    rows = spark.read.csv(path, schema=raw, header=True, sep=",", quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True)
+    rows, valid = _raw_places(spark, path)
     text = {f.name: F.coalesce(F.regexp_replace(F.col(f.name), "�", ""), F.lit("")) for f in GEOLOC}
-    valid = F.col(_BAD).isNull() & coordinate_is_valid(text["latitude"]) & coordinate_is_valid(text["longitude"])
     made = {"cnpj_basico": zfill(F.trim(text["cnpj_basico"]), 8), "cep": postcode(text["cep"]), "latitude": as_double(F.trim(text["latitude"])), "longitude": as_double(F.trim(text["longitude"]))}
     return rows.where(valid).select(*[made.get(f.name, clean_token(text[f.name])).alias(f.name) for f in GEOLOC])
 
 
+def _raw_places(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Column]:
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in GEOLOC] + [T.StructField(_BAD, T.StringType())])
+    rows = _whole_rows(spark).csv(path, schema=raw, header=True, sep=",", quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True)
+    latitude, longitude = (F.coalesce(F.regexp_replace(F.col(c), "�", ""), F.lit("")) for c in ("latitude", "longitude"))
+    return rows, F.col(_BAD).isNull() & coordinate_is_valid(latitude) & coordinate_is_valid(longitude)
+
+
+def count_places(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row: how many rows of coordinates :func:`read_places` reads and how many it skips."""
+    rows, valid = _raw_places(spark, path)
+    return rows.select("*", valid.alias("__valid")).agg(F.count_if("__valid").alias("n_read"), F.count_if(~F.col("__valid")).alias("n_skipped"))
+
+
+def read_tail(spark: SparkSession, path: str, skip: int, column: int = 0, sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
+    """One field of the records after the first ``skip`` of a file, with its line number ``line``.
+
+    Lines are numbered by counting those of the splits before, so the file is
+    read in parallel and nothing is gathered but one count a split.
+    """
+    lines = spark.read.option("encoding", encoding).text(path).select("value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
+    sizes = lines.groupBy("part").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    rows = lines.join(F.broadcast(before), "part").select((F.col("before") + F.col("id") - F.col("first")).alias("line"), F.regexp_replace(F.split("value", sep)[column], '"', "").alias("value"))
+    return rows.where(F.col("line") >= skip)
+
+
 def union_places(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     """Two files under one order of columns; all rows of both."""
     return a.select(*columns).unionByName(b.select(*columns))

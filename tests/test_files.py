@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelforge import cli
-from panelforge.schemas import EMPRESA, ESTABELECIMENTO, MUNIC
+from panelforge.schemas import EMPRESA, ESTABELECIMENTO, MUNIC, SIMPLES, SOCIOS
 from panelforge.sinks import files as sinks
 from panelforge.sources import files as sources
+from panelforge.streaming.monthly import RegistryMonths
 
 LINES = [
     '"00000001";"Água ""X""";"0101";"05";"1234,50";"01";""', '"00000002";NA;2062;3;"10,0"', '"00000003";"a;b";1;1;"1,0";1;x', '"00000004";"too";1;1;"1,0";1;"many";"fields"', '"00000005";"n";00;;;;NULL',
@@ -42,6 +43,54 @@ def _plain(spark, tmp_path):
     return sources.read_dump(spark, f"{tmp_path}/p.csv", EMPRESA).collect()
 
 
+def test_landing_folder_with_zips_and_nested_folders(spark, tmp_path):
+    (tmp_path / "in/deep").mkdir(parents=True)
+    with zipfile.ZipFile(tmp_path / "in/Empresas0.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("K1.EMPRECSV", "\n".join(LINES[:2]).encode("latin-1"))
+        z.writestr("docs/readme.txt", "nothing of ours")
+    with zipfile.ZipFile(tmp_path / "in/deep/mixed.zip", "w") as z:
+        z.writestr("K1.CNAECSV", '"0111301";"Rice"\n')
+        z.writestr("x/K2.EMPRECSV", LINES[4])
+    (tmp_path / "in/deep/K3.EMPRECSV").write_bytes("\n".join(LINES[2:4]).encode("latin-1"))
+    found = sources.read_registry(spark, f"{tmp_path}/in")
+    assert found.keys() == {"empresa", "cnae"}
+    assert sorted(r["cnpj_basico"] for r in found["empresa"].collect()) == ["00000001", "00000002", "00000003", "00000005"]
+    assert tuple(found["cnae"].first()) == ("0111301", "Rice")
+
+
+def test_a_month_of_the_registry_from_the_command_line(spark, tmp_path, capsys):
+    est = spark.createDataFrame([["1", "0001", "00", 1, None, 2, *[None] * 24]], ESTABELECIMENTO)
+    base = {"empresa": spark.createDataFrame([("1", "n", 1, 1, 1.0, 1, None), ("2", "n", 1, 1, 1.0, 1, None)], EMPRESA), "estabelecimento": est}
+    base |= {"socios": spark.createDataFrame([("1", 2, "p", None, 5, 20200101, None, None, None, None, 3)], SOCIOS), "simples": spark.createDataFrame([("1", "S", 0, 0, "N", 0, 0)], SIMPLES)}
+    for name, rows in base.items():
+        rows.write.parquet(f"{tmp_path}/base/{name}")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/K.EMPRECSV").write_text('"1";"n";1;1;"2,0";1;\n"3";"n";1;1;"2,0";1;\n"3";"m";1;1;"9,0";1;\n')
+    (tmp_path / "in/K.ESTABELE").write_text(";".join(["1", "0001", "00", "1", "", "8", *[""] * 24]) + "\n")
+    (tmp_path / "in/K.SOCIOCSV").write_text("1;2;p;;5;20200101;;;;;3\n1;2;q;;5;20200101;;;;;3\n")
+    command = ["month", f"{tmp_path}/base", f"{tmp_path}/in", f"{tmp_path}/root", "2023-06"]
+    with pytest.raises(KeyError):
+        cli.main(command)  # a table has not landed
+    (tmp_path / "in/F.SIMPLES").write_text("1;S;0;0;N;0;0\n")
+    cli.main(command)
+    cli.main(command)
+    assert capsys.readouterr().out.splitlines() == ["2023-06: 1 inserted, 3 updated, 1 deleted", "2023-06: 1 inserted, 3 updated, 1 deleted (done before)"]
+    job = RegistryMonths(spark, f"{tmp_path}/root", base)
+    assert [(r["month"], r["tabela"], r["status"], r["inserts"]) for r in job.runs.read().collect()] == [("2023-06", "*", "SUCCESS", 1)]
+    assert [tuple(r) for r in job.held.read().collect()] == [("3", "Conflict in staging company fields: capital_social (2) ", "2023-06")]
+    assert spark.read.parquet(f"{tmp_path}/root/ignored/empresa").count() == 3
+    cli.main(["export", f"{tmp_path}/root/ignored/empresa", f"{tmp_path}/csv", "--order", "cnpj_basico,razao_social", "--limit", "2"])
+    assert [tuple(r)[:2] for r in spark.read.csv(f"{tmp_path}/csv", header=True).collect()] == [("1", "n"), ("3", "m")]
+
+
+def test_tail_and_skipped(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("".join(f'"{k}";x\n' for k in range(50)))
+    assert sorted((r["line"], r["value"]) for r in sources.read_tail(spark, f"{tmp_path}/t.csv", 47).collect()) == [(47, "47"), (48, "48"), (49, "49")]
+    (tmp_path / "g.csv").write_text("cnpj_basico,tipo_logradouro,logradouro,numero,uf,cidade,bairro,cep,latitude,longitude\n1,R,l,1,SP,x,b,1,abc,1\n1,R,too,few\n1,R,l,1,SP,x,b,1,2,1\n")
+    assert tuple(sources.count_places(spark, f"{tmp_path}/g.csv").first()) == (1, 2)
+    assert sources.read_places(spark, f"{tmp_path}/g.csv").select("latitude").count() == sources.read_places(spark, f"{tmp_path}/g.csv").count() == 1
+
+
 def test_routes():
     assert [sources.route(n) for n in ("k.estabele", "X.SOCIOCSV", "F.SIMPLES.CSV", "CNAECSV", "other")] == ["estabelecimento", "socios", "simples", "cnae", None]
     assert sources.route("empre", any_case=False) is None
