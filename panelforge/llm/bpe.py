@@ -4,7 +4,8 @@ For every byte prefix of a piece there is exactly one token that can stand
 last in its encoding.  The table of these last tokens is filled from left to
 right: a token that ends at byte ``i`` is the last one if the pair (last token
 of what comes before it, this token) is stable, that is, if merging the bytes
-of both tokens together gives the two tokens again.  The encoding is read back
+of both tokens together gives the two tokens again.  Only tokens that end with
+the last three bytes, and are no longer than the longest of these, are tried.  The encoding is read back
 from the end.  A table is therefore valid for every prefix at once: appending
 bytes only fills further cells, and an edit re-fills cells from the edit until
 the table agrees with its former self again (:class:`PrefixTable`).
@@ -42,6 +43,11 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
+        #: length of the longest token that ends with three bytes
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            if len(token) > self.reach.get(token[-3:], 0):
+                self.reach[token[-3:]] = len(token)
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.merged: dict[tuple[int, int], int] = {}
@@ -111,7 +117,7 @@ class PrefixTable:
     def _cells(self, start: int) -> list[int]:
         """The cells after the first ``start`` bytes, all at once."""
         v, data, last = self.vocabulary, self.data, self.last[: start + 1]
-        token_of, known, stable, longest = v.ranks.get, v._stable.get, v.stable, v.longest
+        token_of, known, stable, reach = v.ranks.get, v._stable.get, v.stable, v.reach.get
         cells = v.cells
         if not start:  # other pieces began alike
             for end in range(1, min(len(data), PREFIX_BYTES) + 1):
@@ -120,6 +126,7 @@ class PrefixTable:
                     break
                 last.append(token)
         for end in range(len(last), len(data) + 1):
+            longest = reach(data[end - 3 : end], 2) if end > 2 else end
             for begin in range(end - longest if end > longest else 0, end):
                 token = token_of(data[begin:end])
                 if token is not None:
@@ -156,7 +163,8 @@ class PrefixTable:
 
     def _last(self, end: int) -> int:
         v, data = self.vocabulary, self.data
-        for begin in range(max(0, end - v.longest), end):
+        longest = v.reach.get(data[end - 3 : end], 2) if end > 2 else end
+        for begin in range(max(0, end - longest), end):
             token = v.ranks.get(data[begin:end])
             if token is not None and (not begin or v.stable(self.last[begin], token)):
                 return token
