@@ -15,16 +15,17 @@ set makes further passes that add to the hits found so far.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from panelforge.llm.common import OUT_ROWS, written
+from panelforge.llm.common import OUT_ROWS, without, written
 
 WINDOW = 13
 #: Most words of test items whose windows are sent to the tasks at once.
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 
 #: Bytes that are no part of a word become spaces, A-Z become a-z; bytes from 0x80 on belong to words.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -36,20 +37,35 @@ def words(text: str | None) -> list[bytes]:
 
 
 class WuManber:
-    """Searches word lists for patterns that have ``least`` words or more."""
+    """Searches word lists for the windows of items: each of ``length`` words, or, of shorter items, all.
 
-    def __init__(self, patterns: dict[tuple[bytes, ...], set[str]]) -> None:
-        self.least = least = min(map(len, patterns))
+    A window is kept as its place in its item's words, and blocks that are
+    equal are one object, so the tables take about half a kilobyte a word.
+    """
+
+    def __init__(self, items: list[tuple[str, list[bytes]]], length: int | None) -> None:
+        self.length = length
+        self.least = least = length or min(len(w) for _, w in items)
         self.block = block = min(3, least)
         self.most_shift = least - block + 1
         self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], dict[tuple[bytes, ...], list[tuple[tuple[bytes, ...], set[str]]]]] = {}
-        for pattern, items in patterns.items():
-            for end in range(block, least + 1):
-                key = pattern[end - block : end]
-                self.shift[key] = min(self.shift.get(key, self.most_shift), least - end)
-            bucket = self.buckets.setdefault(pattern[least - block : least], {})
-            bucket.setdefault(pattern[:block], []).append((pattern, items))
+        self.buckets: dict[tuple[bytes, ...], list[tuple[tuple[bytes, ...], list[bytes], int, list[str]]]] = {}
+        same: dict[tuple[bytes, ...], tuple[bytes, ...]] = {}
+        for item, w in items:
+            last = len(w) - length if length else 0
+            keys = [same.setdefault(t, t) for t in (tuple(w[end - block : end]) for end in range(block, last + least + 1))]
+            for end, key in enumerate(keys, block):
+                self.shift[key] = min(self.shift.get(key, self.most_shift), max(0, least - end))
+            for start in range(last + 1):
+                bucket = self.buckets.setdefault(keys[start + least - block], [])
+                n = length or len(w)
+                for _, other, at, of in bucket:
+                    if other[at : at + (length or len(other))] == w[start : start + n]:
+                        if of[-1] != item:
+                            of.append(item)
+                        break
+                else:
+                    bucket.append((keys[start], w, start, [item]))
 
     def search(self, text: list[bytes], hit: bytearray, items: set[str]) -> None:
         """Mark the words of every occurrence in ``hit`` and add the items they come from."""
@@ -62,21 +78,26 @@ class WuManber:
                 at += step
                 continue
             start = at - least
-            for pattern, of in self.buckets[suffix].get(tuple(text[start : start + block]), ()):
-                stop = start + len(pattern)
-                if tuple(text[start:stop]) == pattern:
-                    hit[start:stop] = b"\1" * len(pattern)
-                    items |= of
+            first = tuple(text[start : start + block])
+            for prefix, w, place, of in self.buckets[suffix]:
+                if prefix == first:
+                    size = self.length or len(w)
+                    if text[start : start + size] == w[place : place + size]:
+                        hit[start : start + size] = b"\1" * size
+                        items.update(of)
             at += 1
 
 
-def _searchers(items: list[tuple[str, list[bytes]]]) -> list[WuManber]:
-    full: dict[tuple[bytes, ...], set[str]] = {}
-    short: dict[tuple[bytes, ...], set[str]] = {}
-    for item, w in items:
-        for k in range(max(1, len(w) - WINDOW + 1)) if w else ():
-            (full if len(w) >= WINDOW else short).setdefault(tuple(w[k : k + WINDOW]), set()).add(item)
-    return [WuManber(x) for x in (full, short) if x]
+#: The tables of the last block a worker searched for, by the block's name.
+_tables: dict[str, list[WuManber]] = {}
+
+
+def _searchers(name: str, items: list[tuple[str, list[bytes]]]) -> list[WuManber]:
+    if name not in _tables:
+        _tables.clear()
+        parts = [([x for x in items if len(x[1]) >= WINDOW], WINDOW), ([x for x in items if len(x[1]) < WINDOW], None)]
+        _tables[name] = [WuManber(x, length) for x, length in parts if x]
+    return _tables[name]
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[str, list[bytes]]]]:
@@ -98,9 +119,10 @@ def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str
     Null and empty texts have no words and no hits; items without words or
     with a null id have no windows; equal item ids count as one item.  Rows
     are kept as they are, repeated ones too.  Other columns of both tables
-    are ignored.
+    are ignored, and one of ``keep`` that is named like a result gives way to
+    it.
     """
-    keep = ["doc_id"] if keep is None else keep
+    keep = without(["doc_id"] if keep is None else keep, "n_words", "n_hit", "items")
     columns = list(dict.fromkeys([*keep, text]))
     rows, n, at_text = df.select(*columns), len(keep), columns.index(text)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
@@ -114,8 +136,10 @@ def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str
 
 
 def _search(items: list[tuple[str, list[bytes]]], columns: list[str], n: int, at_text: int, last: bool):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searchers, c = _searchers(items), len(columns)
+        searchers, c = _searchers(name, items), len(columns)
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
