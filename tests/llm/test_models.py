@@ -4,6 +4,7 @@ import html as entities
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -49,6 +50,33 @@ def test_discriminant_is_the_closed_form():
     assert np.allclose(m.score(p), 1 / (1 + np.exp(log[0] - log[1])))
 
 
+def brute_statistics(text):
+    text = text or ""
+    w, ls = re.findall(r"[^ \t-\r]+", text), [x for x in text.split("\n") if re.search(r"[^ \t-\r]", x)]
+    n, of = len(w), lambda pattern: len(re.findall(pattern, text))
+    letters, symbols = of(r"[A-Za-z]|[^\x00-\x7f]"), of(r"[#*$%&<>@^~=_\\{}\[\]+]")
+    pairs = {tuple(w[k : k + 2]) for k in range(n - 1)} if n > 1 else {0}
+    ratios = [(len(text), 0), (letters, n), (symbols, n), (len(text) - letters - n, n), (of("!"), n), (of(r"\|"), n), (of("[A-Z]"), of("[a-z]")), (of("[0-9]"), n), (of("[.,?]"), n), (len(set(w)), n), (len(set(ls)), len(ls)), (len(pairs), max(n - 1, 1))]
+    return [np.log((max(a, 0) + 1) / (b + 1)) for a, b in ratios]
+
+
+def test_quality_statistics_and_shrinkage_by_brute_force(spark, many, odd):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    texts = {r["doc_id"]: r["text"] for r in many.collect()}
+    x = {k: brute_statistics(t) for k, t in texts.items()}
+    got = {r["doc_id"]: (r["held_out"], r["x"]) for r in quality.vectors(many).collect()}
+    assert all(np.allclose(got[k][1], x[k]) and got[k][0] == (zlib.crc32(str(k).encode()) % 3 == 1) for k in x)
+    assert all(np.allclose(r["x"], brute_statistics(t)) for r, t in ((quality.vectors(odd.where(F.col("text") == t)).first(), t) for t in ("", " \n\t ", "été 漢字 🙂 Ünder")))
+    parts = [np.array([x[r["doc_id"]] for r in labels.collect() if r["quality"] == y and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]) for y in (0, 1)]
+    model, p = quality.fit(quality.vectors(many), labels), len(quality.STATISTICS)
+    pooled = sum((v - v.mean(0)).T @ (v - v.mean(0)) for v in parts) / (sum(map(len, parts)) - 2)
+    pooled = (1 - quality.TO_DIAGONAL) * pooled + quality.TO_DIAGONAL * np.diag(np.diag(pooled)) + 1e-4 * np.eye(p)
+    for k, v in enumerate(parts):
+        weight = (quality.TO_POOLED * len(v) + 10 * p) / (len(v) + 10 * p)
+        cov = (1 - weight) * np.cov(v.T, bias=True) + weight * pooled
+        assert np.allclose(np.linalg.inv(model.inverse[k].T @ model.inverse[k]), cov) and np.allclose(model.mean[k], v.mean(0)) and np.isclose(model.log_det[k], np.linalg.slogdet(cov)[1])
+
+
 def test_quality_odd_cases(spark, odd):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = quality.classify(odd, none).collect()
