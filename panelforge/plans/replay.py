@@ -88,12 +88,12 @@ def next_month(state: DataFrame, events: dict[str, DataFrame], attributes: DataF
     return _apply_root_events(_establishment_events(state, events["estabelecimento"], attributes), _root_events(events))
 
 
-def finish(state: DataFrame, month: str, cities: DataFrame, held: DataFrame, states: str | None) -> DataFrame:
-    """A month's output: the states asked for, with city codes, and without the company and fiscal values of roots in quarantine."""
-    rows = state.where(in_list(F.col("uf"), states)).join(cities.select(F.col("codigo").alias("municipio"), "cd_mun").dropDuplicates(["municipio"]), "municipio", "left")
+def finish(rows: DataFrame, cities: DataFrame, held: DataFrame, states: str | None) -> DataFrame:
+    """The output of all months at once: the states asked for, with city codes, and without the company and fiscal values of roots in quarantine."""
+    rows = rows.where(in_list(F.col("uf"), states)).join(cities.groupBy(F.col("codigo").alias("municipio")).agg(F.min("cd_mun").alias("cd_mun")), "municipio", "left")
     rows = rows.join(held.select(ROOT).distinct().withColumn("__held", F.lit(True)), ROOT, "left")
     hidden = {*COMPANY_FIELDS, *FISCAL_FIELDS}
-    return rows.select(F.lit(month).alias("reference_month"), *[F.when(F.col("__held").isNull(), F.col(c)).alias(c) if c in hidden else F.col(c) for c in PANEL_COLUMNS])
+    return rows.select("reference_month", *[F.when(F.col("__held").isNull(), F.col(c)).alias(c) if c in hidden else F.col(c) for c in PANEL_COLUMNS])
 
 
 def reconstruct_panel(spark: SparkSession, tables: dict[str, DataFrame], ledger: dict[str, DataFrame], start: str, end: str, states: str | None = None, logged: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -111,8 +111,9 @@ def reconstruct_panel(spark: SparkSession, tables: dict[str, DataFrame], ledger:
     companies = resolve_companies(tables["empresa"], names=[]).join(held.select(ROOT), ROOT, "left_anti")
     attributes = materialise(company_attributes(companies, tables["simples"], tables["socios"]), "attributes")
     state = materialise(baseline_state(tables["estabelecimento"], attributes), "state")
-    out = [finish(state, months[0], tables["munic"], held, states)]
+    out = [state.withColumn("reference_month", F.lit(months[0]))]
     for month in months[1:]:
         state = materialise(next_month(state, {t: e.where(F.col("mes_referencia") == month) for t, e in ledger.items()}, attributes), "state")
-        out.append(finish(state, month, tables["munic"], held, states))
-    return reduce(DataFrame.unionByName, out), held
+        out.append(state.withColumn("reference_month", F.lit(month)))
+    # the months' states are files by now; cities and quarantine meet them once, not month by month
+    return finish(reduce(DataFrame.unionByName, out), tables["munic"], held, states), held
