@@ -10,18 +10,21 @@ an occurrence is always confirmed directly.
 
 The search is one narrow stage over the documents, with no shuffle.  Patterns
 go to the tasks in blocks of at most ``BLOCK_WORDS`` item words; a larger test
-set makes further passes that add to the hits found so far.
+set makes further passes, of each of which only the hits are kept and put
+together by row.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from panelforge.llm.common import OUT_ROWS, without, written
+from panelforge.llm.common import OUT_ROWS, Scratch, sized, without
 
 WINDOW = 13
 #: Most words of test items whose windows are sent to the tasks at once.
@@ -125,42 +128,82 @@ def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str
     keep = without(["doc_id"] if keep is None else keep, "n_words", "n_hit", "items")
     columns = list(dict.fromkeys([*keep, text]))
     rows, n, at_text = df.select(*columns), len(keep), columns.index(text)
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
-    carried = ", ".join([*kinds, "__hit binary", "__items array<string>"])
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields][:n]
     blocks = _blocks(benchmark, item, item_text)
     first, following = next(blocks, []), next(blocks, None)
+    if following is None:
+        return rows.mapInArrow(_whole(first, at_text, keep), ", ".join([*kinds, "n_words long, n_hit long, items array<string>"]))
+    # of the further blocks only the hits are carried, under a number that each row gets once
+    scratch = Scratch(df.sparkSession, "contamination")
+    numbered = scratch.write(rows.withColumn("__row", F.monotonically_increasing_id()), "rows").select("__row", F.col(f"`{text}`").alias("__text"), *[f"`{c}`" for c in keep])
+    hits = [scratch.write(numbered.select("__row", "__text").mapInArrow(_hits(first), "__row long, hit binary, items array<string>"), "hits0")]
     while following is not None:
-        rows = written(rows.mapInArrow(_search(first, columns, n, at_text, False), carried), "contamination")
-        first, following = following, next(blocks, None)
-    return rows.mapInArrow(_search(first, columns, n, at_text, True), ", ".join([*kinds[:n], "n_words long, n_hit long, items array<string>"]))
+        hits.append(scratch.write(numbered.select("__row", "__text").mapInArrow(_hits(following), "__row long, hit binary, items array<string>"), f"hits{len(hits)}"))
+        following = next(blocks, None)
+    every = reduce(DataFrame.unionByName, hits).groupBy("__row").agg(F.collect_list("hit").alias("hits"), F.collect_list("items").alias("items"))
+    merged = scratch.write(every.mapInArrow(_merged, "__row long, n_hit long, items array<string>"), "merged")
+    scratch.clear(*[f"hits{k}" for k in range(len(hits))])
+    counted = numbered.select("__row", "__text", *[f"`{c}`" for c in keep]).mapInArrow(_counted(keep), ", ".join(["__row long", *kinds, "n_words long"]))
+    out = counted.join(sized(merged), "__row", "left")
+    return out.select(*[f"`{c}`" for c in keep], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, OUT_ROWS):
+            yield batch.slice(at, OUT_ROWS)
+
+
+def _look(searchers: list[WuManber], texts: pa.Array) -> tuple[list[int], list[bytearray], list[list[str]]]:
+    """For each text the number of its words, which of them are hit, and the items found."""
+    counts, hits, found = [], [], []
+    for x in texts:
+        w = words(x.as_py())
+        hit, of = bytearray(len(w)), set()
+        for s in searchers:
+            s.search(w, hit, of)
+        counts.append(len(w))
+        hits.append(hit)
+        found.append(sorted(of))
+    return counts, hits, found
+
+
+def _whole(items: list[tuple[str, list[bytes]]], at_text: int, keep: list[str]):
+    name, n = uuid.uuid4().hex, len(keep)
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            counts, hits, found = _look(_searchers(name, items), part.column(at_text))
+            out = [pa.array(counts, pa.int64()), pa.array([h.count(1) for h in hits], pa.int64()), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], *out], [*keep, "n_words", "n_hit", "items"])
+
+    return run
 
-def _search(items: list[tuple[str, list[bytes]]], columns: list[str], n: int, at_text: int, last: bool):
+
+def _hits(items: list[tuple[str, list[bytes]]]):
     name = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searchers, c = _searchers(name, items), len(columns)
-        for batch in batches:
-            for at in range(0, batch.num_rows, OUT_ROWS):
-                part = batch.slice(at, OUT_ROWS)
-                before = zip(part.column(c), part.column(c + 1), strict=True) if part.num_columns > c else None
-                counts, hits, found = [], [], []
-                for x in part.column(at_text):
-                    w = words(x.as_py())
-                    hit, of = bytearray(len(w)), set()
-                    if before:
-                        was, had = next(before)
-                        hit, of = bytearray(was.as_py()), set(had.as_py())
-                    for s in searchers:
-                        s.search(w, hit, of)
-                    counts.append(len(w))
-                    hits.append(hit)
-                    found.append(sorted(of))
-                of = pa.array(found, pa.list_(pa.string()))
-                if last:
-                    out, names = [*part.columns[:n], pa.array(counts, pa.int64()), pa.array([h.count(1) for h in hits], pa.int64()), of], [*columns[:n], "n_words", "n_hit", "items"]
-                else:
-                    out, names = [*part.columns[:c], pa.array(map(bytes, hits), pa.binary()), of], [*columns, "__hit", "__items"]
-                yield pa.RecordBatch.from_arrays(out, names)
+        for part in _parts(batches):
+            _, hits, found = _look(_searchers(name, items), part.column(1))
+            some = [k for k, x in enumerate(found) if x]
+            out = [part.column(0).take(pa.array(some, pa.int64())), pa.array([bytes(hits[k]) for k in some], pa.binary()), pa.array([found[k] for k in some], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(out, ["__row", "hit", "items"])
+
+    return run
+
+
+def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n_hit = [sum(map(any, zip(*x, strict=True))) for x in batch.column(1).to_pylist()]
+        items = [sorted(set().union(*x)) for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string()))], ["__row", "n_hit", "items"])
+
+
+def _counted(keep: list[str]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            n = pa.array([len(words(x.as_py())) for x in part.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], n], ["__row", *keep, "n_words"])
 
     return run

@@ -91,6 +91,8 @@ def test_contamination_is_what_brute_force_gives(spark, monkeypatch):
     assert got() == expected
     monkeypatch.setattr(contamination, "BLOCK_WORDS", 40)  # several passes
     assert got() == expected
+    kept = contamination.find(frame.withColumn("n_hit", F.lit("x")), bench, keep=["text", "doc_id", "n_hit"])
+    assert kept.columns == ["text", "doc_id", "n_words", "n_hit", "items"] and {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in kept.collect()} == expected
 
 
 def test_contamination_odd_cases(spark, odd):
