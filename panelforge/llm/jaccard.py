@@ -59,8 +59,10 @@ SPREAD = 20_000
 BROADCAST_KEYS = 2_000_000
 #: Groups of several members are opened in blocks of about so many tokens.
 BLOCK_TOKENS = 400_000
-#: 64-bit words of a set's parity bitmap.
+#: Least number of 64-bit words of a set's parity bitmap, which has a bit a token or more.
 WORDS = 8
+#: Members of a group up to which a query is tried against their bitmaps before the group's union.
+FEW_MEMBERS = 8
 
 _SLICE = 64
 _U = np.uint64
@@ -155,8 +157,12 @@ def _sign(s: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of the numbers of tokens by a few of their bits: sets that differ in d tokens have bitmaps that differ in d bits at most."""
-    return np.packbits(np.bincount((s >> _U(20)) & _U(64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1).view(np.int64)
+    """Parities of the numbers of tokens by their low bits: sets that differ in d tokens have bitmaps that differ in d bits at most.
+
+    The size is a power of two; a bitmap of half the size is the halves of this one, added bit by bit.
+    """
+    bits = max(64 * WORDS, 1 << (len(s) - 1).bit_length())
+    return np.packbits(np.bincount(_mix(s) & _U(bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").view(np.int64)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +177,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 bands.append([])
             tokens.append(s.tobytes() if sign % SAMPLE == 0 else None)
-        bits = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([bitmap(s) for s in sets])), WORDS).cast(pa.list_(pa.int64()))
+        maps = [bitmap(s) if len(s) else s.view(np.int64) for s in sets]
+        bits = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, maps)]), pa.int32()), pa.array(np.concatenate(maps)))
         out = [part.column(0), pa.array(map(len, sets), pa.int64()), pa.array([x for x, _ in signs], pa.int64()), pa.array([y for _, y in signs], pa.int64()), pa.array(bands, pa.list_(pa.int64())), bits, pa.array(tokens, pa.binary())]
         yield pa.RecordBatch.from_arrays(out, ["doc_id", "n", "s1", "s2", "bands", "bits", "tokens"])
 
@@ -219,7 +226,10 @@ def entries(s: np.ndarray, sign: int, hot: np.ndarray, keys: np.ndarray) -> tupl
 
 
 def _prefixes(hot, keys):
-    """(key, s1, n, limit, asks) for the prefix tokens of each set; within a task equal sets are entered once."""
+    """(key, s1, about) for the entries of each set; within a task equal sets are entered once.
+
+    ``about`` holds the set's size, the limit and whether the entry asks, in one number that is greatest for the entry that says most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, spread, entered = hot.value, keys.value, set()
@@ -236,8 +246,8 @@ def _prefixes(hot, keys):
             if made:
                 key, limit, asks = (np.concatenate(x) for x in zip(*made, strict=True))
                 count = [len(x) for x, _, _ in made]
-                columns = [pa.array(key.view(np.int64)), pa.array(np.repeat(np.array(signs, np.int64), count)), pa.array(np.repeat(np.array(sizes, np.int32), count)), pa.array(limit.astype(np.int32)), pa.array(asks)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "s1", "n", "most", "asks"])
+                about = (np.repeat(np.array(sizes, np.int64), count) << 32) + (limit.astype(np.int64) << 1) + asks
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.repeat(np.array(signs, np.int64), count)), pa.array(about)], ["key", "s1", "about"])
 
     return run
 
@@ -292,7 +302,9 @@ def _leaders(reps: DataFrame, scratch: Scratch) -> DataFrame:
 def candidates(prefixes: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (g1, g2) of groups that share an entry of the matrix within its limits."""
     # keys that hold one set only, or none that answers, go before anything is joined; nearly all do
-    rows = prefixes.repartition("key").groupBy("key", "s1").agg(F.max("n").alias("n"), F.max("most").alias("most"), F.max("asks").alias("asks"))
+    rows = prefixes.repartition("key").groupBy("key", "s1").agg(F.max("about").alias("about"))
+    about = F.col("about")
+    rows = rows.select("key", "s1", F.shiftright(about, 32).alias("n"), F.shiftright(about.bitwiseAND(F.lit(2**32 - 1)), 1).alias("most"), (about.bitwiseAND(F.lit(1)) == 1).alias("asks"))
     of_key = Window.partitionBy("key")
     rows = rows.withColumns({"k": F.count("*").over(of_key), "answered": F.max(F.col("most") >= F.col("n")).over(of_key)}).where("k > 1 AND answered").select("key", "s1", "n", "most", "asks")
     asks, answers = F.col("asks"), F.col("most") >= F.col("n")
@@ -309,13 +321,21 @@ def candidates(prefixes: DataFrame, members: DataFrame, scratch: Scratch) -> Dat
 
 
 def _close(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of single documents whose sizes and bitmaps allow a link."""
+    """Those of the pairs (a, b) of documents whose sizes and bitmaps allow a link."""
+    own = pairs.columns
     for c in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")), c)
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    size = F.least(F.size("bits_a"), F.size("bits_b"))
+
+    def folded(c: str) -> Column:
+        # sizes that allow a link are a factor of two apart at most
+        halves = F.zip_with(F.slice(c, 1, size), F.slice(c, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(c) > size, halves).otherwise(F.col(c))
+
+    apart = F.aggregate(F.zip_with(folded("bits_a"), folded("bits_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     # sets that link differ in n_a + n_b - 2 * overlap tokens at most
     bound = (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))
-    return pairs.where(_sizes_allow(F.least("n_a", "n_b"), F.greatest("n_a", "n_b")) & bound).select("a", "b")
+    return pairs.where(_sizes_allow(F.least("n_a", "n_b"), F.greatest("n_a", "n_b"))).where(bound).select(*own)
 
 
 def _union(block: pd.DataFrame) -> pd.DataFrame:
@@ -348,7 +368,7 @@ def _searched(key: tuple, blocks: pd.DataFrame, queries: pd.DataFrame) -> pd.Dat
     return pd.DataFrame(found, columns=["a", "b"])
 
 
-def _opened(documents: DataFrame, pairs: DataFrame, members: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
+def _opened(documents: DataFrame, pairs: DataFrame, members: DataFrame, sizes: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (a, b) between groups of which one has several members.
 
     The larger one is the group, stored as token unions of blocks of so many
@@ -358,8 +378,12 @@ def _opened(documents: DataFrame, pairs: DataFrame, members: DataFrame, sizes: D
     """
     g, q = F.when(F.col("k1") >= F.col("k2"), F.col("g1")), F.when(F.col("k1") >= F.col("k2"), F.col("g2"))
     pairs = pairs.select(F.coalesce(g, "g2").alias("g"), F.coalesce(q, "g1").alias("q"))
-    asked = pairs.join(members.select(F.col("g").alias("q"), "doc_id", "n"), "q").join(sizes.select("g", "lo", "hi"), "g")
-    asked = scratch.write(asked.where(_sizes_allow(F.col("lo"), F.col("n")) & _sizes_allow(F.col("n"), F.col("hi"))).select("g", "doc_id", "n"), "queries")
+    asked = pairs.join(members.select(F.col("g").alias("q"), "doc_id", "n"), "q").join(sizes.select("g", "lo", "hi", "k"), "g")
+    asked = scratch.write(asked.where(_sizes_allow(F.col("lo"), F.col("n")) & _sizes_allow(F.col("n"), F.col("hi"))).select("g", "doc_id", "n", "k"), "asked")
+    # of a small group some member must be close to the query
+    few = asked.where(F.col("k") <= FEW_MEMBERS).join(members.select("g", F.col("doc_id").alias("b")), "g").select("g", F.col("doc_id").alias("a"), "n", "b")
+    few = _close(few, reps).select("g", F.col("a").alias("doc_id"), "n").distinct()
+    asked = scratch.write(asked.where(F.col("k") > FEW_MEMBERS).select("g", "doc_id", "n").unionByName(few), "queries")
     cuts = asked.groupBy("g").agg(F.sum("n").alias("asked")).join(sizes.select("g", "tokens"), "g")
     cuts = scratch.write(cuts.select("g", *[F.ceil(F.col(c) / BLOCK_TOKENS).cast("int").alias(f"cut_{c}") for c in ("asked", "tokens")]), "cuts")
 
@@ -404,19 +428,19 @@ def join(documents: DataFrame) -> DataFrame:
     hot = spark.sparkContext.broadcast(tokens[order])
     keys = spark.sparkContext.broadcast((1 + often["k"].to_numpy(np.int64) * SAMPLE // SPREAD)[order])
 
-    near = scratch.write(components(_links(docs, _leaders(reps, scratch), scratch, "near")), "groups")
+    near = scratch.write(components(_links(docs, _close(_leaders(reps, scratch), reps), scratch, "near")), "groups")
     scratch.clear("bands", "buckets", "met", "company", "leaders", "near", "near-a", "near-b")
     members = reps.join(near, reps["doc_id"] == near["node"], "left").select("doc_id", "s1", "n", F.coalesce("component", "doc_id").alias("g"))
     members = scratch.write(members, "members")
     groups = scratch.write(members.groupBy("g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.sum("n").alias("tokens"), F.count("*").alias("k")), "sizes")
-    pairs = candidates(docs.mapInArrow(_prefixes(hot, keys), "key long, s1 long, n int, most int, asks boolean"), members, scratch)
+    pairs = candidates(docs.mapInArrow(_prefixes(hot, keys), "key long, s1 long, about long"), members, scratch)
     for i in (1, 2):
         pairs = pairs.join(groups.select(F.col("g").alias(f"g{i}"), F.col("k").alias(f"k{i}")), f"g{i}")
     pairs = scratch.write(pairs, "candidates")
     scratch.clear("matrix")
     alone = (F.col("k1") == 1) & (F.col("k2") == 1)
     single = _close(pairs.where(alone).select(F.col("g1").alias("a"), F.col("g2").alias("b")), reps)
-    found = _links(docs, single, scratch, "single").unionByName(_opened(docs, pairs.where(~alone), members, groups, scratch))
+    found = _links(docs, single, scratch, "single").unionByName(_opened(docs, pairs.where(~alone), members, groups, reps, scratch))
     of = members.select("doc_id", "g")
     far = found.join(of.withColumnsRenamed({"doc_id": "a", "g": "x"}), "a").join(of.withColumnsRenamed({"doc_id": "b", "g": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     joined = scratch.write(components(far), "joined")
@@ -424,6 +448,6 @@ def join(documents: DataFrame) -> DataFrame:
     # only classes that say more than "alone" are joined back to the documents
     classes = reps.join(final, "doc_id").where((F.col("copies") > 1) | (F.col("component_id") != F.col("doc_id"))).select("s1", "s2", "n", "component_id")
     classes = scratch.write(classes, "classes")
-    scratch.clear("reps", "groups", "members", "sizes", "candidates", "single", "single-a", "single-b", "queries", "cuts", "held", "held-keys", "unions", "query-keys", "joined")
+    scratch.clear("reps", "groups", "members", "sizes", "candidates", "single", "single-a", "single-b", "asked", "queries", "cuts", "held", "held-keys", "unions", "query-keys", "joined")
     out = signed.join(sized(classes), ["s1", "s2", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
