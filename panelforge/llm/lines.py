@@ -41,8 +41,6 @@ MIN_FAMILIES = 6
 OWN = 1 / 7
 #: Share of equal positions after the leading ones that makes a line an instance of its leaf's template.
 SIMILAR = 0.7
-#: Most documents whose lines to be dropped are broadcast; more meet their texts by a shuffle.
-BROADCAST_DROPS = 50_000
 
 
 def _template(line: Column) -> Column:
@@ -111,7 +109,7 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     shapes = written(seen.drop("doc_id").join(shapes, ["leaf", "t"]).withColumn("tokens", F.split("x", " ")).drop("x"), "line-shapes")
     # a leaf with very many lines is one row here, so its lines stay where they are
     top = shapes.groupBy("leaf").agg(F.max(F.struct("families", "docs", "t", "tokens")).alias("top")).select("leaf", F.col("top.t").alias("of"), F.col("top.tokens").alias("template"))
-    top = sized(written(top, "line-tops"))
+    top = sized(written(top, "line-tops"), 200_000)
     agree = F.aggregate(F.zip_with("tokens", "template", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
     first = agree - DEPTH >= SIMILAR * (F.size("tokens") - DEPTH)
     tree = written(shapes.join(top, "leaf").select("leaf", "t", "families", "tokens", F.when(first, F.col("of")).alias("template")), "line-tree")
@@ -154,7 +152,6 @@ def dedup(documents: DataFrame) -> DataFrame:
     nodes = written(_nodes(documents), "line-nodes")
     found = nodes.select("doc_id", "t").join(sized(recurring(documents, nodes)), "t", "left_semi")
     drops = found.groupBy("doc_id").agg(F.collect_set("t").alias("__drop")).withColumnRenamed("doc_id", "__id")
-    drops = sized(written(drops, "line-drops"), BROADCAST_DROPS)
     rows = documents.join(drops, documents["doc_id"].eqNullSafe(F.col("__id")), "left").drop("__id")
     kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), _hash(x)), F.lit(False)))
     less = F.when(F.col("__drop").isNotNull(), _let(kept, lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(k).alias("n"))))
