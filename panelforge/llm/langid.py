@@ -40,13 +40,16 @@ CACHE_WORDS = 200_000
 UNKNOWN = "und"
 
 #: Numerals that count as word characters in Python without being letters or digits, such as Roman or circled ones.
-_numerals = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]").sub
+_ODD = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_numerals = re.compile(f"[{_ODD}]").sub
+#: Whether a text may have any: a quick look that keeps to one table of characters.
+_may_have = re.compile("[" + "".join(c for c in _ODD if c < "\U00010000") + "\U00010000-\U0010ffff]").search
 _runs = re.compile(r"[^\W\d_]{1,40}").findall
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters (``\\p{L}``); a longer run, as in scripts without spaces, is cut into pieces that are words of the chain."""
-    return _runs(text if text.isascii() else _numerals(" ", text))
+    return _runs(_numerals(" ", text) if not text.isascii() and _may_have(text) else text)
 
 
 class _Buckets(dict):
