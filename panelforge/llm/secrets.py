@@ -86,7 +86,8 @@ def findings(versions: DataFrame, ledger: DataFrame, text: str = "text", keep: l
     known = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select("blob", "spans").dropDuplicates(["blob"])
     paths = versions.select(*keep, F.sha2(_whole(versions, text), 256).alias("blob"))
     empty = F.array().cast("array<struct<kind:string,start:int,stop:int>>")
-    return paths.join(known, "blob", "left").select(*keep, "blob", F.coalesce("spans", empty).alias("spans"))
+    # a blob that very many paths hold stays where they are
+    return paths.join(sized(known, BROADCAST_BLOBS), "blob", "left").select(*keep, "blob", F.coalesce("spans", empty).alias("spans"))
 
 
 def scan(versions: DataFrame, ledger: DataFrame | None = None, text: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
