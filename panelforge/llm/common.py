@@ -58,6 +58,10 @@ class Scratch:
         for name in names:
             _remove(self.spark, f"{self.path}/{name}")
 
+    def drop(self) -> None:
+        """Remove all its tables."""
+        _remove(self.spark, self.path)
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """A single intermediate table that a result goes on to read."""
