@@ -9,15 +9,18 @@ run again, or a table dealt otherwise, gives the same output.
 
 A text is split window by window, and of a window only its number of units is
 kept; the windows of the two ranks are split once more.  So a worker's memory
-does not follow the length of a text beyond the text itself.
+does not follow the length of a text beyond the text itself.  Where each code
+point is a unit, a window's parts at blanks, which texts repeat all the time,
+are split once a worker, and their numbers of units remembered.
 """
 
 from __future__ import annotations
 
-import gc
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +36,9 @@ PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 RATE, SPM_RATE = 90, 20
 #: Code points that are split at a time; a unit that is longer than a window gets a longer one.
 WINDOW = 256
+#: Where each code point is a unit: code points whose parts are counted at a time, parts that a worker remembers, and what a part is.
+SINGLE_WINDOW, KNOWN = 1 << 16, 200_000
+_parts = re.compile("[^ ]{1,40} ?| ").findall
 _RESULTS = "n", "form", "prefix_chars", "middle_chars", "output"
 
 
@@ -41,32 +47,60 @@ def _splitter(pattern: str):
     return pre_tokenizers.Split(Regex(pattern), "isolated").pre_tokenize_str
 
 
+class _Counts(dict):
+    """Numbers of units of parts, each part split when it is first met."""
+
+    def __missing__(self, part: str) -> int:
+        if len(self) >= KNOWN:
+            self.clear()
+        self[part] = n = len(_splitter(CODE_POINT)(part))
+        return n
+
+
+_counts = _Counts()
+
+
 class Units:
     """The units of a text: ``n``, their number, and :meth:`offset`, the place of each in code points.
 
-    Matches of the pattern and what stands between them are units.  A window's
-    last unit may go on behind it, so that the next window begins with it; a
-    pattern must therefore not look behind its match, or ahead of it farther
-    than to the end of the next unit.
+    Matches of the pattern and what stands between them are units.  Where a
+    unit may be longer than a code point, a window's last one may go on behind
+    it, so that the next window begins with it; a pattern must therefore not
+    look behind its match, or ahead of it farther than to the end of the next
+    unit.
     """
 
-    def __init__(self, text: str, pattern: str = CODE_POINT, window: int = WINDOW) -> None:
-        self.split, self.text, self.n = _splitter(pattern), text, 0
-        #: For each window its first code point, the one behind it, and the number of units up to its end.
+    def __init__(self, text: str, pattern: str = CODE_POINT, window: int | None = None) -> None:
+        self.text, self.split, self.single = text, _splitter(pattern), pattern == CODE_POINT
+        #: For each window its first code point and the one behind it, and the number of units up to its end.
         self.windows: list[tuple[int, int]] = []
         self.ends: list[int] = []
+        self.n = 0
+        if self.single:
+            size = window or SINGLE_WINDOW
+            for start in range(0, len(text), size):
+                self._add(start, start + size, sum(map(_counts.__getitem__, _parts(text[start : start + size]))))
+        else:
+            self._overlapping(window or WINDOW)
+
+    def _add(self, start: int, stop: int, units: int) -> None:
+        self.n += units
+        self.windows.append((start, stop))
+        self.ends.append(self.n)
+
+    def _overlapping(self, window: int) -> None:
         start, size = 0, window
-        while start < len(text):
-            spans = self.split(text[start : start + size])
-            if (stop := start + size) < len(text):
-                if len(spans) < 2:
-                    size *= 2
-                    continue
+        while start < len(self.text):
+            stop = start + size
+            spans = self.split(self.text[start:stop])
+            if stop >= len(self.text):
+                self._add(start, stop, len(spans))
+            elif len(spans) > 1:
+                self._add(start, stop, len(spans) - 1)
                 stop = start + spans[-1][1][0]
-                self.n -= 1
-            self.n += len(spans)
-            self.windows.append((start, start + size))
-            self.ends.append(self.n)
+            else:
+                size *= 2
+                continue
             start, size = stop, window
 
     def offset(self, rank: int) -> int:
@@ -75,7 +109,13 @@ class Units:
             return 0
         k = bisect_left(self.ends, rank)
         start, stop = self.windows[k]
-        return start + self.split(self.text[start:stop])[rank - 1 - (self.ends[k - 1] if k else 0)][1][1]
+        part, rank = self.text[start:stop], rank - (self.ends[k - 1] if k else 0)
+        if self.single:
+            parts = _parts(part)
+            ends = list(accumulate(map(_counts.__getitem__, parts)))
+            k = bisect_left(ends, rank)
+            start, part, rank = start + sum(map(len, parts[:k])), parts[k], rank - (ends[k - 1] if k else 0)
+        return start + self.split(part)[rank - 1][1][1]
 
 
 def draws(key: Column, seed: str) -> list[Column]:
@@ -113,14 +153,12 @@ def transform(df: DataFrame, key: str = "doc_id", text: str = "text", keep: list
     rows, n = df.select(*[f"`{c}`" for c in keep], body.alias("__text"), first.alias("__first"), second.alias("__second"), form.alias("__form")), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # the spans are tuples without cycles; looking through them takes a tenth of the time
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
                 made = [_cut(*(x.as_py() for x in row), pattern) for row in zip(*part.columns[n:], strict=True)]
                 kinds = pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *(pa.array(x, kind) for x, kind in zip(zip(*made, strict=True), kinds, strict=True))], [*keep, *_RESULTS])
-        gc.enable()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n]]
     return rows.mapInArrow(run, ", ".join([*fields, "n long, form string, prefix_chars long, middle_chars long, output string"]))
