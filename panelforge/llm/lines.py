@@ -11,12 +11,15 @@ across documents is boilerplate, and its lines are dropped from all of them.
 
 Copies of a document are no evidence that its lines are boilerplate (they are
 the business of the near-duplicate operator).  Documents with the same set of
-templates are one group, however many they are, and a template recurs if it is
-in ``MIN_FAMILIES`` groups or more that are no near copies of others.  A group
-counts as one if more than ``OWN`` of its templates are its own, that is in
-fewer than ``MIN_FAMILIES`` groups: two documents that share all but that much
-have a Jaccard similarity of 0.75 by lines.  No share of the documents that
-hold a template enters, so copies never save a line from being dropped.
+templates are one group, however many they are.  A group is evidence if it has
+something to say besides the candidates: of its other lines, more are new than
+are variants of candidates.  A variant has three tokens in a row in common with
+a candidate, at the same place from the beginning or from the end; the edited
+lines of a near copy are such, as all its lines are another document's.  A
+template recurs if ``MIN_FAMILIES`` groups or more that are evidence hold it.
+No share enters, neither of a document's lines nor of the documents that hold a
+template: a page of ten shared lines and one of its own is evidence for the
+ten, and copies never save a line from being dropped.
 
 All of it is DataFrame work.  Only hashes are exploded and shuffled; a line
 that a third of all documents hold is spread over its groups first and meets
@@ -37,8 +40,8 @@ DEPTH = 3
 MIN_TOKENS = 3
 _UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 MIN_FAMILIES = 6
-#: Share of templates of its own beyond which a group of copies is evidence.
-OWN = 1 / 7
+#: Tokens of a line that, at the same place, make it a variant of another.
+ANCHOR = 3
 #: Share of equal positions after the leading ones that makes a line an instance of its leaf's template.
 SIMILAR = 0.7
 
@@ -74,23 +77,35 @@ def _hash(line: Column) -> Column:
     return _let(_template(line), lambda x: F.when(_enough(x, _tokens(x)), F.xxhash64(x)))
 
 
+def _anchors(template: Column, n: Column) -> Column:
+    """Hashes of a line's first and last tokens and of those next to them; of a line that is too short for that, of its first and last half."""
+
+    def ends(size: int) -> list[Column]:
+        return [F.substring_index(template, " ", size), F.substring_index(template, " ", -size)]
+
+    inner = [F.substring_index(F.substring_index(template, " ", sign * 2 * ANCHOR), " ", -sign * ANCHOR) for sign in (1, -1)]
+    long = F.array(*[F.xxhash64(F.lit(k), x) for k, x in enumerate(ends(ANCHOR) + inner)])
+    short = [F.array(*[F.xxhash64(n, F.lit(k), x) for k, x in enumerate(ends(max(1, size // 2)))]) for size in range(1, 2 * ANCHOR)]
+    return F.when(n >= 2 * ANCHOR, long).otherwise(F.element_at(F.array(*short), F.greatest(F.least(n, F.lit(2 * ANCHOR - 1)), F.lit(1)).cast("int")))
+
+
 def _parsed(text: Column, shown: bool) -> Column:
-    """A text's distinct templates as structs of ``leaf``, ``t`` and, if they are to be shown, ``x``, the template itself."""
+    """A text's distinct templates as structs of ``leaf``, ``t`` and ``anchors`` or, if they are to be shown, ``x``, the template itself."""
 
     def node(line: Column) -> Column:
-        return _let(_template(line), lambda x: _let(_tokens(x), lambda n: F.when(_enough(x, n), F.struct(_leaf(x, n).alias("leaf"), F.xxhash64(x).alias("t"), *[x.alias("x")] * shown))))
+        return _let(_template(line), lambda x: _let(_tokens(x), lambda n: F.when(_enough(x, n), F.struct(_leaf(x, n).alias("leaf"), F.xxhash64(x).alias("t"), x.alias("x") if shown else _anchors(x, n).alias("anchors")))))
 
     return F.array_distinct(F.filter(F.transform(F.split(text, "\n"), node), lambda x: x.isNotNull()))
 
 
 def _nodes(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``leaf``, ``t``, the document's group of copies and its number of templates, for every distinct template of every document."""
+    """``doc_id``, ``leaf``, ``t``, ``anchors`` and the document's group of copies, for every distinct template of every document."""
 
     def with_group(found: Column) -> Column:
-        return F.struct(found.alias("lines"), F.xxhash64(F.array_sort(F.transform(found, lambda x: x["t"]))).alias("group"), F.size(found).alias("size"))
+        return F.struct(found.alias("lines"), F.xxhash64(F.array_sort(F.transform(found, lambda x: x["t"]))).alias("group"))
 
     parsed = documents.select("doc_id", _let(_parsed(F.col("text"), False), with_group).alias("d"))
-    return parsed.select("doc_id", "d.group", "d.size", F.explode("d.lines").alias("x")).select("doc_id", "x.leaf", "x.t", "group", "size")
+    return parsed.select("doc_id", "d.group", F.explode("d.lines").alias("x")).select("doc_id", "x.leaf", "x.t", "x.anchors", "group")
 
 
 def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -99,7 +114,7 @@ def recurring(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     leaves = written(nodes.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_FAMILIES).select("leaf"), "line-leaves")
     often = nodes.join(sized(leaves), "leaf", "left_semi")
     least = F.min("doc_id").alias("doc_id")
-    held = often.groupBy("leaf", "t", "group").agg(F.count("*").alias("n"), F.min("size").alias("size"), least)
+    held = often.groupBy("leaf", "t", "group").agg(F.count("*").alias("n"), least)
     seen = written(held.groupBy("leaf", "t").agg(F.count("*").alias("families"), F.sum("n").alias("docs"), least), "line-templates")
     # only a leaf with several lines needs generalising, and one document that holds it shows the text of a line
     several = written(seen.groupBy("leaf").agg(F.sum("families").alias("f"), F.count("*").alias("n")).where((F.col("f") >= MIN_FAMILIES) & (F.col("n") > 1)).select("leaf"), "line-several")
@@ -132,8 +147,15 @@ def _further(lines: DataFrame) -> DataFrame:
 
 def _evident(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
     """The ``t`` of those ``candidates`` (``t``, ``template``) whose template is in enough groups that are evidence."""
-    found = written(nodes.join(sized(candidates.select("t").distinct()), "t", "left_semi").groupBy("t", "group").agg(F.min("size").alias("size")), "line-found")
-    evident = written(found.groupBy("group").agg(F.count("*").alias("shared"), F.min("size").alias("size")).where(F.col("size") - F.col("shared") > OWN * F.col("size")).select("group"), "line-evident")
+    known = sized(written(candidates.select("t").distinct(), "line-known"))
+    found = written(nodes.join(known, "t", "left_semi").groupBy("t", "group").agg(F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors")), "line-found")
+    # one document of each group shows what else the group says
+    holders = written(found.groupBy("group").agg(F.min("doc_id").alias("__holder")), "line-groups").withColumnRenamed("group", "__group")
+    others = nodes.join(sized(holders), (F.col("group") == F.col("__group")) & F.col("doc_id").eqNullSafe(F.col("__holder")), "left_semi").join(known, "t", "left_anti")
+    anchors = written(found.groupBy("t").agg(F.first("anchors").alias("anchors")).select(F.explode("anchors").alias("anchor")).distinct(), "line-anchors")
+    met = others.select("group", "t", F.explode("anchors").alias("anchor")).join(sized(anchors.withColumn("met", F.lit(1))), "anchor", "left")
+    other = met.groupBy("group", "t").agg(F.max(F.coalesce("met", F.lit(0))).alias("met"))
+    evident = written(other.groupBy("group").agg(F.sum("met").alias("variants"), F.count("*").alias("n")).where(F.col("n") > 2 * F.col("variants")).select("group"), "line-evident")
     places = found.select("t", "group").join(sized(evident), "group", "left_semi").join(sized(candidates), "t")
     enough = places.groupBy("template", "group").agg(F.count("*").alias("n")).groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_FAMILIES)
     return written(candidates.join(enough, "template", "left_semi").select("t").distinct(), "line-recurring")

@@ -198,7 +198,16 @@ def brute_lines(docs):
             if sum(families[x] for x in members) >= lines.MIN_FAMILIES:
                 for x in members:
                     name.setdefault(x, set()).add(of)
-    evident = [g for g in groups if len(g) - sum(x in name for x in g) > lines.OWN * len(g)]
+    def anchors(x):
+        w, k = x.split(), lines.ANCHOR
+        if len(w) < 2 * k:
+            half = max(1, len(w) // 2)
+            return {(len(w), 0, *w[:half]), (len(w), 1, *w[-half:])}
+        return {(0, *w[:k]), (1, *w[-k:]), (2, *w[k : 2 * k]), (3, *w[-2 * k : -k])}
+
+    known = {a for x in name for a in anchors(x)}
+    rest_of = {g: [bool(anchors(x) & known) for x in g if x not in name] for g in groups}
+    evident = [g for g, r in rest_of.items() if len(r) > 2 * sum(r)]
     places = defaultdict(set)
     for k, group in enumerate(evident):
         for x in group & name.keys():
@@ -243,13 +252,32 @@ def test_shared_lines_go_whatever_copies_or_blocks_hold_them(spark):
     docs += [(100 + k, "\n".join([*copy, line])) for copy in [[prose(rng, 9) for _ in range(4)]] for k in range(90)]
     docs += [(300 + k, "\n".join([*block, prose(rng, 9), prose(rng, 9)])) for k in range(40)]
     near = [prose(rng, 9) for _ in range(12)]
-    docs += [(400 + k, "\n".join([*near[: k % 12], prose(rng, 9), *near[k % 12 + 1 :]])) for k in range(40)]
+    for k in range(40):  # near copies: in one line each another word
+        words = near[k % 12].split()
+        words[k % 9] = prose(rng, 1)
+        docs.append((400 + k, "\n".join([*near[: k % 12], " ".join(words), *near[k % 12 + 1 :]])))
     got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
     assert not any(line in t for t, _ in got.values())
     assert all(got[300 + k][1] == 10 for k in range(40))
     assert all(got[400 + k][1] == 0 for k in range(40))  # near copies are no evidence either
 
 
+def test_short_pages_with_one_line_of_their_own_are_evidence(spark):
+    rng = random.Random(13)
+    block = [prose(rng, 9) for _ in range(10)]
+    docs = [(k, "\n".join([*block[:5], prose(rng, 9), *block[5:]])) for k in range(500)]
+    copy = [prose(rng, 9) for _ in range(10)]
+    for k in range(1, 300):
+        words = [x.split() for x in copy]
+        for _ in range(4):
+            words[rng.randrange(10)][rng.randrange(9)] = prose(rng, 1)
+        docs.append((1000 + k, "\n".join(map(" ".join, words))))
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert all(got[k][1] == 10 for k in range(500))
+    assert not any(n for k, (_, n) in got.items() if k > 1000)  # near copies of one document
+    assert got == brute_lines(docs)
+
+
 def test_several_templates_of_a_leaf_and_lines_without_spaces(spark):
     rng = random.Random(12)
     name = lambda: "".join(rng.choice("bcdfgklmnp") for _ in range(7))
