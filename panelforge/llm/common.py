@@ -5,12 +5,18 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that a Python operator hands back to Spark at a time; those it gets come in batches that Spark bounds by their bytes.
 OUT_ROWS = 128
+#: Bytes of texts that an operator whose memory follows them works on at a time, unless one text has more.
+OUT_BYTES = 1 << 22
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -82,6 +88,17 @@ def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def slices(batch: pa.RecordBatch, at_text: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of ``OUT_ROWS`` rows, fewer where the texts in that column have more than ``OUT_BYTES``; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(at_text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = min(at + OUT_ROWS, max(at + 1, int(np.searchsorted(ends, before + OUT_BYTES, side="right"))))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def without(keep: list[str], *results: str) -> list[str]:
     """``keep`` without the columns that are named like results, which take their place."""
     return [c for c in keep if c.lower() not in results]

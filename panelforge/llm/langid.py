@@ -12,24 +12,28 @@ The weights are fitted on the driver to a bounded sample, ``SAMPLE`` documents
 per language outside the held-out fold, cut into code-switched sequences.
 Labelling is one narrow stage.  Long texts are no slow case: forward-backward
 runs over all blocks of ``BLOCK`` words of a batch at once, block products are
-chained, and the result is the same as word by word.
+chained, and the result is the same as word by word.  Of a batch only the
+numbers of its words are held whole; texts are taken apart by slices and
+probabilities computed by segments, so that memory follows a text's length a
+few times over at most.
 """
 
 from __future__ import annotations
 
 import re
-import sys
+import unicodedata
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import OUT_ROWS, held_out, sized, without, written
+from panelforge.llm.common import held_out, sized, slices, without, written
 
 #: Most documents per language that the model is fitted to, and most of all languages together.
 SAMPLE, SAMPLE_ALL = 200, 20_000
@@ -39,17 +43,33 @@ BLOCK = 64
 CACHE_WORDS = 200_000
 UNKNOWN = "und"
 
-#: Numerals that count as word characters in Python without being letters or digits, such as Roman or circled ones.
-_ODD = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_numerals = re.compile(f"[{_ODD}]").sub
-#: Whether a text may have any: a quick look that keeps to one table of characters.
-_may_have = re.compile("[" + "".join(c for c in _ODD if c < "\U00010000") + "\U00010000-\U0010ffff]").search
-_runs = re.compile(r"[^\W\d_]{1,40}").findall
+#: Code points of text that are taken apart at a time, and blocks of words whose probabilities are computed at a time.
+SLICE, SEGMENT = 1 << 19, 1 << 10
+
+#: What the plain pattern below does not tell apart: marks, and numerals that are neither digits nor letters (Roman or circled ones).
+_UNUSUAL = "".join(c for c in map(chr, range(0x10000)) if unicodedata.category(c)[0] == "M" or c.isnumeric() and not c.isalpha() and not c.isdecimal())
+#: A quick look that keeps to one table of characters; those beyond it count as unusual.
+_unusual = re.compile(f"[{_UNUSUAL}\U00010000-\U0010ffff]").search
+_plain = re.compile(r"[^\W\d_]{1,40}").findall
+_runs = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+_break = regex.compile(r"[^\p{L}\p{M}]").search
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters (``\\p{L}``); a longer run, as in scripts without spaces, is cut into pieces that are words of the chain."""
-    return _runs(_numerals(" ", text) if not text.isascii() and _may_have(text) else text)
+    """Runs of letters (``\\p{L}``) with the marks (``\\p{M}``) on them; a longer run than 40, as in scripts without spaces, is cut into pieces that are words of the chain."""
+    if text.isascii() or not _unusual(text):
+        return _plain(text)
+    return [run[k : k + 40] for run in _runs(text) for k in range(0, len(run), 40)]
+
+
+def _slices(text: str) -> Iterator[str]:
+    """A text in slices, cut where no run of letters goes on."""
+    at = 0
+    while at < len(text):
+        end = _break(text, at + SLICE)
+        stop = end.start() if end else len(text)
+        yield text[at:stop]
+        at = stop
 
 
 class _Buckets(dict):
@@ -83,49 +103,69 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, tie: np.ndarray) -> np.ndar
     positive transition scores.  Before the first word all languages are
     alike.
     """
-    k = emit.shape[1]
+    return np.concatenate([found for _, found in segments(lambda a, b: emit[a:b], lengths, tie)])
+
+
+def segments(emit: Callable[[int, int], np.ndarray], lengths: np.ndarray, tie: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """:func:`marginals` by segments of ``SEGMENT`` blocks: the place of the first word of each, and its words' distributions.
+
+    ``emit`` gives the scores of the words from one place up to another.
+    """
+    k = len(tie)
     blocks = -(-lengths // BLOCK)
     first = np.cumsum(blocks) - blocks
     n = int(blocks.sum())
-    text = np.repeat(np.arange(len(lengths)), lengths)
-    place = np.arange(len(emit)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    row, column = first[text] + place // BLOCK, place % BLOCK
-    cells = np.ones((BLOCK, n, k))
-    real = np.zeros((BLOCK, n, 1), bool)
-    cells[column, row] = emit
-    real[column, row] = True
+    of = np.repeat(np.arange(len(lengths)), blocks)
+    starts = (np.cumsum(lengths) - lengths)[of] + (np.arange(n) - first[of]) * BLOCK
+    starts = np.append(starts, lengths.sum())
+
+    def cells(b: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the blocks from ``b`` the place of the first word, the places of all in their blocks, scores, and where there are words."""
+        size = np.diff(starts[b : b + SEGMENT + 1])
+        row = np.repeat(np.arange(len(size)), size)
+        column = np.arange(len(row)) - (starts[b:][: len(size)] - starts[b])[row]
+        scores, real = np.ones((BLOCK, len(size), k)), np.zeros((BLOCK, len(size), 1), bool)
+        scores[column, row] = emit(starts[b], starts[b] + len(row))
+        real[column, row] = True
+        return starts[b], row, column, scores, real
 
     whole = np.broadcast_to(np.eye(k), (n, k, k)).copy()
-    for c in range(BLOCK):
-        step = (whole @ tie) * cells[c][:, None, :]
-        whole = np.where(real[c][:, :, None], step / step.sum((1, 2), keepdims=True), whole)
-    ahead, behind = np.empty((n, k)), np.empty((n, k))
+    for b in range(0, n, SEGMENT):
+        _, _, _, scores, real = cells(b)
+        product = whole[b : b + SEGMENT]
+        for c in range(BLOCK):
+            step = (product @ tie) * scores[c][:, None, :]
+            product = np.where(real[c][:, :, None], step / step.sum((1, 2), keepdims=True), product)
+        whole[b : b + SEGMENT] = product
+    all_ahead, all_behind = np.empty((n, k)), np.empty((n, k))
     most = int(blocks.max())
     by_size = np.argsort(-blocks, kind="stable")
     active = np.searchsorted(-blocks[by_size], -np.arange(1, most + 1), side="right")
     state = np.full((len(lengths), k), 1 / k)
     for b in range(most):
-        of = by_size[: active[b]]
-        ahead[first[of] + b] = state[of]
-        new = np.einsum("ni,nij->nj", state[of], whole[first[of] + b])
-        state[of] = new / new.sum(1, keepdims=True)
+        now = by_size[: active[b]]
+        all_ahead[first[now] + b] = state[now]
+        new = np.einsum("ni,nij->nj", state[now], whole[first[now] + b])
+        state[now] = new / new.sum(1, keepdims=True)
     state = np.full((len(lengths), k), 1 / k)
     for b in range(most - 1, -1, -1):
-        of = by_size[: active[b]]
-        behind[first[of] + b] = state[of]
-        new = np.einsum("nij,nj->ni", whole[first[of] + b], state[of])
-        state[of] = new / new.sum(1, keepdims=True)
-
-    out = np.empty((BLOCK, n, k))
-    for c in range(BLOCK):
-        step = (ahead @ tie) * cells[c]
-        ahead = out[c] = np.where(real[c], step / step.sum(1, keepdims=True), ahead)
-    for c in range(BLOCK - 1, -1, -1):
-        out[c] *= behind
-        step = (behind * cells[c]) @ tie.T
-        behind = np.where(real[c], step / step.sum(1, keepdims=True), behind)
-    found = out[column, row]
-    return found / found.sum(1, keepdims=True)
+        now = by_size[: active[b]]
+        all_behind[first[now] + b] = state[now]
+        new = np.einsum("nij,nj->ni", whole[first[now] + b], state[now])
+        state[now] = new / new.sum(1, keepdims=True)
+
+    for b in range(0, n, SEGMENT):
+        start, row, column, scores, real = cells(b)
+        ahead, behind, out = all_ahead[b : b + SEGMENT], all_behind[b : b + SEGMENT], np.empty_like(scores)
+        for c in range(BLOCK):
+            step = (ahead @ tie) * scores[c]
+            ahead = out[c] = np.where(real[c], step / step.sum(1, keepdims=True), ahead)
+        for c in range(BLOCK - 1, -1, -1):
+            out[c] *= behind
+            step = (behind * scores[c]) @ tie.T
+            behind = np.where(real[c], step / step.sum(1, keepdims=True), behind)
+        found = out[column, row]
+        yield start, found / found.sum(1, keepdims=True)
 
 
 @dataclass
@@ -142,25 +182,43 @@ class Chain:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_row": {}, "_scores": None}
 
-    def _emit(self, words: list[str]) -> np.ndarray:
-        if len(self._row) > CACHE_WORDS:
-            self._row, self._scores = {}, None
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Where each word's scores stand; words that are new are scored."""
         row = self._row
         if new := [w for w in dict.fromkeys(words) if w not in row]:
             ids = [features(w, self.lexicon) for w in new]
             starts = np.cumsum([0, *map(len, ids[:-1])])
             scores = np.add.reduceat(self.weights[np.concatenate(ids)], starts, axis=0)
             scores = np.exp(np.clip(scores - scores.max(1, keepdims=True), -30, 0))
+            if self._scores is None or len(row) + len(new) > len(self._scores):
+                more = np.empty((2 * (len(row) + len(new)), scores.shape[1]), scores.dtype)
+                more[: len(row)] = self._scores[: len(row)] if self._scores is not None else 0
+                self._scores = more
+            self._scores[len(row) : len(row) + len(new)] = scores
             row.update(zip(new, range(len(row), len(row) + len(new)), strict=True))
-            self._scores = scores if self._scores is None else np.concatenate([self._scores, scores])
-        return self._scores[np.fromiter(map(row.__getitem__, words), np.int64, len(words))]
+        return np.fromiter(map(row.__getitem__, words), np.int32, len(words))
 
-    def label(self, texts: list[list[str]]) -> np.ndarray:
-        """Mean probability of each language in each text (of one word or more), and last the mean of each word's greatest probability."""
-        lengths = np.array([len(t) for t in texts])
-        each = marginals(self._emit([w for t in texts for w in t]), lengths, np.exp(self.tie))
-        each = np.concatenate([each, each.max(1, keepdims=True)], axis=1)
-        return np.add.reduceat(each, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
+    def _emit(self, words: list[str]) -> np.ndarray:
+        rows = self._rows(words)
+        return self._scores[rows]
+
+    def label(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Which texts have words, and of these the mean probability of each language and last the mean of each word's greatest one."""
+        if len(self._row) > CACHE_WORDS:
+            self._row, self._scores = {}, None
+        parts = [[self._rows(words_of(x)) for x in _slices(text)] for text in texts]
+        lengths = np.array([sum(map(len, x)) for x in parts], np.int64)
+        some = np.nonzero(lengths)[0]
+        lengths, rows = lengths[some], np.concatenate([np.empty(0, np.int32), *(x for text in parts for x in text)])
+        del parts
+        sums, ends = np.zeros((len(some), len(self.languages) + 1)), np.cumsum(lengths)
+        if len(some):
+            for start, each in segments(lambda a, b: self._scores[rows[a:b]], lengths, np.exp(self.tie)):
+                each = np.concatenate([each, each.max(1, keepdims=True)], axis=1)
+                of = np.searchsorted(ends, np.arange(start, start + len(each)), side="right")
+                at = np.nonzero(np.diff(of, prepend=-1))[0]
+                sums[of[at]] += np.add.reduceat(each, at, axis=0)
+        return some, sums / lengths[:, None]
 
     @classmethod
     def fit(cls, sample: list[tuple[str, list[str]]], epochs: int = 4, length: int = 48, sequences: int = 2400, seed: int = 7) -> Chain:
@@ -259,13 +317,10 @@ def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, OUT_ROWS):
-                part = batch.slice(at, OUT_ROWS)
-                words = [words_of((x.as_py() or "").lower()) for x in part.column(at_text)]
-                found, score, clear = [UNKNOWN] * len(words), np.zeros(len(words)), np.zeros(len(words))
-                some = [k for k, w in enumerate(words) if w] if model.languages else []
-                if some:
-                    mean = model.label([words[k] for k in some])
+            for part in slices(batch, at_text):
+                found, score, clear = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows), np.zeros(part.num_rows)
+                some, mean = model.label([(x.as_py() or "").lower() for x in part.column(at_text)]) if model.languages else ([], None)
+                if len(some):
                     clear[some] = np.clip(mean[:, -1], 0, 1)
                     best = mean[:, :-1].argmax(1)
                     score[some] = np.clip(mean[np.arange(len(some)), best], 0, 1)

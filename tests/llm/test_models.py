@@ -3,11 +3,14 @@
 import html as entities
 import random
 import re
+import subprocess
+import sys
 import time
 import zlib
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from panelforge.llm import html, langid, quality, queries, rules
@@ -267,6 +270,71 @@ def test_all_letters_of_a_long_run_count(spark):
     assert langid.identify(frame, model).first()["lang_pred"] == "y"
 
 
+def test_marks_belong_to_words():
+    assert langid.words_of("नमस्ते दुनिया, cafe\u0301 ́x über") == ["नमस्ते", "दुनिया", "cafe\u0301", "x", "über"]
+    assert langid.words_of("é" * 30 + "e\u0301" * 30)[1:] == ["e\u0301" * 20, "e\u0301" * 5]
+    text = "नमस्ते दुनिया " * 90_000 + "x" * 700_000 + " y"
+    assert [w for part in langid._slices(text) for w in langid.words_of(part)] == langid.words_of(text) and len(list(langid._slices(text))) > 2
+
+
+def brute_label(model, text):
+    """Language and score of a text, from features to marginals word by word."""
+    words = [run[k : k + 40] for run in regex.findall(r"\p{L}[\p{L}\p{M}]*", (text or "").lower()) for k in range(0, len(run), 40)]
+    if not words:
+        return "und", 0.0
+    emit = []
+    for w in words:
+        x = f"^{w}$"
+        parts = [x[k : k + n] for n in (2, 3) for k in range(len(x) - n + 1)]
+        parts += ["<" + w[:1], "<" + (w + "$")[:2], "<" + (w + "$")[:3], ">" + w[-1:], ">" + ("^" + w)[-2:], ">" + ("^" + w)[-3:]]
+        parts += ["=" + w] * (w in model.lexicon)
+        score = sum(model.weights[zlib.crc32(p.encode()) % langid.BUCKETS].astype(float) for p in parts)
+        emit.append(np.exp(np.clip(score - score.max(), -30, 0)))
+    k, tie = len(model.languages), np.exp(model.tie)
+    state, ahead, behind = np.full(k, 1 / k), [], [np.ones(k) / k]
+    for e in emit:
+        state = (state @ tie) * e
+        ahead.append(state := state / state.sum())
+    for e in emit[:0:-1]:
+        back = tie @ (behind[-1] * e)
+        behind.append(back / back.sum())
+    each = np.array(ahead) * np.array(behind[::-1])
+    mean = (each / each.sum(1, keepdims=True)).mean(0)
+    return model.languages[mean.argmax()], mean.max()
+
+
+def test_labels_are_what_a_second_implementation_gives(spark, many, odd, monkeypatch):
+    model = langid.fit(many, 30)
+    texts = [r["text"] for r in odd.collect()] + [r["text"] for r in many.limit(40).collect()] + ["नमस्ते दुनिया", "cafe\u0301 et the\u0301", "Ⅷ", "一二 été " * 300]
+    rows = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in rows:
+        lang, score = brute_label(model, texts[r["doc_id"]])
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-4
+    monkeypatch.setattr(langid, "SLICE", 50)
+    monkeypatch.setattr(langid, "SEGMENT", 3)
+    some, mean = model.label([(x or "").lower() for x in texts])
+    for k, found in zip(some, mean, strict=True):
+        lang, score = brute_label(model, texts[k])
+        assert model.languages[found[:-1].argmax()] == lang and abs(found[:-1].max() - score) < 1e-4
+
+
+def test_memory_of_a_long_text_is_bounded(many):
+    """A text of 16 MB in a process of its own; the field holds its word numbers, not its words or probabilities."""
+    code = """
+import random, resource, numpy as np
+from panelforge.llm import langid
+rng = random.Random(1)
+words = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(50_000)]
+model = langid.Chain(["x", "y", "z", "w"], np.ones((langid.BUCKETS, 4), np.float32), np.zeros((4, 4)), frozenset())
+text = " ".join(rng.choices(words, k=2_700_000))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+model.label([text])
+print(len(text) / 2**20, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 2**10)
+"""
+    size, more = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert size > 15 and more < 10 * size
+
+
 def test_language_odd_cases(spark, odd):
     model = langid.fit(odd)
     rows = langid.identify(odd, model).collect()
