@@ -33,10 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm.common import shared_dir, without
+from panelforge.llm.common import shared_dir, slices, without
 
-#: Pages that are labelled at a time in a task.
-PAGES = 128
 PATH_BUCKETS, WORD_BUCKETS, WIDTH, HIDDEN, NUMBERS = 4096, 1 << 14, 24, 16, 9
 
 #: In a tag only a quote after = opens a string.
@@ -70,23 +68,46 @@ _path_bucket, _word_bucket = _Hashed(PATH_BUCKETS).__getitem__, _Hashed(WORD_BUC
 _OPEN = frozenset("p td th dd dt".split())
 
 
+class Blocks(list):
+    """(place of its path, leaf tag, text, share of linked characters) of every block with text, in page order.
+
+    ``paths`` has the place of each path's parent, which comes before it, and
+    the buckets that it adds to this; so a path costs what it adds, however
+    deep it is.  The first is the empty path.
+    """
+
+    def __init__(self, found=(), paths=None) -> None:
+        super().__init__(found)
+        self.paths: list[tuple[int, tuple[int, ...]]] = [(-1, ())] if paths is None else paths
+
+
 class _Stack:
     """The open elements, with what a block needs of them kept per element, so that nothing is gone through again."""
 
-    def __init__(self) -> None:
+    def __init__(self, paths: list[tuple[int, tuple[int, ...]]]) -> None:
         self.tags: list[str] = []
-        #: distinct path buckets of all open block elements, whether a link is open, and the place of the innermost element that shuts others off
-        self.state: list[tuple[tuple[int, ...], bool, int, str]] = [((), False, -1, "")]
+        self.paths = paths
+        #: place of a path by its parent and what it adds, and the buckets of all open block elements
+        self.place: dict[tuple[int, tuple[int, ...]], int] = {}
+        self.open: set[int] = set()
+        #: place of the path, whether a link is open, the place of the innermost element that shuts others off, leaf, and what the element adds to its path
+        self.state: list[tuple[int, bool, int, str, tuple[int, ...]]] = [(0, False, -1, "", ())]
         self.places: dict[str, list[int]] = {}
 
     def push(self, tag: str, names: list[str]) -> None:
-        path, linked, wall, leaf = self.state[-1]
-        at = len(self.tags)
+        path, linked, wall, leaf, _ = self.state[-1]
+        at, new = len(self.tags), ()
         if tag not in _INLINE:
-            new = [b for b in dict.fromkeys(map(_path_bucket, [f"<{tag}", *names])) if b not in path]
-            path, leaf = (*path, *new) if new else path, tag
+            new = tuple(b for b in dict.fromkeys(map(_path_bucket, [f"<{tag}", *names])) if b not in self.open)
+            if new:
+                if (path, new) not in self.place:
+                    self.place[path, new] = len(self.paths)
+                    self.paths.append((path, new))
+                path = self.place[path, new]
+                self.open.update(new)
+            leaf = tag
             wall = wall if tag in _OPEN else at
-        self.state.append((path, linked or tag == "a", wall, leaf))
+        self.state.append((path, linked or tag == "a", wall, leaf, new))
         self.tags.append(tag)
         self.places.setdefault(tag, []).append(at)
 
@@ -94,7 +115,7 @@ class _Stack:
         """End the element at a place and all that are open in it."""
         while len(self.tags) > at:
             self.places[self.tags.pop()].pop()
-            self.state.pop()
+            self.open.difference_update(self.state.pop()[4])
 
     def close(self, tag: str) -> None:
         if self.places.get(tag):
@@ -107,12 +128,10 @@ class _Stack:
             self.cut(at)
 
 
-def blocks(page: str | None) -> list[tuple[tuple[int, ...], str, str, float]]:
-    """(buckets of the path's parts, leaf tag, text, share of linked characters) of every block with text, in page order."""
-    page = page or ""
-    stack = _Stack()
-    out: list[tuple[tuple[int, ...], str, str, float]] = []
-    path, leaf, parts, linked = (), "", [], 0
+def blocks(page: str | None) -> Blocks:
+    page, out = page or "", Blocks()
+    stack = _Stack(out.paths)
+    path, leaf, parts, linked = 0, "", [], 0
 
     def add(raw: str) -> None:
         nonlocal path, leaf, linked
@@ -170,38 +189,79 @@ def blocks(page: str | None) -> list[tuple[tuple[int, ...], str, str, float]]:
 
 @dataclass
 class Inputs:
-    """The blocks of several pages, one after another: ids with the blocks they belong to, numbers, and blocks per page."""
+    """The blocks of several pages, one after another: ids with the blocks they belong to, numbers, and blocks per page.
+
+    ``path`` is the place of each block's path among those of all pages,
+    ``leaf`` its leaf's bucket.  ``part`` are the buckets that the paths add to
+    their ``parent``s, ``part_n`` how many each, and ``depth`` the paths above.
+    """
 
     path: np.ndarray
-    path_of: np.ndarray
+    leaf: np.ndarray
+    part: np.ndarray
+    part_n: np.ndarray
+    parent: np.ndarray
+    depth: np.ndarray
     word: np.ndarray
     word_of: np.ndarray
     numbers: np.ndarray
     lengths: np.ndarray
 
     @classmethod
-    def of(cls, pages: list[list[tuple[tuple[int, ...], str, str, float]]]) -> Inputs:
-        path, path_n, word, word_n, numbers = [], [], [], [], []
+    def of(cls, pages: list[Blocks]) -> Inputs:
+        path, leaves, part, part_n, parent, depth, word, word_n, numbers = [], [], [], [], [], [], [], [], []
         for page in pages:
+            before = len(parent)
+            for above, new in page.paths:
+                depth.append(depth[before + above] + 1 if above >= 0 else 0)
+                parent.append(before + max(above, 0))
+                part += new
+                part_n.append(len(new))
             # the share of a page's text that stands in blocks of one path
             mass = Counter()
-            for parts, leaf, text, _ in page:
-                mass[parts, leaf] += len(text)
+            for at, leaf, text, _ in page:
+                mass[at, leaf] += len(text)
             total = mass.total()
-            for k, (parts, leaf, text, linked) in enumerate(page):
-                ids = [*parts, _path_bucket(f"leaf {leaf}")]
+            for k, (at, leaf, text, linked) in enumerate(page):
+                path.append(before + at)
+                leaves.append(_path_bucket(f"leaf {leaf}"))
                 n = len(words := text.lower().split())
                 words = dict.fromkeys(words)
-                path += ids
-                path_n.append(len(ids))
                 word += map(_word_bucket, words)
                 word_n.append(len(words))
-                numbers.append((np.log1p(n) / 3, linked, float(text[-1] in ".!?\"”"), float("©" in text or "copyright" in text.lower()), min(1, 10 / n), k / len(page), float(k == 0), min(3, sum(map(text.count, ",.;")) / n * 4), mass[parts, leaf] / total))
+                numbers.append((np.log1p(n) / 3, linked, float(text[-1] in ".!?\"”"), float("©" in text or "copyright" in text.lower()), min(1, 10 / n), k / len(page), float(k == 0), min(3, sum(map(text.count, ",.;")) / n * 4), mass[at, leaf] / total))
         n = len(numbers)
-        return cls(
-            np.array(path, np.int64), np.repeat(np.arange(n), path_n).astype(np.int64), np.array(word, np.int64), np.repeat(np.arange(n), word_n).astype(np.int64),
-            np.array(numbers, np.float64).reshape(n, NUMBERS), np.array([len(p) for p in pages], np.int64),
-        )
+        whole = [np.array(x, np.int64) for x in (path, leaves, part, part_n, parent, depth, word)]
+        return cls(*whole, np.repeat(np.arange(n), word_n).astype(np.int64), np.array(numbers, np.float64).reshape(n, NUMBERS), np.array([len(p) for p in pages], np.int64))
+
+    def levels(self) -> Iterator[np.ndarray]:
+        """The paths below the empty ones, those nearest to them first."""
+        order = np.argsort(self.depth, kind="stable")
+        ends = np.searchsorted(self.depth[order], np.arange(1, self.depth.max(initial=0) + 2))
+        return (order[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
+
+    def path_size(self) -> np.ndarray:
+        """For each block the number of buckets of its path and leaf."""
+        size = self.part_n.copy()
+        for at in self.levels():
+            size[at] += size[self.parent[at]]
+        return size[self.path] + 1
+
+    def path_sums(self, table: np.ndarray) -> np.ndarray:
+        """For each block the sum of the rows of ``table`` of its path and leaf; a path adds its own to its parent's sum."""
+        sums = np.zeros((len(self.parent), table.shape[1]), table.dtype)
+        np.add.at(sums, np.repeat(np.arange(len(self.parent)), self.part_n), table[self.part])
+        for at in self.levels():
+            sums[at] += sums[self.parent[at]]
+        return sums[self.path] + table[self.leaf]
+
+    def path_slopes(self, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of all paths and leaves, and what each gets of the blocks' slopes: the other way round, from the paths to their parents."""
+        sums = np.zeros((len(self.parent), slope.shape[1]), slope.dtype)
+        np.add.at(sums, self.path, slope)
+        for at in list(self.levels())[::-1]:
+            np.add.at(sums, self.parent[at], sums[at])
+        return np.concatenate([self.part, self.leaf]), np.concatenate([sums[np.repeat(np.arange(len(self.parent)), self.part_n)], slope])
 
 
 def _sums(table: np.ndarray, ids: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
@@ -229,7 +289,7 @@ class Labeller:
 
     def _vectors(self, x: Inputs) -> np.ndarray:
         n, w = len(x.numbers), self.w
-        return np.tanh(_sums(w["path"], x.path, x.path_of, n) + _sums(w["word"], x.word, x.word_of, n) + x.numbers @ w["numbers"] + w["bias"])
+        return np.tanh(x.path_sums(w["path"]) / np.sqrt(x.path_size())[:, None] + _sums(w["word"], x.word, x.word_of, n) + x.numbers @ w["numbers"] + w["bias"])
 
     def probabilities(self, x: Inputs) -> np.ndarray:
         """The probability of main text for each block, all pages at once; pages of fewer blocks leave the batch as they end."""
@@ -299,9 +359,8 @@ class Labeller:
             d_v += d_wide[step, page]
         d_v *= 1 - v**2
         g["numbers"], g["bias"] = x.numbers.T @ d_v, d_v.sum(0)
-        for name, ids, of in (("path", x.path, x.path_of), ("word", x.word, x.word_of)):
-            count = np.bincount(of, minlength=n)
-            np.add.at(g[name], ids, (d_v / np.sqrt(count)[:, None])[of])
+        np.add.at(g["path"], *x.path_slopes(d_v / np.sqrt(x.path_size())[:, None]))
+        np.add.at(g["word"], x.word, (d_v / np.sqrt(np.bincount(x.word_of, minlength=n))[:, None])[x.word_of])
         return float(loss), g
 
 
@@ -425,7 +484,7 @@ class _Writer:
 _ON = "\ue000"
 
 
-def make_page(rng: random.Random) -> tuple[list[tuple[tuple[int, ...], str, str, float]], list[int]]:
+def make_page(rng: random.Random) -> tuple[Blocks, list[int]]:
     """Blocks of an invented page and 1 for each that is main text."""
     w = _Writer(rng)
 
@@ -483,7 +542,7 @@ def make_page(rng: random.Random) -> tuple[list[tuple[tuple[int, ...], str, str,
         head = f"<head><title>{w.text(1, 9, None, '')}</title></head>" if w.chance(0.8) else ""
         page = f"<html>{head}<body>{''.join(body)}</body></html>"
     found = blocks(page)
-    return [(a, b, t.replace(_ON, "").strip() or ".", d) for a, b, t, d in found], [int(_ON in t) for _, _, t, _ in found]
+    return Blocks(((a, b, t.replace(_ON, "").strip() or ".", d) for a, b, t, d in found), found.paths), [int(_ON in t) for _, _, t, _ in found]
 
 
 #: Invented pages that the labeller is trained on, and how often it sees each.
@@ -508,7 +567,7 @@ def train(pages: int = TRAINING_PAGES, passes: int = PASSES, seed: int = 11) ->
             x = parts[i][0]
             for k, a in net.w.items():
                 # of the hashed vectors only those that the batch has are moved
-                at = np.unique(x.path) if k == "path" else np.unique(x.word) if k == "word" else slice(None)
+                at = np.unique(np.concatenate([x.part, x.leaf])) if k == "path" else np.unique(x.word) if k == "word" else slice(None)
                 m[k][at] = 0.9 * m[k][at] + 0.1 * g[k][at]
                 s[k][at] = 0.99 * s[k][at] + 0.01 * g[k][at] ** 2
                 a[at] -= rate * (m[k][at] / (1 - 0.9**t)) / (np.sqrt(s[k][at] / (1 - 0.99**t)) + 1e-8)
@@ -562,8 +621,7 @@ def extract(pages: DataFrame, net: Labeller, keep: list[str] | None = None, html
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, PAGES):
-                part = batch.slice(at, PAGES)
+            for part in slices(batch, len(keep)):
                 text = main_texts(net, part.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())], [*part.schema.names[: len(keep)], "text", "n_chars"])
 

@@ -1,6 +1,7 @@
 """Quality classifier, quality rules, language identification and HTML extraction: held-out accuracy, exactness, odd cases."""
 
 import html as entities
+import os
 import random
 import re
 import subprocess
@@ -409,6 +410,41 @@ def test_deep_pages_take_linear_time():
         assert len(html.blocks(page)) == n and time.process_time() - start < 4
 
 
+def test_paths_are_those_of_the_open_elements():
+    page = "<div class='a b'><p>one<p>two<section id=a>three</section></div><div class='a b'><p>four<b class=c>five</b></div>six"
+    found = html.blocks(page)
+    name = {html._path_bucket(x): x for x in ("<div", ".a", ".b", "<p", "<section", "<b", ".c")}
+
+    def path(at):
+        above, new = found.paths[at]
+        return (*path(above), *(name[b] for b in new)) if above >= 0 else ()
+
+    inside = ("<div", ".a", ".b", "<p")
+    assert [(path(at), leaf, text) for at, leaf, text, _ in found] == [(inside, "p", "one"), (inside, "p", "two"), (("<div", ".a", ".b", "<section"), "section", "three"), (inside, "p", "fourfive"), ((), "", "six")]
+    assert found[0][0] == found[1][0] == found[3][0]
+    x, table = html.Inputs.of([found, html.blocks("<i>x</i>"), found]), np.random.default_rng(1).random((html.PATH_BUCKETS, 5))
+    for k, (at, leaf, _, _) in enumerate([*found, html.blocks("<i>x</i>")[0], *found]):
+        parts = [html._path_bucket(p) for p in (path(at) if k != len(found) else ())] + [html._path_bucket(f"leaf {leaf}")]
+        assert x.path_size()[k] == len(parts) and np.allclose(x.path_sums(table)[k], table[parts].sum(0))
+
+
+def test_deep_pages_of_distinct_names_take_linear_time_and_memory():
+    """20,000 nested elements, each with a class of its own, through the whole of the extraction, in a process of its own."""
+    code = """
+import itertools, resource, time
+from panelforge.llm import html
+names = map("".join, itertools.product("abcdefghijklmnopqrst", repeat=4))
+page = "".join(f"<div class={name}>x " for name, _ in zip(names, range(20_000)))
+net = html.Labeller()
+html.main_texts(net, ["<p>x"])
+before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+html.main_texts(net, [page])
+print(time.process_time() - start, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 2**10)
+"""
+    took, more = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=os.environ | {"OMP_NUM_THREADS": "1"}).stdout.split())
+    assert took < 3 and more < 300
+
+
 def test_weights_are_trained_once(spark, monkeypatch):
     net = html.model(spark)
     monkeypatch.setattr(html, "train", None)
