@@ -88,6 +88,12 @@ def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def fitting(keys: DataFrame, most: int) -> DataFrame:
+    """A written table of keys of any type, to be broadcast if it has at most so many bytes, and joined by a shuffle if more."""
+    size = keys.agg(*[F.sum(F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16) for c in keys.columns]).first()
+    return F.broadcast(keys) if sum(x or 0 for x in size) <= most else keys
+
+
 def slices(batch: pa.RecordBatch, at_text: int) -> Iterator[pa.RecordBatch]:
     """A batch in slices of ``OUT_ROWS`` rows, fewer where the texts in that column have more than ``OUT_BYTES``; a longer text is a slice of its own."""
     ends = np.cumsum(pc.binary_length(batch.column(at_text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))

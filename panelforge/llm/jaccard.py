@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import Scratch, lower_ascii, sized
+from panelforge.llm.common import Scratch, fitting, lower_ascii, sized
 from panelforge.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -55,8 +55,10 @@ BANDS, ROWS = 8, 2
 SAMPLE, SEEN, HOT_TOKENS = 16, 3, 2_000_000
 #: Entries of a frequent token that stay under one key, as far as the sample tells; more are spread over several.
 SPREAD = 20_000
-#: Most document keys that are broadcast to pick texts; more are joined by a shuffle.
-BROADCAST_KEYS = 2_000_000
+#: Most bytes of document keys that are broadcast to pick texts; more are joined by a shuffle.
+BROADCAST_BYTES = 1 << 26
+#: Documents that meet one copy of another's set; a set that more are compared with is copied.
+CROWD = 500
 #: Groups of several members are opened in blocks of about so many tokens.
 BLOCK_TOKENS = 400_000
 #: Least number of 64-bit words of a set's parity bitmap, which has a bit a token or more.
@@ -270,19 +272,34 @@ def _type(documents: DataFrame) -> str:
 
 def _sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
     """``doc_id`` and ``tokens`` of the documents whose keys are needed; ``needed`` is a written table of distinct keys."""
-    texts = documents.join(F.broadcast(needed) if needed.count() <= BROADCAST_KEYS else needed, "doc_id", "left_semi")
+    texts = documents.join(fitting(needed, BROADCAST_BYTES), "doc_id", "left_semi")
     return texts.mapInArrow(_packed, f"doc_id {_type(documents)}, tokens binary").groupBy("doc_id").agg(F.min("tokens").alias("tokens"))
 
 
 def _links(documents: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Those of the pairs (a, b) of document keys whose sets are similar."""
     both = pairs = scratch.write(pairs, name)
-    for c in ("a", "b"):
-        needed = scratch.write(pairs.select(F.col(c).alias("doc_id")).distinct(), f"{name}-{c}")
-        both = both.join(_sets(documents, needed).select(F.col("doc_id").alias(c), F.col("tokens").alias(f"of_{c}")), c)
+    for c, other in (("a", "b"), ("b", "a")):
+        met = scratch.write(pairs.groupBy(F.col(c).alias("doc_id")).agg(F.count("*").alias("n")), f"{name}-{c}")
+        sets = _sets(documents, met.select("doc_id")).select(F.col("doc_id").alias(c), F.col("tokens").alias(f"of_{c}"))
+        both = _dealt(both, sets, c, other, met.where(F.col("n") > CROWD).select(F.col("doc_id").alias(c), F.ceil(F.col("n") / CROWD).cast("int").alias("copies")))
     return both.select("a", "b", "of_a", "of_b").mapInArrow(_compared, f"a {_type(documents)}, b {_type(documents)}")
 
 
+def _dealt(rows: DataFrame, sets: DataFrame, c: str, other: str, crowded: DataFrame) -> DataFrame:
+    """``rows`` joined with the sets of their column ``c``; a set that very many rows meet is copied, and they are dealt over its copies.
+
+    Spark splits no partition of a join with an aggregate, as these sets are.
+    """
+    if crowded.isEmpty():
+        return rows.join(sets, c)
+    crowded = sized(crowded)
+    few = rows.join(crowded, c, "left_anti").join(sets, c)
+    copies = sets.join(crowded, c).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    many = rows.join(crowded, c).withColumn("copy", F.pmod(F.xxhash64(other), F.col("copies")).cast("int")).drop("copies").join(copies, [c, "copy"]).drop("copy")
+    return few.unionByName(many)
+
+
 def _sizes_allow(small: Column, large: Column) -> Column:
     return 100 * small >= PERCENT * large
 

@@ -68,12 +68,42 @@ def test_jaccard_is_what_brute_force_gives(spark, monkeypatch):
 
 
 def test_jaccard_by_shuffle_only(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "BROADCAST_KEYS", -1)
+    monkeypatch.setattr(jaccard, "BROADCAST_BYTES", -1)
     rows = near_copies(3, 8)
     got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(rows)
 
 
+def test_a_crowded_set_is_met_in_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWD", 7)
+    rng, rows = random.Random(9), near_copies(4, 5)
+    base = prose(rng, 90).split()
+    for k in range(120):
+        w = list(base)
+        w[k % 90] = prose(rng, 1)
+        rows.append((10_000 + k, " ".join(w)))
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(rows)
+
+
+def test_followers_of_one_leader_are_spread_over_tasks(spark):
+    """20,000 rows that meet one set: the largest task gets no more than a few times the rows of the others."""
+    rows = spark.range(20_000).select(F.col("id").alias("a"), F.lit(-1).cast("long").alias("b"))
+    sets = spark.range(1).select(F.lit(-1).cast("long").alias("b"), F.lit("set").alias("of_b")).groupBy("b").agg(F.min("of_b").alias("of_b"))
+    crowded = rows.groupBy("b").agg(F.ceil(F.count("*") / jaccard.CROWD).cast("int").alias("copies"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = jaccard._dealt(rows, sets, "b", "a", crowded)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20_000 and len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
+
+
 def test_jaccard_with_keys_that_are_text(spark):
     rows = near_copies(5, 6)
     expected = brute_components([(f"k{k:05d}", t) for k, t in rows])
