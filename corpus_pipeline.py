@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import bpe, contamination, jaccard, langid, lines
-from panelforge.llm.common import table, written
+from panelforge.llm.common import fitting, table, written
 
 #: A text whose words are on average less likely than this to be of the language that each is labelled with is rejected.
 LEAST_SURE = 0.5
@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the least ``doc_id`` of every group of similar documents; documents without a key stay."""
     gone = jaccard.join(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     gone = written(gone, "pipeline-duplicates")
-    return docs.join(F.broadcast(gone) if gone.count() <= jaccard.BROADCAST_KEYS else gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(fitting(gone, jaccard.BROADCAST_BYTES), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
