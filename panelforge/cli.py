@@ -1,6 +1,6 @@
 """Command line, ``python -m panelforge.cli``:
 
-``panel BASE LEDGER OUT START END [--states SP,RJ]`` replays a ledger into a panel,
+``panel BASE LEDGER OUT START END [--states SP,RJ] [--files N] [--quarantine FOLDER]`` replays a ledger into a panel,
 ``month BASE LANDING ROOT MONTH`` detects a month's changes in all tables,
 ``export ROWS OUT [--order a,b] [--limit N]`` writes a table as CSV,
 ``months START END`` lists the months of a range.
@@ -25,7 +25,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
     panel = commands.add_parser("panel", help="replay a ledger over baseline tables (parquet, one folder a table) into a panel")
     panel.add_argument("--states", default=None, help="comma-separated federal units of the output")
-    month = commands.add_parser("month", help="detect a month's changes in the dump files of a landing folder, zipped or not, against baseline tables")
+    panel.add_argument("--files", type=int, default=1, help="files a month")
+    panel.add_argument("--quarantine", default=None, help="folder with the quarantine so far; what is found is written beside OUT")
+    month = commands.add_parser("month", help="detect a month's changes in the dump files of a landing folder, zipped or not, against baseline tables; folders named after other months are left out")
     export = commands.add_parser("export", help="write a parquet table as CSV with a header")
     export.add_argument("--order", default=None, help="comma-separated columns to sort by")
     export.add_argument("--limit", type=int, default=None, help="most rows, the first of the order")
@@ -45,11 +47,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "panel":
         tables = {t: spark.read.parquet(f"{args.base}/{t}") for t in ("empresa", "estabelecimento", "socios", "simples", "munic")}
         ledger = {t: spark.read.parquet(f"{args.ledger}/{t}") for t in SPECS}
-        rows, _ = reconstruct_panel(spark, tables, ledger, args.start, args.end, args.states)
-        write_panel(rows, args.out)
+        logged = spark.read.parquet(args.quarantine) if args.quarantine else None
+        rows, held = reconstruct_panel(spark, tables, ledger, args.start, args.end, args.states, logged)
+        write_panel(rows, args.out, files_per_month=args.files)
+        held.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}-quarantine")
     elif args.command == "month":
         job = RegistryMonths(spark, args.root, {t: spark.read.parquet(f"{args.base}/{t}") for t in SPECS})
-        done = job.run(read_registry(spark, args.landing), args.month)
+        done = job.run(read_registry(spark, args.landing, args.month), args.month)
         n = job.counts(args.month).first()
         print(f"{args.month}: {n['inserts']} inserted, {n['updates']} updated, {n['deletes']} deleted" + ("" if done else " (done before)"))
     else:

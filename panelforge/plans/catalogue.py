@@ -17,8 +17,10 @@ from panelforge.operators import cdc, checks, dedup, keyed, summary, temporal
 from panelforge.plans import replay, reports, reverse
 from panelforge.schemas import FAMILIES, COMPANY_FIELDS, ESTABLISHMENT_FIELDS, ESTABLISHMENT_KEY, FISCAL_FIELDS, PANEL_COLUMNS, PARTNER_FIELDS, PARTNER_ZERO, SPECS, TableSpec
 from panelforge.sinks import files as sinks
+from panelforge.sinks.files import land_month
 from panelforge.sources import files as sources
-from panelforge.storage import fresh_path, materialise
+from panelforge.storage import at_path, fresh_path, materialise
+from panelforge.streaming.files import FileLedger
 from panelforge.streaming.monthly import MonthlyChanges
 
 _ROOT = "lpad(CAST({} AS VARCHAR(12)), 8, '0')"
@@ -495,10 +497,14 @@ def partner_age_summary(t: Registry) -> DataFrame:
     return summary.partner_age_summary(partners, events).withColumn("average_age", F.col("average_age").cast("double"))
 
 
-@_query("", "SELECT strftime(d, '%Y-%m') AS month, CAST(strftime(last_day(d), '%Y%m%d') AS INT) AS last_day FROM (SELECT unnest(generate_series(DATE '2022-11-01', DATE '2024-03-01', INTERVAL 1 MONTH))::DATE AS d)")
+@_query("", """WITH m AS (SELECT min(date_trunc('month', o_orderdate::DATE)) AS a, max(date_trunc('month', o_orderdate::DATE)) AS b FROM orders), s AS (SELECT unnest(generate_series(a, b, INTERVAL 1 MONTH))::DATE AS d FROM m)
+SELECT strftime(d, '%Y-%m') AS month, CAST(strftime(last_day(d), '%Y%m%d') AS INT) AS last_day, count(o_orderkey) AS n FROM s LEFT JOIN orders ON date_trunc('month', o_orderdate::DATE) = d GROUP BY d""")
 def month_series(t: Registry) -> DataFrame:
-    months = t.spark.createDataFrame([(m,) for m in E.month_range("2022-11", "2024-03")], "month string")
-    return months.select("month", E.month_end_int(F.col("month")).alias("last_day"))
+    """Orders in each month from the first to the last one that has any, months without included."""
+    counted = t.orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
+    ends = counted.agg(F.min("month"), F.max("month")).first()
+    months = t.spark.createDataFrame([(m,) for m in E.month_range(*ends)], "month string")
+    return months.join(counted, "month", "left").select("month", E.month_end_int(F.col("month")).alias("last_day"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @_query("", "SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS day, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 50")
@@ -623,34 +629,94 @@ def month_saves(t: Registry) -> DataFrame:
     return out
 
 
-@_query("", " UNION ALL ".join(f"SELECT '{family}' AS family, {k} AS position, '{f.name}' AS field, '{f.dataType.simpleString()}' AS kind" for family, schema in FAMILIES.items() for k, f in enumerate(schema)))
+_DESCRIBED = {"company": "empresa", "fiscal": "simples"}
+
+
+@_query("company fiscal", " UNION ALL ".join(f"SELECT '{family}' AS family, {k} AS position, '{f.name}' AS field, '{f.dataType.simpleString()}' AS kind, count({f.name}) AS n_filled, count(DISTINCT {f.name}) AS n_values FROM {table}" for table, family in _DESCRIBED.items() for k, f in enumerate(FAMILIES[family])))
 def schema_dictionary(t: Registry) -> DataFrame:
-    rows = [(family, k, f.name, f.dataType.simpleString()) for family, schema in FAMILIES.items() for k, f in enumerate(schema)]
-    return t.spark.createDataFrame(rows, "family string, position int, field string, kind string")
+    """What the tables of two families hold: each column's place and type, its values that are not null and its distinct ones."""
+    parts = []
+    for table, family in _DESCRIBED.items():
+        rows = getattr(t, table)
+        cells = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("kind"), F.col(f.name).cast("string").alias("value")) for k, f in enumerate(FAMILIES[family])])
+        parts.append(rows.select(F.lit(family).alias("family"), F.explode(cells).alias("x")).select("family", "x.*"))
+    return parts[0].unionByName(parts[1]).groupBy("family", "position", "field", "kind").agg(F.count("value").alias("n_filled"), F.count_distinct("value").alias("n_values"))
 
 
 _DUMP = "cnpj_basico, razao_social, natureza_juridica, qualificacao_responsavel, capital_social, porte_empresa, ente_federativo_responsavel"
 
 
-def _dumped(t: Registry) -> str:
-    """Folder with the companies as a headerless dump: semicolons, quotes, a comma in decimals, Latin-1."""
-    path = fresh_path(t.spark, "dump") + "/2023-06/nested/K1.EMPRECSV"
-    rows = t.company.withColumn("razao_social", F.concat("razao_social", F.lit(' "É;'))).withColumn("capital_social", F.translate(F.col("capital_social").cast("decimal(18,2)").cast("string"), ".", ","))
-    rows.select(*_DUMP.split(", ")).write.csv(path, sep=";", header=False, quoteAll=True, escape='"', encoding="ISO-8859-1", emptyValue="", nullValue="")
-    return path
+def _as_dump(rows: DataFrame) -> DataFrame:
+    """Companies as fields of a dump: names with a quote and a letter beyond ASCII, a comma in decimals."""
+    name = F.coalesce(F.concat("razao_social", F.lit(' "É;')), F.lit("NEW"))
+    made = {"razao_social": name, "capital_social": F.translate(F.col("capital_social").cast("decimal(18,2)").cast("string"), ".", ",")}
+    return rows.select(*[made.get(c, F.col(c)).alias(c) for c in _DUMP.split(", ")])
 
 
-@_query("company", f"SELECT {_DUMP.replace('razao_social', chr(39).join(['razao_social || ', ' "É;', ' AS razao_social']))} FROM company")
-def roundtrip_dump(t: Registry) -> DataFrame:
-    """Written as a dump in a nested folder, routed by its name, read back with types."""
-    return sources.read_dump(t.spark, _dumped(t), FAMILIES["empresa"])
+def _land_dump(rows: DataFrame, folder: str, name: str, files: int = 8) -> None:
+    """Write companies as dump files ``name``-0.EMPRECSV and so on; files of these names that are there are replaced."""
+    spark = rows.sparkSession
+    parts = fresh_path(spark, "parts")
+    _as_dump(rows).repartition(files).write.csv(parts, sep=";", header=False, quoteAll=True, escape='"', encoding="ISO-8859-1", emptyValue="", nullValue="")
+    system, target = at_path(spark, folder)
+    system.mkdirs(target)
+    written = sorted(x.getPath().toString() for x in system.listStatus(at_path(spark, parts)[1]) if x.getPath().getName().startswith("part-"))
+    for k, path in enumerate(written):
+        place = at_path(spark, f"{folder}/{name}-{k}.EMPRECSV")[1]
+        system.delete(place, False)
+        system.rename(at_path(spark, path)[1], place)
+
 
+_WRITTEN = _DUMP.replace("razao_social", "razao_social || ' \"É;' AS razao_social")
 
-@_query("company", "SELECT CAST(count(*) - 40 AS BIGINT) AS n FROM company")
+
+@_query("company", f"SELECT {_WRITTEN} FROM company UNION ALL SELECT {_WRITTEN.replace('cnpj_basico', chr(39) + 'Z' + chr(39) + ' || cnpj_basico')} FROM company WHERE CAST(cnpj_basico AS INT) % 5 = 0")
+def roundtrip_dump(t: Registry) -> DataFrame:
+    """A month's folder with two dumps in nested folders, lines with too many fields and a folder of another month: found, routed by their names and read back with types."""
+    folder = fresh_path(t.spark, "dump")
+    _land_dump(t.company, f"{folder}/2023-06/nested", "K1")
+    extra = t.company.where("CAST(cnpj_basico AS INT) % 5 = 0").withColumn("cnpj_basico", F.concat(F.lit("Z"), "cnpj_basico"))
+    _land_dump(extra, f"{folder}/2023-06", "K2", 2)
+    _land_dump(t.company, f"{folder}/2023-05", "K1")
+    bad = fresh_path(t.spark, "bad")  # as many lines with a field too many
+    t.company.select(F.concat(F.lit('"1";"2";"3";"4";"5";"6";"7";"'), "cnpj_basico", F.lit('"'))).write.text(bad)
+    system, parts = at_path(t.spark, bad)
+    system.rename(parts, at_path(t.spark, f"{folder}/2023-06/K3.EMPRECSV")[1])
+    return sources.read_registry(t.spark, folder, "2023-06")["empresa"]
+
+
+@_query("company", "SELECT line, cnpj_basico AS value FROM (SELECT cnpj_basico, row_number() OVER (ORDER BY cnpj_basico) - 1 AS line FROM company) WHERE line >= 40")
 def file_tail(t: Registry) -> DataFrame:
     path = fresh_path(t.spark, "tail")
-    t.company.select("cnpj_basico").coalesce(1).write.csv(path, sep=";")
-    return sources.read_tail(t.spark, path, 40).agg(F.count("*").alias("n"))
+    t.company.select("cnpj_basico").orderBy("cnpj_basico").coalesce(1).write.csv(path, sep=";")
+    return sources.read_tail(t.spark, path, 40).select("line", "value")
+
+
+@_query("company", f"SELECT {_WRITTEN} FROM company WHERE CAST(cnpj_basico AS INT) % 3 <> 2 UNION ALL SELECT {_DUMP.replace('razao_social', chr(39) + 'NEW' + chr(39) + ' AS razao_social')} FROM company WHERE CAST(cnpj_basico AS INT) % 3 = 2")
+def landed_once(t: Registry) -> DataFrame:
+    """Three dumps land one after another and are read after a crash, twice, and once more after one of them has landed again with other values: each file counts once, as it is last."""
+    folder, ledger = fresh_path(t.spark, "landed"), FileLedger(t.spark, fresh_path(t.spark, "file-ledger"))
+
+    def read(paths: list[str]) -> DataFrame:
+        return sources.read_dump(t.spark, paths, FAMILIES["empresa"], file=True)
+
+    def land(part: int, rows: DataFrame) -> None:
+        _land_dump(rows.where(F.col("cnpj_basico").cast("int") % 3 == part), f"{folder}/2023-06", f"K{part}", 3)
+
+    land(0, t.company)
+    land(2, t.company)
+    try:  # the rows are read to the last one and are then not written
+        ledger.take(folder, lambda paths: read(paths).withColumn("lost", F.when(F.col("capital_social") >= 0, F.raise_error(F.lit("lost")))))
+    except Exception as e:  # noqa: BLE001  the failure is the case that is shown
+        if "lost" not in str(e):
+            raise
+    ledger.take(folder, read)
+    land(1, t.company)
+    ledger.take(folder, read)
+    land(2, t.company.withColumn("razao_social", F.lit(None)))
+    ledger.take(folder, read)
+    ledger.take(folder, read)
+    return ledger.rows().drop("file").select(*_DUMP.split(", "))
 
 
 def _placed(t: Registry) -> str:
@@ -703,23 +769,26 @@ def roundtrip_csv(t: Registry) -> DataFrame:
     return t.spark.read.csv(path, header=True, schema="root string, name string, entity string")
 
 
-@_query("d_baseline d_staging", """SELECT coalesce(s.ekey, b.ekey) AS ekey, CASE WHEN s.ekey IS NULL THEN 'DELETE' WHEN b.ekey IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS tipo_alteracao, '2023-06' AS mes_referencia, 'SUCCESS' AS status FROM d_staging s FULL OUTER JOIN d_baseline b ON s.ekey = b.ekey
-WHERE s.ekey IS NULL OR b.ekey IS NULL OR s.status IS DISTINCT FROM b.status OR s.amount IS DISTINCT FROM b.amount OR s.zone IS DISTINCT FROM b.zone""")
-def monthly_rerun(t: Registry) -> DataFrame:
-    """A month that fails after its ledger was written, is run again and then once more, leaves the events of one run."""
+_AGAIN = """SELECT coalesce(s.ekey, b.ekey) AS ekey, CASE WHEN s.ekey IS NULL THEN 'DELETE' WHEN b.ekey IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS tipo_alteracao, '{month}' AS mes_referencia FROM {s} s FULL OUTER JOIN {b} b ON s.ekey = b.ekey
+WHERE s.ekey IS NULL OR b.ekey IS NULL OR s.status IS DISTINCT FROM b.status OR s.amount IS DISTINCT FROM b.amount OR s.zone IS DISTINCT FROM b.zone"""
 
-    class Lost(MonthlyChanges):
-        def overlay(self, before: str | None = None) -> DataFrame:
-            out = super().overlay(before)
-            return out if self.runs.read().count() else out.withColumn("is_deleted", F.raise_error(F.lit("lost")).cast("boolean"))
 
-    job = Lost(t.spark, fresh_path(t.spark, "monthly"), _SPEC, t.d_baseline)
-    staging = t.d_staging.select("ekey", *_STATE)
-    try:
-        job.run(staging, "2023-06")
-    except Exception as e:  # noqa: BLE001  the failure is the case that is shown
-        if "lost" not in str(e):
-            raise
-    job.run(staging, "2023-06")
-    job.run(staging, "2023-06")
-    return job.ledger().join(F.broadcast(job.runs.read().select(F.col("month").alias("mes_referencia"), "status")), "mes_referencia").select("ekey", "tipo_alteracao", "mes_referencia", "status")
+@_query("d_baseline d_staging", f"""WITH e AS ({_AGAIN.format(month='2023-06', s='d_staging', b='d_baseline')} UNION ALL {_AGAIN.format(month='2023-07', s='d_baseline', b='d_staging')}),
+a(mes_referencia, attempt, status) AS (VALUES ('2023-06', 1, 'SUCCESS'), ('2023-07', 1, 'FAILED'), ('2023-07', 2, 'SUCCESS'))
+SELECT a.mes_referencia, CAST(a.attempt AS BIGINT) AS attempt, a.status, e.ekey, e.tipo_alteracao FROM a LEFT JOIN e ON e.mes_referencia = a.mes_referencia AND a.status = 'SUCCESS'""")
+def monthly_rerun(t: Registry) -> DataFrame:
+    """A second month whose landing is broken fails, lands again and is run again, twice: the attempts, and the events of those that counted."""
+    path = fresh_path(t.spark, "monthly")
+    job, landing = MonthlyChanges(t.spark, f"{path}/job", _SPEC, t.d_baseline), f"{path}/landing"
+    land_month(t.d_staging.select("ekey", *_STATE), landing, "2023-06")
+    job.follow(landing)
+    july = t.d_baseline.select("ekey", *_STATE)
+    folder = land_month(july, landing, "2023-07")
+    july.where("ekey % 2 = 0").write.mode("overwrite").parquet(folder)  # half of it is lost
+    job.follow(landing)
+    land_month(july, landing, "2023-07")
+    job.follow(landing)
+    job.follow(landing)
+    attempts = job.runs.attempts().select(F.col("month").alias("mes_referencia"), "attempt", "status")
+    events = job.ledger().select("mes_referencia", "ekey", "tipo_alteracao").withColumn("status", F.lit("SUCCESS"))
+    return attempts.join(events, ["mes_referencia", "status"], "left").select("mes_referencia", "attempt", "status", "ekey", "tipo_alteracao")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,15 +54,31 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
-def mark_complete(spark: SparkSession, landing: str, month: str, n_rows: int) -> None:
-    """Say that all files of a month are in ``landing/data``, and how many rows they have."""
-    spark.createDataFrame([(month, n_rows)], "reference_month string, n_rows long").coalesce(1).write.mode("append").json(f"{landing}/complete")
+MARKER = "reference_month string, n_rows long, folder string, landing long"
 
 
-def land_month(rows: DataFrame, landing: str, month: str) -> None:
-    """Write a month's rows to ``landing/data`` and mark it complete."""
-    rows.withColumn("reference_month", F.lit(month)).write.mode("append").parquet(f"{landing}/data")
-    mark_complete(rows.sparkSession, landing, month, rows.count())
+def mark_complete(spark: SparkSession, landing: str, month: str, n_rows: int, folder: str) -> None:
+    """Say that all files of a month are in ``folder``, and how many rows they have; of a month's markers the last one counts."""
+    try:
+        before = spark.read.schema(MARKER).json(f"{landing}/complete").where(F.col("reference_month") == month).agg(F.max("landing")).first()[0] or 0
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        before = 0
+    spark.createDataFrame([(month, n_rows, folder, before + 1)], MARKER).coalesce(1).write.mode("append").json(f"{landing}/complete")
+
+
+def land_month(rows: DataFrame, landing: str, month: str) -> str:
+    """Write a month's rows into a folder of this landing's own, and mark the month complete; the folder.
+
+    Until its marker is there, a landing does not exist for any reader; one
+    that breaks off is simply done again, and a later one takes the place of
+    an earlier one.
+    """
+    folder = f"{landing}/data/{month}/{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    mark_complete(rows.sparkSession, landing, month, rows.sparkSession.read.parquet(folder).count(), folder)
+    return folder
 
 
 class KeyedTable:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -34,8 +35,8 @@ def _fields(record: Column, sep: str) -> Column:
     return F.regexp_count(F.regexp_replace(record, r'"(?:[^"]|"")*"', ""), F.lit(sep)) + 1
 
 
-def _typed(rows: DataFrame, schema: T.StructType, decimals: tuple[str, ...]) -> DataFrame:
-    return rows.select(*[(decimal_comma(missing_to_null(F.col(f.name))) if f.name in decimals else missing_to_null(F.col(f.name)).cast(f.dataType)).alias(f.name) for f in schema])
+def _typed(rows: DataFrame, schema: T.StructType, decimals: tuple[str, ...], *more: Column) -> DataFrame:
+    return rows.select(*more, *[(decimal_comma(missing_to_null(F.col(f.name))) if f.name in decimals else missing_to_null(F.col(f.name)).cast(f.dataType)).alias(f.name) for f in schema])
 
 
 def _whole_rows(spark: SparkSession) -> DataFrameReader:
@@ -43,25 +44,31 @@ def _whole_rows(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("columnPruning", False)
 
 
-def read_dump(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ";", encoding: str = "ISO-8859-1", multiline: bool = False, decimals: tuple[str, ...] = ("capital_social",)) -> DataFrame:
+def read_dump(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ";", encoding: str = "ISO-8859-1", multiline: bool = False, decimals: tuple[str, ...] = ("capital_social",), file: bool = False) -> DataFrame:
     """A headerless dump with columns by position.
 
     Missing-value tokens become null, decimals may have a comma.  A row with
     too few fields is filled up with nulls, one with too many is dropped.
     ``multiline`` allows line breaks in quotes and makes files unsplittable.
+    With ``file`` the path of each row's file is added.
     """
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_BAD, T.StringType())])
     rows = _whole_rows(spark).csv(path, schema=raw, sep=sep, header=False, encoding=encoding, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
     # always true, but Spark refuses to count rows by the record column alone
     some = F.length(F.coalesce(F.col(schema[0].name), F.lit(""))) >= 0
     fits = F.col(_BAD).isNull() | (_fields(F.col(_BAD), sep) <= len(schema))
-    return _typed(rows.where(some & fits), schema, decimals)
+    return _typed(rows.where(some & fits), schema, decimals, *[F.col("_metadata.file_path").alias("file")] * file)
 
 
 def _opened(path: str) -> zipfile.ZipFile:
-    """A zip file on any file system, read where it lies and piece by piece."""
-    where, inner = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if path.startswith("file:") else fs.FileSystem.from_uri(path)
-    return zipfile.ZipFile(where.open_input_file(inner))
+    """A local zip file, read where it lies and piece by piece."""
+    return zipfile.ZipFile(fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/")))
+
+
+def _split(paths: list[str]) -> tuple[list[str], list[str]]:
+    """Local paths, and those of other file systems, which Spark reads."""
+    local = [p for p in paths if p.startswith(("file:", "/"))]
+    return local, [p for p in paths if p not in local]
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,18 +79,52 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([path] * len(names), pa.string()), pa.array(names, pa.string())], ["path", "entry"])
 
 
+def _lines_of(z: zipfile.ZipFile, path: str, name: str) -> Iterator[pa.RecordBatch]:
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array(part, pa.string())], ["file", "line"])
+
+    with z.open(name) as f:  # a wrong checksum raises when the end is read
+        part = []
+        for line in io.TextIOWrapper(f, "iso-8859-1", newline="\n"):
+            part.append(line.rstrip("\r\n"))
+            if len(part) == 20_000:
+                yield made()
+                part = []
+        if part:
+            yield made()
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            with _opened(path) as z, z.open(name) as f:  # a wrong checksum raises when the end is read
-                part = []
-                for line in io.TextIOWrapper(f, "iso-8859-1", newline="\n"):
-                    part.append(line.rstrip("\r\n"))
-                    if len(part) == 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array([f"{path}/{name}"] * len(part)), pa.array(part, pa.string())], ["file", "line"])
-                        part = []
-                if part:
-                    yield pa.RecordBatch.from_arrays([pa.array([f"{path}/{name}"] * len(part)), pa.array(part, pa.string())], ["file", "line"])
+            with _opened(path) as z:
+                yield from _lines_of(z, path, name)
+
+
+def _content_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column(0), batch.column(1), strict=True):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z:
+                names = [x for x in z.namelist() if not x.endswith("/")]
+            yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(names), pa.string()), pa.array(names, pa.string())], ["path", "entry"])
+
+
+def _content_lines(family: str | None):
+    """Lines of the entries of whole zip files, of one family if asked, which names tell as in :func:`_routed`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z:
+                    names = [x for x in z.namelist() if not x.endswith("/")]
+                    own = {x: route(posixpath.basename(x)) for x in names}
+                    if not any(own.values()):
+                        own = dict.fromkeys(names, route(posixpath.basename(path.as_py())))
+                    for name in names:
+                        if family is None or own[name] == family:
+                            yield from _lines_of(z, path.as_py(), name)
+
+    return run
 
 
 def files_in(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -93,25 +134,39 @@ def files_in(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def zip_entries(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``path`` and ``entry`` of what is in zip files; only their directories are read."""
-    zips = files_in(spark, path).where(F.lower("path").endswith(".zip"))
-    return zips.repartition("path").mapInArrow(_entries, "path string, entry string")
+    local, other = _zips(spark, path)
+    found = spark.createDataFrame([(p,) for p in local], "path string").repartition("path").mapInArrow(_entries, "path string, entry string")
+    if other:
+        found = found.unionByName(spark.read.format("binaryFile").load(other).select("path", "content").mapInArrow(_content_entries, "path string, entry string"))
+    return found
+
+
+def _zips(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
+    return _split(sorted(r[0] for r in files_in(spark, path).where(F.lower("path").endswith(".zip")).collect()))  # names of files
 
 
-def read_zipped(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ";", decimals: tuple[str, ...] = ("capital_social",), family: str | None = None) -> DataFrame:
-    """Dumps inside zip files, a task for each entry; a damaged archive fails the job.  Records are one line each.
+def read_zipped(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ";", decimals: tuple[str, ...] = ("capital_social",), family: str | None = None, file: bool = False) -> DataFrame:
+    """Dumps inside zip files; a damaged archive fails the job.  Records are one line each.
 
-    Entries are read as streams, so their size is of no matter.  With
+    A local archive has a task for each entry, which is read as a stream, so
+    that its size is of no matter.  Archives of any other file system come
+    through Spark's own reader, one task and one row each, of 2 GB at most.
+    With ``file`` the path of each row's archive is added.  With
     ``family`` only entries of that family are read, by their own names or, if
     none in the archive has a name that tells, by the archive's.
     """
-    entries = zip_entries(spark, path)
+    local, other = _zips(spark, path)
+    entries = spark.createDataFrame([], "path string, entry string") if not local else zip_entries(spark, local)
     if family is not None:
         entries = _routed(entries).where(F.col("family") == family)
-    lines = entries.repartition("path", "entry").mapInArrow(_lines, "file string, line string").where(F.col("line") != "")
+    lines = entries.repartition("path", "entry").mapInArrow(_lines, "file string, line string")
+    if other:
+        lines = lines.unionByName(spark.read.format("binaryFile").load(other).select("path", "content").mapInArrow(_content_lines(family), "file string, line string"))
+    lines = lines.where(F.col("line") != "")
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_BAD, T.StringType())])
     options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    rows = lines.where(_fields(F.col("line"), sep) <= len(schema)).select(F.from_csv("line", raw.simpleString()[7:-1].replace(":", " "), options).alias("r")).select("r.*")
-    return _typed(rows, schema, decimals)
+    rows = lines.where(_fields(F.col("line"), sep) <= len(schema)).select(F.from_csv("line", raw.simpleString()[7:-1].replace(":", " "), options).alias("r"), "file").select("r.*", "file")
+    return _typed(rows, schema, decimals, *[F.col("file")] * file)
 
 
 def _family(name: Column) -> Column:
@@ -125,12 +180,26 @@ def _routed(entries: DataFrame) -> DataFrame:
     return entries.withColumn("own", own).withColumn("family", F.coalesce("own", F.when(~told, of_zip))).drop("own")
 
 
-def read_registry(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """All families of a landing folder, plain files and zips, in nested folders too; families without files are left out."""
+def of_month(paths: list[str], month: str) -> list[str]:
+    """Those of the paths that are of a month: by the innermost folder that is named like one; files in none are of any month."""
+
+    def named(path: str) -> str | None:
+        return next((x for x in reversed(path.split("/")[:-1]) if re.fullmatch(r"\d{4}-\d{2}", x)), None)
+
+    return [p for p in paths if named(p) in (None, month)]
+
+
+def read_registry(spark: SparkSession, directory: str, month: str | None = None) -> dict[str, DataFrame]:
+    """All families of a landing folder, plain files and zips, in nested folders too; families without files are left out.
+
+    With ``month``, files in folders named after other months are not read.
+    """
     paths = sorted(r["path"] for r in files_in(spark, directory).collect())  # names of files
+    paths = paths if month is None else of_month(paths, month)
     plain: dict[str, list[str]] = {}
     for path in paths:
-        if not path.lower().endswith(".zip") and (family := route(posixpath.basename(path))):
+        # a dump that a cluster wrote is a folder of parts, named like the file
+        if not path.lower().endswith(".zip") and (family := route(posixpath.basename(path)) or route(posixpath.basename(posixpath.dirname(path)))):
             plain.setdefault(family, []).append(path)
     found = {family: read_dump(spark, of, FAMILIES[family]) for family, of in plain.items()}
     zips = [path for path in paths if path.lower().endswith(".zip")]
@@ -174,15 +243,17 @@ def count_places(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_tail(spark: SparkSession, path: str, skip: int, column: int = 0, sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
-    """One field of the records after the first ``skip`` of a file, with its line number ``line``.
+    """One field of the records after the first ``skip`` of each file, with its line number ``line`` in the file.
 
-    Lines are numbered by counting those of the splits before, so the file is
-    read in parallel and nothing is gathered but one count a split.
+    Lines are numbered by counting those of the file's splits before, so a
+    file is read in parallel and nothing is gathered but one count a split.
     """
-    lines = spark.read.option("encoding", encoding).text(path).select("value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
-    sizes = lines.groupBy("part").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    rows = lines.join(F.broadcast(before), "part").select((F.col("before") + F.col("id") - F.col("first")).alias("line"), F.regexp_replace(F.split("value", sep)[column], '"', "").alias("value"))
+    split = ["file_path", "file_block_start"]
+    lines = spark.read.option("encoding", encoding).text(path).select("value", *[f"_metadata.{c}" for c in split], F.monotonically_increasing_id().alias("id"))
+    sizes = lines.groupBy(*split).agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    earlier = Window.partitionBy("file_path").orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    rows = lines.join(before, split).select((F.col("before") + F.col("id") - F.col("first")).alias("line"), F.regexp_replace(F.split("value", sep)[column], '"', "").alias("value"))
     return rows.where(F.col("line") >= skip)
 
 

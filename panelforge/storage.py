@@ -39,6 +39,23 @@ def remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def at_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = at_path(spark, path)
+    return files.exists(where)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders right in a folder; none if it is not there."""
+    files, where = at_path(spark, path)
+    return sorted(x.getPath().toString() for x in files.listStatus(where) if x.isDirectory()) if files.exists(where) else []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that its lineage ends here; it is removed when the driver process ends."""
     path = fresh_path(df.sparkSession, name)

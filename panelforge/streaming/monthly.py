@@ -22,10 +22,10 @@ from panelforge.operators.dedup import dedup_establishments, dedup_fiscal, quara
 from panelforge.operators.keyed import upsert
 from panelforge.operators.summary import partner_summary
 from panelforge.schemas import SPECS, TableSpec
-from panelforge.sinks.files import KeyedTable, append_row, read_or_empty, write_side_outputs
+from panelforge.sinks.files import MARKER, KeyedTable, append_row, read_or_empty, write_side_outputs
+from panelforge.storage import exists, folders_in, remove
 
-RUNS = "month string, tabela string, status string, inserts long, updates long, deletes long, folder string, finished timestamp"
-MARKER = "reference_month string, n_rows long"
+RUNS = "month string, tabela string, status string, inserts long, updates long, deletes long, folder string, attempt long, finished timestamp"
 #: What makes a table's dump of a month one row per key.
 DEDUP = {"empresa": resolve_companies, "estabelecimento": dedup_establishments, "socios": partner_summary, "simples": dedup_fiscal}
 
@@ -36,17 +36,22 @@ def empty_overlay(spark: SparkSession, schema: T.StructType, spec: TableSpec) ->
 
 
 class Runs:
-    """The run table: a row is added for every attempt, and the last one of a month counts."""
+    """The run table: a row is added for every attempt, and the last one of a month, by its number, counts."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
 
+    def attempts(self) -> DataFrame:
+        """All attempts of all months."""
+        return read_or_empty(self.spark, self.path, RUNS)
+
     def read(self) -> DataFrame:
-        rows = read_or_empty(self.spark, self.path, RUNS)
-        return rows.groupBy("month", "tabela").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("month", "tabela")]), "finished").alias("r")).select("month", "tabela", "r.*")
+        rows = self.attempts()
+        return rows.groupBy("month", "tabela").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("month", "tabela")]), "attempt").alias("r")).select("month", "tabela", "r.*")
 
     def note(self, month: str, table: str, status: str, counts: tuple[int, int, int] = (0, 0, 0), folder: str | None = None) -> None:
-        append_row(self.spark, self.path, RUNS, (month, table, status, *counts, folder, datetime.now()))
+        before = self.attempts().where((F.col("month") == month) & (F.col("tabela") == table)).agg(F.max("attempt")).first()[0] or 0
+        append_row(self.spark, self.path, RUNS, (month, table, status, *counts, folder, before + 1, datetime.now()))
 
     def folders(self) -> dict[str, str | None]:
         """Folder of each month that ended well, oldest first."""
@@ -99,26 +104,55 @@ class MonthlyChanges:
             raise
         return True
 
-    def follow(self, landing: str) -> None:
-        """Process all months whose marker has landed (see ``sinks.files.mark_complete``), oldest first, and stop.
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove what no reader needs: attempts that no run names, and the overlays of all but the last ``keep`` months that ended well; the folders removed.
 
-        The stream is one of markers, and its checkpoint remembers them.  A
-        month is read as a whole from ``landing/data`` when its marker comes;
-        if the rows are not as many as the marker says, the month fails and is
-        tried again by the next call.  Without its marker a month waits.
+        Ledgers of months that ended well stay.  No run may be under way.
+        """
+        named = self.runs.folders()
+        old = [f"{folder}/overlay" for folder in list(named.values())[:-keep or None] if folder]
+        found = folders_in(self.spark, f"{self.root}/attempts")
+        known = {folder.rstrip("/").rsplit("/", 1)[-1] for folder in named.values() if folder}
+        gone = [x for x in found if x.rsplit("/", 1)[-1] not in known] + [x for x in old if exists(self.spark, x)]
+        for folder in gone:
+            remove(self.spark, folder)
+        return gone
+
+    def follow(self, landing: str) -> list[str]:
+        """Process all months whose marker has landed (see ``sinks.files.land_month``), oldest first, and stop; the months that could not be done.
+
+        The stream is one of markers, and its checkpoint remembers them; each
+        batch is noted in ``root/markers``, and of a month the last marker
+        counts.  Only the folder that it names is read.  If this has not as
+        many rows as the marker says, or anything else goes wrong, the month
+        is noted as failed and the next call tries it again, with a newer
+        marker if there is one; the batch itself never fails, so that a wrong
+        landing can be corrected.  Months after a failed one wait, as each is
+        compared with the one before it.  Without its marker a month waits.
         """
 
-        def batch(markers: DataFrame, _: int) -> None:
-            for row in markers.distinct().orderBy("reference_month").collect():  # months, not data
-                month, expected = row["reference_month"], row["n_rows"]
-                rows = self.spark.read.parquet(f"{landing}/data").where(F.col("reference_month") == month).drop("reference_month")
-                if not self.done(month) and (found := rows.count()) != expected:
-                    self.runs.note(month, self.spec.name, "FAILED")
-                    raise ValueError(f"{month} of {self.spec.name} has {found} rows, not {expected}")
-                self.run(rows, month)
+        def batch(markers: DataFrame, number: int) -> None:
+            # a batch that is done again replaces itself
+            markers.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/markers/batch={number}")
 
         stream = self.spark.readStream.schema(MARKER).json(f"{landing}/complete")
         stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        known = read_or_empty(self.spark, f"{self.root}/markers", MARKER).groupBy("reference_month").agg(F.max_by(F.struct("n_rows", "folder"), F.struct("landing", "folder")).alias("m"))
+        open_months = [r for r in known.select("reference_month", "m.*").orderBy("reference_month").collect() if not self.done(r["reference_month"])]  # months, not data
+        for k, row in enumerate(open_months):
+            month = row["reference_month"]
+            try:
+                rows = self.spark.read.parquet(row["folder"])
+                if rows.count() != row["n_rows"]:
+                    raise ValueError(f"{month} of {self.spec.name} has not {row['n_rows']} rows")
+            except Exception:  # noqa: BLE001  whatever is wrong with a landing, a newer marker may mend it
+                self.runs.note(month, self.spec.name, "FAILED")
+                return [r["reference_month"] for r in open_months[k:]]
+            try:
+                self.run(rows, month)
+            except Exception:  # noqa: BLE001  noted by the run
+                return [r["reference_month"] for r in open_months[k:]]
+        return []
 
 
 class RegistryMonths:

@@ -4,12 +4,17 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelforge.operators import cdc, dedup
 from panelforge.operators.summary import partner_summary
 from panelforge.schemas import EMPRESA, ESTABELECIMENTO, ESTABLISHMENT_KEY, SIMPLES, SOCIOS, SPECS, TableSpec
+from panelforge.sinks import files
 from panelforge.sinks.files import land_month, mark_complete
+from panelforge.sources import files as sources
+from panelforge.streaming import files as stream_files
 from panelforge.streaming import monthly
+from panelforge.streaming.files import FileLedger
 from panelforge.streaming.monthly import MonthlyChanges, empty_overlay
 
 BASE = [("12345678", "Empresa Teste A", 1015, 2, 5000.0, 1, "ENTE A"), ("87654321", "Empresa Teste B", 2062, 3, 10000.0, 3, None)]
@@ -127,21 +132,80 @@ def test_stream_runs_each_month_once_and_notes_failures(spark, tmp_path):
 
 def test_partial_landings_wait_or_fail(spark, tmp_path):
     spec, base, landing = SPECS["empresa"], spark.createDataFrame(BASE, EMPRESA), f"{tmp_path}/landing"
-    june = spark.createDataFrame(JUNE, EMPRESA).withColumn("reference_month", F.lit("2023-06"))
-    june.where("cnpj_basico < '5'").write.parquet(f"{landing}/data")
+    june, folder = spark.createDataFrame(JUNE, EMPRESA), f"{landing}/data/2023-06/by-hand"
+    june.where("cnpj_basico < '5'").write.parquet(folder)
     job = MonthlyChanges(spark, f"{tmp_path}/job", spec, base, dedup.resolve_companies)
-    mark_complete(spark, landing, "2023-06", len(JUNE))
-    with pytest.raises(Exception, match="2 rows, not 7"):  # the marker is there, some files are not
-        job.follow(landing)
+    mark_complete(spark, landing, "2023-06", len(JUNE), folder)
+    assert job.follow(landing) == ["2023-06"]  # the marker is there, some files are not
     assert statuses(job) == [("2023-06", "FAILED", 0, 0, 0)]
-    june.where("cnpj_basico > '5'").write.mode("append").parquet(f"{landing}/data")
-    job.follow(landing)
+    june.where("cnpj_basico > '5'").write.mode("append").parquet(folder)
+    assert job.follow(landing) == []
     assert statuses(job) == [("2023-06", "SUCCESS", 3, 1, 0)]
-    spark.createDataFrame(JULY, EMPRESA).withColumn("reference_month", F.lit("2023-07")).write.mode("append").parquet(f"{landing}/data")
+    spark.createDataFrame(JULY, EMPRESA).write.parquet(f"{landing}/data/2023-07/by-hand")
     job.follow(landing)  # no marker: July waits
     assert not job.done("2023-07")
 
 
+def test_landings_are_repeatable_and_markers_correctable(spark, tmp_path, monkeypatch):
+    spec, base, landing = SPECS["empresa"], spark.createDataFrame(BASE, EMPRESA), f"{tmp_path}/landing"
+    june, july = spark.createDataFrame(JUNE, EMPRESA), spark.createDataFrame(JULY, EMPRESA)
+    job = MonthlyChanges(spark, f"{tmp_path}/job", spec, base, dedup.resolve_companies)
+    with monkeypatch.context() as m:  # dies after its rows are written
+        m.setattr(files, "mark_complete", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            land_month(june, landing, "2023-06")
+    assert land_month(june.where("cnpj_basico < '5'"), landing, "2023-06") != land_month(june, landing, "2023-06")
+    mark_complete(spark, landing, "2023-07", 1, f"{landing}/nowhere")  # a wrong marker
+    assert job.follow(landing) == ["2023-07"] and job.follow(landing) == ["2023-07"]
+    assert statuses(job) == [("2023-06", "SUCCESS", 3, 1, 0), ("2023-07", "FAILED", 0, 0, 0)]
+    land_month(july, landing, "2023-07")
+    assert job.follow(landing) == [] and job.follow(landing) == []
+    assert statuses(job)[1] == ("2023-07", "SUCCESS", 0, 3, 1)
+    assert [r["status"] for r in job.runs.attempts().where("month = '2023-07'").orderBy("attempt").collect()] == ["FAILED", "FAILED", "SUCCESS"]
+
+
+def test_vacuum_removes_what_no_reader_needs(spark, tmp_path, monkeypatch):
+    base = spark.createDataFrame(BASE, EMPRESA)
+    job = MonthlyChanges(spark, f"{tmp_path}/job", SPECS["empresa"], base, dedup.resolve_companies)
+    with monkeypatch.context() as m:
+        m.setattr(monthly, "apply_events", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            job.run(spark.createDataFrame(JUNE, EMPRESA), "2023-06")
+    job.run(spark.createDataFrame(JUNE, EMPRESA), "2023-06")
+    job.run(spark.createDataFrame(JULY, EMPRESA), "2023-07")
+    before = [sorted(map(repr, x.collect())) for x in (job.ledger(), job.overlay())]
+    gone = job.vacuum(keep=1)
+    assert len(gone) == 2 and sum(x.endswith("/overlay") for x in gone) == 1 and job.vacuum(keep=1) == []
+    assert before == [sorted(map(repr, x.collect())) for x in (job.ledger(), job.overlay())]
+
+
+def test_files_are_read_once(spark, tmp_path, monkeypatch):
+    landing, ledger = tmp_path / "in", FileLedger(spark, f"{tmp_path}/ledger")
+    (landing / "2023-06").mkdir(parents=True)
+    (landing / "K.csv").write_text("1;a\n2;b\n")
+    (landing / "2023-06" / "K.csv").write_text("3;c\n")
+    schema = T.StructType().add("k", "long").add("v", "string")
+
+    def read(paths):
+        return sources.read_dump(spark, paths, schema, file=True)
+
+    def rows():
+        return sorted((r["file"], r["k"], r["v"]) for r in ledger.rows().collect())
+
+    with monkeypatch.context() as m:  # dies after its rows are written
+        m.setattr(stream_files, "append_row", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            ledger.take(str(landing), read)
+    assert ledger.new(str(landing)).count() == 2
+    assert ledger.take(f"file://{landing}/", read) == 2 and ledger.take(str(landing), read) == 0
+    assert rows() == [("2023-06/K.csv", 3, "c"), ("K.csv", 1, "a"), ("K.csv", 2, "b")]
+    (landing / "K.csv").write_text("1;a\n2;B\n5;e\n")  # corrected
+    (landing / "L.csv").write_text("9;z\n")
+    assert ledger.take(str(landing), read) == 2
+    assert rows() == [("2023-06/K.csv", 3, "c"), ("K.csv", 1, "a"), ("K.csv", 2, "B"), ("K.csv", 5, "e"), ("L.csv", 9, "z")]
+    assert len(ledger.vacuum()) == 1 and ledger.vacuum() == [] and len(rows()) == 5
+
+
 @pytest.mark.parametrize("broken", ["ledger", "overlay", "count", "note"])
 def test_a_rerun_after_a_crash_is_an_undisturbed_run(spark, tmp_path, monkeypatch, broken):
     base = spark.createDataFrame(BASE, EMPRESA)

@@ -58,6 +58,27 @@ def test_landing_folder_with_zips_and_nested_folders(spark, tmp_path):
     assert tuple(found["cnae"].first()) == ("0111301", "Rice")
 
 
+def test_only_the_files_of_a_month_are_read(spark, tmp_path):
+    for folder, line in (("2023-05", LINES[0]), ("2023-06/deep", LINES[1]), ("any", LINES[4])):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "K1.EMPRECSV").write_bytes(line.encode("latin-1"))
+    found = {m: sorted(r[0] for r in sources.read_registry(spark, str(tmp_path), m)["empresa"].collect()) for m in ("2023-05", "2023-06", None)}
+    assert found == {"2023-05": ["00000001", "00000005"], "2023-06": ["00000002", "00000005"], None: ["00000001", "00000002", "00000005"]}
+
+
+def test_zips_of_a_file_system_that_only_spark_reads(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+    with zipfile.ZipFile(tmp_path / "Empresas0.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("K1.EMPRECSV", "\n".join(LINES).encode("latin-1"))
+        z.writestr("docs/readme.txt", "nothing of ours")
+    with zipfile.ZipFile(tmp_path / "Cnaes.zip", "w") as z:
+        z.writestr("unnamed", '"0111301";"Rice"\n')
+    there, here = (sources.read_registry(spark, p) for p in ("viewfs://store/in", str(tmp_path)))
+    assert there.keys() == here.keys() == {"empresa", "cnae"}
+    for family in there:
+        assert sorted(map(repr, there[family].collect())) == sorted(map(repr, here[family].collect())) and there[family].count() in (1, 4)
+
+
 def test_a_month_of_the_registry_from_the_command_line(spark, tmp_path, capsys):
     est = spark.createDataFrame([["1", "0001", "00", 1, None, 2, *[None] * 24]], ESTABELECIMENTO)
     base = {"empresa": spark.createDataFrame([("1", "n", 1, 1, 1.0, 1, None), ("2", "n", 1, 1, 1.0, 1, None)], EMPRESA), "estabelecimento": est}
@@ -86,6 +107,16 @@ def test_a_month_of_the_registry_from_the_command_line(spark, tmp_path, capsys):
 def test_tail_and_skipped(spark, tmp_path):
     (tmp_path / "t.csv").write_text("".join(f'"{k}";x\n' for k in range(50)))
     assert sorted((r["line"], r["value"]) for r in sources.read_tail(spark, f"{tmp_path}/t.csv", 47).collect()) == [(47, "47"), (48, "48"), (49, "49")]
+    (tmp_path / "two").mkdir()
+    for name, n in (("a", 30_000), ("b", 10_000)):
+        (tmp_path / "two" / name).write_text("".join(f"{name}{k}\n" for k in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:  # many splits of both files, packed together as Spark likes
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        got = sorted((r["line"], r["value"]) for r in sources.read_tail(spark, f"{tmp_path}/two", 9_999).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted([(9_999, "b9999"), *((k, f"a{k}") for k in range(9_999, 30_000))])
     (tmp_path / "g.csv").write_text("cnpj_basico,tipo_logradouro,logradouro,numero,uf,cidade,bairro,cep,latitude,longitude\n1,R,l,1,SP,x,b,1,abc,1\n1,R,too,few\n1,R,l,1,SP,x,b,1,2,1\n")
     assert tuple(sources.count_places(spark, f"{tmp_path}/g.csv").first()) == (1, 2)
     assert sources.read_places(spark, f"{tmp_path}/g.csv").select("latitude").count() == sources.read_places(spark, f"{tmp_path}/g.csv").count() == 1
