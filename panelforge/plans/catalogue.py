@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions import expr as E
-from panelforge.operators import cdc, checks, dedup, keyed, summary, temporal
-from panelforge.plans import replay, reports, reverse
+from panelforge.operators import cdc, checks, dedup, keyed, summary, temporal, tree
+from panelforge.plans import replay, reports, reverse, timeline
 from panelforge.schemas import FAMILIES, COMPANY_FIELDS, ESTABLISHMENT_FIELDS, ESTABLISHMENT_KEY, FISCAL_FIELDS, PANEL_COLUMNS, PARTNER_FIELDS, PARTNER_ZERO, SPECS, TableSpec
 from panelforge.sinks import files as sinks
 from panelforge.sinks.files import land_month
@@ -22,6 +22,7 @@ from panelforge.sources import files as sources
 from panelforge.storage import at_path, fresh_path, materialise
 from panelforge.streaming.files import FileLedger
 from panelforge.streaming.monthly import MonthlyChanges
+from panelforge.streaming.periods import Periods
 
 _ROOT = "lpad(CAST({} AS VARCHAR(12)), 8, '0')"
 _DAY = "CAST(year({0}) * 10000 + month({0}) * 100 + day({0}) AS INT)"
@@ -295,7 +296,7 @@ _C6 = "SELECT cnpj_basico, razao_social, natureza_juridica, qualificacao_respons
 _F6 = "SELECT cnpj_basico, CASE WHEN CAST(cnpj_basico AS INT) % 6 = 1 THEN 'S' ELSE opcao_pelo_simples END AS opcao_pelo_simples, data_opcao_simples, data_exclusao_simples, opcao_mei, data_opcao_mei, data_exclusao_mei FROM fiscal WHERE CAST(cnpj_basico AS INT) % 9 <> 0"
 
 
-def _panel(t: Registry, states: str | None) -> DataFrame:
+def _panel(t: Registry, states: str | None, replayed: Callable[..., tuple[DataFrame, DataFrame]] = replay.reconstruct_panel) -> DataFrame:
     m = _months(t)
 
     def events(table: str, *dumps: DataFrame) -> DataFrame:
@@ -316,7 +317,7 @@ def _panel(t: Registry, states: str | None) -> DataFrame:
         "socios": events("socios", partners, new_partners),
     }
     tables = {"empresa": m["c5"], "estabelecimento": m["e5"], "socios": t.partner, "simples": t.fiscal, "munic": t.city}
-    return replay.reconstruct_panel(t.spark, tables, ledger, "2023-05", "2023-07", states)[0]
+    return replayed(t.spark, tables, ledger, "2023-05", "2023-07", states)[0]
 
 
 def _panel_sql(where: str = "") -> str:
@@ -353,6 +354,12 @@ def replay_panel_filtered(t: Registry) -> DataFrame:
     return _panel(t, "SP,MG")
 
 
+@_query("est company fiscal partner city", _panel_sql())
+def replay_set_based(t: Registry) -> DataFrame:
+    """The panel by intervals: no join a month."""
+    return _panel(t, None, timeline.panel_by_intervals)
+
+
 def _panel_months(t: Registry) -> tuple[DataFrame, ...]:
     return tuple(t.d_panel.where(F.col("reference_month") == m).drop("reference_month") for m in ("2023-05", "2023-06", "2023-07"))
 
@@ -378,13 +385,25 @@ def month_expand(t: Registry) -> DataFrame:
     return out.select("cnpj_basico", "cnpj_ordem", "data_inicio_atividade", "reference_month")
 
 
-@_query("d_panel", """WITH a AS (SELECT *, CASE WHEN lag(status) OVER w IS DISTINCT FROM status OR lag(zone) OVER w IS DISTINCT FROM zone THEN 1 ELSE 0 END AS change FROM d_panel WINDOW w AS (PARTITION BY ekey ORDER BY reference_month)),
+_INTERVALS = """WITH a AS (SELECT *, CASE WHEN lag(status) OVER w IS DISTINCT FROM status OR lag(zone) OVER w IS DISTINCT FROM zone THEN 1 ELSE 0 END AS change FROM d_panel WINDOW w AS (PARTITION BY ekey ORDER BY reference_month)),
 g AS (SELECT *, sum(change) OVER (PARTITION BY ekey ORDER BY reference_month) AS run FROM a)
-SELECT ekey, status, zone, root, amount, min(reference_month) AS valid_from_month, max(reference_month) AS valid_to_month FROM g GROUP BY ekey, run, status, zone, root, amount""")
+SELECT ekey, status, zone, root, amount, min(reference_month) AS valid_from_month, max(reference_month) AS valid_to_month FROM g GROUP BY ekey, run, status, zone, root, amount"""
+
+
+@_query("d_panel", _INTERVALS)
 def intervals(t: Registry) -> DataFrame:
     return temporal.intervals(t.d_panel, ["ekey"], ["status", "zone"], ["root", "amount"])
 
 
+@_query("d_panel", _INTERVALS)
+def intervals_by_month(t: Registry) -> DataFrame:
+    """The intervals built up month by month, each meeting the open ones only."""
+    made = Periods(t.spark, fresh_path(t.spark, "periods"), ["ekey"], ["status", "zone"], ["root", "amount"])
+    for month in ("2023-05", "2023-06", "2023-07"):
+        made.add(t.d_panel.where(F.col("reference_month") == month).drop("reference_month"), month)
+    return made.read()
+
+
 _NEXT = "(VALUES ('2023-05', '2023-06'), ('2023-06', '2023-07')) m(a, b)"
 
 
@@ -524,15 +543,27 @@ def key_differences(t: Registry) -> DataFrame:
     return checks.key_differences(t.d_baseline, t.d_staging, ["ekey"])
 
 
-@_query("d_panel", """WITH a AS (SELECT * FROM d_panel WHERE reference_month = '2023-05'), b AS (SELECT * FROM d_panel WHERE reference_month = '2023-06')
+_GATE = """WITH a AS (SELECT * FROM d_panel WHERE reference_month = '2023-05'), b AS (SELECT * FROM d_panel WHERE reference_month = '2023-06')
 SELECT coalesce(a.ekey, b.ekey) AS ekey, NULL AS field, CASE WHEN b.ekey IS NULL THEN 'missing' ELSE 'added' END AS verdict FROM a FULL OUTER JOIN b ON a.ekey = b.ekey WHERE a.ekey IS NULL OR b.ekey IS NULL
 UNION ALL SELECT a.ekey, 'zone', 'failure' FROM a JOIN b ON a.ekey = b.ekey WHERE a.zone IS DISTINCT FROM b.zone
-UNION ALL SELECT a.ekey, 'amount', CASE WHEN a.ekey % 14 <> 0 THEN 'forbidden' WHEN b.amount IS NULL THEN 'allowed' ELSE 'not_null' END FROM a JOIN b ON a.ekey = b.ekey WHERE a.amount IS DISTINCT FROM b.amount""")
+UNION ALL SELECT a.ekey, 'amount', CASE WHEN a.ekey % 14 <> 0 THEN 'forbidden' WHEN b.amount IS NULL THEN 'allowed' ELSE 'not_null' END FROM a JOIN b ON a.ekey = b.ekey WHERE a.amount IS DISTINCT FROM b.amount"""
+
+
+@_query("d_panel", _GATE)
 def regression_gate(t: Registry) -> DataFrame:
     a, b, _ = _panel_months(t)
     return checks.regression_gate(a, b, ["ekey"], ["zone"], ["amount"], a.where("ekey % 14 = 0"), "ekey").select("ekey", "field", "verdict")
 
 
+@_query("d_panel", _GATE)
+def regression_by_tree(t: Registry) -> DataFrame:
+    """The same differences from the unequal leaves of two hash trees."""
+    a, b, _ = _panel_months(t)
+    path = fresh_path(t.spark, "trees")
+    x, y = tree.opened(*[tree.HashTree.write(rows, f"{path}/{name}", ["ekey"], ["zone", "amount"]) for name, rows in (("a", a), ("b", b))])
+    return checks.regression_gate(x, y, ["ekey"], ["zone"], ["amount"], a.where("ekey % 14 = 0"), "ekey").select("ekey", "field", "verdict")
+
+
 @_query("place", "SELECT count(*) AS n, count(DISTINCT cnpj_basico) AS n_roots, count(CASE WHEN length(cnpj_basico) <> 8 THEN 1 END) AS bad_roots, count(CASE WHEN length(cep) <> 8 THEN 1 END) AS bad_postcodes FROM place")
 def place_checks(t: Registry) -> DataFrame:
     return reports.place_checks(t.place)

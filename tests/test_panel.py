@@ -1,13 +1,16 @@
 """Replay step by step, reverse replay, intervals, transitions, gate."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions import expr as E
-from panelforge.operators import cdc, checks, keyed, temporal
-from panelforge.plans import replay, reverse
-from panelforge.schemas import COMPANY_FIELDS, EMPRESA, ESTABLISHMENT_FIELDS, ESTABLISHMENT_KEY, FISCAL_FIELDS, MUNIC, PARTNER_FIELDS, PANEL_COLUMNS, SIMPLES, SOCIOS, SPECS, TableSpec, ESTABELECIMENTO
+from panelforge.operators import cdc, checks, keyed, temporal, tree
+from panelforge.plans import replay, reverse, timeline
+from panelforge.schemas import COMPANY_FIELDS, EMPRESA, ESTABLISHMENT_FIELDS, ESTABLISHMENT_KEY, FISCAL_FIELDS, MUNIC, PARTNER_FIELDS, PANEL_COLUMNS, PARTNER_ZERO, SIMPLES, SOCIOS, SPECS, TableSpec, ESTABELECIMENTO
+from panelforge.streaming.periods import Periods
 
 EST = T.StructType([ESTABELECIMENTO[c] for c in [*ESTABLISHMENT_KEY, *ESTABLISHMENT_FIELDS]])
 
@@ -38,6 +41,10 @@ def run(spark, establishments, ledger, companies=(), partners=(), fiscal=(), end
     full = {t: events(spark, t, []) for t in SPECS} | ledger
     panel, held = replay.reconstruct_panel(spark, tables, full, "2023-05", end, states)
     assert panel.columns == ["reference_month", *PANEL_COLUMNS]
+    # without a step a month the result is the same
+    at_once, also_held = timeline.panel_by_intervals(spark, tables, full, "2023-05", end, states)
+    assert at_once.columns == panel.columns and sorted(map(repr, at_once.collect())) == sorted(map(repr, panel.collect()))
+    assert sorted(map(repr, also_held.collect())) == sorted(map(repr, held.collect()))
     return {(r["reference_month"], r["cnpj_basico"], r["cnpj_ordem"]): r for r in panel.collect()}, held
 
 
@@ -90,6 +97,41 @@ def test_quarantined_roots_have_no_company_values_in_any_month(spark):
     assert all(r[c] is None for r in got.values() for c in [*COMPANY_FIELDS, *FISCAL_FIELDS]) and len(got) == 2
 
 
+def test_intervals_replay_what_the_steps_do(spark):
+    """Random ledgers of four months: keys and roots that come, go and come back, events of what is not there, companies that end."""
+    rng = random.Random(8)
+    months, roots = ["2023-06", "2023-07", "2023-08", "2023-09"], [str(k) for k in range(80)]
+    ledger = {}
+    for table, share in (("estabelecimento", 0.35), ("empresa", 0.2), ("simples", 0.25), ("socios", 0.25)):
+        made = None
+        for month in months:
+            rows = []
+            for root in roots:
+                for key in [(root, o, "00") for o in "123"] if table == "estabelecimento" else [(root,)]:
+                    if rng.random() < share:
+                        kind = rng.choice(["INSERT", "UPDATE", "DELETE"] if table != "empresa" else ["INSERT", "UPDATE", "UPDATE", "DELETE"])
+                        value = {"estabelecimento": {"situacao_cadastral": rng.randint(1, 8), "municipio": 1}, "empresa": {"capital_social": float(rng.randint(1, 99))}, "simples": {"opcao_mei": rng.choice("SN")}, "socios": dict.fromkeys(PARTNER_ZERO, rng.randint(1, 9))}[table]
+                        rows.append((key, kind, None if kind == "DELETE" else value))
+            own = events(spark, table, rows, month)
+            made = own if made is None else made.unionByName(own)
+        ledger[table] = made
+    base = [est(r, o, rng.randint(1, 8)) for r in roots for o in "123" if rng.random() < 0.5]
+    got, _ = run(spark, base, ledger, [company(r, 1.0) for r in roots if rng.random() < 0.8], fiscal=[(r, "S", 1, 2, "N", 3, 4) for r in roots[::3]], end="2023-09")
+    assert {k[0] for k in got} == {"2023-05", *months} and len(got) > 300
+
+
+def test_the_plan_of_intervals_does_not_grow_with_the_months(spark):
+    sizes = []
+    for end in ("2023-07", "2024-07"):
+        months = E.month_range("2023-05", end)
+        latest = spark.createDataFrame([(1, 20200101, 1)], "k int, data_inicio_atividade int, x int")
+        spec = TableSpec("t", ["k"], ["data_inicio_atividade", "x"])
+        none = latest.where("false").withColumn("is_deleted", F.lit(False))
+        plan = timeline.panel_by_reverse_intervals(latest, cdc.detect(latest, none, latest, spec, "2023-06"), ["k"], months)._jdf.queryExecution().executedPlan().toString()
+        sizes.append((plan.count("Join"), plan.count("Exchange")))
+    assert sizes[0] == sizes[1]
+
+
 def test_start_after_end(spark):
     with pytest.raises(ValueError, match="no months"):
         E.month_range("2023-07", "2023-05")
@@ -104,6 +146,8 @@ def test_reverse_undoes_forward(spark):
     a, b, c = dumps.values()
     ledger = cdc.detect(b, none, a, spec, "2023-06").unionByName(cdc.detect(c, none, b, spec, "2023-07"))
     panel = reverse.panel_from_reverse(c, ledger, ["k"], list(months))
+    at_once = timeline.panel_by_reverse_intervals(c, ledger, ["k"], list(months))
+    assert sorted(map(repr, at_once.select(*panel.columns).collect())) == sorted(map(repr, panel.collect()))
     assert sorted(tuple(r) for r in panel.select("reference_month", "k", "x").fillna(-1).collect()) == sorted((m, k, -1 if x is None else x) for m, rows in months.items() for k, _, x in rows)
     assert reverse.save_month(b, "2023-05").count() == 2  # opened later: not yet
 
@@ -119,6 +163,39 @@ def test_intervals(spark):
     assert (2, "-", "p", "2023-01", "2023-01") in got(strict=True)
 
 
+@pytest.mark.parametrize("strict", [False, True])
+def test_intervals_month_by_month_are_the_full_build(spark, tmp_path, strict):
+    rng = random.Random(3)
+    months = E.month_range("2022-11", "2023-04")
+    rows = [(m, k, rng.choice(["x", "y", None]), rng.choice(["p", "q"])) for m in months for k in range(60) if rng.random() < 0.75]
+    made = Periods(spark, str(tmp_path), ["k"], ["a"], ["b"], strict)
+    for n, m in enumerate(months, 1):
+        assert made.add(panel(spark, rows).where(F.col("reference_month") == m).drop("reference_month"), m)
+        full = temporal.intervals(panel(spark, [r for r in rows if r[0] <= m]), ["k"], ["a"], ["b"], strict=strict)
+        if n % 3 == 0:
+            assert sorted(map(repr, made.read().select(full.columns).collect())) == sorted(map(repr, full.collect()))
+    assert not made.add(panel(spark, rows).drop("reference_month"), months[-1])
+    with pytest.raises(ValueError, match="older"):
+        made.add(panel(spark, rows).drop("reference_month"), "2020-01")
+    before = sorted(map(repr, made.read().collect()))
+    assert len(made.vacuum()) == len(months) - 1 and made.vacuum() == [] and before == sorted(map(repr, made.read().collect()))
+
+
+def test_a_hash_tree_opens_what_differs(spark, tmp_path):
+    a = spark.range(20_000).select(F.col("id").alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 10).alias("x"), F.lit("v").alias("y"))
+    changed = F.when(F.col("k").isin(3, 78), None).when(F.col("k") == 5_000, -1).otherwise(F.col("x"))
+    b = a.where("k <> 9").withColumn("x", changed).union(spark.createDataFrame([(-5, 1, "new")], a.schema))
+    t, same, u = (tree.HashTree.write(rows.repartition(n), f"{tmp_path}/{n}", ["k"], ["x", "y"]) for n, rows in ((1, a), (7, a), (3, b)))
+    assert t.root() == same.root() != u.root() and tree.unequal_leaves(t, same) == []
+    assert [x.count() for x in tree.opened(t, same)] == [0, 0]
+    x, y = tree.opened(t, u)
+    gate = lambda c, d: sorted(map(repr, checks.regression_gate(c, d, ["k"], ["x"], ["y"], a.where("false"), "k").collect()))
+    assert gate(x, y) == gate(a, b) and len(gate(x, y)) == 5
+    assert x.count() < 80 and "PartitionFilters: [branch" in x._jdf.queryExecution().executedPlan().toString().replace("isnotnull(branch#", "branch")
+    swapped = a.select("k", F.col("x").cast("string").alias("y"), F.lit(None).cast("long").alias("x"))
+    assert tree.HashTree.write(swapped, f"{tmp_path}/s", ["k"], ["x", "y"]).root() != t.root()
+
+
 def test_transitions_and_classes(spark):
     p = panel(spark, [("2023-01", 1, "x", "p"), ("2023-02", 1, "x", None), ("2023-02", 2, "y", "p")])
     got = sorted((r["k"], r["reference_month"], r["variable_name"], r["previous_value"] or "", r["current_value"] or "", r["change_type"]) for r in temporal.transitions(p, ["k"], ["a", "b"], ["2023-01", "2023-02", "2023-03"]).collect())
