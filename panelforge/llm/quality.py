@@ -100,8 +100,9 @@ def vectors(documents: DataFrame) -> DataFrame:
 def fit(vectors: DataFrame, labels: DataFrame, label: str = "quality") -> Discriminant:
     """Learn from the vectors outside the held-out fold that have a label 0 or 1.
 
-    Rows with a null key or another label are left out.  A key with several
-    rows in either table counts once per distinct pair of vector and label.
+    Rows with a null key or another label are left out.  Repeated rows of
+    documents count each time, equal labels of a key once, and a key with both
+    labels counts for either class.
     """
     known = labels.select("doc_id", labels[label].cast("int").alias("y")).where("y IN (0, 1)").distinct()
     rows = vectors.where(~F.col("held_out")).join(known, "doc_id").select("y", "x").groupBy("y")
