@@ -1,7 +1,7 @@
 """Command line, ``python -m panelforge.cli``:
 
 ``panel BASE LEDGER OUT START END [--states SP,RJ] [--files N] [--quarantine FOLDER]`` replays a ledger into a panel,
-``month BASE LANDING ROOT MONTH`` detects a month's changes in all tables,
+``month BASE LANDING ROOT MONTH [--buckets N]`` detects a month's changes in all tables,
 ``export ROWS OUT [--order a,b] [--limit N]`` writes a table as CSV,
 ``months START END`` lists the months of a range.
 """
@@ -17,7 +17,8 @@ from panelforge.plans.replay import reconstruct_panel
 from panelforge.schemas import SPECS
 from panelforge.sinks.files import write_csv, write_panel
 from panelforge.sources.files import read_registry
-from panelforge.streaming.monthly import RegistryMonths
+from panelforge.streaming.monthly import DEDUP, RegistryMonths
+from panelforge.streaming.snapshots import SnapshotMonths, registry_extras
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -28,6 +29,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     panel.add_argument("--files", type=int, default=1, help="files a month")
     panel.add_argument("--quarantine", default=None, help="folder with the quarantine so far; what is found is written beside OUT")
     month = commands.add_parser("month", help="detect a month's changes in the dump files of a landing folder, zipped or not, against baseline tables; folders named after other months are left out")
+    month.add_argument("--buckets", type=int, default=None, help="keep states in so many hash buckets and commit all tables of a month as one; a ROOT is kept in one way")
     export = commands.add_parser("export", help="write a parquet table as CSV with a header")
     export.add_argument("--order", default=None, help="comma-separated columns to sort by")
     export.add_argument("--limit", type=int, default=None, help="most rows, the first of the order")
@@ -52,10 +54,16 @@ def main(argv: list[str] | None = None) -> None:
         write_panel(rows, args.out, files_per_month=args.files)
         held.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}-quarantine")
     elif args.command == "month":
-        job = RegistryMonths(spark, args.root, {t: spark.read.parquet(f"{args.base}/{t}") for t in SPECS})
-        done = job.run(read_registry(spark, args.landing, args.month), args.month)
-        n = job.counts(args.month).first()
-        print(f"{args.month}: {n['inserts']} inserted, {n['updates']} updated, {n['deletes']} deleted" + ("" if done else " (done before)"))
+        baseline, dumps = {t: spark.read.parquet(f"{args.base}/{t}") for t in SPECS}, read_registry(spark, args.landing, args.month)
+        if args.buckets:
+            job = SnapshotMonths(spark, args.root, SPECS, baseline, DEDUP, registry_extras, args.buckets)
+            done = job.run(dumps, args.month)
+            inserts, updates, deletes = map(sum, zip(*job.counts()[args.month].values(), strict=True))
+        else:
+            job = RegistryMonths(spark, args.root, baseline)
+            done = job.run(dumps, args.month)
+            inserts, updates, deletes = job.counts(args.month).select("inserts", "updates", "deletes").first()
+        print(f"{args.month}: {inserts} inserted, {updates} updated, {deletes} deleted" + ("" if done else " (done before)"))
     else:
         write_csv(spark.read.parquet(args.rows), args.out, order=args.order.split(",") if args.order else None, limit=args.limit)
 

@@ -34,12 +34,18 @@ def detect(staging: DataFrame, latest: DataFrame, baseline: DataFrame, spec: Tab
     too, an UPDATE, and a live one that the dump lacks a DELETE.  Keys must be
     unique in all three inputs; columns that are not tracked play no part.
     """
+    return changes(staging, known_state(latest, baseline, spec), spec, month)
+
+
+def changes(staging: DataFrame, known: DataFrame, spec: TableSpec, month: str, keep: list[str] | None = None) -> DataFrame:
+    """As :func:`detect`, against the known state itself, whose columns ``keep`` go with the events."""
     image = F.struct(*[F.col(c) for c in spec.tracked])
     new = staging.select(*spec.keys, image.alias("novo"))
-    old = known_state(latest, baseline, spec).select(*spec.keys, image.alias("anterior"), "is_deleted")
-    found, known = F.col("novo").isNotNull(), F.col("is_deleted").isNotNull()
+    old = known.select(*spec.keys, image.alias("anterior"), "is_deleted", *(keep or []))
+    found, seen = F.col("novo").isNotNull(), F.col("is_deleted").isNotNull()
     differ = any_differs((F.col(f"novo.{c}"), F.col(f"anterior.{c}")) for c in spec.tracked)
-    events = new.join(old, spec.keys, "full_outer").select(*spec.keys, _change(found, known, F.coalesce("is_deleted", F.lit(False)), differ).alias("tipo_alteracao"), "anterior", "novo")
+    kind = _change(found, seen, F.coalesce("is_deleted", F.lit(False)), differ).alias("tipo_alteracao")
+    events = new.join(old, spec.keys, "full_outer").select(*spec.keys, kind, "anterior", "novo", *(keep or []))
     return events.where(F.col("tipo_alteracao").isNotNull()).withColumns({"tabela": F.lit(spec.name), "mes_referencia": F.lit(month)})
 
 

@@ -23,6 +23,7 @@ from panelforge.storage import at_path, fresh_path, materialise
 from panelforge.streaming.files import FileLedger
 from panelforge.streaming.monthly import MonthlyChanges
 from panelforge.streaming.periods import Periods
+from panelforge.streaming.snapshots import SnapshotMonths
 
 _ROOT = "lpad(CAST({} AS VARCHAR(12)), 8, '0')"
 _DAY = "CAST(year({0}) * 10000 + month({0}) * 100 + day({0}) AS INT)"
@@ -823,3 +824,39 @@ def monthly_rerun(t: Registry) -> DataFrame:
     attempts = job.runs.attempts().select(F.col("month").alias("mes_referencia"), "attempt", "status")
     events = job.ledger().select("mes_referencia", "ekey", "tipo_alteracao").withColumn("status", F.lit("SUCCESS"))
     return attempts.join(events, ["mes_referencia", "status"], "left").select("mes_referencia", "attempt", "status", "ekey", "tipo_alteracao")
+
+
+_JULY = "SELECT ekey, CASE WHEN ekey % 7 = 1 THEN 'X' ELSE status END AS status, amount, zone FROM d_staging WHERE ekey % 3 <> 0"
+_CHANGED = "{s}.status IS DISTINCT FROM {b}.status OR {s}.amount IS DISTINCT FROM {b}.amount OR {s}.zone IS DISTINCT FROM {b}.zone"
+
+
+@_query("d_baseline d_staging fiscal", f"""WITH june AS (SELECT s.ekey, s.status, s.amount, s.zone, false AS is_deleted, '2023-06' AS last_updated_month FROM d_staging s LEFT JOIN d_baseline b ON b.ekey = s.ekey WHERE b.ekey IS NULL OR {_CHANGED.format(s='s', b='b')}
+ UNION ALL SELECT ekey, NULL, NULL, NULL, true, '2023-06' FROM d_baseline WHERE ekey NOT IN (SELECT ekey FROM d_staging)),
+j AS ({_JULY}),
+july AS (SELECT j.ekey, j.status, j.amount, j.zone, false AS is_deleted, '2023-07' AS last_updated_month FROM j LEFT JOIN d_staging s ON s.ekey = j.ekey WHERE {_CHANGED.format(s='j', b='s')}
+ UNION ALL SELECT s.ekey, k.status, k.amount, k.zone, true, '2023-07' FROM d_staging s LEFT JOIN june k ON k.ekey = s.ekey WHERE s.ekey % 3 = 0)
+SELECT 'failed' AS seen, 'orders' AS tabela, CAST(ekey AS VARCHAR) AS key, status, amount, zone, is_deleted, last_updated_month FROM june
+UNION ALL SELECT 'done', 'orders', CAST(ekey AS VARCHAR), status, amount, zone, is_deleted, last_updated_month FROM (SELECT * FROM july UNION ALL SELECT * FROM june WHERE ekey NOT IN (SELECT ekey FROM july))
+UNION ALL SELECT 'done', 'simples', cnpj_basico, NULL, NULL, NULL, true, '2023-07' FROM fiscal WHERE CAST(cnpj_basico AS INT) % 3 = 0""")
+def months_by_snapshot(t: Registry) -> DataFrame:
+    """Two tables with one commit a month: a July that fails in its second table leaves both as of June, the next one changes both."""
+    job = SnapshotMonths(t.spark, fresh_path(t.spark, "snapshots"), {"orders": _SPEC, "simples": SPECS["simples"]}, {"orders": t.d_baseline, "simples": t.fiscal}, buckets=16, depth=2)
+    job.run({"orders": t.d_staging, "simples": t.fiscal}, "2023-06")
+    july = {"orders": t.spark.sql(_JULY.replace("d_staging", "{s}"), s=t.d_staging), "simples": t.fiscal.where("CAST(cnpj_basico AS INT) % 3 <> 0")}
+    broken = july["simples"].withColumn("opcao_mei", F.when(F.col("opcao_mei").isNotNull(), F.raise_error(F.lit("lost")).cast("string")))
+    try:  # the first table is written by then
+        job.run(july | {"simples": broken}, "2023-07")
+    except Exception as e:  # noqa: BLE001  the failure is the case that is shown
+        if "lost" not in str(e):
+            raise
+    parts = []
+    for seen in ("failed", "done"):
+        if seen == "done":
+            job.run(july, "2023-07")
+        for table, key, values in (("orders", "ekey", _STATE), ("simples", "cnpj_basico", [])):
+            shown = [F.col(c) if c in values else F.lit(None).cast("double" if c == "amount" else "string").alias(c) for c in _STATE]
+            parts.append(job.overlay(table).select(F.lit(seen).alias("seen"), F.lit(table).alias("tabela"), F.col(key).cast("string").alias("key"), *shown, "is_deleted", "last_updated_month"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
