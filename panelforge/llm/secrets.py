@@ -64,20 +64,29 @@ def _whole(versions: DataFrame, text: str) -> Column:
     return F.coalesce(versions[text], F.lit(""))
 
 
+def _suspects(blobs: DataFrame) -> DataFrame:
+    """The text of a blob that no rule can match is not needed."""
+    return blobs.select("blob", F.when(F.col("text").rlike(PREFILTER), F.col("text")).alias("text"))
+
+
 def unseen(versions: DataFrame, ledger: DataFrame | None, text: str = "text") -> DataFrame:
     """Ledger rows of the blobs in ``versions`` that the ledger lacks under the present rules: the only ones that are scanned."""
     whole = _whole(versions, text)
     blobs = versions.select(F.sha2(whole, 256).alias("blob"), whole.alias("text"))
-    if ledger is not None:
-        done = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob")
-        if done.count() <= BROADCAST_BLOBS:
-            blobs = blobs.join(F.broadcast(done), "blob", "left_anti")
+    done = None if ledger is None else ledger.where(F.col("rule_version") == RULE_VERSION).select("blob")
+    if done is None:
+        blobs = _suspects(blobs)
+    elif done.count() <= BROADCAST_BLOBS:
+        blobs = _suspects(blobs.join(F.broadcast(done), "blob", "left_anti"))
+    else:
+        # hashes alone tell what is new
+        new = written(blobs.select("blob").distinct().join(done, "blob", "left_anti"), "secret-new")
+        if new.count() <= BROADCAST_BLOBS:
+            blobs = _suspects(blobs.join(F.broadcast(new), "blob", "left_semi"))
         else:
-            # hashes alone tell what is new; no text of a known version is moved if that is little
-            new = written(blobs.select("blob").distinct().join(done, "blob", "left_anti"), "secret-new")
-            blobs = blobs.join(sized(new, BROADCAST_BLOBS), "blob", "left_semi")
-    suspects = blobs.select("blob", F.when(F.col("text").rlike(PREFILTER), F.col("text")).alias("text"))
-    return suspects.groupBy("blob").agg(F.min("text").alias("text")).mapInArrow(_scan, LEDGER)
+            # of a table that is shuffled only suspect texts are moved
+            blobs = _suspects(blobs).join(new, "blob", "left_semi")
+    return blobs.groupBy("blob").agg(F.min("text").alias("text")).mapInArrow(_scan, LEDGER)
 
 
 def findings(versions: DataFrame, ledger: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
