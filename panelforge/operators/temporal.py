@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.expr import any_differs
 
+# The columns that make up an establishment's state in a panel.
 PANEL_STATE = ["identificador_matriz_filial", "situacao_cadastral", "data_situacao_cadastral", "motivo_situacao_cadastral", "pais", "data_inicio_atividade", "cnae_fiscal_principal", "municipio", "uf", "cnae_fiscal_secundaria"]
 
 

@@ -112,34 +112,43 @@ def _case(english: bool, c: str) -> str:
     return f"CASE {arms} ELSE '{E.OTHER_SECTOR[english]}' END"
 
 
-_COUNTS = """CAST(count(CASE WHEN situacao_cadastral = 2 THEN 1 END) AS BIGINT) AS {0}, CAST(count(CASE WHEN situacao_cadastral = 8 THEN 1 END) AS BIGINT) AS {1},
- count(CASE WHEN situacao_cadastral = 2 AND identificador_matriz_filial = 1 THEN 1 END) AS {2}, count(CASE WHEN situacao_cadastral = 8 AND identificador_matriz_filial = 1 THEN 1 END) AS {3},
- count(CASE WHEN situacao_cadastral = 2 AND identificador_matriz_filial = 2 THEN 1 END) AS {4}, count(CASE WHEN situacao_cadastral = 8 AND identificador_matriz_filial = 2 THEN 1 END) AS {5}"""
+# the summaries in SQL: one long table of counts by status and kind of unit, which is then spread over columns
+_CITIES = "cities AS (SELECT codigo AS municipio, cd_mun AS city_code, descricao AS city FROM city)"
+_SECTORS = f"sectors AS (SELECT CAST(codigo AS INT) AS cnae_fiscal_principal, substr(codigo, 1, 2) AS secao, {_case(True, 'substr(codigo, 1, 2)')} AS desc_secao_en FROM activity)"
 
 
-@_query("est city", f"SELECT m.cd_mun AS city_code, m.descricao AS city, {_COUNTS.format(*reports.CITY_COUNTS)} FROM est LEFT JOIN city m ON municipio = m.codigo WHERE uf = 'SP' GROUP BY 1, 2")
+def _spread(names: tuple[str, ...]) -> str:
+    cells = [f"status = {status}{unit}" for unit in ("", " AND unit = 1", " AND unit = 2") for status in (2, 8)]
+    return ", ".join(f"CAST(coalesce(sum(n) FILTER (WHERE {cell}), 0) AS BIGINT) AS {name}" for name, cell in zip(names, cells, strict=True))
+
+
+@_query("est city", f"""WITH {_CITIES}, tally AS (SELECT city_code, city, situacao_cadastral AS status, identificador_matriz_filial AS unit, count(*) AS n FROM (SELECT * FROM est WHERE uf = 'SP') LEFT JOIN cities USING (municipio) GROUP BY ALL)
+SELECT city_code, city, {_spread(reports.CITY_COUNTS)} FROM tally GROUP BY ALL""")
 def city_summary(t: Registry) -> DataFrame:
     return reports.city_summary(t.est, t.city)
 
 
-@_query("est city activity", f"""WITH c AS (SELECT CAST(codigo AS INT) AS code, {_case(True, "substr(codigo, 1, 2)")} AS label FROM activity)
-SELECT m.cd_mun AS city_code, m.descricao AS city, coalesce(c.label, 'Others') AS sector_desc, {_COUNTS.format(*reports.SECTOR_COUNTS)}
-FROM est LEFT JOIN city m ON municipio = m.codigo LEFT JOIN c ON cnae_fiscal_principal = c.code WHERE uf = 'SP' GROUP BY m.cd_mun, m.descricao, c.label""")
+@_query("est city activity", f"""WITH {_CITIES}, {_SECTORS},
+tally AS (SELECT municipio, desc_secao_en AS sector, situacao_cadastral AS status, identificador_matriz_filial AS unit, count(*) AS n FROM (SELECT * FROM est WHERE uf = 'SP') LEFT JOIN sectors USING (cnae_fiscal_principal) GROUP BY ALL),
+spread AS (SELECT city_code, city, sector, {_spread(reports.SECTOR_COUNTS)} FROM tally LEFT JOIN cities USING (municipio) GROUP BY ALL)
+SELECT * EXCLUDE (sector), CASE WHEN sector IS NULL THEN 'Others' ELSE sector END AS sector_desc FROM spread""")
 def city_sector_summary(t: Registry) -> DataFrame:
     return reports.city_sector_summary(t.est, t.city, reports.with_sectors(t.activity))
 
 
-_BUSINESS = ", ".join(c if " as " not in c else c.replace(" as ", " AS ") for c in reports.BUSINESS_COLUMNS)
-_BUSINESS_FROM = f"""FROM est e LEFT JOIN company em ON e.cnpj_basico = em.cnpj_basico LEFT JOIN fiscal s ON e.cnpj_basico = s.cnpj_basico LEFT JOIN city m ON e.municipio = m.codigo
-LEFT JOIN (SELECT CAST(codigo AS INT) AS code, substr(codigo, 1, 2) AS secao_cnae, {_case(True, "substr(codigo, 1, 2)")} AS desc_secao_en FROM activity) c ON e.cnae_fiscal_principal = c.code"""
+# the lists in SQL: a record a root and one a unit, each with its lookups, that meet once
+_BUSINESS = ", ".join(c.split(" as ")[-1].split(".")[-1] for c in reports.BUSINESS_COLUMNS)
+_UNITS = f"""{_CITIES}, {_SECTORS}, roots AS (SELECT * FROM company FULL JOIN fiscal USING (cnpj_basico)),
+units AS (SELECT *, (SELECT city_code FROM cities WHERE cities.municipio = est.municipio) AS cd_mun, (SELECT city FROM cities WHERE cities.municipio = est.municipio) AS city FROM est WHERE uf = 'SP'),
+listed AS (SELECT {_BUSINESS} FROM units LEFT JOIN roots USING (cnpj_basico) LEFT JOIN sectors USING (cnae_fiscal_principal))"""
 
 
-@_query("est company fiscal city activity", f"SELECT {_BUSINESS} {_BUSINESS_FROM} WHERE e.uf = 'SP'")
+@_query("est company fiscal city activity", f"WITH {_UNITS} SELECT * FROM listed")
 def business_list(t: Registry) -> DataFrame:
     return reports.business_list(t.est, t.company, t.fiscal, t.city, reports.with_sectors(t.activity))
 
 
-@_query("est company fiscal city activity place", f"SELECT {_BUSINESS}, g.latitude, g.longitude {_BUSINESS_FROM} JOIN place g ON e.cnpj_basico = g.cnpj_basico AND e.cep = g.cep WHERE e.uf = 'SP' AND g.latitude IS NOT NULL AND g.longitude IS NOT NULL")
+@_query("est company fiscal city activity place", f"WITH {_UNITS}, known AS (SELECT cnpj_basico, cep, latitude, longitude FROM place WHERE latitude + longitude IS NOT NULL) SELECT * FROM listed NATURAL JOIN known")
 def geocoded_business_list(t: Registry) -> DataFrame:
     return reports.geocoded_business_list(t.est, t.company, t.fiscal, t.city, reports.with_sectors(t.activity), t.place)
 

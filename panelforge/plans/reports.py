@@ -55,6 +55,7 @@ def _status_counts(status: Column, unit: Column, names: tuple[str, ...], active:
     return [F.count_if(c if u is None else c & (unit == u)).alias(n) for n, (c, u) in zip(names, cells, strict=True)]
 
 
+# The columns of the two summaries.
 CITY_COUNTS = ("active", "failed", "active_head_offices", "failed_head_offices", "active_branches", "failed_branches")
 SECTOR_COUNTS = ("active", "failed", "active_ho", "failed_ho", "active_br", "failed_br")
 

@@ -137,24 +137,24 @@ class SnapshotMonths:
         """The state of the keys that any month changed."""
         return self.state(table, number).where(F.col("last_updated_month").isNotNull())
 
-    def _folders(self, table: str, what: str, number: int | None) -> DataFrame:
-        folders = [m[table][what] for m in self.snapshot(number)["months"].values() if m.get(table, {}).get(what)]
+    def _folders(self, kind: str, name: str, number: int | None) -> DataFrame:
+        folders = [m[kind][name]["folder"] for m in self.snapshot(number)["months"].values() if name in m[kind]]
         if not folders:
-            raise LookupError(f"{self.root} has no month of {table}")
+            raise LookupError(f"{self.root} has no month of {name}")
         return self.spark.read.parquet(*[f"{self.root}/{x}" for x in folders])
 
     def ledger(self, table: str, number: int | None = None) -> DataFrame:
         """Events of all months of a snapshot."""
-        return self._folders(table, "ledger", number).drop("own", "bucket")
+        return self._folders("tables", table, number).drop("own", "bucket")
 
     def extra(self, name: str, number: int | None = None) -> DataFrame:
         """What ``extras`` made under a name, all months of a snapshot, with ``reference_month``."""
-        return self._folders(name, "rows", number)
+        return self._folders("extras", name, number)
 
     def counts(self, number: int | None = None) -> dict[str, dict[str, tuple[int, int, int]]]:
         """Inserts, updates and deletes by month and table."""
         months = self.snapshot(number)["months"]
-        return {m: {t: tuple(x["counts"]) for t, x in of.items() if "counts" in x} for m, of in months.items()}
+        return {m: {t: tuple(x["counts"]) for t, x in of["tables"].items()} for m, of in months.items()}
 
     def run(self, dumps: Dumps, month: str) -> bool:
         """Detect a month of all tables and commit it as one; False if it is there already.
@@ -170,11 +170,11 @@ class SnapshotMonths:
             raise ValueError(f"{month} is older than {max(now['months'])}")
         for table in self.specs:
             require_rows(dumps[table], f"{table} of {month}")
-        attempt, of_month = self._attempt(number), {}
+        attempt, of_month = self._attempt(number), {"tables": {}, "extras": {}}
         for table in self.specs:
-            of_month[table] = self._detect(table, now, self._dedup(table, dumps[table]), month, attempt)
+            of_month["tables"][table] = self._detect(table, now, self._dedup(table, dumps[table]), month, attempt)
         for name, rows in (self.extras(dumps, month) if self.extras else {}).items():
-            of_month[name] = {"rows": f"extras/{name}/{attempt}"}
+            of_month["extras"][name] = {"folder": f"extras/{name}/{attempt}"}
             rows.withColumn("reference_month", F.lit(month)).write.parquet(f"{self.root}/extras/{name}/{attempt}")
         now["months"][month] = of_month
         self.log.commit(number, now)
@@ -197,7 +197,7 @@ class SnapshotMonths:
             self._write(table, events.select(*spec.keys, *values, gone.alias("is_deleted"), F.lit(month).alias("last_updated_month")), attempt)
         for bucket in {r["bucket"] for r in found}:
             now["tables"][table].setdefault(str(bucket), []).append(attempt)
-        return {"ledger": folder, "counts": [sum(r["count"] for r in found if r["tipo_alteracao"] == k) for k in ("INSERT", "UPDATE", "DELETE")]}
+        return {"folder": folder, "counts": [sum(r["count"] for r in found if r["tipo_alteracao"] == k) for k in ("INSERT", "UPDATE", "DELETE")]}
 
     def merge(self) -> list[str]:
         """Merge the attempts of buckets that have ``depth`` of them; the tables it was done for.  States stay the same."""
@@ -217,7 +217,7 @@ class SnapshotMonths:
         """Remove all but the last ``keep`` snapshots and the folders that none of these names; the folders.  No run may be under way."""
         self.log.forget(keep)
         kept = [self.log.read(n)[1] for n in self.log.numbers()]
-        used = {x for now in kept for m in now["months"].values() for part in m.values() for x in (part.get("ledger"), part.get("rows"))}
+        used = {x["folder"] for now in kept for m in now["months"].values() for kind in m.values() for x in kind.values()}
         gone = []
         for table in self.specs:
             live = {now["baseline"][table] for now in kept} | {x for now in kept for found in now["tables"][table].values() for x in found}

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelforge import cli
-from panelforge.schemas import EMPRESA, ESTABELECIMENTO, MUNIC, SIMPLES, SOCIOS
+from panelforge.schemas import EMPRESA, ESTABELECIMENTO, MUNIC, SIMPLES, SOCIOS, SPECS
 from panelforge.sinks import files as sinks
 from panelforge.sources import files as sources
 from panelforge.streaming.monthly import RegistryMonths
+from panelforge.streaming.snapshots import SnapshotMonths
 
 LINES = [
     '"00000001";"Água ""X""";"0101";"05";"1234,50";"01";""', '"00000002";NA;2062;3;"10,0"', '"00000003";"a;b";1;1;"1,0";1;x', '"00000004";"too";1;1;"1,0";1;"many";"fields"', '"00000005";"n";00;;;;NULL',
@@ -100,6 +101,14 @@ def test_a_month_of_the_registry_from_the_command_line(spark, tmp_path, capsys):
     assert [(r["month"], r["tabela"], r["status"], r["inserts"]) for r in job.runs.read().collect()] == [("2023-06", "*", "SUCCESS", 1)]
     assert [tuple(r) for r in job.held.read().collect()] == [("3", "Conflict in staging company fields: capital_social (2) ", "2023-06")]
     assert spark.read.parquet(f"{tmp_path}/root/ignored/empresa").count() == 3
+    command[3:4] = [f"{tmp_path}/snapshots"]
+    for _ in range(2):
+        cli.main([*command, "--buckets", "3"])
+    assert capsys.readouterr().out.splitlines() == ["2023-06: 1 inserted, 3 updated, 1 deleted", "2023-06: 1 inserted, 3 updated, 1 deleted (done before)"]
+    kept = SnapshotMonths(spark, f"{tmp_path}/snapshots", SPECS, {})
+    assert [tuple(r) for r in kept.extra("quarantine").collect()] == [("3", "Conflict in staging company fields: capital_social (2) ", "2023-06")] and kept.extra("empresa").count() == 3
+    for table in SPECS:
+        assert sorted(map(repr, kept.overlay(table).collect())) == sorted(map(repr, job.tables[table].overlay().collect()))
     cli.main(["export", f"{tmp_path}/root/ignored/empresa", f"{tmp_path}/csv", "--order", "cnpj_basico,razao_social", "--limit", "2"])
     assert [tuple(r)[:2] for r in spark.read.csv(f"{tmp_path}/csv", header=True).collect()] == [("1", "n"), ("3", "m")]
 
