@@ -1,7 +1,7 @@
 """Command line, ``python -m panelforge.cli``:
 
 ``panel BASE LEDGER OUT START END [--states SP,RJ] [--files N] [--quarantine FOLDER]`` replays a ledger into a panel,
-``month BASE LANDING ROOT MONTH [--buckets N]`` detects a month's changes in all tables,
+``month BASE LANDING ROOT MONTH [--buckets N] [--multiline]`` detects a month's changes in all tables,
 ``export ROWS OUT [--order a,b] [--limit N]`` writes a table as CSV,
 ``months START END`` lists the months of a range.
 """
@@ -26,10 +26,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
     panel = commands.add_parser("panel", help="replay a ledger over baseline tables (parquet, one folder a table) into a panel")
     panel.add_argument("--states", default=None, help="comma-separated federal units of the output")
-    panel.add_argument("--files", type=int, default=1, help="files a month")
+    panel.add_argument("--files", type=int, default=None, help="files a month; without it as many as their size asks for")
     panel.add_argument("--quarantine", default=None, help="folder with the quarantine so far; what is found is written beside OUT")
     month = commands.add_parser("month", help="detect a month's changes in the dump files of a landing folder, zipped or not, against baseline tables; folders named after other months are left out")
     month.add_argument("--buckets", type=int, default=None, help="keep states in so many hash buckets and commit all tables of a month as one; a ROOT is kept in one way")
+    month.add_argument("--multiline", action="store_true", help="quoted fields may have line breaks")
     export = commands.add_parser("export", help="write a parquet table as CSV with a header")
     export.add_argument("--order", default=None, help="comma-separated columns to sort by")
     export.add_argument("--limit", type=int, default=None, help="most rows, the first of the order")
@@ -54,7 +55,7 @@ def main(argv: list[str] | None = None) -> None:
         write_panel(rows, args.out, files_per_month=args.files)
         held.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}-quarantine")
     elif args.command == "month":
-        baseline, dumps = {t: spark.read.parquet(f"{args.base}/{t}") for t in SPECS}, read_registry(spark, args.landing, args.month)
+        baseline, dumps = {t: spark.read.parquet(f"{args.base}/{t}") for t in SPECS}, read_registry(spark, args.landing, args.month, args.multiline)
         if args.buckets:
             job = SnapshotMonths(spark, args.root, SPECS, baseline, DEDUP, registry_extras, args.buckets)
             done = job.run(dumps, args.month)

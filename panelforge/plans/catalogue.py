@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions import expr as E
@@ -726,6 +726,17 @@ def roundtrip_dump(t: Registry) -> DataFrame:
     return sources.read_registry(t.spark, folder, "2023-06")["empresa"]
 
 
+_BROKEN = _DUMP.replace("razao_social", "razao_social || chr(10) || ' \"É;' || chr(10) || ' \"É;' AS razao_social")
+
+
+@_query("company", f"SELECT {_BROKEN} FROM company")
+def roundtrip_records(t: Registry) -> DataFrame:
+    """Dumps with line breaks, quotes and separators in quoted names, put together from the lines of splits."""
+    folder = fresh_path(t.spark, "records")
+    _land_dump(t.company.withColumn("razao_social", F.concat("razao_social", F.lit('\n "É;\n'))), folder, "K1", 3)
+    return sources.read_registry(t.spark, folder, multiline=True)["empresa"]
+
+
 @_query("company", "SELECT line, cnpj_basico AS value FROM (SELECT cnpj_basico, row_number() OVER (ORDER BY cnpj_basico) - 1 AS line FROM company) WHERE line >= 40")
 def file_tail(t: Registry) -> DataFrame:
     path = fresh_path(t.spark, "tail")
@@ -775,7 +786,10 @@ def roundtrip_places(t: Registry) -> DataFrame:
 
 @_query("place", "SELECT count(CASE WHEN CAST(cnpj_basico AS INT) % 4 <> 0 THEN 1 END) AS n_read, count(CASE WHEN CAST(cnpj_basico AS INT) % 4 = 0 THEN 1 END) AS n_skipped FROM place")
 def skipped_places(t: Registry) -> DataFrame:
-    return sources.count_places(t.spark, _placed(t))
+    """Rows read and skipped, counted by the very pass that writes the coordinates."""
+    counts = Observation()
+    materialise(sources.read_places(t.spark, _placed(t), counts), "places")
+    return t.spark.createDataFrame([(counts.get["n_read"], counts.get["n_skipped"])], "n_read long, n_skipped long")
 
 
 _PANEL_ROWS = "SELECT reference_month, lpad(CAST(root AS VARCHAR(12)), 8, '0') AS cnpj_basico, CAST(ekey AS VARCHAR(12)) AS cnpj_ordem, '00' AS cnpj_dv, {} AS status FROM d_panel WHERE reference_month <> '2023-07'"
@@ -792,6 +806,16 @@ def roundtrip_panel(t: Registry) -> DataFrame:
     return months[0].unionByName(months[1]).withColumn("reference_month", F.col("reference_month").cast("string"))
 
 
+@_query("d_panel", "SELECT reference_month, count(*) AS n_rows, min(ekey) AS least, max(ekey) AS greatest, true AS apart FROM d_panel GROUP BY reference_month")
+def panel_ranges(t: Registry) -> DataFrame:
+    """A panel in several sorted files a month: their key bounds cover the month, and no two files' ranges meet."""
+    path = fresh_path(t.spark, "ranges")
+    sinks.write_panel(t.d_panel, path, ["ekey"], files_per_month=4)
+    order = Window.partitionBy("reference_month").orderBy("lower")
+    bounds = sinks.read_bounds(t.spark, path).withColumn("apart", F.col("lower.ekey") > F.lag("upper.ekey", 1, -1).over(order))
+    return bounds.groupBy("reference_month").agg(F.sum("n_rows").alias("n_rows"), F.min("lower.ekey").alias("least"), F.max("upper.ekey").alias("greatest"), F.bool_and("apart").alias("apart"))
+
+
 @_query("est company", "SELECT 'empresa' AS dataset, cnpj_basico, razao_social AS field FROM company UNION ALL SELECT 'estabelecimento', cnpj_basico, nome_fantasia FROM est UNION ALL SELECT 'estabelecimento_enderecos', cnpj_basico, cep FROM est")
 def roundtrip_side_outputs(t: Registry) -> DataFrame:
     path = fresh_path(t.spark, "side")

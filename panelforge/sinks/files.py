@@ -9,16 +9,79 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.schemas import ESTABLISHMENT_KEY, SIDE_OUTPUTS
+from panelforge.storage import exists, folders_in, remove
 
 
-def write_panel(panel: DataFrame, base: str, keys: list[str] = ESTABLISHMENT_KEY, files_per_month: int = 1) -> None:
+def write_panel(panel: DataFrame, base: str, keys: list[str] = ESTABLISHMENT_KEY, files_per_month: int | None = None) -> None:
     """Snappy parquet by month, sorted by key in each file; months that are written replace themselves, others stay.
 
-    With more than one file a month, rows are dealt to them by the first key.
+    A month's files hold ranges of keys that do not meet, whose boundaries
+    Spark samples, so that no task has a month of any size: about
+    ``files_per_month`` if months are equally large, else as many as the
+    session's partition size asks for.  With 1 a task sorts each month.  The
+    files' bounds are kept beside them (:func:`read_bounds`).
     """
-    by = ["reference_month"] if files_per_month == 1 else ["reference_month", F.pmod(F.xxhash64(keys[0]), F.lit(files_per_month))]
-    rows = panel.repartition(*by).sortWithinPartitions("reference_month", *keys)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy("reference_month").parquet(base)
+    by = ["reference_month", *keys]
+    if files_per_month == 1:
+        rows = panel.repartition("reference_month")
+    elif files_per_month is None:
+        rows = panel.repartitionByRange(*by)
+    else:
+        rows = panel.repartitionByRange(files_per_month * max(1, panel.select("reference_month").distinct().count()), *by)
+    replacing = {"partitionOverwriteMode": "dynamic", "compression": "snappy"}
+    rows.sortWithinPartitions(*by).write.mode("overwrite").options(**replacing).partitionBy("reference_month").parquet(base)
+    _write_bounds(panel.sparkSession, base, keys)
+
+
+def _files_of(spark: SparkSession, folder: str) -> DataFrame:
+    """``file`` and ``path`` of all files of a folder, the first as Spark names a row's file; nothing is read but the listing."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder).select(F.col("_metadata.file_path").alias("file"), "path")
+
+
+def _write_bounds(spark: SparkSession, base: str, keys: list[str]) -> None:
+    """Add the bounds of those files of a panel that have none yet; bounds of files that are gone go."""
+    known, files = f"{base}/_bounds", _files_of(spark, base)
+    kept = read_bounds(spark, base) if exists(spark, known) else None
+    new = files if kept is None else files.join(kept, "file", "left_anti")
+    names = sorted(r["path"] for r in new.select("path").collect())  # names of files
+    if not names:
+        return
+    file, key = F.col("_metadata.file_path").alias("file"), F.struct(*keys)
+    found = spark.read.option("basePath", base).parquet(*names).groupBy(file).agg(F.min(key).alias("lower"), F.max(key).alias("upper"), F.count("*").alias("n_rows"))
+    found = found.select(F.regexp_extract("file", "reference_month=([^/]*)/", 1).alias("reference_month"), "*")
+    before, folder = folders_in(spark, known), f"{known}/{uuid.uuid4().hex}"
+    (found if kept is None else kept.unionByName(found)).coalesce(1).write.parquet(folder)
+    for old in before:
+        remove(spark, old)
+
+
+def read_bounds(spark: SparkSession, base: str) -> DataFrame:
+    """``reference_month``, ``file``, least and greatest key (``lower``, ``upper``) and ``n_rows`` of each file of a panel."""
+    bounds = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/_bounds")
+    return bounds.join(_files_of(spark, base), "file", "left_semi").distinct()
+
+
+def read_key(spark: SparkSession, base: str, month: str, **key: object) -> DataFrame:
+    """A month's rows with a key, or with the first columns of one: only files whose bounds hold it are opened.
+
+    Values of the key are not null.  A file without bounds, as a writer that
+    broke off may leave one, is opened always.
+    """
+    folder, rows = f"{base}/reference_month={month}", None
+    if exists(spark, f"{base}/_bounds") and exists(spark, folder):
+        bounds = read_bounds(spark, base).where(F.col("reference_month") == month)
+        kinds = {f.name: f.dataType for f in bounds.schema["lower"].dataType}
+        wanted = F.struct(*[F.lit(v).cast(kinds[k]).alias(k) for k, v in key.items()])
+        lower, upper = (F.struct(*[F.col(f"{side}.{k}").alias(k) for k in key]) for side in ("lower", "upper"))
+        held = bounds.select("file", ((lower <= wanted) & (wanted <= upper)).alias("holds"))
+        files = _files_of(spark, folder).join(held, "file", "left").where(F.coalesce("holds", F.lit(True)))
+        names = sorted({r["path"] for r in files.select("path").collect()})  # the few files that can hold the key
+        rows = spark.read.option("basePath", base).parquet(*names) if names else spark.createDataFrame([], spark.read.parquet(base).schema)
+    if rows is None:
+        rows = spark.read.parquet(base).where(F.col("reference_month") == month)
+    for k, v in key.items():
+        rows = rows.where(F.col(k) == v)
+    return rows
 
 
 def write_side_outputs(tables: dict[str, DataFrame], month: str, base: str, only_if_absent: bool = False) -> None:

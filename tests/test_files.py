@@ -3,6 +3,7 @@
 import zipfile
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from panelforge import cli
@@ -156,6 +157,43 @@ def test_panel_months_replace_themselves(spark, tmp_path):
     assert len(list((tmp_path / "p/reference_month=2023-05").glob("*.snappy.parquet"))) == 1
 
 
+def test_ranges_of_a_months_files(spark, tmp_path):
+    # one root has a third of all rows; keys come in any order
+    rows = spark.range(6000).selectExpr("concat('2023-0', 5 + id % 2) AS reference_month", "lpad(CASE WHEN id % 3 = 0 THEN 7 ELSE id * 7919 % 6000 END, 8, '0') AS cnpj_basico", "lpad(id, 4, '0') AS cnpj_ordem", "'00' AS cnpj_dv", "id AS v")
+    sinks.write_panel(rows, f"{tmp_path}/p", files_per_month=5)
+    bounds = [(r["reference_month"], tuple(r["lower"]), tuple(r["upper"]), r["n_rows"], r["file"]) for r in sinks.read_bounds(spark, f"{tmp_path}/p").collect()]
+    for month in ("2023-05", "2023-06"):
+        own = sorted(x[1:4] for x in bounds if x[0] == month)
+        assert 5 <= len(own) <= 6 and sum(n for *_, n in own) == 3000 and max(n for *_, n in own) < 1500
+        assert all(a[1] < b[0] for a, b in zip(own, own[1:]))  # noqa: B905
+    for root, part in (("00000007", "0003"), ("00000004", None), ("99999999", "1")):
+        key = {"cnpj_basico": root} | ({"cnpj_ordem": part} if part else {})
+        for month in ("2023-05", "2023-06"):
+            found = sinks.read_key(spark, f"{tmp_path}/p", month, **key)
+            want = rows.where((F.col("reference_month") == month) & (F.col("cnpj_basico") == root) & (F.col("cnpj_ordem") == part if part else F.lit(True)))
+            assert sorted(r["v"] for r in found.collect()) == sorted(r["v"] for r in want.collect())
+            assert len(found.inputFiles()) <= 1
+    # a month that replaces itself has other files; one whose writer broke off before the bounds is read all the same
+    sinks.write_panel(rows.where("reference_month = '2023-06'").withColumn("v", -F.col("v")), f"{tmp_path}/p")
+    again = sinks.read_bounds(spark, f"{tmp_path}/p").collect()
+    assert {r["file"] for r in again if r["reference_month"] == "2023-05"} == {x[4] for x in bounds if x[0] == "2023-05"} and sum(r["n_rows"] for r in again) == 6000
+    assert [r["v"] for r in sinks.read_key(spark, f"{tmp_path}/p", "2023-06", cnpj_basico="00000007", cnpj_ordem="0003").collect()] == [-3]
+    replaced = rows.where("reference_month = '2023-06'").withColumn("v", F.lit(5)).repartition(2)
+    replaced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("reference_month").parquet(f"{tmp_path}/p")
+    assert [r["v"] for r in sinks.read_key(spark, f"{tmp_path}/p", "2023-06", cnpj_basico="00000007", cnpj_ordem="0003").collect()] == [5]
+    sinks.write_panel(rows.where("false"), f"{tmp_path}/p")
+    assert spark.read.parquet(f"{tmp_path}/p").count() == 6000
+
+
+def test_coordinates_are_counted_in_the_pass_that_reads_them(spark, tmp_path):
+    (tmp_path / "g.csv").write_text("cnpj_basico,tipo_logradouro,logradouro,numero,uf,cidade,bairro,cep,latitude,longitude\n1,R,l,1,SP,x,b,1,abc,1\n1,R,too,few\n1,R,l,1,SP,x,b,1,2,1\n")
+    counts = Observation()
+    rows = sources.read_places(spark, f"{tmp_path}/g.csv", counts)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert rows.collect() == sources.read_places(spark, f"{tmp_path}/g.csv").collect()
+    assert counts.get == {"n_read": 1, "n_skipped": 2}
+
+
 def test_side_outputs_csv_and_versions(spark, tmp_path):
     tables = {"empresa": spark.createDataFrame([("1", "n", 1, 1, 1.0, 1, None)], EMPRESA), "estabelecimento": spark.createDataFrame([tuple([None] * 30)], ESTABELECIMENTO)}
     sinks.write_side_outputs(tables, "2023-05", f"{tmp_path}/i")
