@@ -68,7 +68,9 @@ def _parsed(lines: DataFrame, schema: T.StructType, sep: str, decimals: tuple[st
     """Rows of ``file`` and ``line``, a record each, by the rules of :func:`read_dump`."""
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_BAD, T.StringType())])
     options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    rows = lines.where(_fields(F.col("line"), sep) <= len(schema)).select(F.from_csv("line", raw.simpleString()[7:-1].replace(":", " "), options).alias("r"), "file").select("r.*", "file")
+    line, most = F.col("line"), len(schema) - 1
+    few = F.length(line) - F.length(F.replace(line, F.lit(sep))) <= most  # then none needs to be looked for in quotes
+    rows = lines.where(few | (_fields(line, sep) <= len(schema))).select(F.from_csv("line", raw.simpleString()[7:-1].replace(":", " "), options).alias("r"), "file").select("r.*", "file")
     return _typed(rows, schema, decimals, *[F.col("file")] * file)
 
 

@@ -197,4 +197,5 @@ def read_records(spark: SparkSession, path: str | list[str], sep: str = ";", enc
         parts = parts.withColumn("record", F.count_if(~F.col("begun")).over(order))
         texts = F.array_sort(F.collect_list(F.struct("block", (~F.col("begun")).alias("after"), "line")))
         whole = whole.unionByName(parts.groupBy("file", "record").agg(F.array_join(F.transform(texts, lambda x: x["line"]), "\n").alias("line")).select("file", "line"))
-    return whole.withColumn("line", F.regexp_replace("line", r"\r\z", "")).where(F.col("line") != "")
+    line = F.col("line")
+    return whole.withColumn("line", F.when(F.endswith(line, F.lit("\r")), F.substring(line, 1, F.length(line) - 1)).otherwise(line)).where(F.col("line") != "")
