@@ -41,13 +41,14 @@ def baseline_state(establishments: DataFrame, attributes: DataFrame) -> DataFram
     return rows.join(attributes, ROOT, "left").select(*ESTABLISHMENT_KEY, *ESTABLISHMENT_FIELDS, *_zeroed())
 
 
-def _establishment_events(state: DataFrame, events: DataFrame, attributes: DataFrame) -> DataFrame:
+def _establishment_events(state: DataFrame, events: DataFrame, attributes: DataFrame, from_leaving: bool) -> DataFrame:
     """State after the month's establishment events.
 
     Deletes and updates of unknown keys and inserts of known ones do nothing.
     A new establishment takes the attributes of a sibling that was in the
     state before the month's inserts (the one with the least key), or, if its
-    root has none, the root's attributes in the baseline.
+    root has none, the root's attributes in the baseline.  With
+    ``from_leaving`` siblings that the month deletes count too.
     """
     news = events.select(*ESTABLISHMENT_KEY, F.col("tipo_alteracao").alias("__kind"), F.col("novo").alias("__new"))
     own = state.select(*ESTABLISHMENT_KEY, F.struct(*ESTABLISHMENT_FIELDS, *_ATTRIBUTES).alias("__own"))
@@ -58,7 +59,7 @@ def _establishment_events(state: DataFrame, events: DataFrame, attributes: DataF
         *ESTABLISHMENT_KEY, *[F.when(updated, F.col(f"__new.{c}")).otherwise(F.col(f"__own.{c}")).alias(c) for c in ESTABLISHMENT_FIELDS], *[F.col(f"__own.{c}").alias(c) for c in _ATTRIBUTES]
     )
     added = both.where(~known & (kind == "INSERT")).select(*ESTABLISHMENT_KEY, *[F.col(f"__new.{c}").alias(c) for c in ESTABLISHMENT_FIELDS])
-    siblings = kept.join(added.select(ROOT).distinct(), ROOT, "left_semi").groupBy(ROOT).agg(F.min_by(F.struct(*_ATTRIBUTES), F.struct("cnpj_ordem", "cnpj_dv")).alias("__sibling"))
+    siblings = (state if from_leaving else kept).join(added.select(ROOT).distinct(), ROOT, "left_semi").groupBy(ROOT).agg(F.min_by(F.struct(*_ATTRIBUTES), F.struct("cnpj_ordem", "cnpj_dv")).alias("__sibling"))
     first = attributes.select(ROOT, F.struct(*_ATTRIBUTES).alias("__first"))
     rows = added.join(siblings, ROOT, "left").join(first, ROOT, "left").withColumn("__from", F.when(F.col("__sibling").isNotNull(), F.col("__sibling")).otherwise(F.col("__first")))
     return kept.unionByName(rows.select(*ESTABLISHMENT_KEY, *ESTABLISHMENT_FIELDS, *_zeroed("__from.")))
@@ -83,9 +84,9 @@ def _apply_root_events(state: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.select(*ESTABLISHMENT_KEY, *ESTABLISHMENT_FIELDS, *[value(c, t) for t, cs in tables for c in cs])
 
 
-def next_month(state: DataFrame, events: dict[str, DataFrame], attributes: DataFrame) -> DataFrame:
+def next_month(state: DataFrame, events: dict[str, DataFrame], attributes: DataFrame, from_leaving: bool = False) -> DataFrame:
     """State after one month's events, which are keyed by table name and unique by key in each table."""
-    return _apply_root_events(_establishment_events(state, events["estabelecimento"], attributes), _root_events(events))
+    return _apply_root_events(_establishment_events(state, events["estabelecimento"], attributes, from_leaving), _root_events(events))
 
 
 def finish(rows: DataFrame, cities: DataFrame, held: DataFrame, states: str | None) -> DataFrame:
@@ -96,13 +97,17 @@ def finish(rows: DataFrame, cities: DataFrame, held: DataFrame, states: str | No
     return rows.select("reference_month", *[F.when(F.col("__held").isNull(), F.col(c)).alias(c) if c in hidden else F.col(c) for c in PANEL_COLUMNS])
 
 
-def reconstruct_panel(spark: SparkSession, tables: dict[str, DataFrame], ledger: dict[str, DataFrame], start: str, end: str, states: str | None = None, logged: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def reconstruct_panel(spark: SparkSession, tables: dict[str, DataFrame], ledger: dict[str, DataFrame], start: str, end: str, states: str | None = None, logged: DataFrame | None = None, from_leaving: bool = False) -> tuple[DataFrame, DataFrame]:
     """(panel, quarantine) from ``start``, the month of the baseline ``tables``, to ``end``.
 
     ``ledger`` has the events of each table with ``mes_referencia``; the
     filter on states is on the output alone, as an establishment may move in
     and out.  ``logged`` is the quarantine so far; its rows of ``start`` are
     found anew.  Companies in quarantine have no attributes in the baseline.
+
+    A root whose establishments all go in a month in which another one comes
+    begins again with its baseline values, as deletes are applied first; with
+    ``from_leaving`` it goes on with the values it had.
     """
     months = month_range(start, end)
     found = quarantine(tables["empresa"], start, "retained")
@@ -113,7 +118,7 @@ def reconstruct_panel(spark: SparkSession, tables: dict[str, DataFrame], ledger:
     state = materialise(baseline_state(tables["estabelecimento"], attributes), "state")
     out = [state.withColumn("reference_month", F.lit(months[0]))]
     for month in months[1:]:
-        state = materialise(next_month(state, {t: e.where(F.col("mes_referencia") == month) for t, e in ledger.items()}, attributes), "state")
+        state = materialise(next_month(state, {t: e.where(F.col("mes_referencia") == month) for t, e in ledger.items()}, attributes, from_leaving), "state")
         out.append(state.withColumn("reference_month", F.lit(month)))
     # the months' states are files by now; cities and quarantine meet them once, not month by month
     return finish(reduce(DataFrame.unionByName, out), tables["munic"], held, states), held

@@ -55,18 +55,19 @@ def establishment_intervals(state: DataFrame, events: DataFrame, closed: DataFra
     return moves.where("kind <> 'DELETE' AND until > at").select(*ESTABLISHMENT_KEY, "at", "until", (F.col("kind") == "INSERT").alias("inserted"), "v.*")
 
 
-def root_spells(intervals: DataFrame) -> DataFrame:
+def root_spells(intervals: DataFrame, from_leaving: bool = False) -> DataFrame:
     """``at`` and ``until`` of the times without a break in which a root has establishments.
 
     An establishment that comes in the month in which all others went opens a
-    new spell.  Only the last end by month and kind is looked at, so that a
+    new spell, or with ``from_leaving`` goes on with theirs.  Only the last end by month and kind is looked at, so that a
     root with very many establishments is a few rows.
     """
     # updates first: what they go on with was there before the month's inserts
     ends = intervals.groupBy(ROOT, "at", "inserted").agg(F.max("until").alias("until"))
     w = Window.partitionBy(ROOT).orderBy("at", "inserted")
     before = F.max("until").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.col("inserted") & (F.coalesce(before, F.lit(-1)) <= F.col("at"))
+    last = F.coalesce(before, F.lit(-1))
+    opens = F.col("inserted") & (last < F.col("at") if from_leaving else last <= F.col("at"))
     spell = F.sum(opens.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return ends.withColumn("spell", spell).groupBy(ROOT, "spell").agg(F.min("at").alias("at"), F.max("until").alias("until"))
 
@@ -100,7 +101,7 @@ def root_intervals(spells: DataFrame, events: dict[str, DataFrame], attributes:
     return rows.select(ROOT, "at", "until", *[value(c, t) for t, cs in _TABLES for c in cs])
 
 
-def panel_by_intervals(spark: SparkSession, tables: dict[str, DataFrame], ledger: dict[str, DataFrame], start: str, end: str, states: str | None = None, logged: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def panel_by_intervals(spark: SparkSession, tables: dict[str, DataFrame], ledger: dict[str, DataFrame], start: str, end: str, states: str | None = None, logged: DataFrame | None = None, from_leaving: bool = False) -> tuple[DataFrame, DataFrame]:
     """(panel, quarantine) with the arguments and the results of :func:`panelforge.plans.replay.reconstruct_panel`, for any number of months at once.
 
     One case differs: of a partner event that leaves a count null, the count is
@@ -116,7 +117,7 @@ def panel_by_intervals(spark: SparkSession, tables: dict[str, DataFrame], ledger
     state = latest_status(tables["estabelecimento"].select(*ESTABLISHMENT_KEY, *ESTABLISHMENT_FIELDS))
     closed = _placed(ledger["empresa"], months).where("tipo_alteracao = 'DELETE'").select(ROOT, "at").distinct()
     versions = materialise(establishment_intervals(state, ledger["estabelecimento"], closed, months), "establishment-intervals")
-    roots = materialise(root_intervals(root_spells(versions), ledger, attributes, months), "root-intervals")
+    roots = materialise(root_intervals(root_spells(versions, from_leaving), ledger, attributes, months), "root-intervals")
     # two written tables, so that Spark splits the rows of a root that very many establishments have
     roots = roots.withColumnsRenamed({"at": "r_at", "until": "r_until"})
     both = versions.join(roots, ROOT).where("r_at < until AND at < r_until")

@@ -91,6 +91,16 @@ def test_root_that_was_away_has_its_first_values(spark):
     assert got["2023-07", "1", "1"]["capital_social"] == 10.0
 
 
+def test_root_that_changes_all_establishments_begins_again_unless_asked(spark):
+    july = [(("1", "1", "00"), "DELETE", None), (("1", "2", "00"), "INSERT", {"situacao_cadastral": 2})]
+    ledger = {t: events(spark, t, []) for t in SPECS} | {"estabelecimento": events(spark, "estabelecimento", july, "2023-07"), "empresa": events(spark, "empresa", [(("1",), "UPDATE", {"capital_social": 99.0})])}
+    tables = {"estabelecimento": spark.createDataFrame([est("1", "1")], EST), "empresa": spark.createDataFrame([company("1", 10.0)], EMPRESA), "socios": spark.createDataFrame([], SOCIOS), "simples": spark.createDataFrame([], SIMPLES), "munic": spark.createDataFrame([], MUNIC)}
+    for replayed in (replay.reconstruct_panel, timeline.panel_by_intervals):
+        for asked, capital in (({}, 10.0), ({"from_leaving": True}, 99.0)):
+            panel, _ = replayed(spark, tables, ledger, "2023-05", "2023-07", **asked)
+            assert [(r["cnpj_ordem"], r["capital_social"]) for r in panel.where("reference_month = '2023-07'").collect()] == [("2", capital)]
+
+
 def test_quarantined_roots_have_no_company_values_in_any_month(spark):
     got, held = run(spark, [est("1", "1")], {"empresa": events(spark, "empresa", [(("1",), "UPDATE", {"capital_social": 7.0})])}, [company("1", 10.0), company("1", 11.0)], fiscal=[("1", "S", 1, 2, "N", 3, 4)])
     assert held.first()["motivo"] == "Conflict in retained company fields: capital_social (2) "
