@@ -52,7 +52,8 @@ def save_registry(establishments: DataFrame, companies: DataFrame, fiscal: DataF
     are the month's partner events per company; companies without have zeros.
     """
     saved = save_month(establishments, month, uf=uf)
-    roots = saved.select(root).distinct()
+    # keys are looked up in a table of the roots, as no task should sort the many partners of its share of roots
+    roots = saved.select(root).distinct().hint("shuffle_hash")
     own = {name: keep_keys(rows, roots, [root]).withColumn("reference_month", F.lit(month)) for name, rows in (("companies", companies), ("fiscal", fiscal), ("partners", partners))}
     entered = F.col("data_entrada_sociedade")
     own["partners"] = own["partners"].where(entered.isNull() | (entered <= month_end_int(F.lit(month))))

@@ -231,3 +231,18 @@ def test_keyed_changes_and_json(spark):
     assert got(keyed.update_from(rows, new, ["k"], ["v"])) == [(1, "a"), (2, "")]
     assert got(keyed.overlay(new, rows, ["k"])) == [(1, "a"), (2, ""), (3, "c")]
     assert rows.select(E.json_without(E.json_image("k", "v"), "k").alias("j")).first()["j"] == '{"v":"a"}'
+
+
+def test_a_month_save_looks_roots_up_without_sorting_partners(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        partners = spark.createDataFrame([("1", 2, "a", None, 5, 20200101, None, None, None, None, 4), ("3", 2, "b", None, 5, 20200101, None, None, None, None, 4)], SOCIOS)
+        none = spark.createDataFrame([], "mes_referencia string, cnpj_basico string, partner_additions int, partner_removals int, qualification_changes int")
+        saved = reverse.save_registry(spark.createDataFrame([est("1", "1"), est("3", "1", uf="RJ")], EST), spark.createDataFrame([company("1", 10.0), company("3", 1.0)], EMPRESA), spark.createDataFrame([], SIMPLES), partners, none, "2023-05", "SP")
+        for name in ("companies", "fiscal", "partners"):
+            plan = saved[name]._jdf.queryExecution().executedPlan().toString()
+            assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("SortAggregate", "")
+        assert [r["cnpj_basico"] for r in saved["partners"].collect()] == ["1"] == [r["cnpj_basico"] for r in saved["summaries"].collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
