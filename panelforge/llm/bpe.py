@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from panelforge.llm.common import OUT_ROWS
+from panelforge.llm.common import OUT_ROWS, begins
 
 #: Distinct pieces whose encodings a worker remembers (two generations of this size).
 CACHE_PIECES = 100_000
@@ -242,6 +242,11 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+def _forget() -> None:
+    codec.cache_clear()
+    Vocabulary.load.cache_clear()
+
+
 def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", keep: list[str] | None = None, decode: bool = True) -> DataFrame:
     """``keep`` columns, ``n_tokens`` long, ``ids`` (decimal ids joined by one space) and, with ``decode``, ``decoded`` binary.
 
@@ -256,6 +261,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", kee
     rows, at_text = df.select(*columns), columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins(_forget)
         c = codec(vocabulary, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
@@ -276,6 +282,7 @@ def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", keep:
     rows = df.select(*keep, df[ids].alias("__ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins(_forget)
         c = codec(vocabulary, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +106,22 @@ def slices(batch: pa.RecordBatch, at_text: int) -> Iterator[pa.RecordBatch]:
         at = stop
 
 
+_forgets: list[Callable[[], None]] = []
+
+
+def begins(forget: Callable[[], None]) -> None:
+    """An operator that remembers things between tasks begins in this worker: what another one remembered goes, by its ``forget``.
+
+    Spark hands the workers of one stage to the next, and they have no room
+    for the memory of several operators.
+    """
+    if _forgets and _forgets[0] is not forget:
+        _forgets.pop()()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    _forgets[:] = [forget]
+
+
 def without(keep: list[str], *results: str) -> list[str]:
     """``keep`` without the columns that are named like results, which take their place."""
     return [c for c in keep if c.lower() not in results]

@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import held_out, sized, slices, without, written
+from panelforge.llm.common import begins, held_out, sized, slices, without, written
 
 #: Most documents per language that the model is fitted to, and most of all languages together.
 SAMPLE, SAMPLE_ALL = 200, 20_000
@@ -82,7 +82,12 @@ class _Buckets(dict):
         return found
 
 
-_bucket = _Buckets().__getitem__
+_buckets = _Buckets()
+_bucket = _buckets.__getitem__
+
+
+def _forget() -> None:
+    _buckets.clear()
 
 
 def features(word: str, lexicon: frozenset[str]) -> list[int]:
@@ -316,6 +321,7 @@ def identify(documents: DataFrame, model: Chain, keep: list[str] | None = None,
     rows, n, at_text = documents.select(*columns), len(keep), columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins(_forget)
         for batch in batches:
             for part in slices(batch, at_text):
                 found, score, clear = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows), np.zeros(part.num_rows)
