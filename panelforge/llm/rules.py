@@ -124,8 +124,8 @@ def _quantile(rows: DataFrame, by: list[str], value: Column, share: float, width
     """Per group the upper edge of the bin of ``width`` where the share of rows is reached; the same on any partitioning."""
     bins = rows.select(*by, F.floor(value / width).cast("long").alias("bin")).groupBy(*by, "bin").agg(F.count("*").alias("n"))
     w = Window.partitionBy(*by)
-    reached = bins.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("all", F.sum("n").over(w))
-    return reached.where(F.col("upto") >= share * F.col("all")).groupBy(*by).agg(((F.min("bin") + 1) * width).alias("edge"))
+    counted = bins.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("least", share * F.sum("n").over(w))
+    return counted.where((F.col("upto") >= F.col("least")) & (F.col("upto") - F.col("n") < F.col("least"))).select(*by, ((F.col("bin") + 1) * width).alias("edge"))
 
 
 def _long(rows: DataFrame, values: list[Column]) -> DataFrame:
@@ -142,6 +142,7 @@ def _joined(rows: DataFrame, table: DataFrame, on: list[str], small: bool) -> Da
 
 _CENTRE = [f"m{i}" for i in range(_P)]
 _COVARIANCE = [f"c{i}_{j}" for i, j in _CELLS]
+_FACTOR = [f"l{i}_{j}" for i, j in _CELLS]
 
 
 def _starts(rows: DataFrame, small: bool, scratch: Scratch) -> DataFrame:
@@ -173,11 +174,13 @@ def _starts(rows: DataFrame, small: bool, scratch: Scratch) -> DataFrame:
 
 def _factor(rows: DataFrame) -> DataFrame:
     """Adds the Cholesky factor ``l`` of the covariance ``c``, a column a cell, and ``log_det``."""
-    for i, j in _CELLS:
-        left = F.col(f"c{i}_{j}")
-        for k in range(j):
-            left = left - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
-        rows = rows.withColumn(f"l{i}_{j}", F.sqrt(left) if i == j else left / F.col(f"l{j}_{j}"))
+
+    def left(i: int, j: int) -> Column:
+        return reduce(Column.__sub__, [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)], F.col(f"c{i}_{j}"))
+
+    for j in range(_P):
+        rows = rows.withColumn(f"l{j}_{j}", F.sqrt(left(j, j)))
+        rows = rows.withColumns({f"l{i}_{j}": left(i, j) / F.col(f"l{j}_{j}") for i in range(j + 1, _P)})
     return rows.withColumn("log_det", 2 * reduce(Column.__add__, [F.log(f"l{i}_{i}") for i in range(_P)]))
 
 
@@ -193,12 +196,14 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 
 def _concentrated(rows: DataFrame, now: DataFrame, small: bool) -> DataFrame:
-    """One step: ``key``, ``start``, centre, covariance, factor and ``log_det`` of the core that is nearest under ``now``."""
-    near = _distance(_joined(rows, now, ["key"], small)).select("key", "start", *_NAMES, F.log1p("distance").alias("d"))
-    core = _joined(near, _quantile(near, ["key", "start"], F.col("d"), CORE, BIN_DISTANCE), ["key", "start"], small).where("d <= edge")
-    sums = core.groupBy("key", "start").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(_NAMES)], *[F.covar_pop(_NAMES[i], _NAMES[j]).alias(f"v{i}_{j}") for i, j in _CELLS])
+    """One step: ``key``, ``start``, ``log_det`` of ``now`` as ``before``, and centre, covariance, factor and ``log_det`` of the core that is nearest under ``now``."""
+    # both uses of the distances read the same columns of the estimates, so that these are broadcast once
+    by = ["key", "start", "before"]
+    near = _distance(_joined(rows, now.select("key", "start", F.col("log_det").alias("before"), *_CENTRE, *_FACTOR), ["key"], small)).select(*by, *_NAMES, F.log1p("distance").alias("d"))
+    core = _joined(near, _quantile(near, by, F.col("d"), CORE, BIN_DISTANCE), by, small).where("d <= edge")
+    sums = core.groupBy(*by).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(_NAMES)], *[F.covar_pop(_NAMES[i], _NAMES[j]).alias(f"v{i}_{j}") for i, j in _CELLS])
     cells = [(CONSISTENCY * F.col(f"v{i}_{j}") + (FEATURES[_NAMES[i]] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i, j in _CELLS]
-    return _factor(sums.select("key", "start", *_CENTRE, *cells))
+    return _factor(sums.select(*by, *_CENTRE, *cells))
 
 
 def estimates(rows: DataFrame, small: bool = True) -> DataFrame:
@@ -206,21 +211,18 @@ def estimates(rows: DataFrame, small: bool = True) -> DataFrame:
 
     ``small`` says that the keys are few enough to be broadcast.  The loop
     ends: each step lowers the logarithm of a determinant by ``FALL`` or
-    more, and the regularising diagonal bounds it from below.
+    more, and the regularising diagonal bounds it from below.  A step is one
+    table, so that the driver plans and broadcasts little for each.
     """
-    scratch, step = Scratch(rows.sparkSession, "rules-mcd"), 0
+    scratch, fallen = Scratch(rows.sparkSession, "rules-mcd"), []
     now = scratch.write(_factor(_starts(rows, small, scratch)).withColumn("log_det", F.lit(float("inf"))), "step0")
-    settled = []
     while not now.isEmpty():
-        step += 1
-        new = scratch.write(_concentrated(rows, now, small), f"step{step}")
-        both = now.select("key", "start", F.col("log_det").alias("before")).join(new, ["key", "start"])
-        fell = F.col("before") - F.col("log_det") >= FALL
-        # a start that fell goes on from its new estimate; the others keep the one before
-        settled.append(now.join(both.where(~fell).select("key", "start"), ["key", "start"], "left_semi"))
-        now = scratch.write(both.where(fell).drop("before"), f"fell{step}")
+        # a start that fell goes on from its new estimate; the others keep the one before, which is the last that fell
+        now = scratch.write(_concentrated(rows, now, small), f"step{len(fallen) + 1}").where(F.col("before") - F.col("log_det") >= FALL)
+        fallen.append(now)
     columns = ["key", *_CENTRE, *_COVARIANCE]
-    every = reduce(DataFrame.unionByName, [x.select("start", "log_det", *columns) for x in settled]) if settled else now
+    # of a start, the last that fell has the least determinant
+    every = reduce(DataFrame.unionByName, [x.select("start", "log_det", *columns) for x in fallen or [now]])
     best = every.groupBy("key").agg(F.min_by(F.struct(*columns[1:]), F.struct("log_det", "start")).alias("b")).select("key", "b.*")
     out = written(best, "rules-estimates")
     scratch.clear("")
